@@ -1,0 +1,581 @@
+"""The operators bound to the star-schema, document, vector and event tables.
+
+Customers stand for change requests, orders with their lines for issue rows (one row per link),
+parts for pages; nations, order priorities and part brands name the teams.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkwright.functions.text import split_list
+from linkwright.functions.values import map_lines, typed, utc_text
+from linkwright.operators import changes, chunks, clean, context, graph, index, normalize, notify, pairing, search, validate
+from linkwright.operators.embed import completion, echo_model, embed_rows, hashed_embedder
+from linkwright.operators.skew import first_row, surrogate_key, text_parts
+from linkwright.operators.synth import linked_tables
+from linkwright.functions.fixed_text import SUMMARY_PROMPT, render
+from linkwright.plans import retrieval
+from linkwright.session import fresh_path
+from linkwright.sources.schemas import RAW
+from linkwright.streaming import capture, feed
+
+DIMS = 64
+SPLIT = "1998-05-01"
+PART_LINES = 1000
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
+PROPERTIES = ["doc_topic", "cr_title"]
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def prefixed(prefix: str, key: str) -> Column:
+    return F.concat(F.lit(prefix), F.col(key).cast("string"))
+
+
+def money(column: str) -> Column:
+    return F.col(column).cast("decimal(18,2)")
+
+
+# --- joins and cleaning -------------------------------------------------------------------------
+
+def left_join_chain(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("n_nationkey"))
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    joined = clean.left_chain(orders, (customers, "c_custkey"), (nations, "n_nationkey"))
+    return joined.drop("n_nationkey")
+
+
+def null_safe_left_merge(spark: SparkSession, folder: str) -> DataFrame:
+    left = table(spark, folder, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(0)).alias("key"))
+    right = table(spark, folder, "nation").select(F.nullif("n_nationkey", F.lit(0)).alias("key"), "n_name")
+    return clean.null_safe_left(left, right, "key").select("c_custkey", "key", "n_name")
+
+
+def typed_cast(spark: SparkSession, folder: str) -> DataFrame:
+    raw = table(spark, folder, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_acctbal") < 0, "  ").when(F.col("c_mktsegment") == "MACHINERY", "n/a")
+        .otherwise(F.concat(F.lit(" "), money("c_acctbal").cast("string"))).alias("balance"),
+        F.when(F.col("c_nationkey") == 0, "").otherwise(F.col("c_nationkey").cast("string")).alias("nation"),
+    )
+    return raw.select("c_custkey", typed(F.col("balance"), "decimal(18,2)").cast("string").alias("balance"),
+                      typed(F.col("nation"), "int").alias("nation"))
+
+
+def timestamp_text(spark: SparkSession, folder: str) -> DataFrame:
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    kind = F.col("event_type")
+    raw = table(spark, folder, "events").select("event_id", F.when(kind == "view", F.concat(iso, F.lit("Z")))
+        .when(kind == "click", F.concat(iso, F.lit(".123"))).when(kind == "purchase", iso)
+        .when(kind == "error", F.concat(iso, F.lit("+05:30"))).otherwise(F.lit("N/A")).alias("raw"))
+    return raw.select("event_id", utc_text(F.col("raw")).alias("shown"))
+
+
+# --- keys ---------------------------------------------------------------------------------------
+
+def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select("l_orderkey", *columns)
+
+
+def first_row_per_key(spark: SparkSession, folder: str) -> DataFrame:
+    return first_row(_lines(spark, folder, *LINE_ORDER), ["l_orderkey"], LINE_ORDER)
+
+
+def latest_row_per_key(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _lines(spark, folder, *LINE_ORDER, "l_shipdate").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    return normalize.current_state(rows, "l_orderkey", "l_shipdate", LINE_ORDER).select(
+        "l_orderkey", *LINE_ORDER, F.col("l_shipdate").cast("string").alias("l_shipdate"))
+
+
+def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.duplicate_keys(_lines(spark, folder, "l_suppkey"), ["l_orderkey", "l_suppkey"])
+
+
+def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    child = table(spark, folder, "documents").select("doc_id", "source")
+    return validate.orphans(child, "doc_id", table(spark, folder, "labels"), "doc_id")
+
+
+def fk_stubs(spark: SparkSession, folder: str) -> DataFrame:
+    parent = table(spark, folder, "labels").select("doc_id", F.lit("labelled").alias("title"), "quality")
+    return validate.placeholder_parents(table(spark, folder, "documents"), "doc_id", parent, "doc_id", "title")
+
+
+def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    order = ["l_orderkey", *LINE_ORDER]
+    return surrogate_key(_lines(spark, folder, *LINE_ORDER), order).withColumn("row_id", F.col("row_id").cast("bigint"))
+
+
+def _issue_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with their lines: one row per linked page, at least one row per order."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
+    orders = table(spark, folder, "orders")
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        prefixed("ISSUE-", "o_orderkey").alias("issue_id"), prefixed("CR-", "o_custkey").alias("change_id"),
+        F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("team"),
+        F.col("o_orderdate").cast("date").cast("string").alias("created"),
+        prefixed("PAGE-", "l_partkey").alias("page_id"), F.col("l_returnflag").alias("link_type"),
+        prefixed("USER-", "l_suppkey").alias("watcher"), *LINE_ORDER,
+        F.concat_ws("#", "l_linenumber", "l_partkey", "l_suppkey").alias("row_no"),
+    )
+
+
+def normalize_entities(spark: SparkSession, folder: str) -> DataFrame:
+    return normalize.entity_core(_issue_rows(spark, folder), "issue_id", ["change_id", "status", "team", "created"], LINE_ORDER)
+
+
+def normalize_links(spark: SparkSession, folder: str) -> DataFrame:
+    return normalize.link_rows(_issue_rows(spark, folder), "issue_id", "page_id", "link_type")
+
+
+def normalize_watchers(spark: SparkSession, folder: str) -> DataFrame:
+    return normalize.watcher_rows(_issue_rows(spark, folder), "issue_id", "watcher")
+
+
+def delimited_explode(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _lines(spark, folder, *LINE_ORDER).withColumn("part", F.col("l_partkey").cast("string"))
+    listed = text_parts(lines, ["l_orderkey"], "part", LINE_ORDER, LINE_ORDER, "parts", ";")
+    return listed.select("l_orderkey", "part_no", F.posexplode(split_list(F.col("parts"))).alias("ordinal", "part")).withColumn(
+        "ordinal", (F.col("ordinal") + 1).cast("bigint"))
+
+
+# --- graph --------------------------------------------------------------------------------------
+
+def _change_rows(spark: SparkSession, folder: str) -> DataFrame:
+    nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("team"))
+    return table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        prefixed("CR-", "c_custkey").alias("change_id"), F.col("c_name").alias("cr_title"), "team",
+        F.col("c_mktsegment").alias("segment"), money("c_acctbal").cast("string").alias("balance"),
+        F.lit("1").alias("row_no"))
+
+
+def _page_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(
+        prefixed("PAGE-", "p_partkey").alias("page_id"), F.col("p_name").alias("doc_topic"), F.col("p_brand").alias("team"),
+        F.col("p_type").alias("kind"), F.col("p_size").cast("string").alias("size"),
+        money("p_retailprice").cast("string").alias("price"), F.lit("1").alias("row_no"))
+
+
+def star_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    issues, changed, pages = _issue_rows(spark, folder), _change_rows(spark, folder), _page_rows(spark, folder)
+    return reduce(DataFrame.unionByName, [
+        _team_vertices(spark, folder),
+        graph.entity_vertices(changed, "CR", "change_id", ["row_no"], ["cr_title", "team", "segment", "balance"]),
+        graph.entity_vertices(issues, "JIRA", "issue_id", LINE_ORDER,
+                              ["change_id", "status", "team", "created", "page_id", "link_type"]),
+        graph.entity_vertices(pages, "Confluence", "page_id", ["row_no"], ["doc_topic", "team", "kind", "size", "price"]),
+    ])
+
+
+def _team_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.team_vertices((table(spark, folder, "nation"), "n_name"), (table(spark, folder, "orders"), "o_orderpriority"),
+                               (table(spark, folder, "part"), "p_brand"))
+
+
+def star_edges(spark: SparkSession, folder: str) -> DataFrame:
+    issues, changed, pages = _issue_rows(spark, folder), _change_rows(spark, folder), _page_rows(spark, folder)
+    teams = reduce(DataFrame.unionByName, [
+        graph.team_edges(changed, "change_id", "team", "customer", "row_no"),
+        graph.team_edges(issues, "issue_id", "team", "orders", "row_no"),
+        graph.team_edges(pages, "page_id", "team", "part", "row_no"),
+    ])
+    mentions = graph.link_edges(issues, "issue_id", "MENTIONS", "change_id", "orders", "row_no")
+    refers = graph.link_edges(issues, "issue_id", "REFERS_TO", "page_id", "lineitem", "row_no")
+    # A link can only dangle at its far end, and only the ids of that end are read to check it.
+    change_ids = table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("id"))
+    page_ids = table(spark, folder, "part").select(prefixed("PAGE-", "p_partkey").alias("id"))
+    return reduce(DataFrame.unionByName, [
+        teams, graph.with_both_ends(mentions, change_ids, ["dst"]), graph.with_both_ends(refers, page_ids, ["dst"])])
+
+
+def team_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    return _team_vertices(spark, folder).select("id", "label", F.col("props")["team_name"].alias("team_name"))
+
+
+def graph_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    return star_vertices(spark, folder).select("id", "label", map_lines(F.col("props")).alias("props_text"))
+
+
+def graph_edges_multi(spark: SparkSession, folder: str) -> DataFrame:
+    return star_edges(spark, folder)
+
+
+def graph_edges_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.distinct_edges(star_edges(spark, folder)).select(*graph.EDGE)
+
+
+def graph_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.graph_counts(star_vertices(spark, folder), star_edges(spark, folder))
+
+
+def vertex_insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents to insert next to those already stored because they carry a label."""
+    stored = table(spark, folder, "labels").select(prefixed("DOC-", "doc_id").alias("id"))
+    batch = table(spark, folder, "documents").select(prefixed("DOC-", "doc_id").alias("id"), "source", "lang")
+    chatter = table(spark, folder, "embeddings").select(prefixed("DOC-", "vec_id").alias("id"), F.lit("zz").alias("source"), F.lit("zz").alias("lang"))
+    return graph.absent_vertices(batch.unionByName(chatter), stored, ["source", "lang"])
+
+
+def edge_insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
+    """Issue-to-page pairs of returned lines that no other line has stored."""
+    rows = _issue_rows(spark, folder)
+    returned = F.col("link_type") == "R"
+    stored = graph.link_edges(rows.filter(~returned), "issue_id", "REFERS_TO", "page_id", "lineitem", "row_no")
+    batch = graph.link_edges(rows.filter(returned), "issue_id", "REFERS_TO", "page_id", "lineitem", "row_no")
+    return graph.absent_edges(batch, stored).select(*graph.EDGE)
+
+
+def _change_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("seed_id"))
+
+
+_stored: dict[tuple[str, str, bool], str] = {}
+
+
+def stored_graph(spark: SparkSession, folder: str, parallel: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges as a stored graph, loaded once per application and data folder.
+
+    Traversals run against this store, as they would against a graph loaded by an earlier job.
+    """
+    spot = (spark.sparkContext.applicationId, folder, parallel)
+    if spot not in _stored:
+        path = fresh_path(spark, "graph")
+        edges = star_edges(spark, folder)
+        graph.replace_graph(star_vertices(spark, folder), edges if parallel else graph.distinct_edges(edges), path)
+        _stored[spot] = path
+    return spark.read.parquet(f"{_stored[spot]}/vertices"), spark.read.parquet(f"{_stored[spot]}/edges")
+
+
+HOP = ["seed_id", "direction", "edge_label", "other_id", "other_label"]
+
+
+def neighborhood(spark: SparkSession, folder: str) -> DataFrame:
+    vertices, edges = stored_graph(spark, folder)
+    return graph.neighborhood(_change_seeds(spark, folder), edges, vertices).select(*HOP)
+
+
+def two_hop_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    vertices, edges = stored_graph(spark, folder, parallel=False)
+    return graph.two_hop(_change_seeds(spark, folder), edges, vertices).select("via_id", *HOP)
+
+
+def keyword_neighborhood(spark: SparkSession, folder: str) -> DataFrame:
+    vertices, edges = stored_graph(spark, folder, parallel=False)
+    return graph.neighborhood(graph.keyword_seeds(vertices, "ring", PROPERTIES), edges, vertices).select(*HOP)
+
+
+def node_context_text(spark: SparkSession, folder: str) -> DataFrame:
+    vertices, edges = stored_graph(spark, folder)
+    return context.node_context(vertices.select(F.col("id").alias("node_id")), edges, vertices, PART_LINES)
+
+
+def _requests(spark: SparkSession, folder: str) -> DataFrame:
+    """One request per supplier: by issue, change, keyword or nothing, according to its nation."""
+    nation, key = F.col("s_nationkey"), F.col("s_suppkey").cast("string")
+    return table(spark, folder, "supplier").select(
+        prefixed("REQ-", "s_suppkey").alias("request_id"),
+        F.when(nation < 10, F.concat(F.lit("ISSUE-"), key)).alias("jira_id"),
+        F.when(nation.between(8, 16), F.concat(F.lit("CR-"), key)).alias("cr_id"),
+        F.when(nation.between(15, 22), F.concat(F.lit("#"), F.lpad(key, 9, "0"))).alias("keyword"),
+    )
+
+
+def graph_context(spark: SparkSession, folder: str) -> DataFrame:
+    vertices, edges = stored_graph(spark, folder, parallel=False)
+    return context.graph_context(_requests(spark, folder), vertices, edges, PROPERTIES)
+
+
+def global_context(spark: SparkSession, folder: str) -> DataFrame:
+    return context.global_context(stored_graph(spark, folder)[0], max_records=PART_LINES)
+
+
+def request_answers(spark: SparkSession, folder: str) -> DataFrame:
+    vertices, edges = stored_graph(spark, folder, parallel=False)
+    return retrieval.answer_requests(_requests(spark, folder), vertices, edges, PROPERTIES, echo_model)
+
+
+# --- text ---------------------------------------------------------------------------------------
+
+def row_flatten(spark: SparkSession, folder: str) -> DataFrame:
+    sources = [("customer", "CR", "c_custkey", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
+               ("part", "CONFLUENCE", "p_partkey", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]),
+               ("supplier", "CTASK", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey"])]
+    return reduce(DataFrame.unionByName, [
+        chunks.row_chunks(table(spark, folder, name), kind, key, columns) for name, kind, key, columns in sources])
+
+
+def chunk_text(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.document_chunks(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    done = embed_rows(texts, hashed_embedder(DIMS)).select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
+    return done.filter(F.col("weight") != 0).select(
+        "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
+
+
+def model_column(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "documents").select("doc_id", F.col("text").alias("doc_topic"))
+    return retrieval.page_summaries(pages, echo_model).select("doc_id", "doc_content")
+
+
+# --- vectors ------------------------------------------------------------------------------------
+
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("bigint").alias("label"))
+
+
+def _mean_vectors(rows: DataFrame, *by: Column) -> DataFrame:
+    """The mean vector per group, summed map-side."""
+    mean = Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
+    return rows.groupBy(*by).agg(vector_to_array(mean).alias("embedding"))
+
+
+def _label_questions(spark: SparkSession, folder: str) -> DataFrame:
+    return _mean_vectors(_vectors(spark, folder), F.col("label").alias("query_id")).withColumn("scope", F.col("query_id"))
+
+
+HIT = ["query_id", "rank", "id", "score"]
+
+
+def _shown(hits: DataFrame) -> DataFrame:
+    return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 6).alias("score"))
+
+
+def cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _vectors(spark, folder)
+    question = _mean_vectors(vectors, F.lit(0).cast("bigint").alias("query_id"))
+    return _shown(search.cosine_topk(question, vectors, dims=DIMS))
+
+
+def cosine_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(search.cosine_topk(_label_questions(spark, folder), _vectors(spark, folder), 10, DIMS))
+
+
+def cosine_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(search.cosine_topk(_label_questions(spark, folder), _vectors(spark, folder), dims=DIMS, scope_col="label"))
+
+
+def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
+    listed, centres = search.build_lists(_vectors(spark, folder), 16, DIMS)
+    path = fresh_path(spark, "vector-index")
+    search.write_index(listed, centres, path)
+    stored, centres = search.read_index(spark, path)
+    questions = _label_questions(spark, folder).drop("scope")
+    return _shown(search.ann_topk(questions, stored, centres, 8, dims=DIMS))
+
+
+def document_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Documents linked to their source, language and vector label."""
+    documents, vectors = table(spark, folder, "documents"), table(spark, folder, "embeddings")
+    none = F.create_map().cast("map<string,string>")
+
+    def ends(rows: DataFrame, prefix: str, column: str, label: str) -> DataFrame:
+        return rows.select(prefixed(prefix, column).alias("id")).distinct().select("id", F.lit(label).alias("label"), none.alias("props"))
+
+    vertices = reduce(DataFrame.unionByName, [
+        documents.select(prefixed("DOC-", "doc_id").alias("id"), F.lit("Document").alias("label"), none.alias("props")),
+        ends(documents, "SOURCE-", "source", "Source"), ends(documents, "LANG-", "lang", "Language"),
+        ends(vectors, "LABEL-", "label", "Topic"),
+    ])
+    keyed = documents.select(prefixed("DOC-", "doc_id").alias("doc"), prefixed("SOURCE-", "source").alias("source"),
+                             prefixed("LANG-", "lang").alias("lang"), F.lit("1").alias("row_no"))
+    topics = vectors.join(documents.select("doc_id"), F.col("vec_id") == F.col("doc_id"), "left_semi").select(
+        prefixed("DOC-", "vec_id").alias("doc"), prefixed("LABEL-", "label").alias("topic"), F.lit("1").alias("row_no"))
+    edges = reduce(DataFrame.unionByName, [
+        graph.link_edges(keyed, "doc", "FROM_SOURCE", "source", "documents", "row_no"),
+        graph.link_edges(keyed, "doc", "IN_LANGUAGE", "lang", "documents", "row_no"),
+        graph.link_edges(topics, "doc", "HAS_TOPIC", "topic", "embeddings", "row_no"),
+    ])
+    return vertices, edges
+
+
+def vector_graph_context(spark: SparkSession, folder: str) -> DataFrame:
+    """For the typical vector of each label: the nearest documents with graph context and prompt."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = table(spark, folder, "embeddings").join(documents, F.col("vec_id") == F.col("doc_id")).select(
+        prefixed("DOC-", "doc_id").alias("chunk_id"), prefixed("DOC-", "doc_id").alias("node_id"),
+        F.lit("Document").alias("node_type"), "text", "embedding")
+    questions = _label_questions(spark, folder).select(
+        "query_id", "embedding", F.concat(F.lit("What is typical of label "), F.col("query_id").cast("string"), F.lit("?")).alias("question"))
+    vertices, edges = document_graph(spark, folder)
+    found = retrieval.vector_graph_context(questions, pieces, edges, vertices, dims=DIMS)
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "node_id", F.round("score", 6).alias("score"),
+                        "part_no", "context", "prompt")
+
+
+def index_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with newer texts for the labelled ones, quality 1 after quality 0."""
+    stored = table(spark, folder, "documents").select(prefixed("DOC-", "doc_id").alias("chunk_id"), "text")
+    labels = table(spark, folder, "labels")
+    fresh = labels.select(prefixed("DOC-", "doc_id").alias("chunk_id"), prefixed("quality ", "quality").alias("text"), F.lit(1).alias("at"))
+    newer = labels.filter("toxic = 1").select(prefixed("DOC-", "doc_id").alias("chunk_id"), F.lit("toxic").alias("text"), F.lit(2).alias("at"))
+    return index.upsert(stored, fresh.unionByName(newer), "chunk_id", [F.col("at").desc()])
+
+
+# --- changes ------------------------------------------------------------------------------------
+
+def _snapshot(spark: SparkSession, folder: str, late: bool) -> DataFrame:
+    """The last order per customer and priority before, or from, the split day."""
+    day = F.col("o_orderdate") >= F.lit(SPLIT).cast("timestamp_ntz")
+    orders = table(spark, folder, "orders").filter(day if late else ~day).select(
+        F.concat_ws("/", "o_custkey", "o_orderpriority").alias("id"), "o_orderdate", "o_orderkey",
+        F.col("o_orderstatus").alias("question"), F.floor(F.col("o_totalprice") / 100000).cast("string").alias("answer"))
+    return first_row(orders, ["id"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]).select("id", "question", "answer")
+
+
+def _diff(spark: SparkSession, folder: str, only_changed: bool = False) -> DataFrame:
+    return changes.snapshot_diff(_snapshot(spark, folder, False), _snapshot(spark, folder, True), "id",
+                                 ["question", "answer"], only_changed)
+
+
+def _audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit log; deletions count as already notified."""
+    rows = changes.audit_rows(_diff(spark, folder), "id", "question", "answer",
+                              F.lit("2024-01-15T10:30:00.5Z"), F.lit("auditor"))
+    return rows.withColumn("IsNotified", F.col("ActionTaken") == "DELETE")
+
+
+def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
+    return _diff(spark, folder)
+
+
+def snapshot_diff_changed(spark: SparkSession, folder: str) -> DataFrame:
+    return _diff(spark, folder, True)
+
+
+def pending_batch(spark: SparkSession, folder: str) -> DataFrame:
+    batch = changes.pending_batch(_audit(spark, folder), "QuestionaireID", 20)
+    return batch.select(F.col("QuestionaireID").alias("id"), F.col("ActionTaken").alias("action"))
+
+
+def mark_notified(spark: SparkSession, folder: str) -> DataFrame:
+    """All insertions are marked as sent."""
+    audit = _audit(spark, folder)
+    marked = changes.mark_notified(audit, audit.filter(F.col("ActionTaken") == "INSERT"), "QuestionaireID")
+    return marked.select(F.col("QuestionaireID").alias("id"), F.col("ActionTaken").alias("action"), F.col("IsNotified").alias("is_notified"))
+
+
+def notification_html(spark: SparkSession, folder: str) -> DataFrame:
+    rows = notify.with_table_message(notify.with_subject(_audit(spark, folder)))
+    return rows.select(F.col("QuestionaireID").alias("id"), "subject", "generated_email_body")
+
+
+def notification_list(spark: SparkSession, folder: str) -> DataFrame:
+    return notify.with_list_message(_audit(spark, folder)).select(F.col("QuestionaireID").alias("id"), "generated_email_body")
+
+
+def change_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Changed graph documents as JSON text, one per order line: four good shapes and one broken."""
+    lines = table(spark, folder, "lineitem")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    head = F.concat(F.lit('{"id": "'), key, F.lit('", "label": "'), F.col("l_returnflag"), F.lit('"'))
+
+    def ends(source: str, target: str) -> Column:
+        return F.concat(F.lit(f', "{source}": "O'), F.col("l_orderkey").cast("string"), F.lit(f'", "{target}": "P'),
+                        F.col("l_partkey").cast("string"), F.lit('"'))
+
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    body = (
+        F.when((flag == "A") & (status == "F"), F.concat(head, F.lit(', "_isEdge": false, "outVLabel": null}')))
+        .when(flag == "A", F.concat(head, F.lit(', "_isEdge": true, "inVLabel": null}')))
+        .when((flag == "N") & (status == "F"), F.concat(head, ends("outV", "inV"), F.lit(', "outVLabel": "order", "inVLabel": "part"}')))
+        .when(flag == "N", F.concat(head, ends("_vertexId", "_sink"), F.lit("}")))
+        .otherwise(F.concat(head, F.lit(', "quantity": ')))
+    )
+    return lines.select(key.alias("doc_key"), body.alias("document"))
+
+
+def classify_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return notify.classify(change_documents(spark, folder), "document").drop("document")
+
+
+def change_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    return notify.outbox_rows(notify.classify(change_documents(spark, folder), "document"), "doc_key")
+
+
+# --- pairing ------------------------------------------------------------------------------------
+
+def request_response(spark: SparkSession, folder: str) -> DataFrame:
+    """Each view with the same user's first click within half an hour."""
+    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
+    views = events.filter(F.col("event_type") == "view").withColumnRenamed("event_id", "request_id")
+    clicks = events.filter(F.col("event_type") == "click").withColumnRenamed("event_id", "response_id")
+    paired = pairing.answer_within(views, clicks, ["user_id"], 1800)
+    return paired.select("user_id", "request_id", "response_id", F.round("wait_seconds", 3).alias("wait_seconds"),
+                         F.col("status").cast("bigint").alias("status"))
+
+
+def fifo_pairing(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").filter(F.col("role").isin("user", "assistant"))
+    return pairing.fifo_pairs(turns, "conv_id", "turn", F.col("role") == "user", F.floor(F.col("turn") / 1000), "turn")
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+def change_feed(spark: SparkSession, folder: str) -> DataFrame:
+    schema = table(spark, folder, "events").schema
+    out = fresh_path(spark, "feed")
+    stream = feed.read_feed(spark, folder, schema, name_filter="events.parquet")
+    feed.copy_feed(stream, out, fresh_path(spark, "feed-progress"), drain=True).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+
+
+def change_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """The outbox of the streamed documents: stored events as graph vertices, one error in their midst."""
+    schema = table(spark, folder, "events").schema
+    out = fresh_path(spark, "outbox")
+    stream = feed.read_feed(spark, folder, schema, name_filter="events.parquet").select(
+        "event_id", F.when(F.col("event_type") == "error", F.lit("[]")).otherwise(
+            F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "label": "'), F.col("event_type"), F.lit('"}'))).alias("document"))
+    feed.classify_feed(stream, "document", "event_id", out, fresh_path(spark, "outbox-progress"), drain=True).awaitTermination()
+    return spark.read.parquet(f"{out}/outbox").select("message_key", "channel", "subject", "body")
+
+
+def change_capture(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user's events as states of one row; an error event deletes the row."""
+    schema = table(spark, folder, "events").schema
+    out = fresh_path(spark, "capture")
+    stream = feed.read_feed(spark, folder, schema, name_filter="events.parquet").select(
+        F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("question"),
+        money("value").cast("string").alias("answer"), (F.col("event_type") == "error").alias("deleted"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        (capture.capture_changes(stream).writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, "capture-progress"))
+         .trigger(availableNow=True).start(out).awaitTermination())
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(out)
+
+
+# --- data ---------------------------------------------------------------------------------------
+
+def synthetic_dataset(spark: SparkSession, folder: str) -> DataFrame:
+    """A linked data set as large as the tables, its rows as chunks."""
+    sizes = {name: table(spark, folder, name).count() for name in ("orders", "customer", "part")}
+    made = linked_tables(spark, sizes["orders"], sizes["customer"], sizes["part"])
+    return retrieval.table_chunks(made, RAW)
+
+
+QUERIES = {f.__name__: f for f in [
+    vector_graph_context, left_join_chain, null_safe_left_merge, typed_cast, timestamp_text, first_row_per_key,
+    latest_row_per_key, duplicate_keys, fk_orphans, fk_stubs, surrogate_keys, normalize_entities, normalize_links,
+    normalize_watchers, delimited_explode, team_vertices, graph_vertices, graph_edges_multi, graph_edges_distinct,
+    graph_counts, vertex_insert_if_absent, edge_insert_if_absent, neighborhood, two_hop_mentions, keyword_neighborhood,
+    node_context_text, graph_context, global_context, request_answers, row_flatten, chunk_text, hashed_embedding,
+    model_column, cosine_topk, cosine_topk_batch, cosine_topk_filtered, ann_topk, index_upsert, snapshot_diff,
+    snapshot_diff_changed, pending_batch, mark_notified, notification_html, notification_list, classify_changes,
+    change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, synthetic_dataset,
+]}
