@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that count as white space when words are counted or text is stripped.
-SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE_CODES = [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]
+SPACES = "".join(chr(code) for code in SPACE_CODES)
+WORD = "[^" + "".join(rf"\x{{{code:x}}}" for code in SPACE_CODES) + "]+"
 # Fixed value: a sentence ends after one of these marks, at one or more spaces.
 SENTENCE_BREAK = r"(?<=[.!?]) +"
 MAX_WORDS = 200
@@ -19,7 +23,7 @@ def blank_to_null(value: Column) -> Column:
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(value, F.lit(SPACES))
 
 
 def one_line(value: Column) -> Column:
@@ -50,7 +54,7 @@ def preview(value: Column, size: int = 300) -> Column:
 
 
 def word_count(value: Column) -> Column:
-    return F.size(F.filter(F.split(value, SPACE + "+", -1), lambda word: word != ""))
+    return F.regexp_count(value, F.lit(WORD))
 
 
 def sentences(value: Column) -> Column:
@@ -82,8 +86,8 @@ def chunk_starts(parts: Column, max_words: int = MAX_WORDS) -> Column:
     """
     facts = F.transform(parts, lambda s: F.struct(
         word_count(s).alias("words"),
-        s.rlike(rf"\A(?!{SPACE})(?s:.)").alias("joins_left"),
-        s.rlike(rf"(?s:.)(?<!{SPACE})\z").alias("joins_right"),
+        (strip(F.left(s, F.lit(1))) != "").alias("joins_left"),
+        (strip(F.right(s, F.lit(1))) != "").alias("joins_right"),
     ))
     start = F.struct(
         F.array().cast("array<int>").alias("starts"), F.lit(0).alias("words"),

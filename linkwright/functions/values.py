@@ -63,43 +63,36 @@ def map_lines(props: Column) -> Column:
 FALSE_TOKENS = ["false", "null", "0", "-0", "0.0", '""', "[]", "{}"]
 
 
-def json_keys(document: Column) -> Column:
-    """Top-level keys of a JSON object; null for broken text and for anything but an object."""
-    return F.json_object_keys(document)
+def json_record(document: Column) -> Column:
+    """The fields of a JSON object, parsed once; null for broken text and for anything but an object.
+
+    A present null field stays in the map, so it differs from a missing one.
+    """
+    return F.from_json(document, "map<string,variant>")
 
 
-def has_key(keys: Column, *names: str) -> Column:
+def has_key(record: Column, *names: str) -> Column:
     found = F.lit(True)
     for name in names:
-        found = found & F.array_contains(keys, name)
+        found = found & F.map_contains_key(record, name)
     return found
 
 
-def token(record: Column, name: str) -> Column:
-    """The JSON text of one field of a parsed record."""
-    return F.to_json(F.try_variant_get(record, f"$.{name}", "variant"))
-
-
-def flag(record: Column, keys: Column, name: str) -> Column:
+def flag(record: Column, name: str) -> Column:
     """Whether a field is present and not empty, zero, false or null."""
-    return has_key(keys, name) & ~F.coalesce(token(record, name), F.lit("null")).isin(*FALSE_TOKENS)
+    return ~F.coalesce(F.to_json(record[name]), F.lit("null")).isin(*FALSE_TOKENS)
 
 
-def field_text(record: Column, name: str) -> Column:
+def field_text(value: Column) -> Column:
     """The printed value of a present field: text as it is, ``None`` for null, ``True``/``False``."""
-    raw = token(record, name)
-    return (
-        F.when(raw.isNull() | (raw == "null"), F.lit("None"))
-        .when(raw == "true", F.lit("True"))
-        .when(raw == "false", F.lit("False"))
-        .otherwise(F.try_variant_get(record, f"$.{name}", "string"))
-    )
+    text = value.cast("string")
+    printed = F.when(F.to_json(value) == text, F.initcap(text)).otherwise(text)
+    return F.when(text.isin("true", "false"), printed).otherwise(F.coalesce(text, F.lit("None")))
 
 
-def first_present(record: Column, keys: Column, names: Sequence[str], default: str) -> Column:
+def first_present(record: Column, names: Sequence[str], default: str) -> Column:
     """Printed value of the first field that is present, even if null; else the default."""
-    choice = None
-    for name in names:
-        here = has_key(keys, name)
-        choice = F.when(here, field_text(record, name)) if choice is None else choice.when(here, field_text(record, name))
-    return choice.otherwise(F.lit(default))
+    choice = F.lit(default)
+    for name in reversed(names):
+        choice = F.when(has_key(record, name), field_text(record[name])).otherwise(choice)
+    return choice

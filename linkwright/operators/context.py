@@ -11,30 +11,27 @@ from pyspark.sql import functions as F
 from linkwright.functions.fixed_text import GLOBAL_SECTIONS, NO_INPUT, NODE_HEADER, NODE_LINE, RECORD_END, render
 from linkwright.functions.text import contains_any
 from linkwright.functions.values import map_lines
-from linkwright.operators.graph import incident, neighborhood
-from linkwright.operators.skew import text_parts
+from linkwright.operators.graph import back_along, incident, neighborhood
+from linkwright.operators.skew import broadcast_if_small, text_parts
+from linkwright.session import checkpointed
 
 MAX_LISTED_KEYWORDS = 64
 
 
-def node_context(nodes: DataFrame, edges: DataFrame, vertices: DataFrame, max_lines: int = 10_000) -> DataFrame:
+def node_context(nodes: DataFrame, edges: DataFrame, max_lines: int = 10_000) -> DataFrame:
     """Header and one line per incident edge for each distinct ``node_id``: (node_id, part_no, context).
 
     Lines are ordered by edge label, other label and other id. A hub with more than ``max_lines``
     edges gives several parts, each with the header.
     """
     wanted = nodes.select(F.col("node_id").alias("seed_id"))
-    hops = neighborhood(wanted, edges, vertices)
-    lines = hops.select(
-        F.col("seed_id").alias("node_id"), "edge_label", "other_label", "other_id", "direction", "src_table", "row_no",
-        render(NODE_LINE, edge=F.col("edge_label"), kind=F.col("other_label"), other=F.col("other_id")).alias("line"),
-    )
+    hops = neighborhood(wanted, edges).withColumnRenamed("seed_id", "node_id")
+    line = render(NODE_LINE, edge=F.col("edge_label"), kind=F.col("other_label"), other=F.col("other_id"))
     parts = text_parts(
-        lines, ["node_id"], "line", ["edge_label", "other_label", "other_id"],
+        hops.withColumn("line", line), ["node_id"], "line", ["edge_label", "other_label", "other_id"],
         ["edge_label", "other_id", "direction", "src_table", "row_no"], "body", max_lines=max_lines,
-        counted=incident(edges).join(wanted, F.col("node") == F.col("seed_id")).withColumnRenamed("node", "node_id"),
     )
-    return wanted.select(F.col("seed_id").alias("node_id")).join(parts, "node_id", "left").select(
+    return nodes.select("node_id").join(parts, "node_id", "left").select(
         "node_id", F.coalesce("part_no", F.lit(0).cast("bigint")).alias("part_no"),
         F.concat_ws("\n", render(NODE_HEADER, node=F.col("node_id")), F.col("body")).alias("context"),
     )
@@ -85,10 +82,10 @@ def _grams(text: Column) -> Column:
     return F.concat(cut(1), cut(2), cut(3))
 
 
-def context_paths(
+def request_hops(
     requests: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str], through: str = "MENTIONS"
 ) -> DataFrame:
-    """One row per path of every request, with its text.
+    """One row per path of every request: (request_id, seed_id, via_id, edge and other end).
 
     An issue id is used before a change id, a change id before a keyword. A change goes back along
     ``through`` edges first. All three kinds meet in a single hop over the edge table.
@@ -100,28 +97,16 @@ def context_paths(
         F.when(issue != "", "issue").when(change != "", "change").when(word != "", "keyword").alias("_route"),
         F.when(issue != "", issue).when(change != "", change).otherwise(word).alias("_value"),
     )
-    shown = vertices.select(
-        F.col("id").alias("seed_id"), vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("head"))
-
-    issues = routed.filter(F.col("_route") == "issue").select("request_id", F.col("_value").alias("seed_id"))
-    words = routed.filter(F.col("_route") == "keyword").select("request_id", F.col("_value").alias("keyword"))
-    hits = keyword_matches(vertices, words, properties).withColumnRenamed("id", "seed_id")
-    direct = issues.unionByName(words.join(hits, "keyword").select("request_id", "seed_id")).join(shown, "seed_id")
-    direct = direct.select("request_id", F.col("seed_id").alias("_node"), "seed_id", F.lit("").alias("via_id"), "head")
 
-    changes = routed.filter(F.col("_route") == "change").select("request_id", F.col("_value").alias("seed_id"))
-    back = edges.filter(F.col("label") == through).select(F.col("src").alias("via_id"), F.col("dst").alias("seed_id"))
-    middle = shown.select(F.col("seed_id").alias("via_id"), F.col("head").alias("_via_head"))
-    behind = changes.join(shown, "seed_id").join(back, "seed_id").join(middle, "via_id").select(
-        "request_id", F.col("via_id").alias("_node"), "seed_id", "via_id", F.concat("head", "_via_head").alias("head"))
+    def route(name: str, column: str) -> DataFrame:
+        return routed.filter(F.col("_route") == name).select("request_id", F.col("_value").alias(column))
 
+    words = route("keyword", "keyword")
+    hits = words.join(keyword_matches(vertices, words, properties), "keyword").select("request_id", F.col("id").alias("seed_id"))
+    direct = route("issue", "seed_id").unionByName(hits).withColumn("via_id", F.lit(None).cast("string"))
+    behind = back_along(route("change", "seed_id"), edges, through)
     starts = direct.unionByName(behind)
-    hops = incident(edges).join(starts, F.col("node") == F.col("_node"))
-    other = shown.select(F.col("seed_id").alias("_other"), F.col("head").alias("_other_head"))
-    return hops.join(other, F.col("other_id") == F.col("_other")).select(
-        "request_id", "seed_id", "via_id", "direction", "edge_label", "other_id", "src_table", "row_no",
-        F.concat(F.col("head"), edge_block(F.col("edge_label")), F.col("_other_head")).alias("path_text"),
-    )
+    return incident(edges).join(starts, F.col("node") == F.coalesce("via_id", "seed_id")).drop("node")
 
 
 def graph_context(
@@ -130,13 +115,24 @@ def graph_context(
 ) -> DataFrame:
     """The context of each request as (request_id, part_no, context); several parts for a hub.
 
-    A request without any input gets a fixed message; one that finds nothing an empty text.
+    A request without any input gets a fixed message; one that finds nothing an empty text. The
+    paths are written once as ids; the blocks of the vertices on them come from one vertex scan.
     """
-    paths = context_paths(requests, vertices, edges, properties, through)
+    hops = checkpointed(request_hops(requests, vertices, edges, properties, through))
+    ids = hops.select(F.explode(F.array("seed_id", "via_id", "other_id")).alias("id")).filter(F.col("id").isNotNull()).distinct()
+    used = vertices.join(broadcast_if_small(checkpointed(ids)), "id")
+    blocks = broadcast_if_small(checkpointed(
+        used.select("id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block"))))
+
+    def block(end: str) -> DataFrame:
+        return blocks.select(F.col("id").alias(f"{end}_id"), F.col("block").alias(f"{end}_block"))
+
+    paths = hops.join(block("seed"), "seed_id").join(block("other"), "other_id").join(block("via"), "via_id", "left").withColumn(
+        "path_text", F.concat("seed_block", F.coalesce("via_block", F.lit("")), edge_block(F.col("edge_label")), "other_block"))
     parts = text_parts(
         paths, ["request_id"], "path_text", ["seed_id", "via_id", "edge_label", "direction", "other_id"],
         ["seed_id", "via_id", "edge_label", "direction", "other_id", "src_table", "row_no"],
-        "body", sep="", max_lines=max_paths,
+        "body", sep="", max_lines=max_paths, counted=hops,
     )
     blank = F.lit("")
     given = reduce(lambda a, b: a | b, [F.coalesce(F.col(c), blank) != "" for c in ("jira_id", "cr_id", "keyword")])

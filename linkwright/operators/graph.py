@@ -1,7 +1,8 @@
 """Property graph as two tables, and the traversals over them.
 
-vertices(id, label, props map) and edges(src, label, dst, src_table, row_no). Parallel edges are
-kept unless ``distinct_edges`` is asked for.
+vertices(id, label, props map) and edges(src, label, dst, src_label, dst_label, src_table, row_no).
+An edge carries the labels of its ends, so a traversal that shows no properties never reads the
+vertex table. Parallel edges are kept unless ``distinct_edges`` is asked for.
 """
 
 from __future__ import annotations
@@ -35,49 +36,52 @@ def entity_vertices(
     rows: DataFrame, label: str, key: str, order: Sequence[str],
     columns: Sequence[str] | None = None, null_text: str | None = None,
 ) -> DataFrame:
-    """One vertex per key, its properties taken from the first row in order."""
+    """One vertex per key, its properties taken from the first row in order.
+
+    An empty order says that the key is unique already.
+    """
     columns = list(columns or [c for c in rows.columns if c not in order or c == key])
     picked = rows.filter(F.col(key).isNotNull()).select(*dict.fromkeys([key, *columns, *order]))
-    return first_row(picked, [key], order).select(
+    return (first_row(picked, [key], order) if order else picked).select(
         F.col(key).alias("id"), F.lit(label).alias("label"), property_map(columns, null_text).alias("props"),
     )
 
 
 def link_edges(
-    rows: DataFrame, src: str, label: str | Column, dst: str | Column, table: str, row_no: str
+    rows: DataFrame, src: str, label: str | Column, dst: str | Column, ends: tuple[str, str | None], table: str, row_no: str
 ) -> DataFrame:
-    """One edge per row whose source, label and target are set."""
+    """One edge per row whose source, label and target are set. ``ends`` names the labels of both ends."""
     label = F.lit(label) if isinstance(label, str) else label
     dst = F.col(dst) if isinstance(dst, str) else dst
     edges = rows.select(
         F.col(src).alias("src"), label.alias("label"), dst.alias("dst"),
+        F.lit(ends[0]).cast("string").alias("src_label"), F.lit(ends[1]).cast("string").alias("dst_label"),
         F.lit(table).alias("src_table"), F.col(row_no).cast("string").alias("row_no"),
     )
     return edges.filter(F.col("src").isNotNull() & F.col("label").isNotNull() & F.col("dst").isNotNull())
 
 
-def list_edges(rows: DataFrame, src: str, label: str, targets: str, table: str, row_no: str) -> DataFrame:
+def list_edges(rows: DataFrame, src: str, label: str, targets: str, ends: tuple[str, str | None], table: str, row_no: str) -> DataFrame:
     """One edge per non-empty part of a ``;``-delimited target column."""
     parts = rows.select(src, row_no, F.explode(split_list(F.col(targets))).alias("_target"))
-    return link_edges(parts, src, label, "_target", table, row_no)
+    return link_edges(parts, src, label, "_target", ends, table, row_no)
 
 
-def team_edges(rows: DataFrame, src: str, team: str, table: str, row_no: str) -> DataFrame:
-    return link_edges(rows, src, "BELONGS_TO", team_id(F.col(team)), table, row_no)
+def team_edges(rows: DataFrame, src: str, team: str, label: str, table: str, row_no: str) -> DataFrame:
+    return link_edges(rows, src, "BELONGS_TO", team_id(F.col(team)), (label, "Team"), table, row_no)
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
     """One edge per (src, label, dst), with the smallest lineage; combined map-side."""
-    return edges.groupBy(*EDGE).agg(F.min(F.struct("src_table", "row_no")).alias("_first")).select(
-        *EDGE, "_first.src_table", "_first.row_no")
+    rest = ["src_label", "dst_label", "src_table", "row_no"]
+    return edges.groupBy(*EDGE).agg(F.min(F.struct(*rest)).alias("_first")).select(*EDGE, *[f"_first.{c}" for c in rest])
 
 
-def with_both_ends(edges: DataFrame, vertices: DataFrame, ends: Sequence[str] = ("src", "dst")) -> DataFrame:
-    """Edges whose named ends exist. Name only the ends that may dangle: each costs a join."""
-    for end in ends:
-        ids = vertices.select(F.col("id").alias("_id"))
-        edges = edges.join(ids, F.col(end) == F.col("_id"), "left_semi")
-    return edges
+def with_target(edges: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Edges whose target exists, with the target's label. One join; hub targets are split by skew handling."""
+    known = vertices.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
+    columns = [F.col("_label").alias("dst_label") if c == "dst_label" else F.col(c) for c in edges.columns]
+    return edges.join(known, F.col("dst") == F.col("_id")).select(*columns)
 
 
 def dangling(edges: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -96,7 +100,7 @@ def build_graph(
     """The four vertex labels and all edges from the raw tables.
 
     A source end always exists, because its vertex comes from the same row; so does a team. Only
-    the ends of cross-table links are checked.
+    the targets of cross-table links are checked.
     """
     vertices = reduce(DataFrame.unionByName, [
         team_vertices((changes, "CR_Team_Assignment_Group"), (issues, "JIRA_Team"),
@@ -105,23 +109,21 @@ def build_graph(
         entity_vertices(issues, "JIRA", "JIRA_ID", [row_no], null_text=null_text),
         entity_vertices(pages, "Confluence", "Confluence_ID", [row_no], null_text=null_text),
     ])
+    change, issue, page = "CR_Main", "JIRA_Issues_Detailed", "Confluence_Pages_Detailed"
     teams = reduce(DataFrame.unionByName, [
-        team_edges(changes, "CR_ID", "CR_Team_Assignment_Group", "CR_Main", row_no),
-        team_edges(issues, "JIRA_ID", "JIRA_Team", "JIRA_Issues_Detailed", row_no),
-        team_edges(pages, "Confluence_ID", "Confluence_Team_Association", "Confluence_Pages_Detailed", row_no),
+        team_edges(changes, "CR_ID", "CR_Team_Assignment_Group", "CR", change, row_no),
+        team_edges(issues, "JIRA_ID", "JIRA_Team", "JIRA", issue, row_no),
+        team_edges(pages, "Confluence_ID", "Confluence_Team_Association", "Confluence", page, row_no),
     ])
     links = reduce(DataFrame.unionByName, [
-        link_edges(changes, "CR_ID", "REFERS_TO", "Linked_Jira_ID", "CR_Main", row_no),
-        link_edges(changes, "CR_ID", "REFERS_TO", "Linked_Confluence_ID", "CR_Main", row_no),
-        link_edges(issues, "JIRA_ID", "MENTIONS", "CR_ID_Link_From_CSV_Example", "JIRA_Issues_Detailed", row_no),
-        link_edges(issues, "JIRA_ID", F.col("JIRA_Link_Type"), "JIRA_Linked_Issue_ID_Target",
-                   "JIRA_Issues_Detailed", row_no),
-        list_edges(pages, "Confluence_ID", "REFERS_TO", "Confluence_Linked_Jira_ID",
-                   "Confluence_Pages_Detailed", row_no),
-        list_edges(pages, "Confluence_ID", "REFERS_TO", "Confluence_Linked_CR_ID",
-                   "Confluence_Pages_Detailed", row_no),
+        link_edges(changes, "CR_ID", "REFERS_TO", "Linked_Jira_ID", ("CR", None), change, row_no),
+        link_edges(changes, "CR_ID", "REFERS_TO", "Linked_Confluence_ID", ("CR", None), change, row_no),
+        link_edges(issues, "JIRA_ID", "MENTIONS", "CR_ID_Link_From_CSV_Example", ("JIRA", None), issue, row_no),
+        link_edges(issues, "JIRA_ID", F.col("JIRA_Link_Type"), "JIRA_Linked_Issue_ID_Target", ("JIRA", None), issue, row_no),
+        list_edges(pages, "Confluence_ID", "REFERS_TO", "Confluence_Linked_Jira_ID", ("Confluence", None), page, row_no),
+        list_edges(pages, "Confluence_ID", "REFERS_TO", "Confluence_Linked_CR_ID", ("Confluence", None), page, row_no),
     ])
-    edges = teams.unionByName(with_both_ends(links, vertices, ["dst"]))
+    edges = teams.unionByName(with_target(links, vertices))
     return vertices, edges if parallel else distinct_edges(edges)
 
 
@@ -156,14 +158,11 @@ def build_simple_graph(
                         ["cr_title", "cr_status", "created_at", "updated_by_user", "team_name"]),
     ])
     none = F.lit(None).cast("string")
-    edges = linked.select(
-        F.col("confluence_doc_id").alias("src"), F.lit("REFERS_TO").alias("label"), F.col("jira_id").alias("dst"),
-        F.lit("Confluence_Enriched").alias("src_table"), none.alias("row_no"),
-    ).unionByName(issues.select(
-        F.col("jira_id").alias("src"), F.lit("MENTIONS").alias("label"), F.col("cr_id").alias("dst"),
-        F.lit("JIRA_Issues").alias("src_table"), none.alias("row_no"),
-    )).filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    return vertices, with_both_ends(distinct_edges(edges), vertices)
+    pages_to_issues = link_edges(linked.withColumn("_row", none), "confluence_doc_id", "REFERS_TO", "jira_id",
+                                 ("Confluence", None), "Confluence_Enriched", "_row")
+    issues_to_changes = link_edges(issues.withColumn("_row", none), "jira_id", "MENTIONS", "cr_id",
+                                   ("Jira", None), "JIRA_Issues", "_row")
+    return vertices, with_target(distinct_edges(pages_to_issues.unionByName(issues_to_changes)), vertices)
 
 
 # --- store --------------------------------------------------------------------------------------
@@ -208,43 +207,31 @@ def graph_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def incident(edges: DataFrame) -> DataFrame:
     """Every edge from both of its ends, in one scan; a self-loop shows twice."""
-    ends = F.array(
-        F.struct(F.col("src").alias("node"), F.lit("out").alias("direction"), F.col("dst").alias("other_id")),
-        F.struct(F.col("dst").alias("node"), F.lit("in").alias("direction"), F.col("src").alias("other_id")),
-    )
-    rest = [c for c in edges.columns if c not in ("src", "dst", "label")]
-    return edges.select(F.col("label").alias("edge_label"), *rest, F.inline(ends))
-
+    def end(node: str, direction: str, other: str) -> Column:
+        return F.struct(F.col(node).alias("node"), F.lit(direction).alias("direction"),
+                        F.col(other).alias("other_id"), F.col(f"{other}_label").alias("other_label"))
+    ends = F.array(end("src", "out", "dst"), end("dst", "in", "src"))
+    return edges.select(F.col("label").alias("edge_label"), "src_table", "row_no", F.inline(ends))
 
-def neighborhood(seeds: DataFrame, edges: DataFrame, vertices: DataFrame, props: bool = False) -> DataFrame:
-    """One hop in both directions from the seed ids (column ``seed_id``, more columns are kept).
 
-    The seeds cut the edges first, so only the seeds' edges meet the vertex table.
-    """
-    steps = incident(edges)
-    hops = steps.join(seeds, F.col("node") == F.col("seed_id")).drop("node")
-    return _with_other(hops, vertices, props)
+def neighborhood(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """One hop in both directions from the seed ids (column ``seed_id``, more columns are kept)."""
+    return incident(edges).join(seeds, F.col("node") == F.col("seed_id")).drop("node")
 
 
-def _with_other(hops: DataFrame, vertices: DataFrame, props: bool) -> DataFrame:
-    columns = [F.col("id").alias("_other"), F.col("label").alias("other_label")]
-    if props:
-        columns.append(F.col("props").alias("other_props"))
-    return hops.join(vertices.select(*columns), F.col("other_id") == F.col("_other")).drop("_other")
+def back_along(seeds: DataFrame, edges: DataFrame, through: str) -> DataFrame:
+    """The sources (``via_id``) of the ``through`` edges into each seed, one row per parallel edge."""
+    back = edges.filter(F.col("label") == through).select(F.col("src").alias("via_id"), F.col("dst").alias("_seed"))
+    return back.join(seeds, F.col("_seed") == F.col("seed_id")).drop("_seed")
 
 
-def two_hop(
-    seeds: DataFrame, edges: DataFrame, vertices: DataFrame, through: str = "MENTIONS", props: bool = False
-) -> DataFrame:
+def two_hop(seeds: DataFrame, edges: DataFrame, through: str = "MENTIONS") -> DataFrame:
     """From each seed back along ``through`` edges, then one hop in both directions.
 
     Every parallel ``through`` edge gives its own paths. The middle vertex is ``via_id``.
     """
-    back = edges.filter(F.col("label") == through).select(F.col("src").alias("via_id"), F.col("dst").alias("_seed"))
-    middle = back.join(seeds, F.col("_seed") == F.col("seed_id")).drop("_seed")
-    steps = incident(edges)
-    hops = steps.join(middle, F.col("node") == F.col("via_id")).drop("node")
-    return _with_other(hops, vertices, props)
+    middle = back_along(seeds, edges, through)
+    return incident(edges).join(middle, F.col("node") == F.col("via_id")).drop("node")
 
 
 def keyword_seeds(vertices: DataFrame, keyword: str, properties: Sequence[str]) -> DataFrame:

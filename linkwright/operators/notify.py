@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.functions import fixed_text as fixed
-from linkwright.functions.values import first_present, flag, has_key, json_keys, utc_text
+from linkwright.functions.values import first_present, flag, has_key, json_record, utc_text
 
 FIELDS = ["OldQuestion", "NewQuestion", "OldAnswer", "NewAnswer"]
 
@@ -21,9 +21,9 @@ def _column_fields(audit: DataFrame) -> dict[str, Column]:
     return {n: shown(n) for n in ["ActionTaken", "QuestionaireID", "ActionTimestamp", "ActionUser", *FIELDS]}
 
 
-def _json_fields(record: Column, keys: Column, absent: str) -> dict[str, Column]:
+def _json_fields(record: Column, absent: str) -> dict[str, Column]:
     head = {n: "N/A" for n in ["ActionTaken", "QuestionaireID", "ActionTimestamp", "ActionUser"]}
-    return {n: first_present(record, keys, [n], default) for n, default in {**head, **dict.fromkeys(FIELDS, absent)}.items()}
+    return {n: first_present(record, [n], default) for n, default in {**head, **dict.fromkeys(FIELDS, absent)}.items()}
 
 
 def _table(fields: dict[str, Column]) -> Column:
@@ -55,15 +55,14 @@ def with_subject(audit: DataFrame, out: str = "subject") -> DataFrame:
 
 def json_messages(records: DataFrame, document: str, layout: str = "table") -> DataFrame:
     """Message for each audit record given as JSON text; a missing field differs from a null one."""
-    parsed = records.withColumn("_keys", json_keys(F.col(document))).withColumn(
-        "_record", F.try_parse_json(F.col(document)))
-    ok = F.col("_keys").isNotNull()
+    record = F.col("_record")
+    parsed = records.withColumn("_record", json_record(F.col(document)))
     if layout == "table":
-        message = F.when(ok, _table(_json_fields(F.col("_record"), F.col("_keys"), "N/A")))
+        message = F.when(record.isNotNull(), _table(_json_fields(record, "N/A")))
     else:
         failed = fixed.render(fixed.LIST_ERROR, error="not a JSON object", record=F.coalesce(F.col(document), F.lit("None")))
-        message = F.when(ok, _list(_json_fields(F.col("_record"), F.col("_keys"), ""))).otherwise(failed)
-    return parsed.withColumn("message", message).drop("_keys", "_record")
+        message = F.when(record.isNotNull(), _list(_json_fields(record, ""))).otherwise(failed)
+    return parsed.withColumn("message", message).drop("_record")
 
 
 # --- changed graph documents --------------------------------------------------------------------
@@ -73,20 +72,19 @@ def classify(documents: DataFrame, document: str) -> DataFrame:
 
     A document is an edge if its edge flag is set or one of the two pairs of end fields is present.
     """
-    record, keys = F.col("_record"), F.col("_keys")
-    unknown = fixed.UNKNOWN
-    parsed = documents.withColumn("_keys", json_keys(F.col(document))).withColumn("_record", F.try_parse_json(F.col(document)))
-    edge = flag(record, keys, "_isEdge") | has_key(keys, "inV", "outV") | has_key(keys, "_sink", "_vertexId")
+    record, unknown = F.col("_record"), fixed.UNKNOWN
+    parsed = documents.withColumn("_record", json_record(F.col(document)))
+    edge = flag(record, "_isEdge") | has_key(record, "inV", "outV") | has_key(record, "_sink", "_vertexId")
     parts = parsed.select(
         *documents.columns,
-        F.when(keys.isNull(), F.lit("not a JSON object")).alias("error"),
-        F.when(keys.isNotNull(), F.when(edge, "edge").otherwise("vertex")).alias("kind"),
-        first_present(record, keys, ["id"], unknown["id"]).alias("element_id"),
-        first_present(record, keys, ["label"], unknown["label"]).alias("label"),
-        first_present(record, keys, ["outVLabel"], unknown["outVLabel"]).alias("source_label"),
-        first_present(record, keys, ["inVLabel"], unknown["inVLabel"]).alias("target_label"),
-        first_present(record, keys, ["outV", "_vertexId"], unknown["source"]).alias("source_id"),
-        first_present(record, keys, ["inV", "_sink"], unknown["target"]).alias("target_id"),
+        F.when(record.isNull(), F.lit("not a JSON object")).alias("error"),
+        F.when(record.isNotNull(), F.when(edge, "edge").otherwise("vertex")).alias("kind"),
+        first_present(record, ["id"], unknown["id"]).alias("element_id"),
+        first_present(record, ["label"], unknown["label"]).alias("label"),
+        first_present(record, ["outVLabel"], unknown["outVLabel"]).alias("source_label"),
+        first_present(record, ["inVLabel"], unknown["inVLabel"]).alias("target_label"),
+        first_present(record, ["outV", "_vertexId"], unknown["source"]).alias("source_id"),
+        first_present(record, ["inV", "_sink"], unknown["target"]).alias("target_id"),
     )
     is_edge, good = F.col("kind") == "edge", F.col("error").isNull()
     named = {"id": F.col("element_id"), "label": F.col("label")}

@@ -32,7 +32,7 @@ def embedded_chunks(chunks: DataFrame, embed: Embed) -> DataFrame:
 
 
 def vector_graph_context(
-    queries: DataFrame, chunks: DataFrame, edges: DataFrame, vertices: DataFrame, k: int = TOP_K,
+    queries: DataFrame, chunks: DataFrame, edges: DataFrame, k: int = TOP_K,
     dims: int = 1536, max_lines: int = 10_000,
 ) -> DataFrame:
     """The k nearest chunks of each query with their text and graph context, and a prompt.
@@ -42,11 +42,11 @@ def vector_graph_context(
     few hits afterwards. The neighbourhood of a node hit by several queries is built once.
     """
     hits = cosine_topk(queries, chunks, k, dims, id_col="chunk_id")
-    return hits_context(hits.withColumnRenamed("id", "chunk_id"), queries, chunks, edges, vertices, max_lines)
+    return hits_context(hits.withColumnRenamed("id", "chunk_id"), queries, chunks, edges, max_lines)
 
 
 def hits_context(
-    hits: DataFrame, queries: DataFrame, chunks: DataFrame, edges: DataFrame, vertices: DataFrame, max_lines: int = 10_000
+    hits: DataFrame, queries: DataFrame, chunks: DataFrame, edges: DataFrame, max_lines: int = 10_000
 ) -> DataFrame:
     """Texts, graph context and prompt for the rows of a search result.
 
@@ -56,7 +56,7 @@ def hits_context(
     few = broadcast_if_small(checkpointed(hits))
     found = chunks.select("chunk_id", "node_id", "node_type", "text").join(few, "chunk_id")
     nodes = checkpointed(found.select("node_id").distinct())
-    context = node_context(broadcast_if_small(nodes), edges, vertices, max_lines)
+    context = node_context(broadcast_if_small(nodes), edges, max_lines)
     block = fixed.render(fixed.HIT_BLOCK, kind=F.col("node_type"), node=F.col("node_id"),
                          text=F.coalesce("text", F.lit("")), context=F.col("context"))
     full = found.join(context, "node_id").join(queries.select("query_id", "question"), "query_id")

@@ -36,6 +36,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row. A small file of one row group is read by one task, so
+    its rows are dealt out to all cores; a large table already has tasks enough and is left alone."""
+    cores = spark.sparkContext.defaultParallelism
+    sizes = spark.read.format("binaryFile").load(f"{folder}/{name}.parquet").select("length")
+    small = sizes.agg(F.sum("length")).first()[0] <= cores * 32 * 1024 * 1024
+    rows = table(spark, folder, name)
+    return rows.repartition(cores) if small else rows
+
+
 def prefixed(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"))
 
@@ -115,9 +125,11 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     return surrogate_key(_lines(spark, folder, *LINE_ORDER), order).withColumn("row_id", F.col("row_id").cast("bigint"))
 
 
-def _issue_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with their lines: one row per linked page, at least one row per order."""
+def _issue_rows(spark: SparkSession, folder: str, first_only: bool = False) -> DataFrame:
+    """Orders with their lines: one row per linked page (or the first), at least one row per order."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
+    if first_only:
+        lines = first_row(lines, ["l_orderkey"], LINE_ORDER)
     orders = table(spark, folder, "orders")
     return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         prefixed("ISSUE-", "o_orderkey").alias("issue_id"), prefixed("CR-", "o_custkey").alias("change_id"),
@@ -166,13 +178,15 @@ def _page_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_vertices(spark: SparkSession, folder: str) -> DataFrame:
-    issues, changed, pages = _issue_rows(spark, folder), _change_rows(spark, folder), _page_rows(spark, folder)
+    changed, pages = _change_rows(spark, folder), _page_rows(spark, folder)
+    # The first line of an order is picked on the number keys before its texts are made; the join
+    # with the orders then finds the rows already in place.
+    first = _issue_rows(spark, folder, first_only=True)
     return reduce(DataFrame.unionByName, [
         _team_vertices(spark, folder),
-        graph.entity_vertices(changed, "CR", "change_id", ["row_no"], ["cr_title", "team", "segment", "balance"]),
-        graph.entity_vertices(issues, "JIRA", "issue_id", LINE_ORDER,
-                              ["change_id", "status", "team", "created", "page_id", "link_type"]),
-        graph.entity_vertices(pages, "Confluence", "page_id", ["row_no"], ["doc_topic", "team", "kind", "size", "price"]),
+        graph.entity_vertices(changed, "CR", "change_id", [], ["cr_title", "team", "segment", "balance"]),
+        graph.entity_vertices(first, "JIRA", "issue_id", [], ["change_id", "status", "team", "created", "page_id", "link_type"]),
+        graph.entity_vertices(pages, "Confluence", "page_id", [], ["doc_topic", "team", "kind", "size", "price"]),
     ])
 
 
@@ -184,17 +198,16 @@ def _team_vertices(spark: SparkSession, folder: str) -> DataFrame:
 def star_edges(spark: SparkSession, folder: str) -> DataFrame:
     issues, changed, pages = _issue_rows(spark, folder), _change_rows(spark, folder), _page_rows(spark, folder)
     teams = reduce(DataFrame.unionByName, [
-        graph.team_edges(changed, "change_id", "team", "customer", "row_no"),
-        graph.team_edges(issues, "issue_id", "team", "orders", "row_no"),
-        graph.team_edges(pages, "page_id", "team", "part", "row_no"),
+        graph.team_edges(changed, "change_id", "team", "CR", "customer", "row_no"),
+        graph.team_edges(issues, "issue_id", "team", "JIRA", "orders", "row_no"),
+        graph.team_edges(pages, "page_id", "team", "Confluence", "part", "row_no"),
     ])
-    mentions = graph.link_edges(issues, "issue_id", "MENTIONS", "change_id", "orders", "row_no")
-    refers = graph.link_edges(issues, "issue_id", "REFERS_TO", "page_id", "lineitem", "row_no")
+    mentions = graph.link_edges(issues, "issue_id", "MENTIONS", "change_id", ("JIRA", None), "orders", "row_no")
+    refers = graph.link_edges(issues, "issue_id", "REFERS_TO", "page_id", ("JIRA", None), "lineitem", "row_no")
     # A link can only dangle at its far end, and only the ids of that end are read to check it.
-    change_ids = table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("id"))
-    page_ids = table(spark, folder, "part").select(prefixed("PAGE-", "p_partkey").alias("id"))
-    return reduce(DataFrame.unionByName, [
-        teams, graph.with_both_ends(mentions, change_ids, ["dst"]), graph.with_both_ends(refers, page_ids, ["dst"])])
+    change_ids = table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("id"), F.lit("CR").alias("label"))
+    page_ids = table(spark, folder, "part").select(prefixed("PAGE-", "p_partkey").alias("id"), F.lit("Confluence").alias("label"))
+    return reduce(DataFrame.unionByName, [teams, graph.with_target(mentions, change_ids), graph.with_target(refers, page_ids)])
 
 
 def team_vertices(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,8 +242,9 @@ def edge_insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     """Issue-to-page pairs of returned lines that no other line has stored."""
     rows = _issue_rows(spark, folder)
     returned = F.col("link_type") == "R"
-    stored = graph.link_edges(rows.filter(~returned), "issue_id", "REFERS_TO", "page_id", "lineitem", "row_no")
-    batch = graph.link_edges(rows.filter(returned), "issue_id", "REFERS_TO", "page_id", "lineitem", "row_no")
+    ends = ("JIRA", "Confluence")
+    stored = graph.link_edges(rows.filter(~returned), "issue_id", "REFERS_TO", "page_id", ends, "lineitem", "row_no")
+    batch = graph.link_edges(rows.filter(returned), "issue_id", "REFERS_TO", "page_id", ends, "lineitem", "row_no")
     return graph.absent_edges(batch, stored).select(*graph.EDGE)
 
 
@@ -259,23 +273,22 @@ HOP = ["seed_id", "direction", "edge_label", "other_id", "other_label"]
 
 
 def neighborhood(spark: SparkSession, folder: str) -> DataFrame:
-    vertices, edges = stored_graph(spark, folder)
-    return graph.neighborhood(_change_seeds(spark, folder), edges, vertices).select(*HOP)
+    return graph.neighborhood(_change_seeds(spark, folder), stored_graph(spark, folder)[1]).select(*HOP)
 
 
 def two_hop_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    vertices, edges = stored_graph(spark, folder, parallel=False)
-    return graph.two_hop(_change_seeds(spark, folder), edges, vertices).select("via_id", *HOP)
+    edges = stored_graph(spark, folder, parallel=False)[1]
+    return graph.two_hop(_change_seeds(spark, folder), edges).select("via_id", *HOP)
 
 
 def keyword_neighborhood(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder, parallel=False)
-    return graph.neighborhood(graph.keyword_seeds(vertices, "ring", PROPERTIES), edges, vertices).select(*HOP)
+    return graph.neighborhood(graph.keyword_seeds(vertices, "ring", PROPERTIES), edges).select(*HOP)
 
 
 def node_context_text(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder)
-    return context.node_context(vertices.select(F.col("id").alias("node_id")), edges, vertices, PART_LINES)
+    return context.node_context(vertices.select(F.col("id").alias("node_id")), edges, PART_LINES)
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,11 +327,11 @@ def row_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chunk_text(spark: SparkSession, folder: str) -> DataFrame:
-    return chunks.document_chunks(table(spark, folder, "documents"), "doc_id", "text")
+    return chunks.document_chunks(dealt(spark, folder, "documents"), "doc_id", "text")
 
 
 def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
-    texts = table(spark, folder, "documents").select("doc_id", "text")
+    texts = dealt(spark, folder, "documents").select("doc_id", "text")
     done = embed_rows(texts, hashed_embedder(DIMS)).select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
     return done.filter(F.col("weight") != 0).select(
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
@@ -375,29 +388,18 @@ def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(search.ann_topk(questions, stored, centres, 8, dims=DIMS))
 
 
-def document_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def document_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Documents linked to their source, language and vector label."""
     documents, vectors = table(spark, folder, "documents"), table(spark, folder, "embeddings")
-    none = F.create_map().cast("map<string,string>")
-
-    def ends(rows: DataFrame, prefix: str, column: str, label: str) -> DataFrame:
-        return rows.select(prefixed(prefix, column).alias("id")).distinct().select("id", F.lit(label).alias("label"), none.alias("props"))
-
-    vertices = reduce(DataFrame.unionByName, [
-        documents.select(prefixed("DOC-", "doc_id").alias("id"), F.lit("Document").alias("label"), none.alias("props")),
-        ends(documents, "SOURCE-", "source", "Source"), ends(documents, "LANG-", "lang", "Language"),
-        ends(vectors, "LABEL-", "label", "Topic"),
-    ])
     keyed = documents.select(prefixed("DOC-", "doc_id").alias("doc"), prefixed("SOURCE-", "source").alias("source"),
                              prefixed("LANG-", "lang").alias("lang"), F.lit("1").alias("row_no"))
     topics = vectors.join(documents.select("doc_id"), F.col("vec_id") == F.col("doc_id"), "left_semi").select(
         prefixed("DOC-", "vec_id").alias("doc"), prefixed("LABEL-", "label").alias("topic"), F.lit("1").alias("row_no"))
-    edges = reduce(DataFrame.unionByName, [
-        graph.link_edges(keyed, "doc", "FROM_SOURCE", "source", "documents", "row_no"),
-        graph.link_edges(keyed, "doc", "IN_LANGUAGE", "lang", "documents", "row_no"),
-        graph.link_edges(topics, "doc", "HAS_TOPIC", "topic", "embeddings", "row_no"),
+    return reduce(DataFrame.unionByName, [
+        graph.link_edges(keyed, "doc", "FROM_SOURCE", "source", ("Document", "Source"), "documents", "row_no"),
+        graph.link_edges(keyed, "doc", "IN_LANGUAGE", "lang", ("Document", "Language"), "documents", "row_no"),
+        graph.link_edges(topics, "doc", "HAS_TOPIC", "topic", ("Document", "Topic"), "embeddings", "row_no"),
     ])
-    return vertices, edges
 
 
 def vector_graph_context(spark: SparkSession, folder: str) -> DataFrame:
@@ -408,8 +410,7 @@ def vector_graph_context(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("Document").alias("node_type"), "text", "embedding")
     questions = _label_questions(spark, folder).select(
         "query_id", "embedding", F.concat(F.lit("What is typical of label "), F.col("query_id").cast("string"), F.lit("?")).alias("question"))
-    vertices, edges = document_graph(spark, folder)
-    found = retrieval.vector_graph_context(questions, pieces, edges, vertices, dims=DIMS)
+    found = retrieval.vector_graph_context(questions, pieces, document_edges(spark, folder), dims=DIMS)
     return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "node_id", F.round("score", 6).alias("score"),
                         "part_no", "context", "prompt")
 
@@ -477,7 +478,7 @@ def notification_list(spark: SparkSession, folder: str) -> DataFrame:
 
 def change_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Changed graph documents as JSON text, one per order line: four good shapes and one broken."""
-    lines = table(spark, folder, "lineitem")
+    lines = dealt(spark, folder, "lineitem")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     head = F.concat(F.lit('{"id": "'), key, F.lit('", "label": "'), F.col("l_returnflag"), F.lit('"'))
 

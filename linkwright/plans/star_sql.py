@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from linkwright.functions import fixed_text as fixed
-from linkwright.functions.text import SPACE
+from linkwright.functions.text import WORD
 
+SPACE = WORD.replace("[^", "[").removesuffix("+")
 SPLIT = "1998-05-01"
 DIMS = 64
 PART_LINES = 1000
@@ -352,7 +353,9 @@ WHERE page_id IS NOT NULL AND link_type IS NOT NULL""",
        CAST(l_partkey AS VARCHAR) AS part FROM lineitem""",
     "team_vertices": f"WITH {TEAMS} SELECT 'TEAM-' || replace(team_name, ' ', '_') AS id, 'Team' AS label, team_name FROM teams",
     "graph_vertices": f"WITH {VERTICES} SELECT id, label, props_text FROM vertices",
-    "graph_edges_multi": f"WITH {ISSUE_ROWS}, {EDGES} SELECT src, label, dst, src_table, row_no FROM edges",
+    "graph_edges_multi": f"""WITH {ISSUE_ROWS}, {EDGES} SELECT src, label, dst, src_table, row_no,
+CASE WHEN src LIKE 'CR-%' THEN 'CR' WHEN src LIKE 'ISSUE-%' THEN 'JIRA' ELSE 'Confluence' END AS src_label,
+CASE WHEN dst LIKE 'CR-%' THEN 'CR' WHEN dst LIKE 'TEAM-%' THEN 'Team' ELSE 'Confluence' END AS dst_label FROM edges""",
     "graph_edges_distinct": f"WITH {ISSUE_ROWS}, {EDGES} SELECT DISTINCT src, label, dst FROM edges",
     "graph_counts": f"""{GRAPH} SELECT 'vertex' AS kind, label, count(*) AS n FROM vertices GROUP BY label
 UNION ALL SELECT 'edge', label, count(*) FROM edges GROUP BY label""",
