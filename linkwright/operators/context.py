@@ -16,6 +16,7 @@ from linkwright.operators.skew import broadcast_if_small, text_parts
 from linkwright.session import checkpointed
 
 MAX_LISTED_KEYWORDS = 64
+ASKED = ["request_id", "jira_id", "cr_id", "keyword"]
 
 
 def node_context(nodes: DataFrame, edges: DataFrame, max_lines: int = 10_000) -> DataFrame:
@@ -27,14 +28,14 @@ def node_context(nodes: DataFrame, edges: DataFrame, max_lines: int = 10_000) ->
     wanted = nodes.select(F.col("node_id").alias("seed_id"))
     hops = neighborhood(wanted, edges).withColumnRenamed("seed_id", "node_id")
     line = render(NODE_LINE, edge=F.col("edge_label"), kind=F.col("other_label"), other=F.col("other_id"))
+    # A null line per node keeps the nodes without edges; no text is joined afterwards.
+    lines = hops.withColumn("line", line).unionByName(nodes.select("node_id"), allowMissingColumns=True)
     parts = text_parts(
-        hops.withColumn("line", line), ["node_id"], "line", ["edge_label", "other_label", "other_id"],
-        ["edge_label", "other_id", "direction", "src_table", "row_no"], "body", max_lines=max_lines,
-    )
-    return nodes.select("node_id").join(parts, "node_id", "left").select(
-        "node_id", F.coalesce("part_no", F.lit(0).cast("bigint")).alias("part_no"),
-        F.concat_ws("\n", render(NODE_HEADER, node=F.col("node_id")), F.col("body")).alias("context"),
+        lines, ["node_id"], "line", ["edge_label", "other_label", "other_id"],
+        ["edge_label", "other_id", "direction", "src_table", "row_no"], "body", max_lines=max_lines, counted=hops,
     )
+    return parts.select(
+        "node_id", "part_no", F.concat_ws("\n", render(NODE_HEADER, node=F.col("node_id")), F.nullif("body", F.lit(""))).alias("context"))
 
 
 def vertex_block(id: Column, label: Column, props: Column) -> Column:
@@ -93,16 +94,17 @@ def request_hops(
     blank = F.lit("")
     issue, change, word = (F.coalesce(F.col(c), blank) for c in ("jira_id", "cr_id", "keyword"))
     routed = requests.select(
-        "request_id",
+        *ASKED,
         F.when(issue != "", "issue").when(change != "", "change").when(word != "", "keyword").alias("_route"),
         F.when(issue != "", issue).when(change != "", change).otherwise(word).alias("_value"),
     )
 
     def route(name: str, column: str) -> DataFrame:
-        return routed.filter(F.col("_route") == name).select("request_id", F.col("_value").alias(column))
+        return routed.filter(F.col("_route") == name).select(*ASKED, F.col("_value").alias(column))
 
-    words = route("keyword", "keyword")
-    hits = words.join(keyword_matches(vertices, words, properties), "keyword").select("request_id", F.col("id").alias("seed_id"))
+    words = route("keyword", "_keyword")
+    found = keyword_matches(vertices, words.select(F.col("_keyword").alias("keyword")), properties)
+    hits = words.join(found.withColumnsRenamed({"keyword": "_keyword", "id": "seed_id"}), "_keyword").drop("_keyword")
     direct = route("issue", "seed_id").unionByName(hits).withColumn("via_id", F.lit(None).cast("string"))
     behind = back_along(route("change", "seed_id"), edges, through)
     starts = direct.unionByName(behind)
@@ -113,7 +115,7 @@ def graph_context(
     requests: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str],
     through: str = "MENTIONS", max_paths: int = 10_000,
 ) -> DataFrame:
-    """The context of each request as (request_id, part_no, context); several parts for a hub.
+    """The context of each request as (request columns, part_no, context); several parts for a hub.
 
     A request without any input gets a fixed message; one that finds nothing an empty text. The
     paths are written once as ids; the blocks of the vertices on them come from one vertex scan.
@@ -129,17 +131,18 @@ def graph_context(
 
     paths = hops.join(block("seed"), "seed_id").join(block("other"), "other_id").join(block("via"), "via_id", "left").withColumn(
         "path_text", F.concat("seed_block", F.coalesce("via_block", F.lit("")), edge_block(F.col("edge_label")), "other_block"))
-    parts = text_parts(
-        paths, ["request_id"], "path_text", ["seed_id", "via_id", "edge_label", "direction", "other_id"],
-        ["seed_id", "via_id", "edge_label", "direction", "other_id", "src_table", "row_no"],
-        "body", sep="", max_lines=max_paths, counted=hops,
-    )
     blank = F.lit("")
     given = reduce(lambda a, b: a | b, [F.coalesce(F.col(c), blank) != "" for c in ("jira_id", "cr_id", "keyword")])
-    return requests.select("request_id", given.alias("_given")).join(parts, "request_id", "left").select(
-        "request_id", F.coalesce("part_no", F.lit(0).cast("bigint")).alias("part_no"),
-        F.when(~F.col("_given"), F.lit(NO_INPUT)).otherwise(F.coalesce("body", blank)).alias("context"),
+    # A null line per request keeps those that find nothing; no text is joined afterwards.
+    lines = paths.unionByName(requests.filter(given).select(*ASKED), allowMissingColumns=True)
+    parts = text_parts(
+        lines, ["request_id"], "path_text", ["seed_id", "via_id", "edge_label", "direction", "other_id"],
+        ["seed_id", "via_id", "edge_label", "direction", "other_id", "src_table", "row_no"],
+        "body", sep="", max_lines=max_paths, counted=hops, carry=ASKED[1:],
     )
+    found = parts.select(*ASKED, "part_no", F.coalesce("body", blank).alias("context"))
+    return found.unionByName(requests.filter(~given).select(
+        *ASKED, F.lit(0).cast("bigint").alias("part_no"), F.lit(NO_INPUT).alias("context")))
 
 
 def global_context(
@@ -153,13 +156,13 @@ def global_context(
     labels = [label for _, label in sections]
     blocks = vertices.filter(F.col("label").isin(*labels)).select(
         "label", "id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block"))
-    parts = text_parts(blocks, ["label"], "block", ["id"], ["id"], "body", sep="", max_lines=max_records)
-    headings = spark.createDataFrame(
-        [(i, heading, label) for i, (heading, label) in enumerate(sections)], "section_no bigint, heading string, label string")
-    part = F.coalesce("part_no", F.lit(0).cast("bigint"))
-    return headings.join(parts, "label", "left").select(
-        "section_no", part.alias("part_no"),
-        F.concat(F.when(part == 0, F.col("heading")).otherwise(F.lit("")), F.coalesce("body", F.lit(""))).alias("text"),
+    headings = F.broadcast(spark.createDataFrame(
+        [(i, heading, label) for i, (heading, label) in enumerate(sections)], "section_no bigint, heading string, label string"))
+    lines = blocks.unionByName(headings.select("label"), allowMissingColumns=True)
+    parts = text_parts(lines, ["label"], "block", ["id"], ["id"], "body", sep="", max_lines=max_records, counted=blocks)
+    return parts.join(headings, "label").select(
+        "section_no", "part_no",
+        F.concat(F.when(F.col("part_no") == 0, F.col("heading")).otherwise(F.lit("")), F.coalesce("body", F.lit(""))).alias("text"),
     )
 
 

@@ -8,6 +8,7 @@ vertex table. Parallel edges are kept unless ``distinct_edges`` is asked for.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,10 +62,33 @@ def link_edges(
     return edges.filter(F.col("src").isNotNull() & F.col("label").isNotNull() & F.col("dst").isNotNull())
 
 
-def list_edges(rows: DataFrame, src: str, label: str, targets: str, ends: tuple[str, str | None], table: str, row_no: str) -> DataFrame:
-    """One edge per non-empty part of a ``;``-delimited target column."""
-    parts = rows.select(src, row_no, F.explode(split_list(F.col(targets))).alias("_target"))
-    return link_edges(parts, src, label, "_target", ends, table, row_no)
+@dataclass(frozen=True)
+class Link:
+    """How a column of a row names a target: edge label, target text, and whether it is a ``;`` list."""
+
+    label: str | Column
+    target: str
+    many: bool = False
+    target_label: str | None = None
+
+
+def row_edges(rows: DataFrame, src: str, src_label: str, links: Sequence[Link], table: str, row_no: str) -> DataFrame:
+    """All links of a row as edges, in one scan of the rows."""
+    def ends(link: Link) -> Column:
+        label = F.lit(link.label) if isinstance(link.label, str) else link.label
+
+        def edge(dst: Column) -> Column:
+            return F.struct(label.alias("label"), dst.alias("dst"), F.lit(link.target_label).cast("string").alias("dst_label"))
+
+        if not link.many:
+            return F.array(edge(F.col(link.target)))
+        return F.transform(F.coalesce(split_list(F.col(link.target)), F.array().cast("array<string>")), edge)
+    every = F.concat(*[ends(link) for link in links])
+    edges = rows.select(
+        F.col(src).alias("src"), F.lit(src_label).alias("src_label"), F.lit(table).alias("src_table"),
+        F.col(row_no).cast("string").alias("row_no"), F.inline(every))
+    whole = F.col("src").isNotNull() & F.col("label").isNotNull() & F.col("dst").isNotNull()
+    return edges.filter(whole).select(*EDGE, "src_label", "dst_label", "src_table", "row_no")
 
 
 def team_edges(rows: DataFrame, src: str, team: str, label: str, table: str, row_no: str) -> DataFrame:
@@ -116,12 +140,12 @@ def build_graph(
         team_edges(pages, "Confluence_ID", "Confluence_Team_Association", "Confluence", page, row_no),
     ])
     links = reduce(DataFrame.unionByName, [
-        link_edges(changes, "CR_ID", "REFERS_TO", "Linked_Jira_ID", ("CR", None), change, row_no),
-        link_edges(changes, "CR_ID", "REFERS_TO", "Linked_Confluence_ID", ("CR", None), change, row_no),
-        link_edges(issues, "JIRA_ID", "MENTIONS", "CR_ID_Link_From_CSV_Example", ("JIRA", None), issue, row_no),
-        link_edges(issues, "JIRA_ID", F.col("JIRA_Link_Type"), "JIRA_Linked_Issue_ID_Target", ("JIRA", None), issue, row_no),
-        list_edges(pages, "Confluence_ID", "REFERS_TO", "Confluence_Linked_Jira_ID", ("Confluence", None), page, row_no),
-        list_edges(pages, "Confluence_ID", "REFERS_TO", "Confluence_Linked_CR_ID", ("Confluence", None), page, row_no),
+        row_edges(changes, "CR_ID", "CR", [Link("REFERS_TO", "Linked_Jira_ID"), Link("REFERS_TO", "Linked_Confluence_ID")],
+                  change, row_no),
+        row_edges(issues, "JIRA_ID", "JIRA", [Link("MENTIONS", "CR_ID_Link_From_CSV_Example"),
+                                              Link(F.col("JIRA_Link_Type"), "JIRA_Linked_Issue_ID_Target")], issue, row_no),
+        row_edges(pages, "Confluence_ID", "Confluence", [Link("REFERS_TO", "Confluence_Linked_Jira_ID", many=True),
+                                                         Link("REFERS_TO", "Confluence_Linked_CR_ID", many=True)], page, row_no),
     ])
     edges = teams.unionByName(with_target(links, vertices))
     return vertices, edges if parallel else distinct_edges(edges)

@@ -23,8 +23,8 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame |
     """Keys owning more than ``limit`` rows with their row count ``n_rows``; None if there are none.
 
     The counts are combined map-side, so one hot key costs one row per task. Up to
-    MAX_LISTED_KEYS heavy keys come back as a local table, whose known size lets Spark broadcast
-    it; a longer list stays distributed and is joined by shuffle.
+    MAX_LISTED_KEYS heavy keys are listed and marked for broadcast; a longer list stays distributed
+    and is joined by shuffle.
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > limit)
     listed = counts.limit(MAX_LISTED_KEYS + 1).collect()
@@ -32,7 +32,7 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame |
         return None
     if len(listed) > MAX_LISTED_KEYS:
         return counts
-    return rows.sparkSession.createDataFrame(listed, counts.schema)
+    return F.broadcast(rows.sparkSession.createDataFrame(listed, counts.schema))
 
 
 def text_parts(
@@ -45,13 +45,15 @@ def text_parts(
     sep: str = "\n",
     max_lines: int = 10_000,
     counted: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Ordered concatenation of ``line`` per key as rows (keys, part_no, out).
+    """Ordered concatenation of ``line`` per key as rows (keys, carry, part_no, out).
 
     A key with at most ``max_lines`` lines gives one part, number 0. A larger key is split by the
     hash of its ``salt`` columns into parts of about ``max_lines`` lines, so no task ever holds a
     hot group; the parts hold every line once, each in order. ``counted`` may name a cheaper frame
-    with the same keys and row counts for finding the large keys.
+    with the same keys and row counts for finding the large keys. A null line adds no text, so one
+    such row keeps a key without lines. ``carry`` columns are the same in all rows of a key.
     """
     heavy = heavy_keys(lines if counted is None else counted, keys, max_lines)
     if heavy is None:
@@ -65,11 +67,11 @@ def text_parts(
             lines.join(heavy, same, "left")
             .withColumn("part_no", F.when(F.col("n_rows").isNull(), F.lit(0).cast("bigint"))
                         .otherwise(hash_bucket(mark, parts)))
-            .repartition(*keys, "part_no")
+            .repartition(*keys, "part_no", *carry)
         )
     ordering = ", ".join(f"`{c}`" for c in order)
     joined = F.expr(f"listagg(`{line}`, '{_sql_text(sep)}') WITHIN GROUP (ORDER BY {ordering})")
-    return tagged.groupBy(*keys, "part_no").agg(joined.alias(out))
+    return tagged.groupBy(*keys, "part_no", *carry).agg(joined.alias(out))
 
 
 def _sql_text(text: str) -> str:

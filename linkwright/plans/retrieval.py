@@ -93,9 +93,8 @@ def answer_requests(
         if shared is None:
             raise ValueError("the global context is too large for one prompt; see global_answers")
         text = F.when(text == fixed.NO_INPUT, text).otherwise(F.concat(text, F.lit(shared)))
-    asked = requests.select("request_id", request_question().alias("question"))
-    prompts = context.join(asked, "request_id").select(
-        "request_id", "part_no", prompt(text, F.col("question"), fixed.SERVICE_PROMPT).alias("prompt"))
+    prompts = context.select(
+        "request_id", "part_no", prompt(text, request_question(), fixed.SERVICE_PROMPT).alias("prompt"))
     return prompts.select("request_id", "part_no", completion(F.col("prompt"), complete).alias("answer"))
 
 

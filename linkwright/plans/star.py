@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from linkwright.functions.text import split_list
 from linkwright.functions.values import map_lines, typed, utc_text
@@ -32,18 +33,29 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 PROPERTIES = ["doc_topic", "cr_title"]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table by name. Its schema is read from the files once, not by a job for every use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+_small: dict[str, bool] = {}
 
 
 def dealt(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table for work that is heavy per row. A small file of one row group is read by one task, so
     its rows are dealt out to all cores; a large table already has tasks enough and is left alone."""
-    cores = spark.sparkContext.defaultParallelism
-    sizes = spark.read.format("binaryFile").load(f"{folder}/{name}.parquet").select("length")
-    small = sizes.agg(F.sum("length")).first()[0] <= cores * 32 * 1024 * 1024
+    path, cores = f"{folder}/{name}.parquet", spark.sparkContext.defaultParallelism
+    if path not in _small:
+        size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+        _small[path] = size <= cores * 32 * 1024 * 1024
     rows = table(spark, folder, name)
-    return rows.repartition(cores) if small else rows
+    return rows.repartition(cores) if _small[path] else rows
 
 
 def prefixed(prefix: str, key: str) -> Column:
@@ -130,7 +142,7 @@ def _issue_rows(spark: SparkSession, folder: str, first_only: bool = False) -> D
     lines = table(spark, folder, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
     if first_only:
         lines = first_row(lines, ["l_orderkey"], LINE_ORDER)
-    orders = table(spark, folder, "orders")
+    orders = dealt(spark, folder, "orders")
     return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         prefixed("ISSUE-", "o_orderkey").alias("issue_id"), prefixed("CR-", "o_custkey").alias("change_id"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("team"),
@@ -202,12 +214,12 @@ def star_edges(spark: SparkSession, folder: str) -> DataFrame:
         graph.team_edges(issues, "issue_id", "team", "JIRA", "orders", "row_no"),
         graph.team_edges(pages, "page_id", "team", "Confluence", "part", "row_no"),
     ])
-    mentions = graph.link_edges(issues, "issue_id", "MENTIONS", "change_id", ("JIRA", None), "orders", "row_no")
-    refers = graph.link_edges(issues, "issue_id", "REFERS_TO", "page_id", ("JIRA", None), "lineitem", "row_no")
+    links = graph.row_edges(issues, "issue_id", "JIRA", [graph.Link("MENTIONS", "change_id"), graph.Link("REFERS_TO", "page_id")],
+                            "orders", "row_no")
     # A link can only dangle at its far end, and only the ids of that end are read to check it.
-    change_ids = table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("id"), F.lit("CR").alias("label"))
-    page_ids = table(spark, folder, "part").select(prefixed("PAGE-", "p_partkey").alias("id"), F.lit("Confluence").alias("label"))
-    return reduce(DataFrame.unionByName, [teams, graph.with_target(mentions, change_ids), graph.with_target(refers, page_ids)])
+    targets = table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("id"), F.lit("CR").alias("label")).unionByName(
+        table(spark, folder, "part").select(prefixed("PAGE-", "p_partkey").alias("id"), F.lit("Confluence").alias("label")))
+    return teams.unionByName(graph.with_target(links, targets))
 
 
 def team_vertices(spark: SparkSession, folder: str) -> DataFrame:
@@ -304,7 +316,8 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
 
 def graph_context(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder, parallel=False)
-    return context.graph_context(_requests(spark, folder), vertices, edges, PROPERTIES)
+    found = context.graph_context(_requests(spark, folder), vertices, edges, PROPERTIES)
+    return found.select("request_id", "part_no", "context")
 
 
 def global_context(spark: SparkSession, folder: str) -> DataFrame:

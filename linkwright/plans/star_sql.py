@@ -77,7 +77,7 @@ EDGES = """edges AS (
   SELECT issue_id, 'MENTIONS', change_id, 'orders', row_no FROM issue_rows
   WHERE change_id IN (SELECT 'CR-' || c_custkey FROM customer)
   UNION ALL
-  SELECT issue_id, 'REFERS_TO', page_id, 'lineitem', row_no FROM issue_rows
+  SELECT issue_id, 'REFERS_TO', page_id, 'orders', row_no FROM issue_rows
   WHERE page_id IN (SELECT 'PAGE-' || p_partkey FROM part))"""
 
 SINGLE = """single AS (
