@@ -12,8 +12,8 @@ from linkwright.functions.fixed_text import GLOBAL_SECTIONS, NO_INPUT, NODE_HEAD
 from linkwright.functions.text import contains_any
 from linkwright.functions.values import map_lines
 from linkwright.operators.graph import back_along, incident, neighborhood
-from linkwright.operators.skew import broadcast_if_small, text_parts
-from linkwright.session import checkpointed
+from linkwright.operators.skew import text_parts
+from linkwright.session import written
 
 MAX_LISTED_KEYWORDS = 64
 ASKED = ["request_id", "jira_id", "cr_id", "keyword"]
@@ -22,8 +22,8 @@ ASKED = ["request_id", "jira_id", "cr_id", "keyword"]
 def node_context(nodes: DataFrame, edges: DataFrame, max_lines: int = 10_000) -> DataFrame:
     """Header and one line per incident edge for each distinct ``node_id``: (node_id, part_no, context).
 
-    Lines are ordered by edge label, other label and other id. A hub with more than ``max_lines``
-    edges gives several parts, each with the header.
+    Lines are in text order, that is by edge label first. A hub with more than ``max_lines`` edges
+    gives several parts, each with the header.
     """
     wanted = nodes.select(F.col("node_id").alias("seed_id"))
     hops = neighborhood(wanted, edges).withColumnRenamed("seed_id", "node_id")
@@ -31,7 +31,7 @@ def node_context(nodes: DataFrame, edges: DataFrame, max_lines: int = 10_000) ->
     # A null line per node keeps the nodes without edges; no text is joined afterwards.
     lines = hops.withColumn("line", line).unionByName(nodes.select("node_id"), allowMissingColumns=True)
     parts = text_parts(
-        lines, ["node_id"], "line", ["edge_label", "other_label", "other_id"],
+        lines, ["node_id"], "line", ["line"],
         ["edge_label", "other_id", "direction", "src_table", "row_no"], "body", max_lines=max_lines, counted=hops,
     )
     return parts.select(
@@ -89,7 +89,8 @@ def request_hops(
     """One row per path of every request: (request_id, seed_id, via_id, edge and other end).
 
     An issue id is used before a change id, a change id before a keyword. A change goes back along
-    ``through`` edges first. All three kinds meet in a single hop over the edge table.
+    ``through`` edges first. All three kinds meet in a single hop over the edge table. The starting
+    points are written first: if they are few, Spark sends them to the edges and shuffles no edge.
     """
     blank = F.lit("")
     issue, change, word = (F.coalesce(F.col(c), blank) for c in ("jira_id", "cr_id", "keyword"))
@@ -107,7 +108,7 @@ def request_hops(
     hits = words.join(found.withColumnsRenamed({"keyword": "_keyword", "id": "seed_id"}), "_keyword").drop("_keyword")
     direct = route("issue", "seed_id").unionByName(hits).withColumn("via_id", F.lit(None).cast("string"))
     behind = back_along(route("change", "seed_id"), edges, through)
-    starts = direct.unionByName(behind)
+    starts = written(direct.unionByName(behind), "starts")
     return incident(edges).join(starts, F.col("node") == F.coalesce("via_id", "seed_id")).drop("node")
 
 
@@ -120,11 +121,10 @@ def graph_context(
     A request without any input gets a fixed message; one that finds nothing an empty text. The
     paths are written once as ids; the blocks of the vertices on them come from one vertex scan.
     """
-    hops = checkpointed(request_hops(requests, vertices, edges, properties, through))
+    hops = written(request_hops(requests, vertices, edges, properties, through), "hops")
     ids = hops.select(F.explode(F.array("seed_id", "via_id", "other_id")).alias("id")).filter(F.col("id").isNotNull()).distinct()
-    used = vertices.join(broadcast_if_small(checkpointed(ids)), "id")
-    blocks = broadcast_if_small(checkpointed(
-        used.select("id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block"))))
+    used = vertices.join(written(ids, "ids"), "id")
+    blocks = written(used.select("id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block")), "blocks")
 
     def block(end: str) -> DataFrame:
         return blocks.select(F.col("id").alias(f"{end}_id"), F.col("block").alias(f"{end}_block"))

@@ -103,16 +103,17 @@ def classify(documents: DataFrame, document: str) -> DataFrame:
 
 def outbox_rows(classified: DataFrame, key: str) -> DataFrame:
     """One chat and one mail row per good document, keyed by (message_key, channel)."""
-    good = classified.filter(F.col("error").isNull())
-    raw = F.to_json(F.struct(F.col("message").alias("m")))
-    quoted = F.substring(raw, F.lit(6), F.length(raw) - 6)
+    good = classified.filter(F.col("error").isNull()).select(
+        F.col(key).cast("string").alias("message_key"), "subject", "message",
+        F.to_json(F.struct(F.col("message").alias("text"))).alias("_chat"))
+    start = len('{"text":') + 1
+    quoted = F.substring("_chat", F.lit(start), F.length("_chat") - start)
     mail = F.concat(F.lit("<strong>"), F.col("message"), F.lit("</strong><p>Raw Document: <pre>"), quoted, F.lit("</pre></p>"))
     channels = F.array(
-        F.struct(F.lit("chat").alias("channel"), F.lit(None).cast("string").alias("subject"),
-                 F.to_json(F.struct(F.col("message").alias("text"))).alias("body")),
+        F.struct(F.lit("chat").alias("channel"), F.lit(None).cast("string").alias("subject"), F.col("_chat").alias("body")),
         F.struct(F.lit("mail").alias("channel"), F.col("subject"), mail.alias("body")),
     )
-    return good.select(F.col(key).cast("string").alias("message_key"), F.inline(channels))
+    return good.select("message_key", F.inline(channels))
 
 
 def new_outbox_rows(rows: DataFrame, sent: DataFrame) -> DataFrame:

@@ -201,9 +201,9 @@ def build_lists(
 
 
 def write_index(listed: DataFrame, centres: np.ndarray, path: str) -> None:
-    """The index: documents partitioned by list, and the centres."""
+    """The index: documents partitioned by list, and the centres. A long list is split over many files."""
     spark = listed.sparkSession
-    listed.write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/lists")
+    listed.hint("rebalance", "list_id").write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/lists")
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(centres)]
     spark.createDataFrame(rows, "list_id int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centres")
 

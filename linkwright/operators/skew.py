@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkwright.session import checkpointed
+from linkwright.session import written
 
 MAX_LISTED_KEYS = 50_000
 
@@ -105,11 +105,11 @@ def ordinal_in_group(
 def surrogate_key(rows: DataFrame, order: Sequence[str], out: str = "row_id", first: int = 1) -> DataFrame:
     """Gap-free numbers over a total order without a single-task window.
 
-    Rows are range-partitioned on the whole order tuple, written to the checkpoint folder with
-    their place in the partition (range bounds are sampled, so both later passes must read the
-    same split), and shifted by the sizes of the earlier partitions: one number per partition.
+    Rows are range-partitioned on the whole order tuple, written to the shared folder with their
+    place in the partition (range bounds are sampled, so both later passes must read the same
+    split), and shifted by the sizes of the earlier partitions: one number per partition.
     """
-    placed = checkpointed(
+    placed = written(
         rows.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
@@ -126,11 +126,6 @@ def surrogate_key(rows: DataFrame, order: Sequence[str], out: str = "row_id", fi
     )
 
 
-def broadcast_if_small(rows: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Mark a written (checkpointed) frame for broadcast if its counted rows are few."""
-    return F.broadcast(rows) if rows.limit(max_rows + 1).count() <= max_rows else rows
-
-
 def first_row(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first in ``order``.
 

@@ -13,8 +13,7 @@ from linkwright.operators.chunks import row_chunks
 from linkwright.operators.context import global_context, graph_context, node_context, small_global_text
 from linkwright.operators.embed import Complete, Embed, completion, embed_rows
 from linkwright.operators.search import TOP_K, cosine_topk
-from linkwright.operators.skew import broadcast_if_small
-from linkwright.session import checkpointed
+from linkwright.session import written
 
 ROW_KINDS = [
     ("CR_Main", "CR", "CR_ID"), ("CR_CTasks", "CTASK", "CTASK_ID"), ("JIRA_Issues_Detailed", "JIRA", "JIRA_ID"),
@@ -50,13 +49,13 @@ def hits_context(
 ) -> DataFrame:
     """Texts, graph context and prompt for the rows of a search result.
 
-    The hits are k rows per query and are read several times, so they are written once; a counted,
-    small result is then broadcast and neither the chunks nor the edges are shuffled.
+    The hits are k rows per query and are read several times, so they are written once; Spark then
+    knows their size, and with few hits neither the chunks nor the edges are shuffled.
     """
-    few = broadcast_if_small(checkpointed(hits))
+    few = written(hits, "hits")
     found = chunks.select("chunk_id", "node_id", "node_type", "text").join(few, "chunk_id")
-    nodes = checkpointed(found.select("node_id").distinct())
-    context = node_context(broadcast_if_small(nodes), edges, max_lines)
+    nodes = written(found.select("node_id").distinct(), "nodes")
+    context = node_context(nodes, edges, max_lines)
     block = fixed.render(fixed.HIT_BLOCK, kind=F.col("node_type"), node=F.col("node_id"),
                          text=F.coalesce("text", F.lit("")), context=F.col("context"))
     full = found.join(context, "node_id").join(queries.select("query_id", "question"), "query_id")

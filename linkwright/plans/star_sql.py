@@ -105,7 +105,7 @@ lines AS (
          {salt} AS salt, {layout(fixed.NODE_LINE, edge="edge_label", kind="v.label", other="other_id")} AS line
   FROM incident JOIN nodes ON node = node_id JOIN vertices v ON v.id = other_id),
 parts AS (
-  SELECT node_id, part_no, string_agg(line, chr(10) ORDER BY edge_label, other_label, other_id) AS body
+  SELECT node_id, part_no, string_agg(line, chr(10) ORDER BY line) AS body
   FROM (SELECT *, {part_number("salt", "n", limit)} AS part_no FROM lines) GROUP BY node_id, part_no),
 node_context AS (
   SELECT n.node_id, coalesce(part_no, 0) AS part_no,

@@ -26,6 +26,7 @@ def build_session(app: str = "linkwright", cores: int | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,
@@ -56,12 +57,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from the written rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the stored rows.
+
+    Cuts the lineage, so lost executors never rerun what led here, and every later use reads the same
+    rows. The size on disk is known to Spark, which then broadcasts the frame in a join if it is below
+    the broadcast threshold and shuffles it if not.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
