@@ -66,7 +66,7 @@ def keyword_matches(
         hits = F.filter(F.array(*[F.lit(k) for k in sorted(found)]), lambda k: contains_any(texts, k))
         return vertices.select(F.explode(hits).alias("keyword"), "id")
     grams = F.array_distinct(F.flatten(F.array(*[_grams(F.coalesce(t, F.lit(""))) for t in texts])))
-    spread = vertices.select("id", F.explode(grams).alias("_gram"))
+    spread = vertices.filter(F.coalesce(*texts).isNotNull()).select("id", F.explode(grams).alias("_gram"))
     own = distinct.select("keyword", F.explode(F.array_distinct(_grams(F.col("keyword")))).alias("_gram"))
     own = own.filter(F.length("_gram") == F.least(F.length("keyword"), F.lit(3)))
     used = spread.join(own.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
