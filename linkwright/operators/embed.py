@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,26 +23,32 @@ Complete = Callable[[list[str]], list[str]]
 EMBED_BATCH = 10
 
 
-@lru_cache(maxsize=200_000)
-def _place(word: str, dims: int) -> tuple[int, float]:
-    digest = hashlib.md5(word.encode()).hexdigest()
-    return int(digest[:8], 16) % dims, 1.0 if int(digest[8:10], 16) % 2 == 0 else -1.0
+MAX_PLACES = 200_000
 
 
-def hashed_embedder(dims: int) -> Embed:
+class HashedEmbedder:
     """A local embedder without a model: each word adds +1 or -1 at a place given by its md5."""
 
-    def embed(texts: list[str]) -> list[Sequence[float]]:
-        out = np.zeros((len(texts), dims))
+    def __init__(self, dims: int) -> None:
+        self.dims = dims
+        self._places: dict[str, tuple[int, float]] = {}
+
+    def _place(self, word: str) -> tuple[int, float]:
+        digest = hashlib.md5(word.encode()).hexdigest()
+        found = int(digest[:8], 16) % self.dims, 1.0 if int(digest[8:10], 16) % 2 == 0 else -1.0
+        if len(self._places) < MAX_PLACES:
+            self._places[word] = found
+        return found
+
+    def __call__(self, texts: list[str]) -> list[Sequence[float]]:
+        out = np.zeros((len(texts), self.dims))
         for row, text in enumerate(texts):
             for word in text.split():
-                at, sign = _place(word, dims)
+                at, sign = self._places.get(word) or self._place(word)
                 out[row, at] += sign
         size = np.linalg.norm(out, axis=1)
         return list(out / np.where(size == 0, 1, size)[:, None])
 
-    return embed
-
 
 def echo_model(texts: list[str]) -> list[str]:
     """A local completer without a model: the md5 of the whole prompt."""

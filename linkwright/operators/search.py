@@ -137,7 +137,8 @@ def cosine_topk(
     rows = asked.limit(limit + 1).toPandas()
     if len(rows) > limit:
         return _ranked(_block_hits(asked, corpus, k, dims, schema, scope_col is not None, limit), k)
-    sent = spark.sparkContext.broadcast(_questions(rows, dims, scope_col is not None))
+    block = _questions(rows, dims, scope_col is not None)
+    sent = spark.sparkContext.broadcast((block.ids, block.matrix, block.scopes))
     return _ranked(_task_hits(corpus, sent, k, dims, schema), k)
 
 
@@ -145,9 +146,10 @@ def _task_hits(corpus: DataFrame, sent, k: int, dims: int, schema: T.StructType)
     arrow = _arrow(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _scan(batches, sent.value, k, dims)
+        block = Questions(*sent.value)
+        best = _scan(batches, block, k, dims)
         if len(best):
-            yield _as_batch(best, sent.value, arrow)
+            yield _as_batch(best, block, arrow)
 
     return corpus.mapInArrow(scan, schema)
 

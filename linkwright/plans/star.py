@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from linkwright.functions.text import split_list
 from linkwright.functions.values import map_lines, typed, utc_text
 from linkwright.operators import changes, chunks, clean, context, graph, index, normalize, notify, pairing, search, validate
-from linkwright.operators.embed import completion, echo_model, embed_rows, hashed_embedder
+from linkwright.operators.embed import completion, echo_model, embed_rows, HashedEmbedder
 from linkwright.operators.skew import first_row, surrogate_key, text_parts
 from linkwright.operators.synth import linked_tables
 from linkwright.functions.fixed_text import SUMMARY_PROMPT, render
@@ -345,7 +345,7 @@ def chunk_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
     texts = dealt(spark, folder, "documents").select("doc_id", "text")
-    done = embed_rows(texts, hashed_embedder(DIMS)).select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
+    done = embed_rows(texts, HashedEmbedder(DIMS)).select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
     return done.filter(F.col("weight") != 0).select(
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
 

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import os
-import shutil
+import sys
 import tempfile
 import uuid
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _test_folders: dict[str, str] = {}
-_shipped: set[str] = set()
 
 
 def build_session(app: str = "linkwright", cores: int | None = None, **conf: str) -> SparkSession:
@@ -69,11 +68,9 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the tasks this package, for a session that was started without it. Once per session."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).parent
-        archive = Path(tempfile.mkdtemp(prefix="linkwright-code-")) / package.name
-        context.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
-        _shipped.add(context.applicationId)
+def ship_package() -> None:
+    """Send this package's functions to the tasks by value, for a session started without it on its path.
+
+    Not needed where the package is installed or submitted with ``--py-files``.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])

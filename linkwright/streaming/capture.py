@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -55,7 +53,5 @@ def capture_changes(stream: DataFrame) -> DataFrame:
     Needs the RocksDB state store. Rows of one id must arrive in order of ``seq`` across batches;
     within a batch they are ordered here. Bound the batch size at the source.
     """
-    # The worker that checks the processor on the driver does not see files shipped to the session.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return stream.groupBy("id").transformWithStateInPandas(
         statefulProcessor=LastRow(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")

@@ -5,13 +5,12 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from linkwright.session import build_session, ship_package  # noqa: E402
+from linkwright.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("linkwright-tests", 4)
-    ship_package(session)
     yield session
     session.stop()
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from linkwright.functions import fixed_text as fixed
 from linkwright.operators import changes, index, notify
 from linkwright.operators.clean import blank_defaults, in_states, left_chain, null_safe_left
-from linkwright.operators.embed import embed_rows, embedding, hashed_embedder
+from linkwright.operators.embed import embed_rows, embedding, HashedEmbedder
 from linkwright.plans import audit_trail
 from tests.conftest import rows
 
@@ -122,5 +122,5 @@ def test_failed_embedding_batches_lose_only_their_rows(spark):
 
 
 def test_hashed_embedding_is_a_unit_vector():
-    got = hashed_embedder(16)(["one two three", ""])
+    got = HashedEmbedder(16)(["one two three", ""])
     assert abs(float((got[0] ** 2).sum()) - 1) < 1e-9 and not got[1].any()
