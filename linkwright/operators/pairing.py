@@ -22,7 +22,7 @@ def answer_within(
     """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     width = seconds * 1_000_000
-    slot = F.floor(F.col("_us") / F.lit(width)).cast("bigint")
+    slot = ((F.col("_us") - F.pmod(F.col("_us"), F.lit(width))) / F.lit(width)).cast("bigint")
     asked = requests.select(*keys, micros.alias("_us"), "request_id").select(
         *keys, "_us", "request_id", F.lit(None).cast(responses.schema["response_id"].dataType).alias("response_id"),
         slot.alias("_slot"))
@@ -62,25 +62,25 @@ def fifo_pairs(messages: DataFrame, session: str, order: str, is_request: Column
         "_peak", F.max(F.when(~F.col("_asks"), F.col("_sum"))).over(inside))
     earlier = Window.partitionBy(session).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
-    totals = rows.groupBy(*spot).agg(
+    totals = local.groupBy(*spot).agg(
         F.sum(step).alias("_d"), F.sum(F.when(F.col("_asks"), 1).otherwise(0)).alias("_a"),
-        F.sum(F.when(F.col("_asks"), 0).otherwise(1)).alias("_r"),
+        F.sum(F.when(F.col("_asks"), 0).otherwise(1)).alias("_r"), F.max("_peak").alias("_p"),
     )
-    peaks = local.groupBy(*spot).agg(F.max("_peak").alias("_p"))
-    base = totals.join(peaks, spot).withColumn("_base", F.coalesce(F.sum("_d").over(earlier), zero)).withColumn(
+    base = totals.withColumn("_base", F.coalesce(F.sum("_d").over(earlier), zero)).withColumn(
         "_asked0", F.coalesce(F.sum("_a").over(earlier), zero)).withColumn(
         "_answered0", F.coalesce(F.sum("_r").over(earlier), zero)).withColumn(
         "_peak0", F.greatest(zero, F.coalesce(F.max(F.col("_base") + F.col("_p")).over(earlier), zero)))
     full = local.join(base.select(*spot, "_base", "_asked0", "_answered0", "_peak0"), spot)
     spare = F.greatest(F.col("_peak0"), F.coalesce(F.col("_base") + F.col("_peak"), zero))
     numbered = full.select(
-        session, "_key", "_asks",
+        session, order, "_key", "_asks",
         F.when(F.col("_asks"), F.col("_asked0") + F.col("_asked"))
         .otherwise(F.col("_answered0") + F.col("_answered") - spare).cast("bigint").alias("n"),
-        spare.alias("_spare"), F.col("_bucket"), F.col(order),
     )
-    requests = numbered.filter("_asks").select(session, "n", F.col("_key").alias("request"))
     # An unsolicited response repeats the number of the response before it (or 0): the first one counts.
-    responses = numbered.filter(~F.col("_asks")).filter(F.col("n") > 0).groupBy(session, "n").agg(
-        F.min_by("_key", F.struct(order, "_key")).alias("response"))
-    return requests.join(responses, [session, "n"], "left")
+    at = F.struct(order, "_key")
+    pairs = numbered.filter(F.col("n") > 0).groupBy(session, "n").agg(
+        F.min(F.when(F.col("_asks"), F.col("_key"))).alias("request"),
+        F.min_by(F.when(~F.col("_asks"), F.col("_key")), F.when(~F.col("_asks"), at)).alias("response"),
+    )
+    return pairs.filter(F.col("request").isNotNull())
