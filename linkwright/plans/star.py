@@ -242,6 +242,31 @@ def graph_counts(spark: SparkSession, folder: str) -> DataFrame:
     return graph.graph_counts(star_vertices(spark, folder), star_edges(spark, folder))
 
 
+def _simple_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The first-generation graph: orders mention customers, parts refer to the orders of the customer of their number."""
+    changed = table(spark, folder, "customer").select(
+        prefixed("CR-", "c_custkey").alias("cr_id"), F.col("c_name").alias("cr_title"), F.col("c_mktsegment").alias("cr_status"),
+        money("c_acctbal").cast("string").alias("created_at"), F.lit("loader").alias("updated_by_user"),
+        F.lit(None).cast("string").alias("team_name"))
+    issues = table(spark, folder, "orders").select(
+        prefixed("ISSUE-", "o_orderkey").alias("jira_id"), F.col("o_orderpriority").alias("jira_summary"),
+        prefixed("CR-", "o_custkey").alias("cr_id"))
+    parts = table(spark, folder, "part")
+    enriched = parts.select(prefixed("PAGE-", "p_partkey").alias("confluence_doc_id"), F.col("p_name").alias("doc_topic"),
+                            F.col("p_type").alias("doc_content"))
+    pages = parts.select(prefixed("PAGE-", "p_partkey").alias("confluence_doc_id"),
+                         F.when(F.col("p_size") > 5, prefixed("CR-", "p_partkey")).alias("cr_id"))
+    return graph.build_simple_graph(changed, issues, enriched, pages)
+
+
+def simple_graph_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    return _simple_graph(spark, folder)[0].select("id", "label", map_lines(F.col("props")).alias("props_text"))
+
+
+def simple_graph_edges(spark: SparkSession, folder: str) -> DataFrame:
+    return _simple_graph(spark, folder)[1].select(*graph.EDGE, "src_label", "dst_label")
+
+
 def vertex_insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     """Documents to insert next to those already stored because they carry a label."""
     stored = table(spark, folder, "labels").select(prefixed("DOC-", "doc_id").alias("id"))
@@ -587,7 +612,7 @@ QUERIES = {f.__name__: f for f in [
     vector_graph_context, left_join_chain, null_safe_left_merge, typed_cast, timestamp_text, first_row_per_key,
     latest_row_per_key, duplicate_keys, fk_orphans, fk_stubs, surrogate_keys, normalize_entities, normalize_links,
     normalize_watchers, delimited_explode, team_vertices, graph_vertices, graph_edges_multi, graph_edges_distinct,
-    graph_counts, vertex_insert_if_absent, edge_insert_if_absent, neighborhood, two_hop_mentions, keyword_neighborhood,
+    graph_counts, simple_graph_vertices, simple_graph_edges, vertex_insert_if_absent, edge_insert_if_absent, neighborhood, two_hop_mentions, keyword_neighborhood,
     node_context_text, graph_context, global_context, request_answers, row_flatten, chunk_text, hashed_embedding,
     model_column, cosine_topk, cosine_topk_batch, cosine_topk_filtered, ann_topk, index_upsert, snapshot_diff,
     snapshot_diff_changed, pending_batch, mark_notified, notification_html, notification_list, classify_changes,

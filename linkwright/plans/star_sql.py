@@ -359,6 +359,18 @@ CASE WHEN dst LIKE 'CR-%' THEN 'CR' WHEN dst LIKE 'TEAM-%' THEN 'Team' ELSE 'Con
     "graph_edges_distinct": f"WITH {ISSUE_ROWS}, {EDGES} SELECT DISTINCT src, label, dst FROM edges",
     "graph_counts": f"""{GRAPH} SELECT 'vertex' AS kind, label, count(*) AS n FROM vertices GROUP BY label
 UNION ALL SELECT 'edge', label, count(*) FROM edges GROUP BY label""",
+    "simple_graph_vertices": """SELECT 'ISSUE-' || o_orderkey AS id, 'Jira' AS label,
+       concat_ws(chr(10), 'cr_id: CR-' || o_custkey, 'jira_summary: ' || o_orderpriority) AS props_text FROM orders
+UNION ALL SELECT 'CR-' || c_custkey, 'CR', concat_ws(chr(10), 'cr_status: ' || c_mktsegment, 'cr_title: ' || c_name,
+       'created_at: ' || CAST(c_acctbal AS DECIMAL(18,2)), 'team_name: None', 'updated_by_user: loader') FROM customer
+UNION ALL SELECT 'PAGE-' || p_partkey, 'Confluence', concat_ws(chr(10), 'cr_id: ' || CASE WHEN p_size > 5 THEN 'CR-' || p_partkey ELSE '' END,
+       'doc_content: ' || p_type, 'doc_topic: ' || p_name, 'jira_id: ' || coalesce(first_issue, ''))
+FROM part LEFT JOIN (SELECT o_custkey, min('ISSUE-' || o_orderkey) AS first_issue FROM orders GROUP BY o_custkey)
+  ON o_custkey = p_partkey AND p_size > 5""",
+    "simple_graph_edges": """SELECT DISTINCT 'PAGE-' || p_partkey AS src, 'REFERS_TO' AS label, 'ISSUE-' || o_orderkey AS dst,
+       'Confluence' AS src_label, 'Jira' AS dst_label FROM part JOIN orders ON o_custkey = p_partkey WHERE p_size > 5
+UNION ALL SELECT DISTINCT 'ISSUE-' || o_orderkey, 'MENTIONS', 'CR-' || o_custkey, 'Jira', 'CR' FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer)""",
     "vertex_insert_if_absent": """SELECT 'DOC-' || key AS id, source, lang FROM (
   SELECT doc_id AS key, source, lang FROM documents UNION ALL SELECT vec_id, 'zz', 'zz' FROM embeddings)
 WHERE key NOT IN (SELECT doc_id FROM labels) QUALIFY row_number() OVER (PARTITION BY key ORDER BY source, lang) = 1""",
