@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from linkwright.operators import skew
+from linkwright.operators import graph, skew
 from tests.conftest import rows
 
 
@@ -72,3 +72,31 @@ def test_first_row(spark, hot):
 def test_first_row_is_limited_before_the_shuffle(spark, hot):
     plan = skew.first_row(hot, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_a_hub_is_split_in_joins_even_before_a_grouping(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    key = F.col("id").cast("string")
+    edges = spark.range(0, 100_000, 1, 8).select(
+        F.concat(F.lit("s"), key).alias("src"), F.lit("L").alias("label"),
+        F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("t"), (F.col("id") % 2000).cast("string"))).alias("dst"),
+        F.lit("S").alias("src_label"), F.lit("T").alias("dst_label"), F.lit("x").alias("src_table"), key.alias("row_no"))
+    targets = edges.select(F.col("dst").alias("id"), F.lit("T").alias("label")).distinct()
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = graph.with_target(edges, targets).agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("src", "row_no")))
+        hops = graph.neighborhood(targets.select(F.col("id").alias("seed_id")), edges)
+        grouped = hops.groupBy("seed_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.hash("other_id", "row_no")))
+        assert kept.collect()[0]["n"] == 100_000
+        assert {r["seed_id"]: r["n"] for r in grouped.collect()}["hub"] == 33_334
+        for done in (kept, grouped):
+            assert "SortMergeJoin(skew=true)" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
