@@ -6,13 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import bpe
+from linkwright.llm import bpe, decontam, minhash, sharding, vector_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of nearly equal bytes."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
+
+
+def op3_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_window_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold 13-word windows of the benchmark."""
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_pivot_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors with equal labels."""
+    return vector_join.linked_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op9_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts to ids of the multilingual byte-level vocabulary and back."""
     docs = table(spark, sf_dir, "documents")
@@ -20,7 +40,69 @@ def op9_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_shards": op2_best_fit_shards,
+    "op3_minhash_stars": op3_minhash_stars,
+    "op6_window_overlap": op6_window_overlap,
+    "op7_pivot_cells": op7_pivot_cells,
     "op9_bpe_prefix_dp": op9_bpe_prefix_dp,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_SPACED_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op3_minhash_stars": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+        meets AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM s x JOIN s y USING (shingle)
+                 WHERE x.doc_id != y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM meets JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id
+                  WHERE 100 * n >= 75 * (p.n_shingles + q.n_shingles - n)),
+        reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n_shingles, 0) AS n_shingles, least(d.doc_id, coalesce(least, d.doc_id)) AS component_id,
+               d.doc_id <= coalesce(least, d.doc_id) AS kept,
+               CASE WHEN shingles IS NULL THEN d.doc_id ELSE min(d.doc_id) OVER (PARTITION BY shingles) END AS class_id
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id
+        LEFT JOIN (SELECT doc_id, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS shingles FROM s GROUP BY doc_id)
+            USING (doc_id)""",
+    "op6_window_overlap": f"""
+        WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+            FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+                  FROM b WHERE len(w) > 0)),
+        places AS (
+            SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                  FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
+        found AS (SELECT doc_id, i, places.size, item_id FROM places JOIN win USING (win)),
+        hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit
+                 FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_pivot_cells": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+        links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id != y.vec_id
+                  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+        reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+               vec_id <= coalesce(least, vec_id) AS kept
+        FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+}

@@ -112,6 +112,7 @@ def words(column: pa.Array, alphabet: str) -> Iterator[Words]:
     """The words of a text column, slice by slice."""
     inside = np.ones(256, bool)
     inside[ALPHABETS[alphabet]] = False
+    inside = inside[_LOWER]
     data, at = buffers(column)
     for first, last in slices(at):
         low, high = int(at[first]), int(at[last])
