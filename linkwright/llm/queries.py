@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import bpe, decontam, minhash, sharding, vector_join
+from linkwright.llm import bpe, chat, decontam, licenses, minhash, rules, sharding, vector_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,19 @@ def op3_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: A conversation that says the marks of common templates.
+PROBE_ID, PROBE_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op4_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says marks of templates, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(PROBE_ID).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE_TEXT).alias("text"))
+    return chat.report(rows.union(probe))
+
+
 def op6_window_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold 13-word windows of the benchmark."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -33,18 +46,31 @@ def op7_pivot_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.linked_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op8_template_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and accepted license templates of all documents."""
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts to ids of the multilingual byte-level vocabulary and back."""
     docs = table(spark, sf_dir, "documents")
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from the labelled ones that are not held out."""
+    return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_best_fit_shards": op2_best_fit_shards,
     "op3_minhash_stars": op3_minhash_stars,
+    "op4_schema_fingerprints": op4_schema_fingerprints,
     "op6_window_overlap": op6_window_overlap,
     "op7_pivot_cells": op7_pivot_cells,
+    "op8_template_automata": op8_template_automata,
     "op9_bpe_prefix_dp": op9_bpe_prefix_dp,
+    "op10_rule_ensemble": op10_rule_ensemble,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -52,6 +78,9 @@ _PLAIN_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\
 
 _SPACED_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+')"
 
+_PHRASES = ", ".join(f"({len(p.split())}, '{p}', '{label}')" for p, label in licenses.PHRASES.items())
+_TEMPLATES = ", ".join(f"('{name}', '{licenses.template_pattern(text)}')" for name, text in licenses.TEMPLATES.items())
+
 ORACLES: dict[str, str] = {
     "op3_minhash_stars": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
@@ -71,6 +100,18 @@ ORACLES: dict[str, str] = {
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id
         LEFT JOIN (SELECT doc_id, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS shingles FROM s GROUP BY doc_id)
             USING (doc_id)""",
+    "op4_schema_fingerprints": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+        e AS (SELECT *, replace(replace(role || text, '\', '\s'), '<', '\l') AS escaped,
+                     CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(sum(length(learnt)) AS BIGINT) AS loss_chars,
+               sha256(string_agg(learnt, '' ORDER BY turn, role, text)) AS loss_sha256,
+               CAST(sum(length(escaped) + length('<turn><says></turn>')) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
     "op6_window_overlap": f"""
         WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
@@ -105,4 +146,22 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
                vec_id <= coalesce(least, vec_id) AS kept
         FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    "op8_template_automata": f"""
+        WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+        base AS (
+            SELECT doc_id, i - 1 AS place, label FROM starts JOIN (VALUES {_PHRASES}) p(n, phrase, label)
+                ON w[i] = split_part(phrase, ' ', 1) AND array_to_string(w[i:i + n - 1], ' ') = phrase),
+        templates AS (
+            SELECT doc_id, label FROM d, (VALUES {_TEMPLATES}) t(label, pattern)
+            WHERE regexp_matches(' ' || array_to_string(w, ' ') || ' ', ' ' || pattern)),
+        labels AS (SELECT doc_id, label, true AS base FROM base UNION SELECT doc_id, label, false FROM templates),
+        names AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+                         string_agg(DISTINCT CASE WHEN base THEN label END, ',' ORDER BY CASE WHEN base THEN label END) AS base_labels,
+                         bool_or(NOT base) AS accepted FROM labels GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM base GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               CASE WHEN accepted THEN 1.0::DOUBLE WHEN n_base > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+        FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN names USING (doc_id)""",
 }
