@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import bpe, chat, decontam, licenses, minhash, rules, sharding, vector_join
+from linkwright.llm import bpe, chat, decontam, licenses, lm, minhash, rules, sharding, vector_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op4_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(rows.union(probe))
 
 
+def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram scores of all documents under the counts of all others."""
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op6_window_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold 13-word windows of the benchmark."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -66,6 +71,7 @@ QUERIES = {
     "op2_best_fit_shards": op2_best_fit_shards,
     "op3_minhash_stars": op3_minhash_stars,
     "op4_schema_fingerprints": op4_schema_fingerprints,
+    "op5_backoff_scores": op5_backoff_scores,
     "op6_window_overlap": op6_window_overlap,
     "op7_pivot_cells": op7_pivot_cells,
     "op8_template_automata": op8_template_automata,
@@ -112,6 +118,32 @@ ORACLES: dict[str, str] = {
                sha256(string_agg(learnt, '' ORDER BY turn, role, text)) AS loss_sha256,
                CAST(sum(length(escaped) + length('<turn><says></turn>')) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op5_backoff_scores": f"""
+        WITH d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
+        t AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        one AS (SELECT b, count(*) AS n FROM t GROUP BY b),
+        two AS (SELECT a, b, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY a, b),
+        own1 AS (SELECT doc_id, b, count(*) AS n FROM t GROUP BY ALL),
+        own2 AS (SELECT doc_id, a, b, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY ALL),
+        size AS (SELECT sum(n) AS n FROM one),
+        c AS (
+            SELECT t.doc_id, t.a, two.n - own2.n AS ab, one_a.n - own_a.n AS ca, one.n - own1.n AS cb,
+                   greatest(size.n - len(d.w), 1) AS rest
+            FROM t JOIN d ON d.doc_id = t.doc_id JOIN one ON one.b = t.b JOIN own1 ON own1.doc_id = t.doc_id AND own1.b = t.b
+            LEFT JOIN two ON two.a = t.a AND two.b = t.b LEFT JOIN own2 ON own2.doc_id = t.doc_id AND own2.a = t.a AND own2.b = t.b
+            LEFT JOIN one one_a ON one_a.b = t.a LEFT JOIN own1 own_a ON own_a.doc_id = t.doc_id AND own_a.b = t.a, size),
+        s AS (
+            SELECT doc_id, CASE WHEN ab > 0 THEN 1 ELSE 0 END AS seen,
+                   CASE WHEN ab > 0 THEN log10(ab / ca)
+                        ELSE CASE WHEN a IS NULL THEN 0 ELSE log10(0.4) END
+                             + CASE WHEN cb > 0 THEN log10(cb / rest) ELSE log10(0.4) - log10(rest) END END AS v
+            FROM c),
+        sums AS (SELECT doc_id, CAST(sum(seen) AS BIGINT) AS n_seen, sum(v) AS log_score FROM s GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_seen, 0) AS n_seen,
+               coalesce(log_score, 0.0::DOUBLE) AS log_score,
+               CASE WHEN len(w) > 0 THEN log_score / len(w) END AS mean_log
+        FROM d LEFT JOIN sums USING (doc_id)""",
     "op6_window_overlap": f"""
         WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
