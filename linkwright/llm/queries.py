@@ -6,13 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import bpe, chat, decontam, licenses, lm, minhash, rules, sharding, vector_join
+from linkwright.session import written
+from linkwright.llm import bpe, chat, decontam, licenses, lm, merkle, minhash, rules, sharding, vector_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Records in an archive file.
+ARCHIVE_RECORDS = 2000
+
+
+def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archive records, against a replica in which some are changed, lost or cut off, by a hash of the url."""
+    pages = table(spark, sf_dir, "pages").withColumn("damage", F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2))
+    file = F.concat(F.lit("archive-"), F.floor(F.coalesce("page_id", F.lit(0)) / ARCHIVE_RECORDS))
+    first = merkle.records(pages, file, ["page_id"], merkle.warc_record(F.col("url"), F.col("html")), "page_id", "damage")
+    first = written(first, "records")
+    copy = (
+        first.filter("damage != '01'")
+        .withColumn("digest", F.when(F.col("damage") == "00", F.sha2(F.concat(F.lit("!"), "digest"), 256)).otherwise(F.col("digest")))
+        .withColumn("length", F.when(F.col("damage") == "02", F.floor(F.col("length") / 2)).otherwise(F.col("length")))
+        .withColumn("digest", F.when(F.col("damage") == "02", F.sha2(F.concat(F.lit("half "), "digest"), 256)).otherwise(F.col("digest")))
+    )
+    found = merkle.audit(first, copy)
+    return found.join(first.select("file", "offset", "page_id"), ["file", "offset"]).select(
+        "page_id", "file", "offset", "kind", "primary_digest", "replica_digest")
+
+
 def op2_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of nearly equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
@@ -68,6 +90,7 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_merkle_audit": op1_merkle_audit,
     "op2_best_fit_shards": op2_best_fit_shards,
     "op3_minhash_stars": op3_minhash_stars,
     "op4_schema_fingerprints": op4_schema_fingerprints,
@@ -88,6 +111,23 @@ _PHRASES = ", ".join(f"({len(p.split())}, '{p}', '{label}')" for p, label in lic
 _TEMPLATES = ", ".join(f"('{name}', '{licenses.template_pattern(text)}')" for name, text in licenses.TEMPLATES.items())
 
 ORACLES: dict[str, str] = {
+    "op1_merkle_audit": f"""
+        WITH r AS (
+            SELECT page_id, 'archive-' || (coalesce(page_id, 0) // {ARCHIVE_RECORDS}) AS file,
+                   substr(md5(coalesce(url, '')), 1, 2) AS damage,
+                   'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
+                   || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+                   || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+                   || chr(13) || chr(10) || chr(13) || chr(10) AS record
+            FROM pages),
+        o AS (
+            SELECT page_id, file, damage, sha256(record) AS digest, CAST(coalesce(sum(strlen(record)) OVER (
+                PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+            FROM r)
+        SELECT page_id, file, "offset", CASE damage WHEN '01' THEN 'missing' ELSE 'changed' END AS kind,
+               digest AS primary_digest,
+               CASE damage WHEN '00' THEN sha256('!' || digest) WHEN '02' THEN sha256('half ' || digest) END AS replica_digest
+        FROM o WHERE damage IN ('00', '01', '02')""",
     "op3_minhash_stars": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
         s AS (
