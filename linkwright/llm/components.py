@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from linkwright.session import written
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("bigint")),
-                           F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1)))).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every child hangs below one root and no root is a child."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below")).union(edges.select("b", F.lit(0)))
+    of_node = ends.groupBy("node").agg(F.sum("below").alias("below"), F.min("below").alias("least"))
+    return of_node.filter("below > 1 OR (below = 1 AND least = 0)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,9 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter("a > b").distinct(), "links")
-    before = None
-    while (now := _fingerprint(edges)) != before and now[0]:
-        before = now
+    while not _is_forest_of_stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
         large = (both.join(least, "a").filter("b > a AND b != root")

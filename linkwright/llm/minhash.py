@@ -6,11 +6,13 @@ random order of its own (optimal densification). Documents with equal sets are o
 
 Buckets of equal band keys give candidates as stars, one edge from every member to one hub, so a bucket of n
 classes costs n - 1 edges. Links are confirmed on the full sets. Buckets whose classes are still in different
-components get new hubs, and at last the few pairs that are left, so no link is lost for want of a lucky hub.
+components get other hubs, and at last an exact join of what differs from the hub, so no link is lost for want of a
+lucky hub, and no group is ever compared pair by pair.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +38,8 @@ FEW_BINS = 24
 #: over MOST_BITS of 240 differing bits is six standard deviations away from that and is not read.
 MOST_BITS = 62
 
-#: Rounds of new hubs at most before the pairs that are left are compared one by one, and how many such pairs per
-#: row make further rounds needless. Neither changes what is found.
-ROUNDS, PAIRS_PER_ROW = 4, 20
+#: Orders by which the second round chooses hubs; a class meets about so many other hubs.
+OTHER_HUBS = 4
 
 #: Up to this many candidates are looked up in the documents by a list sent to all tasks (24 bytes each); more of
 #: them are joined by shuffle.
@@ -155,39 +156,78 @@ def _sets(texts: pa.Array) -> list[np.ndarray]:
     return found
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets have 100 * intersection >= 75 * union.
+def _with_texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) of classes with one text of each, as text_a and text_b, sorted by b within a partition.
 
-    One text of every candidate class is looked up and shuffled, no other text is; the sets are made again where two
-    texts meet. Rows come sorted by hub, whose set is made once per run.
+    Texts of other classes are neither shuffled nor sent to Python.
     """
     some = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = written(classes.join(some, "node").select("node", "doc_id", F.col("text_hash").alias("wanted_hash")), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
     texts = (docs.join(wanted, "doc_id").filter(F.xxhash64("text") == F.col("wanted_hash"))
              .groupBy("node").agg(F.first("text").alias("text")))
-    met = (
+    return (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .select("a", "b", "text_a", "text_b")
+        .select(*pairs.columns, "text_a", "text_b")
     )
 
+
+def _met(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Place, set of a and set of b of every row; the set of b is made once per run of rows."""
+    hubs = batch.column(1).to_numpy(zero_copy_only=False)
+    new = np.flatnonzero(np.append(True, hubs[1:] != hubs[:-1])) if len(hubs) else np.empty(0, np.int64)
+    of_b = _sets(batch.column(batch.schema.get_field_index("text_b")).take(pa.array(new)))
+    run = np.searchsorted(new, np.arange(len(hubs)), "right") - 1
+    for k, mine in enumerate(_sets(batch.column(batch.schema.get_field_index("text_a")))):
+        yield k, mine, of_b[run[k]]
+
+
+def _among(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted array ``of``, which is not empty."""
+    at = np.searchsorted(of, values)
+    at[at == len(of)] = 0
+    return of[at] == values
+
+
+def _similar(both: int, a: int, b: int) -> bool:
+    return 100 * both >= 75 * (a + b - both)
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets have 100 * intersection >= 75 * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column, hubs = batch.column(3), batch.column(1).to_numpy(zero_copy_only=False)
-            new = np.flatnonzero(np.append(True, hubs[1:] != hubs[:-1])) if len(hubs) else np.empty(0, np.int64)
-            hub_sets = _sets(column.take(pa.array(new)))
-            of_hub = np.searchsorted(new, np.arange(len(hubs)), "right") - 1
-            linked = np.zeros(len(hubs), bool)
-            for k, mine in enumerate(_sets(batch.column(2))):
-                hub = hub_sets[of_hub[k]]
-                at = np.searchsorted(hub, mine)
-                at[at == len(hub)] = 0
-                both = int((hub[at] == mine).sum())
-                linked[k] = 100 * both >= 75 * (len(mine) + len(hub) - both)
+            linked = np.zeros(len(batch), bool)
+            for k, a, b in _met(batch):
+                linked[k] = _similar(int(_among(a, b).sum()), len(a), len(b))
             yield batch.select([0, 1]).filter(pa.array(linked))
 
-    return met.mapInArrow(run, "a bigint, b bigint")
+    return _with_texts(pairs, classes, docs).mapInArrow(run, "a bigint, b bigint")
+
+
+def _differences(stars: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """How the set of a differs from the set of its hub b, for rows (a, b, component).
+
+    n is the size of a's set, d the number of shingles that only one of the two has, ``tokens`` the first of them: what a
+    has added to the hub, which is rare among its likes, before what it lacks. More than n / 3 + 1 are never needed.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, d, linked, tokens = [], [], [], []
+            for _, a, b in _met(batch):
+                added, lacking = a[~_among(a, b)], b[~_among(b, a)]
+                n.append(len(a))
+                d.append(len(added) + len(lacking))
+                linked.append(_similar(len(a) - len(added), len(a), len(b)))
+                most = d[-1] - max(1, math.ceil(d[-1] - len(a) / 3)) + 1 if d[-1] else 0
+                tokens.append(np.concatenate([added, lacking])[:most].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(d, pa.int64()), pa.array(linked, pa.bool_()),
+                 pa.array(tokens, pa.list_(pa.int64()))], ["a", "b", "component", "n", "d", "linked", "tokens"])
+
+    return _with_texts(stars, classes, docs).mapInArrow(
+        run, "a bigint, b bigint, component bigint, n bigint, d bigint, linked boolean, tokens array<bigint>")
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame, tested: DataFrame | None) -> DataFrame:
@@ -209,37 +249,56 @@ def _open_buckets(shared: DataFrame, groups: DataFrame) -> DataFrame:
     return written(placed.join(mixed.select("key"), "key"), "open")
 
 
+def _links_left(left: DataFrame, links: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between classes that share a bucket of ``left`` (key, node, component) but no component.
+
+    Pairs are found by a prefix-filtered join in the space of differences from a hub: with d and e shingles that differ
+    from the hub, sets of sizes n and m are linked exactly if they share (d + e - (n + m) / 7) / 2 of those shingles, so
+    they share one among the first d + 1 less that many. Near copies of one text have what they keep in common as part
+    of the hub, not as a difference, so a large group of them gives few candidates. The hub of a bucket is its class
+    with the most links so far.
+    """
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    hubs = left.join(ends, "node", "left").groupBy("key").agg(
+        F.max_by("node", F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("b"))
+    stars = (left.join(hubs, "key").filter("node != b")
+             .select(F.col("node").alias("a"), "b", "component").distinct())
+    found = written(_differences(written(stars, "stars"), classes, docs), "differences")
+    tokens = found.select("a", "b", "component", "n", "d", "linked", F.posexplode("tokens").alias("place", "token"))
+    other = tokens.select("b", "token", *[F.col(c).alias(f"{c}_2") for c in ("a", "component", "n", "d", "linked", "place")])
+    shared = F.greatest(F.ceil((7 * (F.col("d") + F.col("d_2")) - F.col("n") - F.col("n_2")) / 14), F.lit(1))
+    pairs = tokens.join(other, ["b", "token"]).filter(
+        (F.col("a") > F.col("a_2")) & (F.col("component") != F.col("component_2")) & ~(F.col("linked") & F.col("linked_2"))
+        & (F.col("place") <= F.col("d") - shared) & (F.col("place_2") <= F.col("d_2") - shared))
+    pairs = _candidates(pairs.select("a", F.col("a_2").alias("b")), classes, None)
+    of_stars = found.filter("linked").select("a", "b")
+    return of_stars if pairs.isEmpty() else of_stars.union(confirmed(pairs, classes, docs))
+
+
 def _links(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, component) of all linked classes, from the buckets ``shared`` (key, node, hub)."""
     def grouped(links: DataFrame) -> DataFrame:
         return written(components(links), "groups")
 
+    members = shared.select("key", "node")
     tested = _candidates(
         shared.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), classes, None)
     links = written(confirmed(tested, classes, docs), "links")
-    groups, turn = grouped(links), 1
-    while turn <= ROUNDS:
-        left = _open_buckets(shared.select("key", "node"), groups)
-        rows, squares = left.groupBy("key").count().agg(F.sum("count"), F.sum(F.col("count") * F.col("count"))).first()
-        if not rows:
-            break
-        if squares <= PAIRS_PER_ROW * rows:
-            turn = ROUNDS
-        if turn < ROUNDS:
-            hubs = left.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", "key", F.lit(turn))).alias("hub"))
-            pairs = (left.join(hubs, "key").filter("component != hub.component")
-                     .select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
-        else:
-            other = left.select("key", F.col("node").alias("b"), F.col("component").alias("component_b"))
-            pairs = left.join(other, "key").filter("node > b AND component != component_b").select(F.col("node").alias("a"), "b")
-        fresh = _candidates(pairs, classes, tested)
-        more = fresh if fresh.isEmpty() else written(confirmed(fresh, classes, docs), "links")
-        if more.isEmpty():
-            turn = ROUNDS if turn < ROUNDS else ROUNDS + 1
-            continue
-        links, tested = links.union(more), tested.union(fresh)
-        groups, turn = grouped(links), turn + 1
-    return groups
+    groups = grouped(links)
+    left = _open_buckets(members, groups)
+    if left.isEmpty():
+        return groups
+    draw = F.xxhash64("node", F.pmod("key", F.lit(OTHER_HUBS)))
+    hubs = left.groupBy("key").agg(F.min_by(F.struct("node", "component"), draw).alias("hub"))
+    pairs = (left.join(hubs, "key").filter("component != hub.component")
+             .select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+    fresh = _candidates(pairs, classes, tested)
+    links = written(links.union(confirmed(fresh, classes, docs)), "links")
+    groups = grouped(links)
+    left = _open_buckets(members, groups)
+    if left.isEmpty():
+        return groups
+    return grouped(links.union(written(_links_left(left, links, classes, docs), "links")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
