@@ -12,7 +12,6 @@ lucky hub, and no group is ever compared pair by pair.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +37,9 @@ FEW_BINS = 24
 #: over MOST_BITS of 240 differing bits is six standard deviations away from that and is not read.
 MOST_BITS = 62
 
-#: Orders by which the second round chooses hubs; a class meets about so many other hubs.
-OTHER_HUBS = 4
+#: Classes in a bucket that is settled by its pairs, and orders by which larger ones choose other hubs (a class meets
+#: about so many of them).
+FEW_MEMBERS, OTHER_HUBS = 8, 4
 
 #: Up to this many candidates are looked up in the documents by a list sent to all tasks (24 bytes each); more of
 #: them are joined by shuffle.
@@ -209,25 +209,22 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 def _differences(stars: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """How the set of a differs from the set of its hub b, for rows (a, b, component).
 
-    n is the size of a's set, d the number of shingles that only one of the two has, ``tokens`` the first of them: what a
-    has added to the hub, which is rare among its likes, before what it lacks. More than n / 3 + 1 are never needed.
+    n is the size of a's set, ``tokens`` the shingles that only one of the two has, ``linked`` whether the two are.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, d, linked, tokens = [], [], [], []
+            n, linked, tokens = [], [], []
             for _, a, b in _met(batch):
                 added, lacking = a[~_among(a, b)], b[~_among(b, a)]
                 n.append(len(a))
-                d.append(len(added) + len(lacking))
                 linked.append(_similar(len(a) - len(added), len(a), len(b)))
-                most = d[-1] - max(1, math.ceil(d[-1] - len(a) / 3)) + 1 if d[-1] else 0
-                tokens.append(np.concatenate([added, lacking])[:most].view(np.int64))
+                tokens.append(np.concatenate([added, lacking]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(d, pa.int64()), pa.array(linked, pa.bool_()),
-                 pa.array(tokens, pa.list_(pa.int64()))], ["a", "b", "component", "n", "d", "linked", "tokens"])
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(linked, pa.bool_()), pa.array(tokens, pa.list_(pa.int64()))],
+                ["a", "b", "component", "n", "linked", "tokens"])
 
     return _with_texts(stars, classes, docs).mapInArrow(
-        run, "a bigint, b bigint, component bigint, n bigint, d bigint, linked boolean, tokens array<bigint>")
+        run, "a bigint, b bigint, component bigint, n bigint, linked boolean, tokens array<bigint>")
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame, tested: DataFrame | None) -> DataFrame:
@@ -252,11 +249,12 @@ def _open_buckets(shared: DataFrame, groups: DataFrame) -> DataFrame:
 def _links_left(left: DataFrame, links: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) between classes that share a bucket of ``left`` (key, node, component) but no component.
 
-    Pairs are found by a prefix-filtered join in the space of differences from a hub: with d and e shingles that differ
-    from the hub, sets of sizes n and m are linked exactly if they share (d + e - (n + m) / 7) / 2 of those shingles, so
-    they share one among the first d + 1 less that many. Near copies of one text have what they keep in common as part
-    of the hub, not as a difference, so a large group of them gives few candidates. The hub of a bucket is its class
-    with the most links so far.
+    Pairs are found by a prefix-filtered join in the space of differences from a hub: if d and e shingles differ from the
+    hub, sets of sizes n and m are linked exactly if they share at least (d + e - (n + m) / 7) / 2 of those shingles. So, in
+    any common order, they share one among the first of each, d (or e) less that many plus one. The order is by rarity
+    among the hub's classes: what near copies of one text have in common is part of the hub or differs in most of them, and
+    comes last. A large group of near copies thus gives few candidates. The hub of a bucket is its class with the most links
+    so far.
     """
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     hubs = left.join(ends, "node", "left").groupBy("key").agg(
@@ -264,10 +262,18 @@ def _links_left(left: DataFrame, links: DataFrame, classes: DataFrame, docs: Dat
     stars = (left.join(hubs, "key").filter("node != b")
              .select(F.col("node").alias("a"), "b", "component").distinct())
     found = written(_differences(written(stars, "stars"), classes, docs), "differences")
-    tokens = found.select("a", "b", "component", "n", "d", "linked", F.posexplode("tokens").alias("place", "token"))
-    other = tokens.select("b", "token", *[F.col(c).alias(f"{c}_2") for c in ("a", "component", "n", "d", "linked", "place")])
+    every = found.select("a", "b", F.explode("tokens").alias("token"))
+    common = every.groupBy("b", "token").agg(F.count(F.lit(1)).alias("n_having"))
+    ranked = every.join(common, ["b", "token"]).groupBy("a", "b").agg(
+        F.array_sort(F.collect_list(F.struct("n_having", "token"))).alias("ranked"))
+    d, n = F.size("ranked"), F.col("n")
+    most = d - F.greatest(F.ceil(d - n / 3), F.lit(1)) + 1  # a partner never asks for more of the order than this
+    first = found.drop("tokens").join(ranked, ["a", "b"]).select(
+        "a", "b", "component", "n", "linked", d.alias("d"), F.posexplode(F.slice("ranked", F.lit(1), most.cast("int"))).alias("place", "t"))
+    first = written(first.filter("t.n_having > 1").select("a", "b", "component", "n", "linked", "d", "place", "t.token"), "prefixes")
+    other = first.select("b", "token", *[F.col(c).alias(f"{c}_2") for c in ("a", "component", "n", "d", "linked", "place")])
     shared = F.greatest(F.ceil((7 * (F.col("d") + F.col("d_2")) - F.col("n") - F.col("n_2")) / 14), F.lit(1))
-    pairs = tokens.join(other, ["b", "token"]).filter(
+    pairs = first.join(other, ["b", "token"]).filter(
         (F.col("a") > F.col("a_2")) & (F.col("component") != F.col("component_2")) & ~(F.col("linked") & F.col("linked_2"))
         & (F.col("place") <= F.col("d") - shared) & (F.col("place_2") <= F.col("d_2") - shared))
     pairs = _candidates(pairs.select("a", F.col("a_2").alias("b")), classes, None)
@@ -276,7 +282,11 @@ def _links_left(left: DataFrame, links: DataFrame, classes: DataFrame, docs: Dat
 
 
 def _links(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) of all linked classes, from the buckets ``shared`` (key, node, hub)."""
+    """(node, component) of all linked classes, from the buckets ``shared`` (key, node, hub).
+
+    Small buckets are settled by their few pairs. Larger ones get some other hubs, to join what belongs together and to
+    find a class that is linked with many, and then the join of differences.
+    """
     def grouped(links: DataFrame) -> DataFrame:
         return written(components(links), "groups")
 
@@ -288,14 +298,18 @@ def _links(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     left = _open_buckets(members, groups)
     if left.isEmpty():
         return groups
+    left = left.join(left.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
+    few, many = left.filter(F.col("size") <= FEW_MEMBERS), left.filter(F.col("size") > FEW_MEMBERS)
+    other = few.select("key", F.col("node").alias("b"), F.col("component").alias("component_b"))
+    pairs = few.join(other, "key").filter("node > b AND component != component_b").select(F.col("node").alias("a"), "b")
     draw = F.xxhash64("node", F.pmod("key", F.lit(OTHER_HUBS)))
-    hubs = left.groupBy("key").agg(F.min_by(F.struct("node", "component"), draw).alias("hub"))
-    pairs = (left.join(hubs, "key").filter("component != hub.component")
-             .select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+    hubs = many.groupBy("key").agg(F.min_by(F.struct("node", "component"), draw).alias("hub"))
+    pairs = pairs.union(many.join(hubs, "key").filter("component != hub.component")
+                        .select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
     fresh = _candidates(pairs, classes, tested)
     links = written(links.union(confirmed(fresh, classes, docs)), "links")
     groups = grouped(links)
-    left = _open_buckets(members, groups)
+    left = _open_buckets(many.select("key", "node"), groups)
     if left.isEmpty():
         return groups
     return grouped(links.union(written(_links_left(left, links, classes, docs), "links")))
