@@ -103,7 +103,7 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     def at_spots(side: DataFrame) -> DataFrame:
         near = side.join(spots, F.col("file").eqNullSafe(F.col("_file")) & (F.floor(F.col("offset") / LEAF_BYTES) == F.col("_node")), "left_semi")
         once = near.groupBy("file", "offset", "length", "digest").agg(F.count(F.lit(1)).alias("n"))
-        alone = F.when(F.size("all") == 1, F.col("all")[0]["digest"])
+        alone = F.coalesce(F.col("all")[0]["digest"], F.lit(""))  # null would look like no record
         entry = F.transform("all", lambda r: F.concat_ws(" ", r["length"], r["digest"], r["n"]))
         return (once.groupBy("file", "offset").agg(F.array_sort(F.collect_list(F.struct("digest", "length", "n"))).alias("all"))
                 .withColumn("digest", F.when((F.size("all") == 1) & (F.col("all")[0]["n"] == 1), alone).otherwise(_hashed(entry))))

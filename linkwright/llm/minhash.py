@@ -315,18 +315,8 @@ def _links(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return grouped(links.union(written(_links_left(left, links, classes, docs), "links")))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Link documents (doc_id long, text) whose shingle sets have a similarity of 0.75 or more.
-
-    Returns per row: doc_id, n_shingles (size of its set), class_id (smallest doc_id with an equal set), component_id
-    (smallest doc_id reachable over links, itself included) and kept (doc_id = component_id).
-
-    Words are runs of other than blanks, A-Z lower-cased; a text of fewer than five words is one shingle, all its words.
-    A text without words or a null text has an empty set and is linked with nothing. A row with a null doc_id is linked
-    with nothing, has null ids and is kept. Every row is a document: rows that share a doc_id are linked by their texts
-    only. Other columns are not read. An empty table gives no rows.
-    """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, class_id, component (a class) and component_id of every row."""
     drawn = written(sketches(docs), "sketches").withColumn("node", F.xxhash64("d0", "d1", "n_shingles")).drop("d0", "d1")
     real = drawn.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(real.dropDuplicates(["node"]), "classes")
@@ -338,28 +328,49 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = (real.groupBy("node").agg(F.min("doc_id").alias("class_id")).join(groups, "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     least = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    placed = placed.join(least, "component").select("node", "class_id", "component_id")
-    of_row = F.when(F.col("n_shingles") > 0, F.col("node"))
+    placed = placed.join(least, "component").select("node", "class_id", "component", "component_id")
+    node = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node"))
     return (
-        drawn.withColumn("node", F.when(F.col("doc_id").isNotNull(), of_row)).join(placed, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
+        drawn.select("doc_id", "text_hash", "n_shingles", node.alias("node")).join(placed, "node", "left")
+        .select("doc_id", "text_hash", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), "component",
                 F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Link documents (doc_id long, text) whose shingle sets have a similarity of 0.75 or more.
+
+    Returns per row: doc_id, n_shingles (size of its set), class_id (smallest doc_id with an equal set), component_id
+    (smallest doc_id reachable over links, itself included) and kept (doc_id = component_id).
+
+    Words are runs of other than blanks, A-Z lower-cased; a text of fewer than five words is one shingle, all its words.
+    A text without words or a null text has an empty set and is linked with nothing. A row with a null doc_id is linked
+    with nothing, has null ids and is kept. Every row is a document: rows that share a doc_id are linked by their texts
+    only. Other columns are not read. An empty table gives no rows.
+    """
+    return _grouped(_read(docs)).select(
+        "doc_id", "n_shingles", "class_id", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of every group of near duplicates, the one with the smallest doc_id.
+    """``docs`` with one row of every group of near duplicates, one with the smallest doc_id.
 
-    Columns stay. Of several rows with that doc_id one stays if their sets are equal, one per set if not. Rows with a
-    null doc_id stay.
+    Columns stay. Where rows of a group share that doc_id, the one with the smallest hash of its text stays. Rows with a null
+    doc_id stay.
     """
-    found = near_duplicates(docs)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    again = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = written(again, "repeated")
-    if again.isEmpty():
-        return left
-    alone = left.join(again, docs["doc_id"] == again["doc_id"], "left_anti")
-    return alone.union(left.join(again, docs["doc_id"] == again["doc_id"], "left_semi").dropDuplicates(["doc_id"]))
+    found = written(_grouped(_read(docs)), "found")
+    key = docs["doc_id"].cast("bigint")
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    repeated = written(repeated, "repeated")
+    if repeated.isEmpty():
+        return docs.join(gone, key == F.col("_gone"), "left_anti")
+    alone = docs.join(repeated, key == F.col("_again"), "left_anti").join(gone, key == F.col("_gone"), "left_anti")
+    kept_rows = (found.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").filter("doc_id = component_id")
+                 .groupBy(F.col("doc_id").alias("_id"), F.coalesce("component", "text_hash")).agg(F.min("text_hash").alias("_hash")))
+    several = docs.join(kept_rows, (key == F.col("_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_hash")), "left_semi")
+    return alone.union(several.dropDuplicates(["doc_id", "text"]))

@@ -7,6 +7,7 @@ compiled into one Spark column expression over the text, so scoring needs neithe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -123,8 +124,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> RuleModel
         return RuleModel({None: 0.0, 0: -3.0}.get(ones, 3.0) if total else 0.0, ())
     vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(rows)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=0.5, maxBins=64,
-                                    minInstancesPerNode=20, featureSubsetStrategy="onethird").fit(vectors)
+                                    minInstancesPerNode=max(1, min(20, total // 50)), featureSubsetStrategy="onethird").fit(vectors)
     found = dict.fromkeys(rule for tree in forest._call_java("trees") for rule in _paths(tree.rootNode()))
+    if not found:
+        return RuleModel(math.log(ones / (total - ones)), ())
     statistics = F.struct(*STATISTICS)
     one = rows.withColumn("s", statistics)
     values = F.array(*(rule.column(F.col("s")).cast("double") for rule in found))

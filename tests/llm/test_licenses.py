@@ -48,6 +48,6 @@ def test_report(spark):
     assert got == {
         1: (1, 3, 3, "mit", "mit,mit-notice", 1.0), 2: (2, 6, 8, "mit", "mit,mit-notice", 1.0), 3: (0, None, None, "", "", 0.0),
         4: (0, None, None, "", "", 0.0), 5: (0, None, None, "", "", 0.0), 6: (0, None, None, "", "mit-text", 1.0),
-        7: (0, None, None, "", "", 0.0), 8: (1, 3, 3, "gpl", "gpl", 0.5), 9: (1, 7, 7, "gpl", "gpl,gpl-notice", 1.0),
+        7: (0, None, None, "", "", 0.0), 8: (1, 3, 3, "gpl", "gpl", 0.5), 9: (1, 8, 8, "gpl", "gpl,gpl-notice", 1.0),
         None: (1, 3, 3, "apache", "apache,apache-notice", 1.0), 10: (3, 50_000, 50_004, "apache", "apache", 0.5), 11: (0, None, None, "", "", 0.0)}
     assert licenses.report(docs).count() == len(rows) and licenses.report(docs.filter("false")).count() == 0

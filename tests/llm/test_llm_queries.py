@@ -20,10 +20,9 @@ from tests.test_queries import table
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="module")
-def duck():
+def duck(folder):
     con = duckdb.connect()
-    for path in glob.glob(f"{FOLDER}/*.parquet"):
+    for path in glob.glob(f"{folder}/*.parquet"):
         con.execute(f"CREATE VIEW {Path(path).stem} AS SELECT * FROM '{path}'")
     return con
 
@@ -33,10 +32,11 @@ def documents():
 
 
 @pytest.mark.parametrize("name", sorted(llm.ORACLES))
-def test_query_matches_its_sql(spark, duck, name):
-    got = entry.queries()[name](spark, FOLDER)
+def test_query_matches_its_sql(spark, name):
+    folder = "/root/testdata/sf0.01" if name.startswith("op1_") else FOLDER  # no page of the smallest table is damaged
+    got = entry.queries()[name](spark, folder)
     data = [tuple(r) for r in got.collect()]
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck(folder).execute(entry.oracle_sql()[name])
     names = [c[0] for c in result.description]
     assert data and sorted(names) == sorted(got.columns)
     assert table(got.columns, data) == table(names, result.fetchall())
