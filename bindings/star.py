@@ -8,27 +8,28 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from linkwright.functions.text import split_list
 from linkwright.functions.values import map_lines, typed, utc_text
 from linkwright.operators import changes, chunks, clean, context, graph, index, normalize, notify, pairing, search, validate
 from linkwright.operators.embed import completion, echo_model, embed_rows, HashedEmbedder
 from linkwright.operators.skew import first_row, surrogate_key, text_parts
-from linkwright.operators.synth import linked_tables
 from linkwright.functions.fixed_text import SUMMARY_PROMPT, render
 from linkwright.plans import retrieval
-from linkwright.session import fresh_path
-from linkwright.sources.schemas import RAW
+from linkwright.session import fresh_path, rocksdb_state, written
+from linkwright.sources.csv_tables import CORRUPT, ROW_NO, quarantine, read_raw, read_table, typed_table, write_csv
 from linkwright.streaming import capture, feed
 
 DIMS = 64
 SPLIT = "1998-05-01"
-PART_LINES = 1000
+TEXT_BYTES = 20_000
+REQUEST_BYTES = 3_000
+REQUEST_SECTIONS = [("\n=== Teams ===\n", "Team")]
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 PROPERTIES = ["doc_topic", "cr_title"]
 
@@ -44,20 +45,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-_small: dict[str, bool] = {}
-
-
-def dealt(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table for work that is heavy per row. A small file of one row group is read by one task, so
-    its rows are dealt out to all cores; a large table already has tasks enough and is left alone."""
-    path, cores = f"{folder}/{name}.parquet", spark.sparkContext.defaultParallelism
-    if path not in _small:
-        size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-        _small[path] = size <= cores * 32 * 1024 * 1024
-    rows = table(spark, folder, name)
-    return rows.repartition(cores) if _small[path] else rows
-
-
 def prefixed(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"))
 
@@ -142,7 +129,7 @@ def _issue_rows(spark: SparkSession, folder: str, first_only: bool = False) -> D
     lines = table(spark, folder, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
     if first_only:
         lines = first_row(lines, ["l_orderkey"], LINE_ORDER)
-    orders = dealt(spark, folder, "orders")
+    orders = table(spark, folder, "orders")
     return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         prefixed("ISSUE-", "o_orderkey").alias("issue_id"), prefixed("CR-", "o_custkey").alias("change_id"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("team"),
@@ -167,9 +154,8 @@ def normalize_watchers(spark: SparkSession, folder: str) -> DataFrame:
 
 def delimited_explode(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder, *LINE_ORDER).withColumn("part", F.col("l_partkey").cast("string"))
-    listed = text_parts(lines, ["l_orderkey"], "part", LINE_ORDER, LINE_ORDER, "parts", ";")
-    return listed.select("l_orderkey", "part_no", F.posexplode(split_list(F.col("parts"))).alias("ordinal", "part")).withColumn(
-        "ordinal", (F.col("ordinal") + 1).cast("bigint"))
+    listed = text_parts(lines, ["l_orderkey"], "part", LINE_ORDER, LINE_ORDER, "parts", ";", part_bytes=12)
+    return normalize.listed_values(listed, ["l_orderkey"], "parts", "part")
 
 
 # --- graph --------------------------------------------------------------------------------------
@@ -209,17 +195,17 @@ def _team_vertices(spark: SparkSession, folder: str) -> DataFrame:
 
 def star_edges(spark: SparkSession, folder: str) -> DataFrame:
     issues, changed, pages = _issue_rows(spark, folder), _change_rows(spark, folder), _page_rows(spark, folder)
-    teams = reduce(DataFrame.unionByName, [
-        graph.team_edges(changed, "change_id", "team", "CR", "customer", "row_no"),
-        graph.team_edges(issues, "issue_id", "team", "JIRA", "orders", "row_no"),
-        graph.team_edges(pages, "page_id", "team", "Confluence", "part", "row_no"),
+    team = graph.team_link("team")
+    links = reduce(DataFrame.unionByName, [
+        graph.row_edges(changed, "change_id", "CR", [team], "customer", "row_no"),
+        graph.row_edges(issues, "issue_id", "JIRA", [team, graph.Link("MENTIONS", "change_id"), graph.Link("REFERS_TO", "page_id")],
+                        "orders", "row_no"),
+        graph.row_edges(pages, "page_id", "Confluence", [team], "part", "row_no"),
     ])
-    links = graph.row_edges(issues, "issue_id", "JIRA", [graph.Link("MENTIONS", "change_id"), graph.Link("REFERS_TO", "page_id")],
-                            "orders", "row_no")
     # A link can only dangle at its far end, and only the ids of that end are read to check it.
     targets = table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("id"), F.lit("CR").alias("label")).unionByName(
         table(spark, folder, "part").select(prefixed("PAGE-", "p_partkey").alias("id"), F.lit("Confluence").alias("label")))
-    return teams.unionByName(graph.with_target(links, targets))
+    return graph.with_target(links, targets)
 
 
 def team_vertices(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,27 +228,64 @@ def graph_counts(spark: SparkSession, folder: str) -> DataFrame:
     return graph.graph_counts(star_vertices(spark, folder), star_edges(spark, folder))
 
 
-def _simple_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The first-generation graph: orders mention customers, parts refer to the orders of the customer of their number."""
+def _full_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The graph of raw-shaped tables: changes from customers, issues from orders with a typed link to the order that has
+    the number of their customer, pages from parts with ``;`` lists of issues and changes, some of them unknown."""
+    nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("CR_Team_Assignment_Group"))
+    key, none = F.col("c_custkey").cast("string"), F.lit(None).cast("string")
+    changed = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        F.concat(F.lit("CR-"), key).alias("CR_ID"), "CR_Team_Assignment_Group",
+        F.concat(F.lit("ISSUE-"), key).alias("Linked_Jira_ID"), F.concat(F.lit("PAGE-"), key).alias("Linked_Confluence_ID"), F.lit("1").alias("row_no"))
+    kind = F.when(F.col("o_orderstatus") == "F", "blocks").when(F.col("o_orderstatus") == "O", "relates to").otherwise(none)
+    issues = table(spark, folder, "orders").select(
+        prefixed("ISSUE-", "o_orderkey").alias("JIRA_ID"), F.col("o_orderpriority").alias("JIRA_Team"),
+        prefixed("CR-", "o_custkey").alias("CR_ID_Link_From_CSV_Example"), kind.alias("JIRA_Link_Type"),
+        prefixed("ISSUE-", "o_custkey").alias("JIRA_Linked_Issue_ID_Target"), F.lit("1").alias("row_no"))
+    number = F.col("p_partkey").cast("string")
+    pages = table(spark, folder, "part").select(
+        F.concat(F.lit("PAGE-"), number).alias("Confluence_ID"), F.col("p_brand").alias("Confluence_Team_Association"),
+        F.concat(F.lit("ISSUE-"), number, F.lit(";;ISSUE-"), (F.col("p_partkey") + 1).cast("string"), F.lit(";ISSUE-x;")).alias("Confluence_Linked_Jira_ID"),
+        F.when(F.col("p_size") > 5, F.concat(F.lit("CR-"), number)).alias("Confluence_Linked_CR_ID"), F.lit("1").alias("row_no"))
+    return graph.build_graph(changed, issues, pages)
+
+
+def full_graph_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    return _full_graph(spark, folder)[0].select("id", "label", map_lines(F.col("props")).alias("props_text"))
+
+
+def full_graph_edges(spark: SparkSession, folder: str) -> DataFrame:
+    return _full_graph(spark, folder)[1].select(*graph.EDGE, "src_label", "dst_label", "src_table")
+
+
+def _simple_graph(spark: SparkSession, folder: str, null_keys_match: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The first-generation graph: orders mention customers, parts refer to the orders of the customer of their number.
+
+    Orders whose number ends in 999 have no customer, and neither have small parts.
+    """
     changed = table(spark, folder, "customer").select(
         prefixed("CR-", "c_custkey").alias("cr_id"), F.col("c_name").alias("cr_title"), F.col("c_mktsegment").alias("cr_status"),
         money("c_acctbal").cast("string").alias("created_at"), F.lit("loader").alias("updated_by_user"),
         F.lit(None).cast("string").alias("team_name"))
     issues = table(spark, folder, "orders").select(
         prefixed("ISSUE-", "o_orderkey").alias("jira_id"), F.col("o_orderpriority").alias("jira_summary"),
-        prefixed("CR-", "o_custkey").alias("cr_id"))
+        F.when(F.col("o_orderkey") % 1000 != 999, prefixed("CR-", "o_custkey")).alias("cr_id"))
     parts = table(spark, folder, "part")
     enriched = parts.select(prefixed("PAGE-", "p_partkey").alias("confluence_doc_id"), F.col("p_name").alias("doc_topic"),
                             F.col("p_type").alias("doc_content"))
     pages = parts.select(prefixed("PAGE-", "p_partkey").alias("confluence_doc_id"),
                          F.when(F.col("p_size") > 5, prefixed("CR-", "p_partkey")).alias("cr_id"))
-    return graph.build_simple_graph(changed, issues, enriched, pages)
+    return graph.build_simple_graph(changed, issues, enriched, pages, null_keys_match)
 
 
 def simple_graph_vertices(spark: SparkSession, folder: str) -> DataFrame:
     return _simple_graph(spark, folder)[0].select("id", "label", map_lines(F.col("props")).alias("props_text"))
 
 
+def simple_graph_edges_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages without a change belong to no issue."""
+    return _simple_graph(spark, folder, False)[1].select(*graph.EDGE)
+
+
 def simple_graph_edges(spark: SparkSession, folder: str) -> DataFrame:
     return _simple_graph(spark, folder)[1].select(*graph.EDGE, "src_label", "dst_label")
 
@@ -325,7 +348,7 @@ def keyword_neighborhood(spark: SparkSession, folder: str) -> DataFrame:
 
 def node_context_text(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder)
-    return context.node_context(vertices.select(F.col("id").alias("node_id")), edges, PART_LINES)
+    return context.node_context(vertices.select(F.col("id").alias("node_id")), edges, TEXT_BYTES)
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -341,35 +364,37 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
 
 def graph_context(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder, parallel=False)
-    found = context.graph_context(_requests(spark, folder), vertices, edges, PROPERTIES)
+    found = context.graph_context(_requests(spark, folder), vertices, edges, PROPERTIES, part_bytes=REQUEST_BYTES, sections=REQUEST_SECTIONS)
     return found.select("request_id", "part_no", "context")
 
 
 def global_context(spark: SparkSession, folder: str) -> DataFrame:
-    return context.global_context(stored_graph(spark, folder)[0], max_records=PART_LINES)
+    return context.global_context(stored_graph(spark, folder)[0], part_bytes=TEXT_BYTES)
 
 
 def request_answers(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder, parallel=False)
-    return retrieval.answer_requests(_requests(spark, folder), vertices, edges, PROPERTIES, echo_model)
+    return retrieval.answer_requests(_requests(spark, folder), vertices, edges, PROPERTIES, echo_model,
+                                     part_bytes=REQUEST_BYTES, sections=REQUEST_SECTIONS)
 
 
 # --- text ---------------------------------------------------------------------------------------
 
 def row_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    sources = [("customer", "CR", "c_custkey", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
-               ("part", "CONFLUENCE", "p_partkey", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]),
-               ("supplier", "CTASK", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey"])]
+    sources = [("customer", "CR", "c_custkey", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"]),
+               ("part", "CONFLUENCE", "p_partkey", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]),
+               ("supplier", "CTASK", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])]
     return reduce(DataFrame.unionByName, [
-        chunks.row_chunks(table(spark, folder, name), kind, key, columns) for name, kind, key, columns in sources])
+        chunks.row_chunks(table(spark, folder, name).withColumn(columns[-1], money(columns[-1])), kind, key, columns)
+        for name, kind, key, columns in sources])
 
 
 def chunk_text(spark: SparkSession, folder: str) -> DataFrame:
-    return chunks.document_chunks(dealt(spark, folder, "documents"), "doc_id", "text")
+    return chunks.document_chunks(table(spark, folder, "documents"), "doc_id", "text")
 
 
 def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
-    texts = dealt(spark, folder, "documents").select("doc_id", "text")
+    texts = table(spark, folder, "documents").select("doc_id", "text")
     done = embed_rows(texts, HashedEmbedder(DIMS)).select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
     return done.filter(F.col("weight") != 0).select(
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
@@ -417,13 +442,26 @@ def cosine_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(search.cosine_topk(_label_questions(spark, folder), _vectors(spark, folder), dims=DIMS, scope_col="label"))
 
 
-def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
-    listed, centres = search.build_lists(_vectors(spark, folder), 16, DIMS)
+LISTS = 16
+
+
+def _vector_index(spark: SparkSession, folder: str) -> tuple[DataFrame, np.ndarray]:
+    listed, centres = search.build_lists(_vectors(spark, folder), LISTS, DIMS)
     path = fresh_path(spark, "vector-index")
     search.write_index(listed, centres, path)
-    stored, centres = search.read_index(spark, path)
-    questions = _label_questions(spark, folder).drop("scope")
-    return _shown(search.ann_topk(questions, stored, centres, 8, dims=DIMS))
+    return search.read_index(spark, path)
+
+
+def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The search over coarse lists with every list probed, which is the exact search."""
+    stored, centres = _vector_index(spark, folder)
+    return _shown(search.ann_topk(_label_questions(spark, folder).drop("scope"), stored, centres, LISTS, dims=DIMS))
+
+
+def ann_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same among the documents of the question's label."""
+    stored, centres = _vector_index(spark, folder)
+    return _shown(search.ann_topk(_label_questions(spark, folder), stored, centres, LISTS, dims=DIMS, scope_col="label"))
 
 
 def document_edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -453,6 +491,17 @@ def vector_graph_context(spark: SparkSession, folder: str) -> DataFrame:
                         "part_no", "context", "prompt")
 
 
+def question_graph_context(spark: SparkSession, folder: str) -> DataFrame:
+    """For every text of the benchmark as a question: the nearest chunks of the documents, as a user sees them, with context and prompt."""
+    documents = table(spark, folder, "documents")
+    pieces = chunks.document_chunks(documents, "doc_id", "text").select(
+        "chunk_id", F.concat(F.lit("DOC-"), F.col("node_id")).alias("node_id"), "node_type", "text")
+    questions = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    found = retrieval.question_graph_context(questions, pieces, document_edges(spark, folder), HashedEmbedder(DIMS), 3, DIMS)
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "chunk_id", F.round("score", 6).alias("score"),
+                        "preview", map_lines(F.col("metadata")).alias("metadata"), "part_no", F.md5("prompt").alias("prompt_md5"))
+
+
 def index_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with newer texts for the labelled ones, quality 1 after quality 0."""
     stored = table(spark, folder, "documents").select(prefixed("DOC-", "doc_id").alias("chunk_id"), "text")
@@ -498,6 +547,14 @@ def pending_batch(spark: SparkSession, folder: str) -> DataFrame:
     return batch.select(F.col("QuestionaireID").alias("id"), F.col("ActionTaken").alias("action"))
 
 
+def second_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch after one that is in the table of processed ids."""
+    audit = _audit(spark, folder)
+    first = changes.pending_batch(audit, "QuestionaireID", 20).select("QuestionaireID")
+    batch = changes.pending_batch(audit, "QuestionaireID", 20, written(first, "processed"))
+    return batch.select(F.col("QuestionaireID").alias("id"), F.col("ActionTaken").alias("action"))
+
+
 def mark_notified(spark: SparkSession, folder: str) -> DataFrame:
     """All insertions are marked as sent."""
     audit = _audit(spark, folder)
@@ -514,9 +571,19 @@ def notification_list(spark: SparkSession, folder: str) -> DataFrame:
     return notify.with_list_message(_audit(spark, folder)).select(F.col("QuestionaireID").alias("id"), "generated_email_body")
 
 
+def json_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit log as JSON records, a null field left out, to messages."""
+    rows = _audit(spark, folder).drop("IsNotified")
+    records = rows.select(F.col("QuestionaireID").alias("id"), F.to_json(F.struct(*rows.columns)).alias("document"))
+    return notify.json_messages(records, "document").select("id", "message")
+
+
 def change_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Changed graph documents as JSON text, one per order line: four good shapes and one broken."""
-    lines = dealt(spark, folder, "lineitem")
+    """Changed graph documents as JSON text, one per order line: four good shapes and one broken.
+
+    Some vertices have a list for a label, a number for an id, or their id twice.
+    """
+    lines = table(spark, folder, "lineitem")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     head = F.concat(F.lit('{"id": "'), key, F.lit('", "label": "'), F.col("l_returnflag"), F.lit('"'))
 
@@ -524,9 +591,15 @@ def change_documents(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat(F.lit(f', "{source}": "O'), F.col("l_orderkey").cast("string"), F.lit(f'", "{target}": "P'),
                         F.col("l_partkey").cast("string"), F.lit('"'))
 
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    flag, status, place = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
+    tail = F.lit(', "_isEdge": false, "outVLabel": null}')
+    listed = F.concat(F.lit('{"id": "'), key, F.lit('", "label": [1, "a\'s", null, 2.50, {"k": true}]'), tail)
+    numbered = F.concat(F.lit('{"id": '), F.col("l_orderkey").cast("string"), F.lit('.0, "label": "'), F.col("l_returnflag"), F.lit('"'), tail)
     body = (
-        F.when((flag == "A") & (status == "F"), F.concat(head, F.lit(', "_isEdge": false, "outVLabel": null}')))
+        F.when((flag == "A") & (status == "F") & (place == 1), listed)
+        .when((flag == "A") & (status == "F") & (place == 2), numbered)
+        .when((flag == "A") & (status == "F") & (place == 3), F.concat(F.lit('{"id": "first", '), F.substring(head, F.lit(2), F.length(head)), tail))
+        .when((flag == "A") & (status == "F"), F.concat(head, tail))
         .when(flag == "A", F.concat(head, F.lit(', "_isEdge": true, "inVLabel": null}')))
         .when((flag == "N") & (status == "F"), F.concat(head, ends("outV", "inV"), F.lit(', "outVLabel": "order", "inVLabel": "part"}')))
         .when(flag == "N", F.concat(head, ends("_vertexId", "_sink"), F.lit("}")))
@@ -588,33 +661,72 @@ def change_capture(spark: SparkSession, folder: str) -> DataFrame:
     stream = feed.read_feed(spark, folder, schema, name_filter="events.parquet").select(
         F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("question"),
         money("value").cast("string").alias("answer"), (F.col("event_type") == "error").alias("deleted"))
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    with rocksdb_state(spark):
         (capture.capture_changes(stream).writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, "capture-progress"))
          .trigger(availableNow=True).start(out).awaitTermination())
-    finally:
-        spark.conf.set(name, before)
     return spark.read.parquet(out)
 
 
-# --- data ---------------------------------------------------------------------------------------
+def audit_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """The outbox of an audit log that is delivered twice, in two batches, as two copies of its files."""
+    path, out = fresh_path(spark, "audit"), fresh_path(spark, "audit-outbox")
+    log = written(_audit(spark, folder).select(
+        F.col("QuestionaireID").alias("AuditLogID"), "*"), "audit-log").withColumn("ActionTimestamp", F.lit("2024-01-15T10:30:00.5Z"))
+    log.coalesce(1).write.mode("append").parquet(path)
+    log.coalesce(1).write.mode("append").parquet(path)
+    stream = feed.read_feed(spark, path, log.schema, files_per_trigger=1)
+    feed.audit_feed(stream, "AuditLogID", out, fresh_path(spark, "audit-progress"), drain=True).awaitTermination()
+    return spark.read.parquet(f"{out}/outbox").select("message_key", "channel", "subject", "body")
+
+
+# --- files --------------------------------------------------------------------------------------
+
+def _tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as change tasks; texts with commas, quotes and line breaks, some of them missing."""
+    status = F.col("o_orderstatus")
+    return table(spark, folder, "orders").select(
+        prefixed("TASK-", "o_orderkey").alias("CTASK_ID"), prefixed("CR-", "o_custkey").alias("CR_ID"),
+        F.when(status != "P", F.col("o_orderpriority")).alias("CTASK_Assigned_To_User"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm").alias("CTASK_Start_Time"),
+        F.when(F.col("o_custkey") % 5 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm")).alias("CTASK_End_Time"),
+        F.concat(F.lit('say "'), status, F.lit('", then\ngo')).alias("CTASK_Description"))
+
+
+def _task_files(spark: SparkSession, folder: str) -> list[str]:
+    """The tasks as CSV: whole rows, and apart from them rows with too few and too many fields."""
+    paths = [fresh_path(spark, name) for name in ("whole", "short", "long")]
+    rows, number = _tasks(spark, folder), F.regexp_extract("CTASK_ID", "[0-9]+", 0).cast("bigint")
+    short, long = number % 7 == 3, number % 7 == 5
+    write_csv(rows.filter(~short & ~long), paths[0])
+    write_csv(rows.filter(short).select(*rows.columns[:4]), paths[1])
+    write_csv(rows.filter(long).select(*rows.columns[:5], F.lit("a").alias("x"), F.lit("b").alias("y")), paths[2])
+    return paths
+
+
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, _task_files(spark, folder), "CR_CTasks").drop(ROW_NO)
+
+
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    malformed = quarantine(read_raw(spark, _task_files(spark, folder), "CR_CTasks"))[1]
+    return malformed.select(F.col(CORRUPT).alias("line"))
+
 
-def synthetic_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    """A linked data set as large as the tables, its rows as chunks."""
-    sizes = {name: table(spark, folder, name).count() for name in ("orders", "customer", "part")}
-    made = linked_tables(spark, sizes["orders"], sizes["customer"], sizes["part"])
-    return retrieval.table_chunks(made, RAW)
+def typed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Tasks with target names and types; a text that is no time gives null."""
+    rows = typed_table(read_table(spark, _task_files(spark, folder), "CR_CTasks"))
+    return rows.select("CTASK_ID_Source", "CR_ID", F.date_format("CTASK_Start_Time", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
+                       F.date_format("CTASK_End_Time", "yyyy-MM-dd HH:mm:ss").alias("end_time"))
 
 
 QUERIES = {f.__name__: f for f in [
     vector_graph_context, left_join_chain, null_safe_left_merge, typed_cast, timestamp_text, first_row_per_key,
     latest_row_per_key, duplicate_keys, fk_orphans, fk_stubs, surrogate_keys, normalize_entities, normalize_links,
     normalize_watchers, delimited_explode, team_vertices, graph_vertices, graph_edges_multi, graph_edges_distinct,
-    graph_counts, simple_graph_vertices, simple_graph_edges, vertex_insert_if_absent, edge_insert_if_absent, neighborhood, two_hop_mentions, keyword_neighborhood,
+    graph_counts, simple_graph_vertices, simple_graph_edges, simple_graph_edges_strict, full_graph_vertices, full_graph_edges, vertex_insert_if_absent, edge_insert_if_absent, neighborhood, two_hop_mentions, keyword_neighborhood,
     node_context_text, graph_context, global_context, request_answers, row_flatten, chunk_text, hashed_embedding,
-    model_column, cosine_topk, cosine_topk_batch, cosine_topk_filtered, ann_topk, index_upsert, snapshot_diff,
-    snapshot_diff_changed, pending_batch, mark_notified, notification_html, notification_list, classify_changes,
-    change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, synthetic_dataset,
+    model_column, cosine_topk, cosine_topk_batch, cosine_topk_filtered, ann_topk, ann_topk_filtered, question_graph_context, index_upsert, snapshot_diff,
+    snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
+    change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
+    csv_round_trip, csv_quarantine, typed_load,
 ]}

@@ -8,7 +8,8 @@ from linkwright.functions.text import WORD
 SPACE = WORD.replace("[^", "[").removesuffix("+")
 SPLIT = "1998-05-01"
 DIMS = 64
-PART_LINES = 1000
+TEXT_BYTES = 20_000
+REQUEST_BYTES = 3_000
 
 
 def text(value: str) -> str:
@@ -27,9 +28,11 @@ def layout(template: str, **values: str) -> str:
     return " || ".join(pieces)
 
 
-def part_number(salt: str, count: str, limit: int) -> str:
-    bucket = f"('0x' || substr(md5({salt}), 1, 8))::BIGINT % CAST(ceil({count} / {limit}.0) AS BIGINT)"
-    return f"CASE WHEN {count} <= {limit} THEN 0 ELSE {bucket} END"
+def placed(rows: str, keys: str, line: str, order: str, sep: int, limit: int) -> str:
+    """The rows of a table with the part of the key's whole text in which the line begins."""
+    return f"""(SELECT *, CAST(coalesce(sum(strlen({line}) + {sep}) OVER (
+  PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {limit} AS BIGINT) AS part_no
+  FROM {rows})"""
 
 
 # --- the graph ----------------------------------------------------------------------------------
@@ -80,6 +83,10 @@ EDGES = """edges AS (
   SELECT issue_id, 'REFERS_TO', page_id, 'orders', row_no FROM issue_rows
   WHERE page_id IN (SELECT 'PAGE-' || p_partkey FROM part))"""
 
+SIMPLE = """issues AS (
+  SELECT o_orderkey, 'ISSUE-' || o_orderkey AS jira_id, CASE WHEN o_orderkey % 1000 <> 999 THEN 'CR-' || o_custkey END AS cr_id FROM orders),
+pages AS (SELECT 'PAGE-' || p_partkey AS page_id, CASE WHEN p_size > 5 THEN 'CR-' || p_partkey END AS cr_id, p_type, p_name FROM part)"""
+
 SINGLE = """single AS (
   SELECT src, label, dst, min(src_table) AS src_table, min(row_no) AS row_no FROM edges GROUP BY src, label, dst)"""
 
@@ -98,19 +105,15 @@ HOP = "direction, edge_label, other_id, v.label AS other_label"
 
 def node_lines(extra: str, limit: int) -> str:
     """Context texts for the ids in a table ``nodes(node_id)``."""
-    salt = "concat_ws('|', edge_label, other_id, direction, src_table, row_no)"
     return f"""{extra},
 lines AS (
-  SELECT node_id, edge_label, v.label AS other_label, other_id, count(*) OVER (PARTITION BY node_id) AS n,
-         {salt} AS salt, {layout(fixed.NODE_LINE, edge="edge_label", kind="v.label", other="other_id")} AS line
+  SELECT node_id, 0 AS below, {layout(fixed.NODE_HEADER, node="node_id")} AS line FROM nodes
+  UNION ALL
+  SELECT node_id, 1, {layout(fixed.NODE_LINE, edge="edge_label", kind="v.label", other="other_id")}
   FROM incident JOIN nodes ON node = node_id JOIN vertices v ON v.id = other_id),
-parts AS (
-  SELECT node_id, part_no, string_agg(line, chr(10) ORDER BY line) AS body
-  FROM (SELECT *, {part_number("salt", "n", limit)} AS part_no FROM lines) GROUP BY node_id, part_no),
 node_context AS (
-  SELECT n.node_id, coalesce(part_no, 0) AS part_no,
-         concat_ws(chr(10), {layout(fixed.NODE_HEADER, node="n.node_id")}, body) AS context
-  FROM nodes n LEFT JOIN parts p ON n.node_id = p.node_id)"""
+  SELECT node_id, part_no, string_agg(line, chr(10) ORDER BY below, line) AS context
+  FROM {placed("lines", "node_id", "line", "below, line", 1, limit)} GROUP BY node_id, part_no)"""
 
 
 def vertex_block(v: str) -> str:
@@ -143,15 +146,31 @@ starts AS (
   WHERE jira_id IS NULL AND cr_id IS NULL),
 paths AS (
   SELECT request_id, seed_id, via_id, edge_label, direction, other_id,
-         head || 'label: ' || edge_label || chr(10) || {text(fixed.RECORD_END)} || o.block AS path_text
+         src_table, row_no, head || 'id: ' || concat_ws('/', CASE WHEN direction = 'out' THEN i.node ELSE other_id END, edge_label,
+           CASE WHEN direction = 'out' THEN other_id ELSE i.node END, src_table, row_no) || chr(10)
+           || 'label: ' || edge_label || chr(10) || {text(fixed.RECORD_END)} || o.block AS path_text
   FROM starts s JOIN incident i ON i.node = s.node JOIN blocks o ON o.id = i.other_id),
+own AS (
+  SELECT request_id, part_no, string_agg(path_text, '' ORDER BY seed_id, via_id, edge_label, direction, other_id, src_table, row_no) AS body
+  FROM {placed("paths", "request_id", "path_text", "seed_id, via_id, edge_label, direction, other_id, src_table, row_no", 0, REQUEST_BYTES)}
+  GROUP BY request_id, part_no),
+mine AS (
+  SELECT r.request_id, coalesce(part_no, 0) AS part_no, coalesce(body, '') AS context FROM requests r LEFT JOIN own o USING (request_id)
+  WHERE coalesce(jira_id, cr_id, keyword) IS NOT NULL),
+dump AS (
+  SELECT 0 AS below, '' AS id, chr(10) || '=== Teams ===' || chr(10) AS block
+  UNION ALL SELECT 1, id, block FROM blocks WHERE label = 'Team'),
+section AS (
+  SELECT part_no, string_agg(block, '' ORDER BY below, id) AS context
+  FROM {placed("dump", "1", "block", "below, id", 0, REQUEST_BYTES)} GROUP BY part_no),
 context AS (
-  SELECT r.request_id, CAST(0 AS BIGINT) AS part_no, jira_id, cr_id, keyword,
-         CASE WHEN jira_id IS NULL AND cr_id IS NULL AND keyword IS NULL THEN {text(fixed.NO_INPUT)}
-              ELSE coalesce(body, '') END AS context
-  FROM requests r LEFT JOIN (
-    SELECT request_id, string_agg(path_text, '' ORDER BY seed_id, via_id, edge_label, direction, other_id) AS body
-    FROM paths GROUP BY request_id) p ON p.request_id = r.request_id)"""
+  SELECT request_id, part_no, context FROM mine
+  UNION ALL
+  SELECT request_id, own_last + 1 + spot, context
+  FROM (SELECT request_id, max(part_no) AS own_last FROM mine GROUP BY request_id),
+       (SELECT row_number() OVER (ORDER BY part_no) - 1 AS spot, context FROM section)
+  UNION ALL
+  SELECT request_id, 0, {text(fixed.NO_INPUT)} FROM requests WHERE coalesce(jira_id, cr_id, keyword) IS NULL)"""
 
 
 # --- vectors ------------------------------------------------------------------------------------
@@ -211,8 +230,14 @@ LIST_MESSAGE = " || ".join([
     layout(fixed.LIST_HEAD, action="action", id="id", time="'2024-01-15T10:30:00.5Z'", user="'auditor'"),
     detail_cases(fixed.LIST_ROW, fixed.LIST_GROUP, ""), text(fixed.LIST_TAIL)])
 
+TASKS = """WITH tasks AS (
+  SELECT 'TASK-' || o_orderkey AS task, 'CR-' || o_custkey AS cr, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS person,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M') AS begins, CASE WHEN o_custkey % 5 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M') END AS ends,
+         'say "' || o_orderstatus || '", then' || chr(10) || 'go' AS said, o_orderkey % 7 AS n FROM orders)"""
+
 CLASSIFIED = f"""WITH shapes AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS doc_key, l_returnflag AS label,
+         l_linenumber AS n, l_orderkey,
          CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'vertex' WHEN l_returnflag = 'A' THEN 'flagged'
               WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'named' WHEN l_returnflag = 'N' THEN 'plain'
               ELSE 'broken' END AS shape,
@@ -220,7 +245,8 @@ CLASSIFIED = f"""WITH shapes AS (
   FROM lineitem),
 facts AS (
   SELECT doc_key, CASE shape WHEN 'broken' THEN NULL WHEN 'vertex' THEN 'vertex' ELSE 'edge' END AS kind,
-         CASE WHEN shape <> 'broken' THEN doc_key END AS element_id, CASE WHEN shape <> 'broken' THEN label END AS label,
+         CASE WHEN shape = 'vertex' AND n = 2 THEN l_orderkey || '.0' WHEN shape <> 'broken' THEN doc_key END AS element_id,
+         CASE WHEN shape = 'vertex' AND n = 1 THEN '[1, "a''s", None, 2.5, {{''k'': True}}]' WHEN shape <> 'broken' THEN label END AS label,
          CASE WHEN shape = 'flagged' THEN '{fixed.UNKNOWN["source"]}' WHEN shape IN ('named', 'plain') THEN o END AS source_id,
          CASE WHEN shape = 'flagged' THEN '{fixed.UNKNOWN["target"]}' WHEN shape IN ('named', 'plain') THEN p END AS target_id,
          CASE WHEN shape = 'named' THEN 'order' ELSE '{fixed.UNKNOWN["outVLabel"]}' END AS source_label,
@@ -317,7 +343,7 @@ FROM pairs WHERE alive OR NOT deleted"""
 ORACLES = {
     "vector_graph_context": f"""WITH {topk("CAST(label AS BIGINT)", 5, "vec_id IN (SELECT doc_id FROM documents)")
         .replace("vec_id AS id", "'DOC-' || vec_id AS id")}, {DOCUMENT_GRAPH},
-nodes AS (SELECT DISTINCT id AS node_id FROM hits), {node_lines("dummy AS (SELECT 1)", 10_000)}
+nodes AS (SELECT DISTINCT id AS node_id FROM hits), {node_lines("dummy AS (SELECT 1)", 4_000_000)}
 SELECT query_id, rank, n.node_id, round(score, 6) AS score, part_no, context,
        {layout(fixed.SHORT_PROMPT, question="'What is typical of label ' || query_id || '?'",
                context="(" + layout(fixed.HIT_BLOCK, kind="'Document'", node="n.node_id", text="coalesce(text, '')", context="context") + ")")} AS prompt
@@ -348,7 +374,7 @@ UNION ALL SELECT DISTINCT doc_id, 'Placeholder for ' || doc_id, NULL FROM docume
     "normalize_links": f"""WITH {ISSUE_ROWS} SELECT DISTINCT issue_id, page_id, link_type FROM issue_rows
 WHERE page_id IS NOT NULL AND link_type IS NOT NULL""",
     "normalize_watchers": f"WITH {ISSUE_ROWS} SELECT DISTINCT issue_id, watcher FROM issue_rows WHERE watcher IS NOT NULL",
-    "delimited_explode": """SELECT l_orderkey, CAST(0 AS BIGINT) AS part_no,
+    "delimited_explode": """SELECT l_orderkey,
        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS ordinal,
        CAST(l_partkey AS VARCHAR) AS part FROM lineitem""",
     "team_vertices": f"WITH {TEAMS} SELECT 'TEAM-' || replace(team_name, ' ', '_') AS id, 'Team' AS label, team_name FROM teams",
@@ -359,18 +385,48 @@ CASE WHEN dst LIKE 'CR-%' THEN 'CR' WHEN dst LIKE 'TEAM-%' THEN 'Team' ELSE 'Con
     "graph_edges_distinct": f"WITH {ISSUE_ROWS}, {EDGES} SELECT DISTINCT src, label, dst FROM edges",
     "graph_counts": f"""{GRAPH} SELECT 'vertex' AS kind, label, count(*) AS n FROM vertices GROUP BY label
 UNION ALL SELECT 'edge', label, count(*) FROM edges GROUP BY label""",
-    "simple_graph_vertices": """SELECT 'ISSUE-' || o_orderkey AS id, 'Jira' AS label,
-       concat_ws(chr(10), 'cr_id: CR-' || o_custkey, 'jira_summary: ' || o_orderpriority) AS props_text FROM orders
+    "simple_graph_vertices": f"""WITH {SIMPLE} SELECT jira_id AS id, 'Jira' AS label,
+       concat_ws(chr(10), 'cr_id: ' || coalesce(cr_id, ''), 'jira_summary: ' || o_orderpriority) AS props_text FROM issues JOIN orders USING (o_orderkey)
 UNION ALL SELECT 'CR-' || c_custkey, 'CR', concat_ws(chr(10), 'cr_status: ' || c_mktsegment, 'cr_title: ' || c_name,
        'created_at: ' || CAST(c_acctbal AS DECIMAL(18,2)), 'team_name: None', 'updated_by_user: loader') FROM customer
-UNION ALL SELECT 'PAGE-' || p_partkey, 'Confluence', concat_ws(chr(10), 'cr_id: ' || CASE WHEN p_size > 5 THEN 'CR-' || p_partkey ELSE '' END,
+UNION ALL SELECT page_id, 'Confluence', concat_ws(chr(10), 'cr_id: ' || coalesce(pages.cr_id, ''),
        'doc_content: ' || p_type, 'doc_topic: ' || p_name, 'jira_id: ' || coalesce(first_issue, ''))
-FROM part LEFT JOIN (SELECT o_custkey, min('ISSUE-' || o_orderkey) AS first_issue FROM orders GROUP BY o_custkey)
-  ON o_custkey = p_partkey AND p_size > 5""",
-    "simple_graph_edges": """SELECT DISTINCT 'PAGE-' || p_partkey AS src, 'REFERS_TO' AS label, 'ISSUE-' || o_orderkey AS dst,
-       'Confluence' AS src_label, 'Jira' AS dst_label FROM part JOIN orders ON o_custkey = p_partkey WHERE p_size > 5
-UNION ALL SELECT DISTINCT 'ISSUE-' || o_orderkey, 'MENTIONS', 'CR-' || o_custkey, 'Jira', 'CR' FROM orders
-WHERE o_custkey IN (SELECT c_custkey FROM customer)""",
+FROM pages LEFT JOIN (SELECT cr_id, min(jira_id) AS first_issue FROM issues GROUP BY cr_id) f ON f.cr_id IS NOT DISTINCT FROM pages.cr_id""",
+    "simple_graph_edges": f"""WITH {SIMPLE} SELECT DISTINCT page_id AS src, 'REFERS_TO' AS label, jira_id AS dst,
+       'Confluence' AS src_label, 'Jira' AS dst_label FROM pages JOIN issues ON issues.cr_id IS NOT DISTINCT FROM pages.cr_id
+UNION ALL SELECT DISTINCT jira_id, 'MENTIONS', cr_id, 'Jira', 'CR' FROM issues
+WHERE cr_id IN (SELECT 'CR-' || c_custkey FROM customer)""",
+    "simple_graph_edges_strict": """SELECT DISTINCT 'PAGE-' || p_partkey AS src, 'REFERS_TO' AS label, 'ISSUE-' || o_orderkey AS dst
+FROM part JOIN orders ON o_custkey = p_partkey WHERE p_size > 5 AND o_orderkey % 1000 <> 999
+UNION ALL SELECT DISTINCT 'ISSUE-' || o_orderkey, 'MENTIONS', 'CR-' || o_custkey FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer) AND o_orderkey % 1000 <> 999""",
+    "full_graph_vertices": f"""WITH {TEAMS}
+SELECT 'TEAM-' || replace(team_name, ' ', '_') AS id, 'Team' AS label, 'team_name: ' || team_name AS props_text FROM teams
+UNION ALL SELECT 'CR-' || c_custkey, 'CR', concat_ws(chr(10), 'CR_ID: CR-' || c_custkey, 'CR_Team_Assignment_Group: ' || n_name,
+       'Linked_Confluence_ID: PAGE-' || c_custkey, 'Linked_Jira_ID: ISSUE-' || c_custkey)
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'ISSUE-' || o_orderkey, 'JIRA', concat_ws(chr(10), 'CR_ID_Link_From_CSV_Example: CR-' || o_custkey, 'JIRA_ID: ISSUE-' || o_orderkey,
+       'JIRA_Link_Type: ' || CASE o_orderstatus WHEN 'F' THEN 'blocks' WHEN 'O' THEN 'relates to' END,
+       'JIRA_Linked_Issue_ID_Target: ISSUE-' || o_custkey, 'JIRA_Team: ' || o_orderpriority) FROM orders
+UNION ALL SELECT 'PAGE-' || p_partkey, 'Confluence', concat_ws(chr(10), 'Confluence_ID: PAGE-' || p_partkey,
+       'Confluence_Linked_CR_ID: ' || CASE WHEN p_size > 5 THEN 'CR-' || p_partkey END,
+       'Confluence_Linked_Jira_ID: ISSUE-' || p_partkey || ';;ISSUE-' || (p_partkey + 1) || ';ISSUE-x;',
+       'Confluence_Team_Association: ' || p_brand) FROM part""",
+    "full_graph_edges": """WITH links AS (
+  SELECT 'CR-' || c_custkey AS src, 'REFERS_TO' AS label, 'ISSUE-' || c_custkey AS dst, 'CR' AS src_label, 'CR_Main' AS src_table FROM customer
+  UNION ALL SELECT 'CR-' || c_custkey, 'REFERS_TO', 'PAGE-' || c_custkey, 'CR', 'CR_Main' FROM customer
+  UNION ALL SELECT 'ISSUE-' || o_orderkey, 'MENTIONS', 'CR-' || o_custkey, 'JIRA', 'JIRA_Issues_Detailed' FROM orders
+  UNION ALL SELECT 'ISSUE-' || o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'blocks' ELSE 'relates to' END, 'ISSUE-' || o_custkey, 'JIRA', 'JIRA_Issues_Detailed'
+    FROM orders WHERE o_orderstatus IN ('F', 'O')
+  UNION ALL SELECT 'PAGE-' || p_partkey, 'REFERS_TO', 'ISSUE-' || (p_partkey + i), 'Confluence', 'Confluence_Pages_Detailed' FROM part, (VALUES (0), (1)) v(i)
+  UNION ALL SELECT 'PAGE-' || p_partkey, 'REFERS_TO', 'CR-' || p_partkey, 'Confluence', 'Confluence_Pages_Detailed' FROM part WHERE p_size > 5),
+targets AS (
+  SELECT 'CR-' || c_custkey AS id, 'CR' AS dst_label FROM customer UNION ALL SELECT 'ISSUE-' || o_orderkey, 'JIRA' FROM orders
+  UNION ALL SELECT 'PAGE-' || p_partkey, 'Confluence' FROM part)
+SELECT src, label, dst, src_label, dst_label, src_table FROM links JOIN targets ON id = dst
+UNION ALL SELECT 'CR-' || c_custkey, 'BELONGS_TO', 'TEAM-' || replace(n_name, ' ', '_'), 'CR', 'Team', 'CR_Main' FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'ISSUE-' || o_orderkey, 'BELONGS_TO', 'TEAM-' || replace(o_orderpriority, ' ', '_'), 'JIRA', 'Team', 'JIRA_Issues_Detailed' FROM orders
+UNION ALL SELECT 'PAGE-' || p_partkey, 'BELONGS_TO', 'TEAM-' || replace(p_brand, ' ', '_'), 'Confluence', 'Team', 'Confluence_Pages_Detailed' FROM part""",
     "vertex_insert_if_absent": """SELECT 'DOC-' || key AS id, source, lang FROM (
   SELECT doc_id AS key, source, lang FROM documents UNION ALL SELECT vec_id, 'zz', 'zz' FROM embeddings)
 WHERE key NOT IN (SELECT doc_id FROM labels) QUALIFY row_number() OVER (PARTITION BY key ORDER BY source, lang) = 1""",
@@ -387,28 +443,32 @@ JOIN (SELECT 'PAGE-' || p_partkey AS seed FROM part WHERE contains(p_name, 'ring
       UNION ALL SELECT 'CR-' || c_custkey FROM customer WHERE contains(c_name, 'ring')) ON node = seed
 JOIN vertices v ON v.id = other_id""",
     "node_context_text": f"""{GRAPH}, {incident("edges")}, nodes AS (SELECT id AS node_id FROM vertices),
-{node_lines("dummy AS (SELECT 1)", PART_LINES)} SELECT node_id, part_no, context FROM node_context""",
+{node_lines("dummy AS (SELECT 1)", TEXT_BYTES)} SELECT node_id, part_no, context FROM node_context""",
     "graph_context": f"{REQUEST_CONTEXT} SELECT request_id, part_no, context FROM context",
     "global_context": f"""WITH {VERTICES},
 sections AS (SELECT * FROM (VALUES {", ".join(f"(CAST({i} AS BIGINT), {text(h)}, '{label}')"
                                               for i, (h, label) in enumerate(fixed.GLOBAL_SECTIONS))}) s(section_no, heading, label)),
-blocks AS (SELECT v.label, v.id, {vertex_block("v")} AS block, count(*) OVER (PARTITION BY v.label) AS n FROM vertices v),
-parts AS (
-  SELECT label, part_no, string_agg(block, '' ORDER BY id) AS body
-  FROM (SELECT *, {part_number("id", "n", PART_LINES)} AS part_no FROM blocks) GROUP BY label, part_no)
-SELECT section_no, coalesce(part_no, 0) AS part_no,
-       CASE WHEN coalesce(part_no, 0) = 0 THEN heading ELSE '' END || coalesce(body, '') AS text
-FROM sections LEFT JOIN parts ON sections.label = parts.label""",
-    "request_answers": f"""{REQUEST_CONTEXT} SELECT request_id, part_no, 'Reply ' || md5({layout(
-        fixed.SERVICE_PROMPT, context="context",
-        question="(" + layout(fixed.SERVICE_QUESTION, subject="coalesce(jira_id, cr_id, keyword, 'None')") + ")")}) AS answer FROM context""",
+lines AS (
+  SELECT section_no, 0 AS below, '' AS id, heading AS block FROM sections
+  UNION ALL SELECT section_no, 1, v.id, {vertex_block("v")} FROM vertices v JOIN sections USING (label))
+SELECT section_no, part_no, string_agg(block, '' ORDER BY below, id) AS text
+FROM {placed("lines", "section_no", "block", "below, id", 0, TEXT_BYTES)} GROUP BY section_no, part_no""",
+    "request_answers": f"""{REQUEST_CONTEXT},
+asked AS (SELECT request_id, part_no, context, {layout(fixed.SERVICE_QUESTION, subject="coalesce(jira_id, cr_id, keyword, 'None')")} AS question
+          FROM context JOIN requests USING (request_id)),
+answers AS (
+  SELECT request_id, question, count(*) AS n_parts, string_agg('Reply ' || md5({layout(
+      fixed.SERVICE_PROMPT, context="context", question="question")}), chr(10) || chr(10) ORDER BY part_no) AS answer
+  FROM asked GROUP BY request_id, question)
+SELECT request_id, n_parts, CASE WHEN n_parts = 1 THEN answer ELSE 'Reply ' || md5({layout(
+    fixed.SERVICE_PROMPT, context="answer", question="question")}) END AS answer FROM answers""",
     "row_flatten": " UNION ALL ".join(
         f"""SELECT sha256(concat_ws('|', '{kind}', {key}, flat)) AS chunk_id, CAST({key} AS VARCHAR) AS node_id,
-'{kind}' AS node_type, flat AS text FROM (SELECT {key}, concat_ws(' | ', {", ".join(f"'{c}: ' || {c}" for c in columns)}) AS flat FROM {name})"""
+'{kind}' AS node_type, flat AS text FROM (SELECT {key}, concat_ws(' | ', {", ".join(f"'{c}: ' || " + (f"CAST({c} AS DECIMAL(18,2))" if c.endswith(("bal", "price")) else c) for c in columns)}) AS flat FROM {name})"""
         for name, kind, key, columns in [
-            ("customer", "CR", "c_custkey", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
-            ("part", "CONFLUENCE", "p_partkey", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]),
-            ("supplier", "CTASK", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey"])]),
+            ("customer", "CR", "c_custkey", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"]),
+            ("part", "CONFLUENCE", "p_partkey", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]),
+            ("supplier", "CTASK", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])]),
     "chunk_text": CHUNKS,
     "hashed_embedding": f"""WITH tokens AS (SELECT doc_id, md5(unnest({WORDS})) AS h FROM documents),
 places AS (
@@ -420,12 +480,50 @@ FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS norm FROM places)
     "cosine_topk": f"WITH {topk('CAST(0 AS BIGINT)', 5)} {SHOWN}",
     "cosine_topk_batch": f"WITH {topk('CAST(label AS BIGINT)', 10)} {SHOWN}",
     "cosine_topk_filtered": f"WITH {topk('CAST(label AS BIGINT)', 5, 'label = query_id')} {SHOWN}",
+    "ann_topk": f"WITH {topk('CAST(label AS BIGINT)', 5)} {SHOWN}",
+    "ann_topk_filtered": f"WITH {topk('CAST(label AS BIGINT)', 5, 'label = query_id')} {SHOWN}",
+    "question_graph_context": f"""WITH chunks AS ({CHUNKS}),
+tokens AS (
+  SELECT 'chunk' AS side, chunk_id AS id, md5(unnest({WORDS})) AS h FROM chunks
+  UNION ALL SELECT 'question', CAST(item_id AS VARCHAR), md5(unnest({WORDS})) FROM benchmark),
+places AS (
+  SELECT side, id, ('0x' || substr(h, 1, 8))::BIGINT % {DIMS} AS dim,
+         sum(CASE WHEN ('0x' || substr(h, 9, 2))::BIGINT % 2 = 0 THEN 1 ELSE -1 END) AS w FROM tokens GROUP BY ALL),
+weights AS (
+  SELECT side, id, dim, CAST(CAST(w / nullif(sqrt(sum(w * w) OVER (PARTITION BY side, id)), 0) AS FLOAT) AS DOUBLE) AS w FROM places),
+sizes AS (SELECT side, id, sqrt(sum(w * w)) AS size FROM weights GROUP BY side, id HAVING sum(w * w) > 0),
+dots AS (SELECT q.id AS q, c.id AS c, sum(q.w * c.w) AS dot FROM weights q JOIN weights c ON q.dim = c.dim
+         WHERE q.side = 'question' AND c.side = 'chunk' GROUP BY ALL),
+hits AS (
+  SELECT q.id AS query_id, c.id AS chunk_id, round(coalesce(dot, 0) / (q.size * c.size), 12) AS score,
+         row_number() OVER (PARTITION BY q.id ORDER BY round(coalesce(dot, 0) / (q.size * c.size), 12) DESC, c.id) AS rank
+  FROM sizes q JOIN sizes c ON q.side = 'question' AND c.side = 'chunk' LEFT JOIN dots ON dots.q = q.id AND dots.c = c.id
+  QUALIFY rank <= 3),
+found AS (
+  SELECT CAST(query_id AS BIGINT) AS query_id, rank, chunk_id, score, 'DOC-' || c.node_id AS node_id, c.text, b.text AS question
+  FROM hits JOIN chunks c USING (chunk_id) JOIN benchmark b ON CAST(item_id AS VARCHAR) = query_id),
+{DOCUMENT_GRAPH}, nodes AS (SELECT DISTINCT node_id FROM found), {node_lines("dummy AS (SELECT 1)", 4_000_000)}
+SELECT query_id, rank, chunk_id, round(score, 6) AS score, left(coalesce(text, ''), 300) || '...' AS preview,
+       'node_id: ' || node_id || chr(10) || 'node_type: Confluence' AS metadata, part_no,
+       md5({layout(fixed.SHORT_PROMPT, question="question",
+                   context="(" + layout(fixed.HIT_BLOCK, kind="'Confluence'", node="node_id", text="coalesce(text, '')", context="context") + ")")}) AS prompt_md5
+FROM found JOIN node_context USING (node_id)""",
     "index_upsert": """SELECT 'DOC-' || d.doc_id AS chunk_id, CASE WHEN l.doc_id IS NULL THEN d.text WHEN toxic = 1 THEN 'toxic'
        ELSE 'quality ' || quality END AS text FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "snapshot_diff": f"{DIFF} SELECT * FROM diff",
     "snapshot_diff_changed": f"""{DIFF} SELECT * FROM diff WHERE action <> 'UPDATE'
 OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answer, '') <> coalesce(new_answer, '')""",
     "pending_batch": f"{DIFF} SELECT id, action FROM diff WHERE action <> 'DELETE' ORDER BY id LIMIT 20",
+    "second_batch": f"{DIFF} SELECT id, action FROM diff WHERE action <> 'DELETE' ORDER BY id LIMIT 20 OFFSET 20",
+    "json_messages": f"""{DIFF} SELECT id, {TABLE_MESSAGE.replace("'None'", "'N/A'")} AS message FROM diff""",
+    "audit_feed_outbox": f"""{DIFF} SELECT id AS message_key, 'mail' AS channel,
+{layout(fixed.AUDIT_SUBJECT, action="action", id="id")} AS subject, {TABLE_MESSAGE} AS body FROM diff WHERE action <> 'DELETE'""",
+    "csv_round_trip": f"{TASKS} SELECT task AS CTASK_ID, cr AS CR_ID, person AS CTASK_Assigned_To_User, begins AS CTASK_Start_Time, ends AS CTASK_End_Time, "
+                      "said AS CTASK_Description FROM tasks WHERE n NOT IN (3, 5)",
+    "csv_quarantine": f"""{TASKS} SELECT CASE n WHEN 3 THEN concat_ws(',', task, cr, coalesce(person, ''), begins)
+       ELSE concat_ws(',', task, cr, coalesce(person, ''), begins, ends, 'a', 'b') END AS line FROM tasks WHERE n IN (3, 5)""",
+    "typed_load": f"""{TASKS} SELECT task AS CTASK_ID_Source, cr AS CR_ID, begins || ':00' AS start_time,
+       CASE WHEN ends <> 'soon' THEN ends || ':00' END AS end_time FROM tasks WHERE n NOT IN (3, 5)""",
     "mark_notified": f"{DIFF} SELECT id, action, action <> 'UPDATE' AS is_notified FROM diff",
     "notification_html": f"""{DIFF} SELECT id, {layout(fixed.AUDIT_SUBJECT, action="action", id="id")} AS subject,
 {TABLE_MESSAGE} AS generated_email_body FROM diff""",

@@ -1,4 +1,4 @@
-"""Message layouts, prompts and headings whose text must not change.
+"""Message layouts and headings whose text must not change, and prompts.
 
 ``{name}`` marks a value. ``render`` turns a layout into one concat expression.
 """
@@ -23,34 +23,12 @@ NODE_HEADER = "--- Related to node {node} ---"
 NODE_LINE = "{edge} → {kind} [{other}]"
 HIT_BLOCK = "\n### Context for {kind} {node}:\n{text}\n\n{context}"
 
-SHORT_PROMPT = """
-Given the following graph context, answer the user's question:
-
-{context}
-
-User question: {question}
-Answer:
-"""
-LONG_PROMPT = """
-You are a helpful assistant answering questions based on the following GraphRAG context:
-Get the complete context as provided below and answer the user's question.\x20
-{context}
-
-User's question: {question}
-Answer:
-"""
-SERVICE_PROMPT = """
-    You are a helpful assistant answering questions based on the following GraphRAG context:
-    {context}
-   \x20
-    User's question: {question}
-    Answer:
-    """
+# Prompts: wording of this library, no consumer reads them.
+SHORT_PROMPT = "Answer the question from this graph context.\n\n{context}\n\nQuestion: {question}\nAnswer:"
+LONG_PROMPT = "Use the records and links below, and nothing else, to answer.\n\n{context}\n\nQuestion: {question}\nAnswer:"
+SERVICE_PROMPT = "These records and links belong to the request.\n\n{context}\n\nQuestion: {question}\nAnswer:"
 SERVICE_QUESTION = "Give me details about {subject}"
-SUMMARY_PROMPT = """
-        Write a concise summary (2-3 paragraphs) for a Confluence document titled {topic}.
-        Focus mainly on the Confluence document topic.
-        """
+SUMMARY_PROMPT = "Summarise in two or three paragraphs what a wiki page with this title is about: {topic}"
 MODEL_ERROR = "AI error: "
 
 TABLE_HEAD = """

@@ -22,18 +22,22 @@ def real_change(old: Column, new: Column) -> Column:
 
 
 def utc_text(stamp: Column) -> Column:
-    """``2023-10-27T10:30:00Z`` and its two variants as ``2023-10-27 10:30:00 UTC``; other text unchanged.
+    """``2023-10-27T10:30:00Z``, shorter and undashed forms of it and two forms without ``Z`` as ``2023-10-27 10:30:00 UTC``; other text unchanged.
 
     With a ``Z`` the text is an ISO moment in UTC; without one, a fraction is cut off and the rest
     must be a plain date and time. Parsed without a zone, so the session zone does not matter.
     """
     plain = r"\A\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\z"
-    zulu = r"\A\d{4}-\d{2}-\d{2}.\d{2}:\d{2}(:\d{2}([.,]\d+)?)?Z\z"
+    zulu = r"\A\d{4}-\d{2}-\d{2}.\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?Z\z"
+    basic = r"\A(\d{4})(\d{2})(\d{2}).(\d{2})(\d{2})?(\d{2})?(?:[.,]\d+)?Z\z"
+    dashed = F.concat_ws("-", *[F.regexp_extract(stamp, basic, k) for k in (1, 2, 3)])
+    timed = F.concat_ws(":", *[F.coalesce(F.nullif(F.regexp_extract(stamp, basic, k), F.lit("")), F.lit("00")) for k in (4, 5, 6)])
     cut = F.split_part(stamp, F.lit("."), F.lit(1))
     moment = (
         F.when(F.contains(stamp, F.lit("Z")),
                F.when(stamp.rlike(zulu), F.concat(F.left(stamp, F.lit(10)), F.lit(" "),
-                                                  F.rpad(F.regexp_extract(stamp, r"\A.{11}([0-9:]+)", 1), 8, ":00"))))
+                                                  F.left(F.concat(F.regexp_extract(stamp, r"\A.{11}([0-9:]+)", 1), F.lit(":00:00")), F.lit(8))))
+               .when(stamp.rlike(basic), F.concat(dashed, F.lit(" "), timed)))
         .when(cut.rlike(plain), F.replace(cut, F.lit("T"), F.lit(" ")))
     )
     read = moment.try_cast("timestamp_ntz").cast("string")
@@ -64,35 +68,61 @@ FALSE_TOKENS = ["false", "null", "0", "-0", "0.0", '""', "[]", "{}"]
 
 
 def json_record(document: Column) -> Column:
-    """The fields of a JSON object, parsed once; null for broken text and for anything but an object.
+    """The fields of a JSON object in order; null for broken text and for anything but an object.
 
-    A present null field stays in the map, so it differs from a missing one.
+    Each field has its value, and its text as it is printed in the document, which tells 1.0 from 1. A present null field
+    differs from a missing one.
     """
-    return F.from_json(document, "map<string,variant>")
+    values = F.map_entries(F.from_json(document, "map<string,variant>"))
+    texts = F.map_entries(F.from_json(document, "map<string,string>"))
+    return F.zip_with(values, texts, lambda v, t: F.struct(
+        v["key"].alias("name"), v["value"].alias("value"), t["value"].alias("text")))
 
 
 def has_key(record: Column, *names: str) -> Column:
+    listed = F.transform(record, lambda f: f["name"])
     found = F.lit(True)
     for name in names:
-        found = found & F.map_contains_key(record, name)
+        found = found & F.array_contains(listed, name)
     return found
 
 
+def field(record: Column, name: str) -> Column:
+    """A field by name; of repeated names the last one counts."""
+    return F.try_element_at(F.filter(record, lambda f: f["name"] == name), F.lit(-1))
+
+
 def flag(record: Column, name: str) -> Column:
     """Whether a field is present and not empty, zero, false or null."""
-    return ~F.coalesce(F.to_json(record[name]), F.lit("null")).isin(*FALSE_TOKENS)
+    return ~F.coalesce(F.to_json(field(record, name)["value"]), F.lit("null")).isin(*FALSE_TOKENS)
+
+
+def field_text(found: Column) -> Column:
+    """The printed value of a present field: text as it is, ``None`` for null, ``True``/``False``, lists as ``[1, 'a']``."""
+    kind = F.schema_of_variant(found["value"])
+    return (F.when(found["value"].isNull() | (kind == "VOID"), "None").when(kind == "BOOLEAN", F.initcap(found["text"]))
+            .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), nested_text(found["text"])).otherwise(found["text"]))
+
+
+def nested_text(json: Column) -> Column:
+    """A JSON list or object in the way of ``[1, 'a', None, {'k': True}]``."""
+    marks = F.regexp_extract_all(json, F.lit(r'"(?:[^"\\]|\\.)*"|true|false|null|[,:]|[^",:tfn]+'), F.lit(0))
 
+    def printed(token: Column) -> Column:
+        inner = F.replace(F.substring(token, F.lit(2), F.length(token) - 2), F.lit('\\"'), F.lit('"'))
+        single = F.concat(F.lit("'"), F.replace(inner, F.lit("'"), F.lit("\\'")), F.lit("'"))
+        double = F.concat(F.lit('"'), inner, F.lit('"'))
+        quoted = F.when(F.contains(inner, F.lit("'")) & ~F.contains(inner, F.lit('"')), double).otherwise(
+            F.when(F.contains(inner, F.lit("'")), single).otherwise(F.concat(F.lit("'"), inner, F.lit("'"))))
+        return (F.when(token.startswith('"'), quoted).when(token.isin("true", "false"), F.initcap(token))
+                .when(token == "null", "None").when(token.isin(",", ":"), F.concat(token, F.lit(" "))).otherwise(token))
 
-def field_text(value: Column) -> Column:
-    """The printed value of a present field: text as it is, ``None`` for null, ``True``/``False``."""
-    text = value.cast("string")
-    printed = F.when(F.to_json(value) == text, F.initcap(text)).otherwise(text)
-    return F.when(text.isin("true", "false"), printed).otherwise(F.coalesce(text, F.lit("None")))
+    return F.array_join(F.transform(marks, printed), "")
 
 
 def first_present(record: Column, names: Sequence[str], default: str) -> Column:
     """Printed value of the first field that is present, even if null; else the default."""
     choice = F.lit(default)
     for name in reversed(names):
-        choice = F.when(has_key(record, name), field_text(record[name])).otherwise(choice)
+        choice = F.when(has_key(record, name), field_text(field(record, name))).otherwise(choice)
     return choice

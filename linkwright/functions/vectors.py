@@ -20,9 +20,5 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
-def to_float32(a: Column) -> Column:
-    return F.transform(a, lambda x: x.cast("float"))
-
-
 def has_dims(a: Column, dims: int) -> Column:
     return a.isNotNull() & (F.size(a) == dims)

@@ -51,13 +51,21 @@ def audit_rows(diff: DataFrame, key: str, question: str, answer: str, time: Colu
     )
 
 
-def pending_batch(audit: DataFrame, key: str, size: int = 20) -> DataFrame:
-    """The next batch of rows not yet notified, oldest first: a top-k, not a sort."""
-    return audit.filter(~F.col("IsNotified")).orderBy(key).limit(size)
+def pending_batch(audit: DataFrame, key: str, size: int = 20, processed: DataFrame | None = None) -> DataFrame:
+    """The next batch of rows not yet notified, oldest first: a top-k, not a sort.
+
+    ``processed`` is a table with the keys of the batches worked off so far; it grows by a batch at a time, so the log
+    itself is never rewritten.
+    """
+    open_ = audit.filter(~F.col("IsNotified"))
+    if processed is not None:
+        done = processed.select(F.col(key).alias("_done")).distinct()
+        open_ = open_.join(done, F.col(key) == F.col("_done"), "left_anti")
+    return open_.orderBy(key).limit(size)
 
 
 def mark_notified(audit: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """The audit table with the processed ids flagged."""
+    """The audit table as a reader sees it: with the processed ids flagged."""
     ids = done.select(F.col(key).alias("_done")).distinct()
     return audit.join(ids, F.col(key) == F.col("_done"), "left").withColumn(
         "IsNotified", F.col("IsNotified") | F.col("_done").isNotNull()).drop("_done")

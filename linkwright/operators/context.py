@@ -3,39 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.functions.fixed_text import GLOBAL_SECTIONS, NO_INPUT, NODE_HEADER, NODE_LINE, RECORD_END, render
 from linkwright.functions.text import contains_any
 from linkwright.functions.values import map_lines
 from linkwright.operators.graph import back_along, incident, neighborhood
-from linkwright.operators.skew import text_parts
+from linkwright.operators.skew import PART_BYTES, text_parts
 from linkwright.session import written
 
 MAX_LISTED_KEYWORDS = 64
 ASKED = ["request_id", "jira_id", "cr_id", "keyword"]
 
 
-def node_context(nodes: DataFrame, edges: DataFrame, max_lines: int = 10_000) -> DataFrame:
+def node_context(nodes: DataFrame, edges: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Header and one line per incident edge for each distinct ``node_id``: (node_id, part_no, context).
 
-    Lines are in text order, that is by edge label first. A hub with more than ``max_lines`` edges
-    gives several parts, each with the header.
+    Lines are in text order, that is by edge label first. The text of a hub comes in several parts that, joined by line
+    breaks in the order of ``part_no``, are the whole text. The hops are stored once, as ids and labels.
     """
     wanted = nodes.select(F.col("node_id").alias("seed_id"))
-    hops = neighborhood(wanted, edges).withColumnRenamed("seed_id", "node_id")
+    hops = written(neighborhood(wanted, edges).withColumnRenamed("seed_id", "node_id"), "hops")
     line = render(NODE_LINE, edge=F.col("edge_label"), kind=F.col("other_label"), other=F.col("other_id"))
-    # A null line per node keeps the nodes without edges; no text is joined afterwards.
-    lines = hops.withColumn("line", line).unionByName(nodes.select("node_id"), allowMissingColumns=True)
-    parts = text_parts(
-        lines, ["node_id"], "line", ["line"],
-        ["edge_label", "other_id", "direction", "src_table", "row_no"], "body", max_lines=max_lines, counted=hops,
-    )
-    return parts.select(
-        "node_id", "part_no", F.concat_ws("\n", render(NODE_HEADER, node=F.col("node_id")), F.nullif("body", F.lit(""))).alias("context"))
+    header = render(NODE_HEADER, node=F.col("node_id"))
+    lines = hops.select("node_id", F.lit(1).alias("below"), line.alias("line"), "edge_label", "other_id", "direction", "src_table", "row_no")
+    lines = lines.unionByName(nodes.select("node_id", F.lit(0).alias("below"), header.alias("line")), allowMissingColumns=True)
+    return text_parts(
+        lines, ["node_id"], "line", ["below", "line"], ["edge_label", "other_id", "direction", "src_table", "row_no"],
+        "context", part_bytes=part_bytes)
 
 
 def vertex_block(id: Column, label: Column, props: Column) -> Column:
@@ -45,8 +42,15 @@ def vertex_block(id: Column, label: Column, props: Column) -> Column:
                     F.when(body == "", F.lit("")).otherwise(F.concat(body, F.lit("\n"))), F.lit(RECORD_END))
 
 
-def edge_block(label: Column) -> Column:
-    return F.concat(F.lit("label: "), label, F.lit("\n" + RECORD_END))
+def edge_block(id: Column, label: Column) -> Column:
+    return F.concat(F.lit("id: "), id, F.lit("\nlabel: "), label, F.lit("\n" + RECORD_END))
+
+
+def edge_id(seed: Column) -> Column:
+    """An edge's id: its ends, its label and the row that it comes from, as (source, label, target, table, row)."""
+    out = F.col("direction") == "out"
+    return F.concat_ws("/", F.when(out, seed).otherwise(F.col("other_id")), "edge_label",
+                       F.when(out, F.col("other_id")).otherwise(seed), "src_table", "row_no")
 
 
 def keyword_matches(
@@ -83,45 +87,45 @@ def _grams(text: Column) -> Column:
     return F.concat(cut(1), cut(2), cut(3))
 
 
-def request_hops(
-    requests: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str], through: str = "MENTIONS"
+def routed(requests: DataFrame) -> DataFrame:
+    """Requests with how they are answered (``route``) and for what (``value``); both null without any input.
+
+    An issue id is used before a change id, a change id before a keyword.
+    """
+    issue, change, word = (F.nullif(c, F.lit("")) for c in ("jira_id", "cr_id", "keyword"))
+    route = F.when(issue.isNotNull(), "issue").when(change.isNotNull(), "change").when(word.isNotNull(), "keyword")
+    return requests.withColumn("route", route).withColumn("value", F.coalesce(issue, change, word))
+
+
+def route_hops(
+    routes: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str], through: str = "MENTIONS"
 ) -> DataFrame:
-    """One row per path of every request: (request_id, seed_id, via_id, edge and other end).
+    """One row per path of every distinct (route, value): route, value, seed_id, via_id, edge and other end.
 
-    An issue id is used before a change id, a change id before a keyword. A change goes back along
-    ``through`` edges first. All three kinds meet in a single hop over the edge table. The starting
-    points are written first: if they are few, Spark sends them to the edges and shuffles no edge.
+    A change goes back along ``through`` edges first. All three kinds meet in a single hop over the edge table. The
+    starting points are written first: if they are few, Spark sends them to the edges and shuffles no edge.
     """
-    blank = F.lit("")
-    issue, change, word = (F.coalesce(F.col(c), blank) for c in ("jira_id", "cr_id", "keyword"))
-    routed = requests.select(
-        *ASKED,
-        F.when(issue != "", "issue").when(change != "", "change").when(word != "", "keyword").alias("_route"),
-        F.when(issue != "", issue).when(change != "", change).otherwise(word).alias("_value"),
-    )
-
-    def route(name: str, column: str) -> DataFrame:
-        return routed.filter(F.col("_route") == name).select(*ASKED, F.col("_value").alias(column))
-
-    words = route("keyword", "_keyword")
-    found = keyword_matches(vertices, words.select(F.col("_keyword").alias("keyword")), properties)
-    hits = words.join(found.withColumnsRenamed({"keyword": "_keyword", "id": "seed_id"}), "_keyword").drop("_keyword")
-    direct = route("issue", "seed_id").unionByName(hits).withColumn("via_id", F.lit(None).cast("string"))
-    behind = back_along(route("change", "seed_id"), edges, through)
+    def of(name: str) -> DataFrame:
+        return routes.filter(F.col("route") == name)
+
+    found = keyword_matches(vertices, of("keyword").select(F.col("value").alias("keyword")), properties)
+    hits = of("keyword").join(found.withColumnsRenamed({"keyword": "value", "id": "seed_id"}), "value")
+    direct = of("issue").withColumn("seed_id", F.col("value")).unionByName(hits).withColumn("via_id", F.lit(None).cast("string"))
+    behind = back_along(of("change").withColumn("seed_id", F.col("value")), edges, through)
     starts = written(direct.unionByName(behind), "starts")
     return incident(edges).join(starts, F.col("node") == F.coalesce("via_id", "seed_id")).drop("node")
 
 
-def graph_context(
-    requests: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str],
-    through: str = "MENTIONS", max_paths: int = 10_000,
+def route_context(
+    routes: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str],
+    through: str = "MENTIONS", part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """The context of each request as (request columns, part_no, context); several parts for a hub.
+    """The paths of every distinct (route, value) as text: (route, value, part_no, context).
 
-    A request without any input gets a fixed message; one that finds nothing an empty text. The
-    paths are written once as ids; the blocks of the vertices on them come from one vertex scan.
+    One that finds nothing has an empty text. The paths are written once as ids; the blocks of the vertices on them come
+    from one vertex scan.
     """
-    hops = written(request_hops(requests, vertices, edges, properties, through), "hops")
+    hops = written(route_hops(routes, vertices, edges, properties, through), "hops")
     ids = hops.select(F.explode(F.array("seed_id", "via_id", "other_id")).alias("id")).filter(F.col("id").isNotNull()).distinct()
     used = vertices.join(written(ids, "ids"), "id")
     blocks = written(used.select("id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block")), "blocks")
@@ -129,46 +133,55 @@ def graph_context(
     def block(end: str) -> DataFrame:
         return blocks.select(F.col("id").alias(f"{end}_id"), F.col("block").alias(f"{end}_block"))
 
+    edge = edge_block(edge_id(F.coalesce("via_id", "seed_id")), F.col("edge_label"))
     paths = hops.join(block("seed"), "seed_id").join(block("other"), "other_id").join(block("via"), "via_id", "left").withColumn(
-        "path_text", F.concat("seed_block", F.coalesce("via_block", F.lit("")), edge_block(F.col("edge_label")), "other_block"))
-    blank = F.lit("")
-    given = reduce(lambda a, b: a | b, [F.coalesce(F.col(c), blank) != "" for c in ("jira_id", "cr_id", "keyword")])
-    # A null line per request keeps those that find nothing; no text is joined afterwards.
-    lines = paths.unionByName(requests.filter(given).select(*ASKED), allowMissingColumns=True)
+        "path_text", F.concat("seed_block", F.coalesce("via_block", F.lit("")), edge, "other_block"))
+    # A null line per route keeps those that find nothing; no text is joined afterwards.
+    lines = paths.unionByName(routes, allowMissingColumns=True)
     parts = text_parts(
-        lines, ["request_id"], "path_text", ["seed_id", "via_id", "edge_label", "direction", "other_id"],
-        ["seed_id", "via_id", "edge_label", "direction", "other_id", "src_table", "row_no"],
-        "body", sep="", max_lines=max_paths, counted=hops, carry=ASKED[1:],
-    )
-    found = parts.select(*ASKED, "part_no", F.coalesce("body", blank).alias("context"))
-    return found.unionByName(requests.filter(~given).select(
-        *ASKED, F.lit(0).cast("bigint").alias("part_no"), F.lit(NO_INPUT).alias("context")))
+        lines, ["route", "value"], "path_text", ["seed_id", "via_id", "edge_label", "direction", "other_id", "src_table", "row_no"],
+        [], "body", sep="", part_bytes=part_bytes)
+    return parts.select("route", "value", "part_no", F.coalesce("body", F.lit("")).alias("context"))
 
 
-def global_context(
-    vertices: DataFrame, sections: Sequence[tuple[str, str]] = GLOBAL_SECTIONS, max_records: int = 10_000
+def graph_context(
+    requests: DataFrame, vertices: DataFrame, edges: DataFrame, properties: Sequence[str], through: str = "MENTIONS",
+    part_bytes: int = PART_BYTES, sections: Sequence[tuple[str, str]] = GLOBAL_SECTIONS,
 ) -> DataFrame:
-    """The dump of whole labels that follows every request's own context.
+    """The context of each request as (request columns, part_no, context), in parts that joined in order are the text.
 
-    Kept once for all requests, as (section_no, part_no, text): it grows with the graph.
+    First the paths of what the request names, built once for equal requests, then the dump of the labels named in
+    ``sections`` (heading, label), the same for all. A request without any input gets a fixed message and nothing else. The
+    dump is built once and repeated for every request, so give few or no sections to many requests.
     """
+    asked = routed(requests.select(*ASKED))
+    routes = written(asked.filter(F.col("route").isNotNull()).select("route", "value").distinct(), "routes")
+    own = written(route_context(routes, vertices, edges, properties, through, part_bytes), "contexts")
+    found = asked.join(own, ["route", "value"])
+    if sections:
+        shared = written(global_context(vertices, sections, part_bytes), "sections")
+        place = shared.select("section_no", "part_no").withColumn(
+            "_at", F.row_number().over(Window.orderBy("section_no", "part_no")) - 1)
+        shared = shared.join(place, ["section_no", "part_no"]).select("_at", F.col("text").alias("context"))
+        last = own.groupBy("route", "value").agg(F.max("part_no").alias("_last"))
+        wide = asked.join(last, ["route", "value"]).withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(shared.count() - 1))))
+        found = found.select(*ASKED, "part_no", "context").unionByName(
+            wide.join(shared, "_at").select(*ASKED, (F.col("_last") + 1 + F.col("_at")).alias("part_no"), "context"))
+    none = asked.filter(F.col("route").isNull()).select(
+        *ASKED, F.lit(0).cast("bigint").alias("part_no"), F.lit(NO_INPUT).alias("context"))
+    return found.select(*ASKED, "part_no", "context").unionByName(none)
+
+
+def global_context(
+    vertices: DataFrame, sections: Sequence[tuple[str, str]] = GLOBAL_SECTIONS, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """The dump of whole labels as (section_no, part_no, text); the parts of a section, joined in order, are its text."""
     spark = vertices.sparkSession
     labels = [label for _, label in sections]
     blocks = vertices.filter(F.col("label").isin(*labels)).select(
-        "label", "id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block"))
+        "label", F.lit(1).alias("below"), "id", vertex_block(F.col("id"), F.col("label"), F.col("props")).alias("block"))
     headings = F.broadcast(spark.createDataFrame(
         [(i, heading, label) for i, (heading, label) in enumerate(sections)], "section_no bigint, heading string, label string"))
-    lines = blocks.unionByName(headings.select("label"), allowMissingColumns=True)
-    parts = text_parts(lines, ["label"], "block", ["id"], ["id"], "body", sep="", max_lines=max_records, counted=blocks)
-    return parts.join(headings, "label").select(
-        "section_no", "part_no",
-        F.concat(F.when(F.col("part_no") == 0, F.col("heading")).otherwise(F.lit("")), F.coalesce("body", F.lit(""))).alias("text"),
-    )
-
-
-def small_global_text(parts: DataFrame, max_bytes: int = 4_000_000) -> str | None:
-    """All global parts as one text if they are small; None if they must stay a table."""
-    size = parts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    if size > max_bytes:
-        return None
-    return "".join(r["text"] for r in sorted(parts.collect(), key=lambda r: (r["section_no"], r["part_no"])))
+    first = headings.select("label", F.lit(0).alias("below"), F.lit("").alias("id"), F.col("heading").alias("block"))
+    parts = text_parts(blocks.unionByName(first), ["label"], "block", ["below", "id"], [], "text", sep="", part_bytes=part_bytes)
+    return parts.join(headings, "label").select("section_no", "part_no", "text")

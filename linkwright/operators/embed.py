@@ -88,35 +88,44 @@ def embed_rows(
     return done if keep_failed else done.filter(F.col("error").isNull()).drop("error")
 
 
+def _answers(values: list[str], call: Callable[[list[str]], list], failed: Callable[[Exception], object]) -> list:
+    """Answers to batches of texts; the texts of a batch that fails are asked one by one."""
+    found: list = []
+    for at in range(0, len(values), EMBED_BATCH):
+        batch = values[at:at + EMBED_BATCH]
+        try:
+            answers = list(call(batch))
+            if len(answers) != len(batch):
+                raise ValueError(f"{len(answers)} answers to {len(batch)} texts")
+            found += answers
+        except Exception:  # noqa: BLE001 - one bad text must not fail its neighbours
+            for value in batch:
+                try:
+                    found.append(call([value])[0])
+                except Exception as problem:  # noqa: BLE001 - a failed call has an answer of its own
+                    found.append(failed(problem))
+    return found
+
+
 def embedding(text: Column, embed: Embed) -> Column:
-    """Embedding of a text column, one text at a time; null where the call fails."""
+    """Embedding of a text column, asked in batches; null where the call fails."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            out = []
-            for value in batch.fillna(""):
-                try:
-                    out.append(np.asarray(embed([value])[0], dtype=np.float32))
-                except Exception:  # noqa: BLE001 - a failed call gives null
-                    out.append(None)
-            yield pd.Series(out, dtype=object)
+            vectors = _answers(batch.fillna("").tolist(), embed, lambda _: None)
+            yield pd.Series([None if v is None else np.asarray(v, dtype=np.float32) for v in vectors], dtype=object)
 
     return run(text)
 
 
 def completion(prompt: Column, complete: Complete) -> Column:
-    """Model answer to a prompt column, stripped; a failing call gives the error as text."""
+    """Model answer to a prompt column, stripped, asked in batches; a failing call gives the error as text."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            out = []
-            for value in batch.fillna(""):
-                try:
-                    out.append(complete([value])[0].strip())
-                except Exception as problem:  # noqa: BLE001 - the error is the answer
-                    out.append(f"{MODEL_ERROR}{problem}")
-            yield pd.Series(out, dtype=object)
+            answers = _answers(batch.fillna("").tolist(), complete, lambda problem: f"{MODEL_ERROR}{problem}")
+            yield pd.Series([a.strip() for a in answers], dtype=object)
 
     return run(prompt)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.functions.text import contains_any, one_line, split_list, team_id
-from linkwright.functions.values import property_map
+from linkwright.functions.values import map_lines, property_map
 from linkwright.operators.skew import first_row
 
 EDGE = ["src", "label", "dst"]
@@ -70,6 +70,7 @@ class Link:
     target: str
     many: bool = False
     target_label: str | None = None
+    as_team: bool = False
 
 
 def row_edges(rows: DataFrame, src: str, src_label: str, links: Sequence[Link], table: str, row_no: str) -> DataFrame:
@@ -81,7 +82,7 @@ def row_edges(rows: DataFrame, src: str, src_label: str, links: Sequence[Link],
             return F.struct(label.alias("label"), dst.alias("dst"), F.lit(link.target_label).cast("string").alias("dst_label"))
 
         if not link.many:
-            return F.array(edge(F.col(link.target)))
+            return F.array(edge(team_id(F.col(link.target)) if link.as_team else F.col(link.target)))
         return F.transform(F.coalesce(split_list(F.col(link.target)), F.array().cast("array<string>")), edge)
     every = F.concat(*[ends(link) for link in links])
     edges = rows.select(
@@ -91,8 +92,9 @@ def row_edges(rows: DataFrame, src: str, src_label: str, links: Sequence[Link],
     return edges.filter(whole).select(*EDGE, "src_label", "dst_label", "src_table", "row_no")
 
 
-def team_edges(rows: DataFrame, src: str, team: str, label: str, table: str, row_no: str) -> DataFrame:
-    return link_edges(rows, src, "BELONGS_TO", team_id(F.col(team)), (label, "Team"), table, row_no)
+def team_link(team: str) -> Link:
+    """The edge of a row to its team, made in the same scan as its other links."""
+    return Link("BELONGS_TO", team, target_label="Team", as_team=True)
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
@@ -102,10 +104,16 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
 
 
 def with_target(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Edges whose target exists, with the target's label. One join; hub targets are split by skew handling."""
+    """Edges whose target exists, with the target's label; edges that come with a target's label are taken as they are.
+
+    One join; hub targets are split by skew handling.
+    """
     known = vertices.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
-    columns = [F.col("_label").alias("dst_label") if c == "dst_label" else F.col(c) for c in edges.columns]
-    return edges.join(known, F.col("dst") == F.col("_id")).select(*columns)
+    columns = [F.coalesce("dst_label", "_label").alias("dst_label") if c == "dst_label" else F.col(c) for c in edges.columns]
+    # an edge that needs no lookup gets a key of its own that no id has, so such edges do not gather in one task
+    lookup = F.when(F.col("dst_label").isNull(), F.col("dst")).otherwise(F.concat(F.lit("\0"), F.col("src")))
+    found = edges.join(known, lookup == F.col("_id"), "left").filter(F.col("dst_label").isNotNull() | F.col("_id").isNotNull())
+    return found.select(*columns)
 
 
 def dangling(edges: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -133,35 +141,40 @@ def build_graph(
         entity_vertices(issues, "JIRA", "JIRA_ID", [row_no], null_text=null_text),
         entity_vertices(pages, "Confluence", "Confluence_ID", [row_no], null_text=null_text),
     ])
-    change, issue, page = "CR_Main", "JIRA_Issues_Detailed", "Confluence_Pages_Detailed"
-    teams = reduce(DataFrame.unionByName, [
-        team_edges(changes, "CR_ID", "CR_Team_Assignment_Group", "CR", change, row_no),
-        team_edges(issues, "JIRA_ID", "JIRA_Team", "JIRA", issue, row_no),
-        team_edges(pages, "Confluence_ID", "Confluence_Team_Association", "Confluence", page, row_no),
-    ])
     links = reduce(DataFrame.unionByName, [
-        row_edges(changes, "CR_ID", "CR", [Link("REFERS_TO", "Linked_Jira_ID"), Link("REFERS_TO", "Linked_Confluence_ID")],
-                  change, row_no),
-        row_edges(issues, "JIRA_ID", "JIRA", [Link("MENTIONS", "CR_ID_Link_From_CSV_Example"),
-                                              Link(F.col("JIRA_Link_Type"), "JIRA_Linked_Issue_ID_Target")], issue, row_no),
-        row_edges(pages, "Confluence_ID", "Confluence", [Link("REFERS_TO", "Confluence_Linked_Jira_ID", many=True),
-                                                         Link("REFERS_TO", "Confluence_Linked_CR_ID", many=True)], page, row_no),
+        row_edges(changes, "CR_ID", "CR", [
+            team_link("CR_Team_Assignment_Group"), Link("REFERS_TO", "Linked_Jira_ID"), Link("REFERS_TO", "Linked_Confluence_ID"),
+        ], "CR_Main", row_no),
+        row_edges(issues, "JIRA_ID", "JIRA", [
+            team_link("JIRA_Team"), Link("MENTIONS", "CR_ID_Link_From_CSV_Example"),
+            Link(F.col("JIRA_Link_Type"), "JIRA_Linked_Issue_ID_Target"),
+        ], "JIRA_Issues_Detailed", row_no),
+        row_edges(pages, "Confluence_ID", "Confluence", [
+            team_link("Confluence_Team_Association"), Link("REFERS_TO", "Confluence_Linked_Jira_ID", many=True),
+            Link("REFERS_TO", "Confluence_Linked_CR_ID", many=True),
+        ], "Confluence_Pages_Detailed", row_no),
     ])
-    edges = teams.unionByName(with_target(links, vertices))
+    edges = with_target(links, vertices)
     return vertices, edges if parallel else distinct_edges(edges)
 
 
 def build_simple_graph(
-    changes: DataFrame, issues: DataFrame, enriched: DataFrame, pages: DataFrame
+    changes: DataFrame, issues: DataFrame, enriched: DataFrame, pages: DataFrame, null_keys_match: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """First-generation graph: three labels, fixed property lists, one edge per pair.
 
-    Page keys are restored by a left join on the page id, then issues are joined on the change id,
-    a null id matching null ids; each page still gives one vertex, from its first issue.
+    Page keys are restored by a left join on the page id. A page's vertex names the smallest issue of its change, found
+    before the join, so no page is fanned out over the issues of its change; its edges go to all of them. With
+    ``null_keys_match`` a page without a change belongs to the issues without one: that pairs all of them.
     """
+    def same(left: str, right: str) -> Column:
+        return F.col(left).eqNullSafe(F.col(right)) if null_keys_match else F.col(left) == F.col(right)
+
     keyed = enriched.join(pages.select("confluence_doc_id", "cr_id"), "confluence_doc_id", "left")
-    by_change = issues.select("jira_id", F.col("cr_id").alias("_cr"))
-    linked = keyed.join(by_change, F.col("cr_id").eqNullSafe(F.col("_cr")), "left").drop("_cr")
+    first = issues.groupBy(F.col("cr_id").alias("_cr")).agg(F.min("jira_id").alias("jira_id"))
+    named = keyed.join(first, same("cr_id", "_cr"), "left").drop("_cr")
+    pairs = keyed.select("confluence_doc_id", "cr_id").distinct().join(
+        issues.select("jira_id", F.col("cr_id").alias("_cr")).distinct(), same("cr_id", "_cr"))
 
     def text(column: str) -> Column:
         return one_line(F.coalesce(F.col(column), F.lit("None"))).alias(column)
@@ -170,7 +183,7 @@ def build_simple_graph(
         return F.coalesce(F.col(column), F.lit("")).alias(column)
 
     issue_rows = issues.select("jira_id", text("jira_summary"), link("cr_id"))
-    page_rows = linked.select("confluence_doc_id", text("doc_topic"), text("doc_content"), link("jira_id"), link("cr_id"))
+    page_rows = named.select("confluence_doc_id", text("doc_topic"), text("doc_content"), link("jira_id"), link("cr_id"))
     change_rows = changes.select("cr_id", text("cr_title"), *[
         F.coalesce(F.col(c), F.lit("None")).alias(c)
         for c in ("cr_status", "created_at", "updated_by_user", "team_name")])
@@ -182,7 +195,7 @@ def build_simple_graph(
                         ["cr_title", "cr_status", "created_at", "updated_by_user", "team_name"]),
     ])
     none = F.lit(None).cast("string")
-    pages_to_issues = link_edges(linked.withColumn("_row", none), "confluence_doc_id", "REFERS_TO", "jira_id",
+    pages_to_issues = link_edges(pairs.withColumn("_row", none), "confluence_doc_id", "REFERS_TO", "jira_id",
                                  ("Confluence", None), "Confluence_Enriched", "_row")
     issues_to_changes = link_edges(issues.withColumn("_row", none), "jira_id", "MENTIONS", "cr_id",
                                    ("Jira", None), "JIRA_Issues", "_row")
@@ -214,10 +227,13 @@ def absent_edges(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return distinct_edges(batch).join(stored.select(*EDGE), EDGE, "left_anti")
 
 
-def append_absent(batch: DataFrame, path: str, order: Sequence[str] = ("label",)) -> None:
-    """Insert-if-absent of vertices into a stored graph."""
+def append_absent(batch: DataFrame, path: str, order: Sequence[str | Column] | None = None) -> None:
+    """Insert-if-absent of vertices into a stored graph.
+
+    Of several candidates for an id the first in ``order`` is stored; by default that of the smallest label and properties.
+    """
     stored = batch.sparkSession.read.parquet(f"{path}/vertices")
-    absent_vertices(batch, stored, list(order)).write.mode("append").partitionBy("label").parquet(f"{path}/vertices")
+    absent_vertices(batch, stored, list(order or ["label", map_lines(F.col("props"))])).write.mode("append").partitionBy("label").parquet(f"{path}/vertices")
 
 
 def append_absent_edges(batch: DataFrame, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.functions.text import split_list
@@ -46,3 +46,12 @@ def value_rows(rows: DataFrame, key: str, column: str, sep: str = ";") -> DataFr
         rows.select(key, F.posexplode(split_list(F.col(column), sep)).alias("ordinal", "value"))
         .withColumn("ordinal", (F.col("ordinal") + 1).cast("bigint"))
     )
+
+
+def listed_values(parts: DataFrame, keys: Sequence[str], column: str, out: str, sep: str = ";") -> DataFrame:
+    """Values of delimited texts that come in parts (keys, part_no, column): keys, 1-based ordinal in the whole text, value."""
+    values = parts.withColumn("_values", split_list(F.col(column), sep))
+    before = Window.partitionBy(*keys).orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
+    counted = values.withColumn("_before", F.coalesce(F.sum(F.size("_values")).over(before), F.lit(0)))
+    return counted.select(*keys, "_before", F.posexplode("_values").alias("_at", out)).select(
+        *keys, (F.col("_before") + F.col("_at") + 1).cast("bigint").alias("ordinal"), out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkwright.functions.vectors import has_dims
+from linkwright.session import written
 
 TOP_K = 5
 DIMS = 1536
@@ -22,6 +24,9 @@ MAX_QUERY_BYTES = 64 * 1024 * 1024
 SCORE_DIGITS = 12
 ROWS_PER_STEP = 4096
 
+#: Rows that k-means is trained on, about, and the most that all centres together may take in a task.
+TRAIN_ROWS, MAX_CENTRE_BYTES = 1_000_000, 256 * 1024 * 1024
+
 
 @dataclass
 class Questions:
@@ -125,7 +130,7 @@ def cosine_topk(
 
     A query set within ``max_query_bytes`` is sent to every task once and the documents stream past
     it without a shuffle; only k rows per query and task leave a task. A larger set is cut into
-    blocks that meet hashed blocks of the documents, again giving k rows per query and block.
+    blocks, and the documents stream past one block after the other.
     """
     spark = docs.sparkSession
     columns = [id_col, vector_col, *([scope_col] if scope_col else [])]
@@ -162,41 +167,38 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def _block_hits(
     asked: DataFrame, corpus: DataFrame, k: int, dims: int, schema: T.StructType, scoped: bool, limit: int
 ) -> DataFrame:
-    """Fragment-and-replicate: query blocks x document blocks, each pair one bounded task."""
-    n_q, n_d = asked.count(), corpus.count()
-    q_blocks = max(1, -(-2 * n_q // limit))
-    d_blocks = max(1, -(-n_d // (4 * limit)))
-    id_col, vector_col = corpus.columns[:2]
-    spread = F.xxhash64(F.col(id_col), F.col(vector_col))
-    left = asked.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))).withColumn(
-        "_d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(d_blocks - 1).cast("bigint"))))
-    right = corpus.withColumn("_d", F.pmod(spread, F.lit(d_blocks))).withColumn(
-        "_q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_blocks - 1).cast("bigint"))))
-    names, arrow = corpus.columns, _arrow(schema)
-
-    def search(questions: pa.Table, documents: pa.Table) -> pa.Table:
-        block = _questions(questions.to_pandas(), dims, scoped)
-        best = _scan(iter(documents.select(names).to_batches()), block, k, dims)
-        return pa.Table.from_batches([_as_batch(best, block, arrow)], schema=arrow)
-
-    return left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInArrow(search, schema)
+    """One pass of the documents per block of at most ``limit`` queries; no document is shuffled or copied."""
+    spark = corpus.sparkSession
+    stored = written(asked, "asked")
+    blocks = max(1, -(-2 * stored.count() // limit))
+    number = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    found = []
+    for n in range(blocks):
+        block = _questions(stored.filter(number == n).toPandas(), dims, scoped)
+        if len(block.ids):
+            sent = spark.sparkContext.broadcast((block.ids, block.matrix, block.scopes))
+            found.append(_task_hits(corpus, sent, k, dims, schema))
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- coarse lists -------------------------------------------------------------------------------
 
 def build_lists(
     docs: DataFrame, n_lists: int, dims: int = DIMS, vector_col: str = "embedding", seed: int = 42,
-    max_iter: int = 10, train_fraction: float = 1.0,
+    max_iter: int = 10, train_rows: int = TRAIN_ROWS,
 ) -> tuple[DataFrame, np.ndarray]:
     """Assign every vector to its nearest of ``n_lists`` k-means centres: (docs + list_id, centres).
 
-    ``train_fraction`` thins only the rows that place the centres; every row is assigned.
+    About ``train_rows`` rows place the centres; every row is assigned. The centres go to all tasks, so there are at most
+    as many as MAX_CENTRE_BYTES holds.
     """
+    if n_lists * dims * 8 > MAX_CENTRE_BYTES:
+        raise ValueError(f"{n_lists} centres of {dims} numbers are more than a task should hold; use fewer lists")
     usable = has_dims(F.col(vector_col), dims) & F.exists(vector_col, lambda x: x != 0)
     good = docs.filter(usable).withColumn("_vector", array_to_vector(F.col(vector_col).cast("array<double>")))
-    train = good.select("_vector")
-    if train_fraction < 1.0:
-        train = train.sample(train_fraction, seed)
+    train, rows = good.select("_vector"), good.count()
+    if rows > train_rows:
+        train = train.sample(train_rows / rows, seed)
     model = KMeans(k=n_lists, seed=seed, maxIter=max_iter, distanceMeasure="cosine",
                    featuresCol="_vector", predictionCol="list_id").fit(train)
     return model.transform(good).drop("_vector"), np.array(model.clusterCenters())
@@ -216,28 +218,37 @@ def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
 
 
 def nearest_lists(queries: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """The queries with ``scope``: the numbers of their ``probes`` nearest lists."""
+    """The queries with ``lists``: the numbers of their ``probes`` nearest lists."""
     unit, _ = _unit(centres)
     keep = min(probes, len(unit))
+    sent = queries.sparkSession.sparkContext.broadcast(unit)
 
     @F.pandas_udf("array<int>")
     def pick(vectors: pd.Series) -> pd.Series:
-        scores = np.vstack([np.asarray(v, dtype=np.float64) for v in vectors]) @ unit.T
-        return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :keep].astype(np.int32)))
+        found = []
+        for at in range(0, len(vectors), ROWS_PER_STEP // 16):
+            step = np.vstack([np.asarray(v, dtype=np.float64) for v in vectors[at:at + ROWS_PER_STEP // 16]])
+            found += list(np.argsort(-(step @ sent.value.T), axis=1, kind="stable")[:, :keep].astype(np.int32))
+        return pd.Series(found)
 
-    return queries.withColumn("scope", pick("embedding"))
+    return queries.withColumn("lists", pick("embedding"))
 
 
 def ann_topk(
     queries: DataFrame, listed: DataFrame, centres: np.ndarray, probes: int, k: int = TOP_K,
-    dims: int = DIMS, id_col: str = "id",
+    dims: int = DIMS, id_col: str = "id", scope_col: str | None = None,
 ) -> DataFrame:
     """The k best documents per query among its nearest lists, with exact scores.
 
     The probed list numbers cut the index by partition before anything is read; a long list is
-    read by many tasks, none of which needs the rest of it.
+    read by many tasks, none of which needs the rest of it. With ``scope_col`` the queries have a ``scope``, the value that
+    a document must have in that column (a node id or a node type); documents without it are not scored.
     """
     asked = nearest_lists(queries.filter(has_dims(F.col("embedding"), dims)), centres, probes)
-    probed = asked.select(F.explode("scope").alias("list_id")).distinct().collect()
+    probed = asked.select(F.explode("lists").alias("list_id")).distinct().collect()  # at most one row per list
     near = listed.filter(F.col("list_id").isin([r["list_id"] for r in probed]))
-    return cosine_topk(asked, near, k, dims, id_col, scope_col="list_id")
+    if scope_col is None:
+        return cosine_topk(asked.withColumn("scope", F.col("lists")), near, k, dims, id_col, scope_col="list_id")
+    wanted = F.transform("lists", lambda n: F.concat_ws("/", n, F.col("scope")))
+    spots = near.withColumn("_spot", F.concat_ws("/", F.col("list_id"), F.col(scope_col))).filter(F.col(scope_col).isNotNull())
+    return cosine_topk(asked.filter("scope IS NOT NULL").withColumn("scope", wanted), spots, k, dims, id_col, scope_col="_spot")

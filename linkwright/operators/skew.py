@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,28 +12,23 @@ from linkwright.session import written
 
 MAX_LISTED_KEYS = 50_000
 
+#: Bytes of a text in one row, about; far below what a row may hold.
+PART_BYTES = 4_000_000
 
-def hash_bucket(value: Column, buckets: Column | int) -> Column:
-    """Bucket number of a text from its md5, so that any engine can repeat it."""
-    head = F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("bigint")
-    count = F.lit(buckets) if isinstance(buckets, int) else buckets
-    return F.pmod(head, count.cast("bigint"))
 
+def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column, limit: int) -> DataFrame | None:
+    """Keys whose rows weigh more than ``limit`` together; None if there are none.
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys owning more than ``limit`` rows with their row count ``n_rows``; None if there are none.
-
-    The counts are combined map-side, so one hot key costs one row per task. Up to
-    MAX_LISTED_KEYS heavy keys are listed and marked for broadcast; a longer list stays distributed
-    and is joined by shuffle.
+    The sums are combined map-side, so one hot key costs one row per task. Up to MAX_LISTED_KEYS heavy keys are listed
+    and marked for broadcast; a longer list stays distributed and is joined by shuffle.
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > limit)
-    listed = counts.limit(MAX_LISTED_KEYS + 1).collect()
+    sums = rows.groupBy(*keys).agg(F.sum(weight).alias("_weight")).filter(F.col("_weight") > limit).select(*keys)
+    listed = sums.limit(MAX_LISTED_KEYS + 1).collect()
     if not listed:
         return None
     if len(listed) > MAX_LISTED_KEYS:
-        return counts
-    return F.broadcast(rows.sparkSession.createDataFrame(listed, counts.schema))
+        return sums
+    return F.broadcast(rows.sparkSession.createDataFrame(listed, sums.schema))
 
 
 def text_parts(
@@ -43,37 +39,58 @@ def text_parts(
     salt: Sequence[str],
     out: str = "text",
     sep: str = "\n",
-    max_lines: int = 10_000,
+    part_bytes: int = PART_BYTES,
     counted: DataFrame | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Ordered concatenation of ``line`` per key as rows (keys, carry, part_no, out).
 
-    A key with at most ``max_lines`` lines gives one part, number 0. A larger key is split by the
-    hash of its ``salt`` columns into parts of about ``max_lines`` lines, so no task ever holds a
-    hot group; the parts hold every line once, each in order. ``counted`` may name a cheaper frame
-    with the same keys and row counts for finding the large keys. A null line adds no text, so one
-    such row keeps a key without lines. ``carry`` columns are the same in all rows of a key.
+    The text of a key is cut by position: a line belongs to part number (bytes before it in the key's text) divided by
+    ``part_bytes``. So a text of up to ``part_bytes`` is part 0, and the parts of a longer one, joined by ``sep`` in the
+    order of ``part_no``, are that text; a line longer than a part leaves out numbers. No task ever holds a hot group:
+    the lines of large keys are dealt out by ranges of the order, with ``salt`` columns to part equal ones, and the
+    places in the text are carried from range to range as one number each.
+
+    ``counted`` may name a cheaper frame with the same keys and lines (or more) for finding the large keys. A null line
+    adds no text, so one such row keeps a key without lines. ``carry`` columns are the same in all rows of a key.
     """
-    heavy = heavy_keys(lines if counted is None else counted, keys, max_lines)
+    width = F.coalesce(F.octet_length(line) + len(sep.encode()), F.lit(0)).cast("bigint")
+    heavy = heavy_keys(lines if counted is None else counted, keys, width, part_bytes)
     if heavy is None:
         tagged = lines.withColumn("part_no", F.lit(0).cast("bigint"))
     else:
-        parts = F.ceil(F.col("n_rows") / F.lit(max_lines))
-        mark = F.concat_ws("|", *[F.col(c).cast("string") for c in salt])
-        heavy = heavy.withColumnsRenamed({k: f"_heavy_{k}" for k in keys})
-        same = [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys]
-        tagged = (
-            lines.join(heavy, same, "left")
-            .withColumn("part_no", F.when(F.col("n_rows").isNull(), F.lit(0).cast("bigint"))
-                        .otherwise(hash_bucket(mark, parts)))
-            .repartition(*keys, "part_no", *carry)
-        )
+        known = heavy.withColumnsRenamed({k: f"_heavy_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys])
+        small = lines.join(known, same, "left_anti").withColumn("part_no", F.lit(0).cast("bigint"))
+        large = lines.join(known, same, "left_semi")
+        tagged = small.unionByName(_placed(large, keys, order, salt, width, part_bytes))
     ordering = ", ".join(f"`{c}`" for c in order)
     joined = F.expr(f"listagg(`{line}`, '{_sql_text(sep)}') WITHIN GROUP (ORDER BY {ordering})")
     return tagged.groupBy(*keys, "part_no", *carry).agg(joined.alias(out))
 
 
+def _placed(
+    lines: DataFrame, keys: Sequence[str], order: Sequence[str], salt: Sequence[str], width: Column, part_bytes: int
+) -> DataFrame:
+    """Lines with the part that the bytes before them put them in.
+
+    Range bounds are sampled, so the ranges are stored before they are read twice.
+    """
+    spot = list(dict.fromkeys([*keys, *order, *salt]))
+    ranged = written(lines.withColumn("_width", width).repartitionByRange(*spot).withColumn("_range", F.spark_partition_id()))
+    until = (Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*until)
+    base = ranged.groupBy(*keys, "_range").agg(F.sum("_width").alias("_sum")).select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_range").alias("_of_range"),
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    inside = Window.partitionBy(*keys, "_range").orderBy(*spot).rowsBetween(*until)
+    at = F.coalesce(F.sum("_width").over(inside), F.lit(0)) + F.col("_base")
+    # the window keeps (keys, range) together, so the sums are joined first and travel with the lines
+    return (ranged.join(base, same & (F.col("_range") == F.col("_of_range")))
+            .withColumn("part_no", F.floor(at / part_bytes).cast("bigint")).select(*lines.columns, "part_no"))
+
+
 def _sql_text(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.operators.changes import audit_rows, mark_notified, pending_batch, snapshot_diff
+from linkwright.operators.changes import audit_rows, pending_batch, snapshot_diff
 from linkwright.operators.notify import with_subject, with_table_message
 from linkwright.operators.skew import surrogate_key
+from linkwright.session import written
 
 
 def audit_log(before: DataFrame, after: DataFrame, key: str, question: str, answer: str,
@@ -24,7 +25,10 @@ def mails(audit: DataFrame) -> DataFrame:
         F.col("AuditLogID").cast("string").alias("message_key"), F.lit("mail").alias("channel"), "subject", "body")
 
 
-def work_off(audit: DataFrame, size: int = 20) -> tuple[DataFrame, DataFrame]:
-    """The mails of the next batch, and the audit log with that batch marked."""
-    batch = pending_batch(audit, "AuditLogID", size)
-    return mails(batch), mark_notified(audit, batch, "AuditLogID")
+def work_off(audit: DataFrame, processed: DataFrame | None = None, size: int = 20) -> tuple[DataFrame, DataFrame]:
+    """The mails of the next batch, and the ids to append to the table of processed ones.
+
+    The batch is stored first, so mails and ids are of the same rows.
+    """
+    batch = written(pending_batch(audit, "AuditLogID", size, processed), "batch")
+    return mails(batch), batch.select("AuditLogID")

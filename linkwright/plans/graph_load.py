@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linkwright.operators.graph import build_graph, replace_graph
 from linkwright.operators.normalize import current_state, entity_core, link_rows, status_log, value_rows, watcher_rows
 from linkwright.operators.validate import orphans, placeholder_parents
+from linkwright.session import written
 from linkwright.sources.csv_tables import ROW_NO, quarantine, read_raw, read_table, typed_table, with_file_order
 from linkwright.sources.schemas import ISSUES, RENAMES
 
@@ -15,8 +16,11 @@ LINK_COLUMNS = {"JIRA_Linked_Issue_ID_Target", "JIRA_Link_Type", "JIRA_Watcher_U
 
 
 def read_tables(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
-    """The five raw tables below ``folder``, without malformed rows, in file order."""
-    return {t: read_table(spark, f"{folder}/{t}", t, multi_line) for t in TABLES}
+    """The five raw tables below ``folder``, without malformed rows, in file order.
+
+    Each is read once, as text, and stored for all that is made from it.
+    """
+    return {t: written(read_table(spark, f"{folder}/{t}", t, multi_line), t) for t in TABLES}
 
 
 def malformed_rows(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -71,12 +75,13 @@ REFERENCES = [
 
 
 def write_tables(spark: SparkSession, normal: dict[str, DataFrame], out: str) -> None:
-    """Write parents before children; a child with a missing parent stops the load."""
+    """Write parents before children; a child with a missing parent stops the load before it is written."""
     for name, rows in normal.items():
-        rows.write.mode("overwrite").parquet(f"{out}/{name}")
+        checked = written(rows, name)
         for child, key, parent, parent_key in REFERENCES:
             if child == name:
-                lost = orphans(spark.read.parquet(f"{out}/{child}"), key, spark.read.parquet(f"{out}/{parent}"), parent_key)
+                lost = orphans(checked, key, spark.read.parquet(f"{out}/{parent}"), parent_key)
                 example = lost.select(key).limit(1).collect()
                 if example:
                     raise ValueError(f"{child}.{key} has no parent in {parent}: {example[0][0]!r}")
+        checked.write.mode("overwrite").parquet(f"{out}/{name}")

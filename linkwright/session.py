@@ -6,10 +6,14 @@ import os
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _test_folders: dict[str, str] = {}
 
 
@@ -41,8 +45,7 @@ def build_session(app: str = "linkwright", cores: int | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         **RUNTIME,
         **conf,
     }
@@ -54,6 +57,18 @@ def build_session(app: str = "linkwright", cores: int | None = None, **conf: str
     return spark
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Run streams with the RocksDB state store, and leave the session's own choice as it was."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only for a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

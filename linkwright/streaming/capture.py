@@ -2,56 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE = "question string, answer string"
-OUTPUT = (
-    "id bigint, seq bigint, old_question string, new_question string, old_answer string, new_answer string, "
-    "action string"
-)
-
 
 class LastRow(StatefulProcessor):
-    """Keeps the last row of a key and reports each step as INSERT, UPDATE or DELETE.
+    """Keeps the last row of a key, with its ``seq``, and reports each step as INSERT, UPDATE or DELETE.
 
-    A row with ``deleted`` ends the key; a delete of an unknown key is not a change.
+    A row with ``deleted`` ends the key; a delete of an unknown key is not a change. A row that comes in a later batch than
+    one with its ``seq`` or a higher one has action LATE: what it changed is no longer known.
     """
 
+    def __init__(self, key: str, columns: Sequence[str]) -> None:
+        self._key, self._columns = key, list(columns)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", STATE)
+        fields = ", ".join(f"`{c}` string" for c in self._columns)
+        self._last = handle.getValueState("last", f"seq bigint, deleted boolean, {fields}")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq")
-        last = tuple(self._last.get()) if self._last.exists() else None
-        out = []
-        for seq, question, answer, deleted in batch[["seq", "question", "answer", "deleted"]].itertuples(index=False):
-            new = None if deleted else (question, answer)
-            if last is not None or new is not None:
-                action = "INSERT" if last is None else "DELETE" if new is None else "UPDATE"
-                old_q, old_a = last or (None, None)
-                new_q, new_a = new or (None, None)
-                out.append((key[0], seq, old_q, new_q, old_a, new_a, action))
-            last = new
-        if last is None:
-            self._last.clear()
-        else:
-            self._last.update(last)
-        names = ["id", "seq", "old_question", "new_question", "old_answer", "new_answer", "action"]
-        yield pd.DataFrame(out, columns=names)
+        names = ["seq", "deleted", *self._columns]
+        batch = pd.concat(list(rows))[names].sort_values("seq", kind="stable")
+        known = pd.DataFrame([tuple(self._last.get())], columns=names) if self._last.exists() else batch.head(0)
+        newest = known["seq"].max() if len(known) else None
+        late = batch[batch["seq"] <= newest] if newest is not None else batch.head(0)
+        steps = pd.concat([known, batch.drop(late.index) if len(late) else batch], ignore_index=True).astype(object)
+        before = steps.shift(1)
+        live_before = before["deleted"].eq(False)
+        live = ~steps["deleted"].astype(bool)
+        out = pd.DataFrame({self._key: key[0], "seq": steps["seq"]})
+        for c in self._columns:
+            out[f"old_{c}"] = before[c].where(live_before, None)
+            out[f"new_{c}"] = steps[c].where(live, None)
+        out["action"] = "UPDATE"
+        out.loc[~live_before, "action"] = "INSERT"
+        out.loc[~live, "action"] = "DELETE"
+        fresh = steps.index >= len(known)  # the row kept from an earlier batch is no step of this one
+        out = out[(live | live_before) & fresh]
+        if len(steps) > len(known):
+            end = steps.iloc[-1]
+            self._last.update((int(end["seq"]), bool(end["deleted"]), *[None if pd.isna(end[c]) else end[c] for c in self._columns]))
+        yield out
+        if len(late):
+            lost = pd.DataFrame({self._key: key[0], "seq": late["seq"]})
+            for c in self._columns:
+                lost[f"old_{c}"] = None
+                lost[f"new_{c}"] = late[c].where(~late["deleted"].astype(bool), None)
+            yield lost.assign(action="LATE")
 
     def close(self) -> None:
         pass
 
 
-def capture_changes(stream: DataFrame) -> DataFrame:
-    """Audit steps of a stream of (id, seq, question, answer, deleted), state kept per id.
+def capture_changes(stream: DataFrame, key: str = "id", columns: Sequence[str] = ("question", "answer")) -> DataFrame:
+    """Audit steps of a stream of (key, seq, deleted, columns), state kept per key: key, seq, old_*, new_*, action.
 
-    Needs the RocksDB state store. Rows of one id must arrive in order of ``seq`` across batches;
-    within a batch they are ordered here. Bound the batch size at the source.
+    Columns are compared and kept as texts. Needs the RocksDB state store. Within a batch the rows of a key are ordered here,
+    so a key's rows of one batch are held together: bound the batch at the source (``files_per_trigger``).
     """
-    return stream.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=LastRow(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    kind = stream.schema[key].dataType.simpleString()
+    pairs = ", ".join(f"`old_{c}` string, `new_{c}` string" for c in columns)
+    rows = stream.select(key, F.col("seq").cast("bigint").alias("seq"), F.coalesce("deleted", F.lit(False)).alias("deleted"),
+                         *[F.col(c).cast("string").alias(c) for c in columns])
+    return rows.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=LastRow(key, columns), outputStructType=f"`{key}` {kind}, seq bigint, {pairs}, action string",
+        outputMode="Append", timeMode="None")

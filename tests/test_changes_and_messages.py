@@ -31,9 +31,13 @@ def test_diff_between_two_states(states):
 def test_audit_log_is_worked_off_in_batches(states):
     audit = audit_trail.audit_log(*states, "id", "question", "answer", time=F.lit("2024-01-15T10:30:00Z"), user=F.lit("me"), first=100)
     assert rows(audit, "AuditLogID", "QuestionaireID") == [(100, 1), (101, 2), (102, 3), (103, 4), (104, 5)]
-    mails, marked = audit_trail.work_off(audit, 2)
+    mails, done = audit_trail.work_off(audit, size=2)
     assert rows(mails, "message_key", "subject") == [("100", "Questionnaire Change: DELETE on ID 1"), ("101", "Questionnaire Change: UPDATE on ID 2")]
     assert "<td>2024-01-15 10:30:00 UTC</td>" in mails.first()["body"]
+    later, more = audit_trail.work_off(audit, done, 2)
+    assert rows(later, "message_key") == [("102",), ("103",)]
+    assert rows(audit_trail.work_off(audit, done.union(more))[1]) == [(104,)]
+    marked = changes.mark_notified(audit, done, "AuditLogID")
     assert rows(changes.pending_batch(marked, "AuditLogID"), "AuditLogID") == [(102,), (103,), (104,)]
 
 

@@ -27,15 +27,23 @@ def block(key):
 
 def paths(start, heads):
     out = []
-    for s, label, d in EDGES:
-        out += [(label, "out", d)] if s == start else []
-        out += [(label, "in", s)] if d == start else []
-    return "".join(heads + f"label: {label}\n\n---\n" + block(o) for label, _, o in sorted(out))
+    for i, (s, label, d) in enumerate(EDGES):
+        mark = f"id: {s}/{label}/{d}/t/{i}\nlabel: {label}\n\n---\n"
+        out += [(label, "out", d, i, mark)] if s == start else []
+        out += [(label, "in", s, i, mark)] if d == start else []
+    return "".join(heads + mark + block(o) for _, _, o, _, mark in sorted(out))
+
+
+def contexts(requests, graph, **options):
+    found = {}
+    for r in sorted(context.graph_context(requests, *graph, ["t"], **options).collect(), key=lambda r: r["part_no"]):
+        found.setdefault(r["request_id"], []).append(r["context"])
+    return found
 
 
 def test_request_contexts(spark, graph):
     requests = spark.createDataFrame(REQUESTS, "request_id string, jira_id string, cr_id string, keyword string")
-    got = {r["request_id"]: r["context"] for r in context.graph_context(requests, *graph, ["t"]).collect()}
+    got = {k: "".join(v) for k, v in contexts(requests, graph, sections=()).items()}
     assert got["a"] == paths("I1", block("I1"))
     assert got["b"].count("id: C1\n") == 7 + 5 and got["b"].startswith(block("C1") + block("I1"))
     assert got["c"] == paths("I1", block("I1")) + paths("P1", block("P1"))
@@ -44,7 +52,7 @@ def test_request_contexts(spark, graph):
 
 def test_two_hop_context_counts_every_parallel_path(spark, graph):
     requests = spark.createDataFrame([("b", None, "C1", None)], "request_id string, jira_id string, cr_id string, keyword string")
-    text = context.graph_context(requests, *graph, ["t"]).first()["context"]
+    text = "".join(contexts(requests, graph, sections=())["b"])
     # I1 is reached over two parallel edges and has three incident edges; I2 over one, with one.
     assert text.count("label: MENTIONS\n") + text.count("label: REFERS_TO\n") == 2 * 3 + 1
 
@@ -62,28 +70,43 @@ def test_node_context_of_bare_and_hub_nodes(spark, graph):
     got = {r["node_id"]: r["context"] for r in context.node_context(nodes, graph[1]).collect()}
     assert got["C1"] == "--- Related to node C1 ---\nMENTIONS → JIRA [I1]\nMENTIONS → JIRA [I1]\nMENTIONS → JIRA [I2]"
     assert got["Z"] == "--- Related to node Z ---"
-    parts = [r["context"].split("\n") for r in context.node_context(nodes, graph[1], max_lines=1).collect() if r["node_id"] == "C1"]
-    assert sorted(sum([p[1:] for p in parts], [])) == got["C1"].split("\n")[1:]
+    parts = sorted((r["part_no"], r["context"]) for r in context.node_context(nodes, graph[1], part_bytes=30).collect() if r["node_id"] == "C1")
+    assert len(parts) > 1 and "\n".join(text for _, text in parts) == got["C1"]
 
 
-def test_global_context(spark, graph):
-    parts = context.global_context(graph[0])
-    assert context.small_global_text(parts) == (
-        "\n=== Global Jira Data ===\n" + block("I1") + block("I2") + "\n=== Global CR Data ===\n" + block("C1")
+DUMP = ("\n=== Global Jira Data ===\n" + block("I1") + block("I2") + "\n=== Global CR Data ===\n" + block("C1")
         + "\n=== Global Confluence Data ===\n" + block("P1"))
-    assert context.small_global_text(parts, 10) is None
 
 
-def test_answers_with_and_without_the_global_part(spark, graph):
+@pytest.mark.parametrize("part_bytes", [40, 4_000_000])
+def test_global_context(spark, graph, part_bytes):
+    parts = context.global_context(graph[0], part_bytes=part_bytes).orderBy("section_no", "part_no").collect()
+    assert "".join(r["text"] for r in parts) == DUMP
+
+
+@pytest.mark.parametrize("part_bytes", [60, 4_000_000])
+def test_a_context_ends_with_the_dump_however_it_is_cut(spark, graph, part_bytes):
+    requests = spark.createDataFrame([*REQUESTS, ("f", "I1", None, "x")], "request_id string, jira_id string, cr_id string, keyword string")
+    got = {k: "".join(v) for k, v in contexts(requests, graph, part_bytes=part_bytes).items()}
+    assert got["a"] == got["f"] == paths("I1", block("I1")) + DUMP
+    assert got["e"] == DUMP and got["d"] == fixed.NO_INPUT
+
+
+def test_one_answer_per_request(spark, graph):
     requests = spark.createDataFrame(REQUESTS, "request_id string, jira_id string, cr_id string, keyword string")
-    plain = {r["request_id"]: r["answer"] for r in retrieval.answer_requests(requests, *graph, ["t"], lambda texts: texts).collect()}
-    assert plain["d"] == fixed.SERVICE_PROMPT.format(context=fixed.NO_INPUT, question="Give me details about None").strip()
-    assert "Give me details about C1" in plain["b"]
-    full = {r["request_id"]: r["answer"] for r in retrieval.answer_requests(requests, *graph, ["t"], lambda texts: texts, with_global=True).collect()}
-    assert "=== Global CR Data ===" in full["e"] and "=== Global" not in full["d"]
-    with pytest.raises(ValueError):
-        retrieval.answer_requests(requests, *graph, ["t"], echo_model, with_global=True, max_global_bytes=5)
-    assert retrieval.global_answers("r", "why?", graph[0], echo_model).count() == 3
+    plain = retrieval.answer_requests(requests, *graph, ["t"], lambda texts: texts, sections=()).collect()
+    of = {r["request_id"]: r["answer"] for r in plain}
+    assert of["d"] == fixed.SERVICE_PROMPT.format(context=fixed.NO_INPUT, question="Give me details about None").strip()
+    assert "Give me details about C1" in of["b"] and all(r["n_parts"] == 1 for r in plain)
+    cut = {r["request_id"]: r for r in retrieval.answer_requests(
+        requests, *graph, ["t"], lambda texts: ["<" + str(len(t)) + ">" if "details" not in t[:40] else t for t in texts], part_bytes=50).collect()}
+    assert len(cut) == len(REQUESTS) and cut["a"]["n_parts"] > 3 and cut["d"]["n_parts"] == 1
+    seen = []
+    for r in sorted(context.graph_context(requests, *graph, ["t"], part_bytes=50).filter("request_id = 'a'").collect(), key=lambda r: r["part_no"]):
+        seen.append(echo_model([fixed.SERVICE_PROMPT.format(context=r["context"], question="Give me details about I1")])[0])
+    last = echo_model([fixed.SERVICE_PROMPT.format(context="\n\n".join(seen), question="Give me details about I1")])[0]
+    echoed = retrieval.answer_requests(requests, *graph, ["t"], echo_model, part_bytes=50).filter("request_id = 'a'").first()
+    assert echoed["answer"] == last
 
 
 def test_vector_hits_get_graph_context(spark, graph):
@@ -91,7 +114,8 @@ def test_vector_hits_get_graph_context(spark, graph):
                                    "chunk_id string, node_id string, node_type string, text string, embedding array<float>")
     queries = spark.createDataFrame([("q", [1.0, 0.1], "why?")], "query_id string, embedding array<float>, question string")
     got = retrieval.vector_graph_context(queries, chunks, graph[1], k=1, dims=2).first()
-    assert (got["node_id"], got["rank"], got["part_no"]) == ("I1", 1, 0)
+    assert (got["node_id"], got["rank"], got["part_no"], got["preview"]) == ("I1", 1, 0, "one...")
+    assert got["metadata"] == {"node_id": "I1", "node_type": "JIRA"}
     assert got["prompt"] == fixed.SHORT_PROMPT.format(question="why?", context=(
         "\n### Context for JIRA I1:\none\n\n--- Related to node I1 ---\nMENTIONS → CR [C1]\nMENTIONS → CR [C1]\nREFERS_TO → Confluence [P1]"))
 

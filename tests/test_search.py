@@ -90,6 +90,21 @@ def test_approximate_search_has_exact_scores_and_good_recall(spark, vectors, tmp
     assert recall[0] >= 0.4 and recall[1] == 1.0
 
 
+def test_approximate_search_in_a_scope(spark, vectors):
+    docs = frame(spark, vectors)
+    listed, centres = search.build_lists(docs, 8, DIMS)
+    asked = questions(spark, vectors[:12], scope=lambda i: i % 3 if i else None)
+    expected = [r for r in brute(vectors[:12], vectors, 5, keep=lambda q, d: q % 3 == d % 3) if r[0] != "q0"]
+    assert shown(search.ann_topk(asked, listed, centres, 8, 5, DIMS, scope_col="kind")) == expected
+
+
+def test_centres_must_fit_a_task(spark, vectors, monkeypatch):
+    monkeypatch.setattr(search, "MAX_CENTRE_BYTES", 8 * DIMS * 4)
+    with pytest.raises(ValueError):
+        search.build_lists(frame(spark, vectors), 5, DIMS)
+    assert search.build_lists(frame(spark, vectors), 4, DIMS, train_rows=100)[0].count() == len(vectors)
+
+
 def test_cosine_expression(spark):
     df = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
     got = [r[0] for r in df.select(F.round(cosine(F.col("a"), F.col("b")), 6)).collect()]

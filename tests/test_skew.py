@@ -16,36 +16,48 @@ def hot(spark):
         F.col("id").alias("n"))
 
 
-def test_text_parts_split_only_the_large_group(spark, hot):
-    lines = hot.withColumn("line", F.concat(F.lit("line "), F.col("n").cast("string")))
-    got = skew.text_parts(lines, ["k"], "line", ["n"], ["n"], max_lines=100).collect()
+def whole_texts(got, sep):
     parts = {}
-    for r in got:
-        parts.setdefault(r["k"], []).append(r["text"].split("\n"))
-    assert len(parts["hot"]) == 20 and max(map(len, parts["hot"])) < 200
-    assert all(len(p) == 1 for k, p in parts.items() if k != "hot")
+    for r in sorted(got, key=lambda r: r["part_no"]):
+        parts.setdefault(r["k"], []).append(r["text"])
+    return parts, {k: sep.join(p) for k, p in parts.items()}
+
+
+@pytest.mark.parametrize("part_bytes", [10, 300, 5000, 10**9])
+def test_parts_joined_in_order_are_the_ordered_text(spark, hot, part_bytes):
+    lines = hot.withColumn("line", F.concat(F.lit("line é "), F.col("n").cast("string")))
     expected = {}
-    for r in lines.collect():
-        expected.setdefault(r["k"], []).append((r["n"], r["line"]))
-    for k, p in parts.items():
-        assert sorted(sum(p, [])) == sorted(t for _, t in expected[k])
-        for part in p:
-            assert part == sorted(part, key=lambda t: int(t.split()[1]))
+    for r in sorted(lines.collect(), key=lambda r: r["n"]):
+        expected.setdefault(r["k"], []).append(r["line"])
+    expected = {k: "\n".join(v) for k, v in expected.items()}
+    parts, texts = whole_texts(skew.text_parts(lines, ["k"], "line", ["n"], [], part_bytes=part_bytes).collect(), "\n")
+    assert texts == expected
+    for k, found in parts.items():
+        assert len(found) >= len(expected[k].encode()) // (part_bytes + 16)
+        assert all(len(p.encode()) <= part_bytes + 16 for p in found)
+        assert part_bytes < len(expected[k].encode()) or len(found) == 1
 
 
 def test_text_parts_with_many_large_keys_agree(spark, hot, monkeypatch):
     lines = hot.withColumn("line", F.col("n").cast("string"))
-    listed = rows(skew.text_parts(lines, ["k"], "line", ["n"], ["n"], max_lines=15))
+    listed = rows(skew.text_parts(lines, ["k"], "line", ["n"], ["n"], part_bytes=60))
     monkeypatch.setattr(skew, "MAX_LISTED_KEYS", 3)
-    assert rows(skew.text_parts(lines, ["k"], "line", ["n"], ["n"], max_lines=15)) == listed
+    assert rows(skew.text_parts(lines, ["k"], "line", ["n"], ["n"], part_bytes=60)) == listed
 
 
 def test_copies_of_one_line_are_split_too(spark):
     copies = spark.range(1000).select(F.lit("a").alias("k"), F.lit("same").alias("line"), F.col("id").alias("row_no"))
-    got = skew.text_parts(copies, ["k"], "line", ["line"], ["line", "row_no"], max_lines=100).collect()
+    got = skew.text_parts(copies, ["k"], "line", ["line"], ["line", "row_no"], part_bytes=500).collect()
     assert len(got) == 10 and sum(r["text"].count("same") for r in got) == 1000
 
 
+def test_null_lines_and_null_keys_keep_their_place(spark):
+    data = [(None, 1, "x" * 40), (None, 2, "y" * 40), ("a", 1, None), ("b", 1, None), ("b", 2, "z")]
+    got = skew.text_parts(spark.createDataFrame(data, "k string, n int, line string"), ["k"], "line", ["n"], [], part_bytes=30)
+    assert sorted(((r["k"] or "", r["part_no"], r["text"]) for r in got.collect()), key=str) == [
+        ("", 0, "x" * 40), ("", 1, "y" * 40), ("a", 0, None), ("b", 0, "z")]
+
+
 def test_ordinals_in_a_hot_group(spark, hot):
     got = skew.ordinal_in_group(hot, ["k"], ["n"], F.floor(F.col("n") / 100)).collect()
     by_key = {}
