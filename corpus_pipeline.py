@@ -10,22 +10,37 @@ from linkwright.session import written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble, learnt from the labelled ones among them, does not reject."""
+    """Documents that the rule ensemble, learnt from the labelled ones among them, does not reject (score 0.3 or more).
+
+    Null and empty texts are scored like any other text; equal texts get equal scores; a null doc_id changes nothing. Without
+    two kinds of labels the score is a constant. All columns stay.
+    """
     return rules.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates."""
+    """One document of every group of near duplicates, that with the smallest doc_id.
+
+    Null and empty texts are linked with nothing, and so are rows with a null doc_id: they stay. Of repeated rows one stays.
+    All columns stay.
+    """
     return minhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a share of benchmark windows that makes them contaminated."""
+    """Documents without a share of benchmark windows that makes them contaminated.
+
+    A null text has no words and stays; rows are treated one by one, whatever their doc_id. An empty benchmark contaminates
+    nothing. All columns stay.
+    """
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document that is left as token ids, with the digests of ids and decoded text."""
+    """Every document that is left as token ids, with the digests of ids and decoded text.
+
+    A null text counts as empty; rows are treated one by one.
+    """
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=True)
 
 
