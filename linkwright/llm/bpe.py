@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from linkwright.llm.process import kept
 
 #: Encoded pieces that a task remembers, and the longest piece that it remembers.
-KEPT_PIECES, KEPT_LENGTH = 800_000, 64
+KEPT_PIECES, KEPT_LENGTH = 400_000, 64
 
 #: Token pairs with their answers, and prefixes of up to KEPT_PREFIX bytes with their last tokens, that a task remembers.
-KEPT_PAIRS, KEPT_PREFIX = 600_000, 8
+KEPT_PAIRS, KEPT_PREFIX = 300_000, 8
 
 #: Texts are read in parts of about this many characters, cut where a piece begins for certain.
 PART_CHARS = 1 << 20

@@ -41,6 +41,9 @@ MOST_BITS = 62
 #: about so many of them).
 FEW_MEMBERS, OTHER_HUBS = 8, 4
 
+#: Pairs of texts whose sets a task holds at a time.
+ROWS_PER_STEP = 500
+
 #: Up to this many candidates are looked up in the documents by a list sent to all tasks (24 bytes each); more of
 #: them are joined by shuffle.
 SENT_IDS = 500_000
@@ -173,6 +176,13 @@ def _with_texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFr
     )
 
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, whose sets are held together."""
+    for batch in batches:
+        for first in range(0, len(batch), ROWS_PER_STEP):
+            yield batch.slice(first, ROWS_PER_STEP)
+
+
 def _met(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Place, set of a and set of b of every row; the set of b is made once per run of rows."""
     hubs = batch.column(1).to_numpy(zero_copy_only=False)
@@ -197,7 +207,7 @@ def _similar(both: int, a: int, b: int) -> bool:
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose full sets have 100 * intersection >= 75 * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             linked = np.zeros(len(batch), bool)
             for k, a, b in _met(batch):
                 linked[k] = _similar(int(_among(a, b).sum()), len(a), len(b))
@@ -212,7 +222,7 @@ def _differences(stars: DataFrame, classes: DataFrame, docs: DataFrame) -> DataF
     n is the size of a's set, ``tokens`` the shingles that only one of the two has, ``linked`` whether the two are.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             n, linked, tokens = [], [], []
             for _, a, b in _met(batch):
                 added, lacking = a[~_among(a, b)], b[~_among(b, a)]

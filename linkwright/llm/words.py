@@ -15,7 +15,7 @@ import pyarrow as pa
 from linkwright.llm.process import kept
 
 #: Texts are worked on in slices of about this many bytes; one longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACES = [0x20, *range(0x09, 0x0E)]
 _MARKS = [*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
