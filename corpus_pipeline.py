@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from linkwright.llm import bpe, decontam, minhash, rules
-from linkwright.session import written
+from linkwright.session import tune, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are scored like any other text; equal texts get equal scores; a null doc_id changes nothing. Without
     two kinds of labels the score is a constant. All columns stay.
     """
-    return rules.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rules.accepted(docs, tune(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are linked with nothing, and so are rows with a null doc_id: they stay. Of repeated rows one stays.
     All columns stay.
     """
+    tune(spark)
     return minhash.one_of_each(docs)
 
 
@@ -33,7 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A null text has no words and stays; rows are treated one by one, whatever their doc_id. An empty benchmark contaminates
     nothing. All columns stay.
     """
-    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontam.clean(docs, tune(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +42,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text counts as empty; rows are treated one by one.
     """
+    tune(spark)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=True)
 
 
