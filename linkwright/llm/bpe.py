@@ -41,7 +41,7 @@ class Ranks:
         self.tokens = {rank: token for token, rank in self.ids.items()}
         self.longest = max(map(len, self.ids))
         self._parts: dict[int, tuple[int, int] | None] = {}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}  # by left << 32 | right
         self.prefixes: dict[bytes, int] = {}
         #: Tokens that merges lead to; a rank file may hold others, which no encoding uses.
         self.merged = {t: r for t, r in self.ids.items() if len(t) == 1 or self.parts(r) is not None}
@@ -72,11 +72,12 @@ class Ranks:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the bytes of the two tokens, side by side, encode to just these two."""
-        known = self.beside.get((left, right))
+        pair = left << 32 | right
+        known = self.beside.get(pair)
         if known is None:
             if len(self.beside) >= KEPT_PAIRS:
                 self.beside.clear()
-            known = self.beside[left, right] = self._stay_apart(left, right)
+            known = self.beside[pair] = self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -129,7 +130,7 @@ class Prefixes:
                     continue
                 if start:
                     left = last[start - 1]
-                    apart = known((left, token))
+                    apart = known(left << 32 | token)
                     if not (may_follow(left, token) if apart is None else apart):
                         continue
                 break
