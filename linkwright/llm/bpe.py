@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from linkwright.llm.process import kept
 
 #: Encoded pieces that a task remembers, and the longest piece that it remembers.
-KEPT_PIECES, KEPT_LENGTH = 400_000, 64
+KEPT_PIECES, KEPT_LENGTH = 600_000, 64
 
 #: Token pairs with their answers, and prefixes of up to KEPT_PREFIX bytes with their last tokens, that a task remembers.
-KEPT_PAIRS, KEPT_PREFIX = 300_000, 8
+KEPT_PAIRS, KEPT_PREFIX = 400_000, 6
 
 #: Texts are read in parts of about this many characters, cut where a piece begins for certain.
 PART_CHARS = 1 << 20
@@ -39,12 +39,15 @@ class Ranks:
         pairs = (line.split() for line in data.splitlines() if line.strip())
         self.ids = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ids.items()}
-        self.longest = max(map(len, self.ids))
         self._parts: dict[int, tuple[int, int] | None] = {}
         self.beside: dict[int, bool] = {}  # by left << 32 | right
         self.prefixes: dict[bytes, int] = {}
         #: Tokens that merges lead to; a rank file may hold others, which no encoding uses.
         self.merged = {t: r for t, r in self.ids.items() if len(t) == 1 or self.parts(r) is not None}
+        #: Bytes of the longest token that ends in two given bytes.
+        self.tails: dict[bytes, int] = {}
+        for token in self.merged:
+            self.tails[token[-2:]] = max(self.tails.get(token[-2:], 1), len(token))
         size = max(self.tokens) + 1
         self._length = np.zeros(size, np.int64)
         for rank, token in self.tokens.items():
@@ -118,13 +121,14 @@ class Prefixes:
     def append(self, more: bytes) -> None:
         """Go on after what is there; nothing before is computed again."""
         ranks, last, text = self.ranks, self.last, self.text + more
-        whole, known, may_follow, longest = ranks.merged.get, ranks.beside.get, ranks.may_follow, ranks.longest
+        whole, known, may_follow, tails = ranks.merged.get, ranks.beside.get, ranks.may_follow, ranks.tails.get
         prefixes = ranks.prefixes
         for end in range(len(self.text) + 1, len(text) + 1):
             if end <= KEPT_PREFIX and (token := prefixes.get(text[:end])) is not None:
                 last.append(token)
                 continue
-            for start in range(end - longest if end > longest else 0, end):
+            first = end - tails(text[end - 2:end], 1) if end > 1 else 0
+            for start in range(first if first > 0 else 0, end):
                 token = whole(text[start:end])
                 if token is None:
                     continue
@@ -172,7 +176,9 @@ class Encoder:
         """Ids of a piece that is not among the newer half of the remembered ones."""
         found = self.older.get(piece)
         if found is None:
-            ids = Prefixes(self.ranks, piece.encode()).encoding()
+            text = piece.encode()
+            token = self.ranks.merged.get(text)
+            ids = Prefixes(self.ranks, text).encoding() if token is None else [token]
             found = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= KEPT_LENGTH:
             if len(self.kept) >= KEPT_PIECES // 2:
