@@ -154,7 +154,7 @@ def normalize_watchers(spark: SparkSession, folder: str) -> DataFrame:
 
 def delimited_explode(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder, *LINE_ORDER).withColumn("part", F.col("l_partkey").cast("string"))
-    listed = text_parts(lines, ["l_orderkey"], "part", LINE_ORDER, LINE_ORDER, "parts", ";", part_bytes=12)
+    listed = text_parts(lines, ["l_orderkey"], "part", LINE_ORDER, LINE_ORDER, "parts", ";", part_bytes=40)
     return normalize.listed_values(listed, ["l_orderkey"], "parts", "part")
 
 
@@ -312,21 +312,27 @@ def _change_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(prefixed("CR-", "c_custkey").alias("seed_id"))
 
 
-_stored: dict[tuple[str, str, bool], str] = {}
+_stored: dict[tuple[str, str, bool], tuple[str, str]] = {}
 
 
 def stored_graph(spark: SparkSession, folder: str, parallel: bool = True) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges as a stored graph, loaded once per application and data folder.
 
-    Traversals run against this store, as they would against a graph loaded by an earlier job.
+    Traversals run against this store, as they would against a graph loaded by an earlier job. The graph of distinct edges has
+    the same vertices, and its edges are made from the stored parallel ones.
     """
     spot = (spark.sparkContext.applicationId, folder, parallel)
     if spot not in _stored:
         path = fresh_path(spark, "graph")
-        edges = star_edges(spark, folder)
-        graph.replace_graph(star_vertices(spark, folder), edges if parallel else graph.distinct_edges(edges), path)
-        _stored[spot] = path
-    return spark.read.parquet(f"{_stored[spot]}/vertices"), spark.read.parquet(f"{_stored[spot]}/edges")
+        if parallel:
+            graph.replace_graph(star_vertices(spark, folder), star_edges(spark, folder), path)
+            _stored[spot] = (f"{path}/vertices", f"{path}/edges")
+        else:
+            _, edges = stored_graph(spark, folder)
+            graph.replace_table(graph.distinct_edges(edges), "src", f"{path}/edges")
+            _stored[spot] = (_stored[(*spot[:2], True)][0], f"{path}/edges")
+    vertices, edges = _stored[spot]
+    return spark.read.parquet(vertices), spark.read.parquet(edges)
 
 
 HOP = ["seed_id", "direction", "edge_label", "other_id", "other_label"]

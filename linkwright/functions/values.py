@@ -68,19 +68,15 @@ FALSE_TOKENS = ["false", "null", "0", "-0", "0.0", '""', "[]", "{}"]
 
 
 def json_record(document: Column) -> Column:
-    """The fields of a JSON object in order; null for broken text and for anything but an object.
+    """The fields of a JSON object in order, parsed once; null for broken text and for anything but an object.
 
-    Each field has its value, and its text as it is printed in the document, which tells 1.0 from 1. A present null field
-    differs from a missing one.
+    A present null field differs from a missing one.
     """
-    values = F.map_entries(F.from_json(document, "map<string,variant>"))
-    texts = F.map_entries(F.from_json(document, "map<string,string>"))
-    return F.zip_with(values, texts, lambda v, t: F.struct(
-        v["key"].alias("name"), v["value"].alias("value"), t["value"].alias("text")))
+    return F.map_entries(F.from_json(document, "map<string,variant>"))
 
 
 def has_key(record: Column, *names: str) -> Column:
-    listed = F.transform(record, lambda f: f["name"])
+    listed = F.transform(record, lambda f: f["key"])
     found = F.lit(True)
     for name in names:
         found = found & F.array_contains(listed, name)
@@ -88,20 +84,28 @@ def has_key(record: Column, *names: str) -> Column:
 
 
 def field(record: Column, name: str) -> Column:
-    """A field by name; of repeated names the last one counts."""
-    return F.try_element_at(F.filter(record, lambda f: f["name"] == name), F.lit(-1))
+    """The value of a field; of repeated names the last one counts."""
+    return F.try_element_at(F.filter(record, lambda f: f["key"] == name), F.lit(-1))["value"]
 
 
 def flag(record: Column, name: str) -> Column:
     """Whether a field is present and not empty, zero, false or null."""
-    return ~F.coalesce(F.to_json(field(record, name)["value"]), F.lit("null")).isin(*FALSE_TOKENS)
+    return ~F.coalesce(F.to_json(field(record, name)), F.lit("null")).isin(*FALSE_TOKENS)
+
 
+def field_text(record: Column, name: str, document: Column) -> Column:
+    """The printed value of a present field: text as it is, ``None`` for null, ``True``/``False``, lists as ``[1, 'a']``.
 
-def field_text(found: Column) -> Column:
-    """The printed value of a present field: text as it is, ``None`` for null, ``True``/``False``, lists as ``[1, 'a']``."""
-    kind = F.schema_of_variant(found["value"])
-    return (F.when(found["value"].isNull() | (kind == "VOID"), "None").when(kind == "BOOLEAN", F.initcap(found["text"]))
-            .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), nested_text(found["text"])).otherwise(found["text"]))
+    Numbers, also those in lists, are printed as the document has them, which tells 1.0 from 1; only for them is the document
+    read a second time.
+    """
+    value = field(record, name)
+    json = F.coalesce(F.to_json(value), F.lit("null"))
+    texts = F.map_entries(F.from_json(document, "map<string,string>"))
+    written = F.try_element_at(F.filter(texts, lambda f: f["key"] == name), F.lit(-1))["value"]
+    return (F.when(json.startswith('"'), value.cast("string")).when(json == "null", "None")
+            .when(json.isin("true", "false"), F.initcap(json))
+            .when(json.startswith("[") | json.startswith("{"), nested_text(written)).otherwise(written))
 
 
 def nested_text(json: Column) -> Column:
@@ -120,9 +124,9 @@ def nested_text(json: Column) -> Column:
     return F.array_join(F.transform(marks, printed), "")
 
 
-def first_present(record: Column, names: Sequence[str], default: str) -> Column:
+def first_present(record: Column, document: Column, names: Sequence[str], default: str) -> Column:
     """Printed value of the first field that is present, even if null; else the default."""
     choice = F.lit(default)
     for name in reversed(names):
-        choice = F.when(has_key(record, name), field_text(field(record, name))).otherwise(choice)
+        choice = F.when(has_key(record, name), field_text(record, name, document)).otherwise(choice)
     return choice

@@ -204,15 +204,20 @@ def build_simple_graph(
 
 # --- store --------------------------------------------------------------------------------------
 
-def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    """Drop what is stored and write both tables, partitioned by label.
+def replace_table(rows: DataFrame, key: str, path: str) -> None:
+    """Drop what is stored and write vertices (``key`` id) or edges (``key`` src), partitioned by label.
 
     Rows are rebalanced by label, so a label gets few files and a huge one is split over many tasks.
     Sorted files let a lookup by id skip most of their row groups.
     """
-    for rows, key, name in ((vertices, "id", "vertices"), (edges, "src", "edges")):
-        placed = rows.hint("rebalance", "label").sortWithinPartitions("label", key)
-        placed.write.mode("overwrite").partitionBy("label").parquet(f"{path}/{name}")
+    placed = rows.hint("rebalance", "label").sortWithinPartitions("label", key)
+    placed.write.mode("overwrite").partitionBy("label").parquet(path)
+
+
+def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
+    """Drop a stored graph and write both tables."""
+    replace_table(vertices, "id", f"{path}/vertices")
+    replace_table(edges, "src", f"{path}/edges")
 
 
 def absent_vertices(batch: DataFrame, stored: DataFrame, order: Sequence[str | Column]) -> DataFrame:

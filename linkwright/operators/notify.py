@@ -21,9 +21,9 @@ def _column_fields(audit: DataFrame) -> dict[str, Column]:
     return {n: shown(n) for n in ["ActionTaken", "QuestionaireID", "ActionTimestamp", "ActionUser", *FIELDS]}
 
 
-def _json_fields(record: Column, absent: str) -> dict[str, Column]:
+def _json_fields(record: Column, document: Column, absent: str) -> dict[str, Column]:
     head = {n: "N/A" for n in ["ActionTaken", "QuestionaireID", "ActionTimestamp", "ActionUser"]}
-    return {n: first_present(record, [n], default) for n, default in {**head, **dict.fromkeys(FIELDS, absent)}.items()}
+    return {n: first_present(record, document, [n], default) for n, default in {**head, **dict.fromkeys(FIELDS, absent)}.items()}
 
 
 def _table(fields: dict[str, Column]) -> Column:
@@ -58,10 +58,10 @@ def json_messages(records: DataFrame, document: str, layout: str = "table") -> D
     record = F.col("_record")
     parsed = records.withColumn("_record", json_record(F.col(document)))
     if layout == "table":
-        message = F.when(record.isNotNull(), _table(_json_fields(record, "N/A")))
+        message = F.when(record.isNotNull(), _table(_json_fields(record, F.col(document), "N/A")))
     else:
         failed = fixed.render(fixed.LIST_ERROR, error="not a JSON object", record=F.coalesce(F.col(document), F.lit("None")))
-        message = F.when(record.isNotNull(), _list(_json_fields(record, ""))).otherwise(failed)
+        message = F.when(record.isNotNull(), _list(_json_fields(record, F.col(document), ""))).otherwise(failed)
     return parsed.withColumn("message", message).drop("_record")
 
 
@@ -79,12 +79,12 @@ def classify(documents: DataFrame, document: str) -> DataFrame:
         *documents.columns,
         F.when(record.isNull(), F.lit("not a JSON object")).alias("error"),
         F.when(record.isNotNull(), F.when(edge, "edge").otherwise("vertex")).alias("kind"),
-        first_present(record, ["id"], unknown["id"]).alias("element_id"),
-        first_present(record, ["label"], unknown["label"]).alias("label"),
-        first_present(record, ["outVLabel"], unknown["outVLabel"]).alias("source_label"),
-        first_present(record, ["inVLabel"], unknown["inVLabel"]).alias("target_label"),
-        first_present(record, ["outV", "_vertexId"], unknown["source"]).alias("source_id"),
-        first_present(record, ["inV", "_sink"], unknown["target"]).alias("target_id"),
+        first_present(record, F.col(document), ["id"], unknown["id"]).alias("element_id"),
+        first_present(record, F.col(document), ["label"], unknown["label"]).alias("label"),
+        first_present(record, F.col(document), ["outVLabel"], unknown["outVLabel"]).alias("source_label"),
+        first_present(record, F.col(document), ["inVLabel"], unknown["inVLabel"]).alias("target_label"),
+        first_present(record, F.col(document), ["outV", "_vertexId"], unknown["source"]).alias("source_id"),
+        first_present(record, F.col(document), ["inV", "_sink"], unknown["target"]).alias("target_id"),
     )
     is_edge, good = F.col("kind") == "edge", F.col("error").isNull()
     named = {"id": F.col("element_id"), "label": F.col("label")}
