@@ -60,7 +60,8 @@ def op4_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bigram scores of all documents under the counts of all others."""
-    return lm.scores(table(spark, sf_dir, "documents"))
+    found = lm.scores(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log")})
 
 
 def op6_window_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,8 +182,8 @@ ORACLES: dict[str, str] = {
             FROM c),
         sums AS (SELECT doc_id, CAST(sum(seen) AS BIGINT) AS n_seen, sum(v) AS log_score FROM s GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_seen, 0) AS n_seen,
-               coalesce(log_score, 0.0::DOUBLE) AS log_score,
-               CASE WHEN len(w) > 0 THEN log_score / len(w) END AS mean_log
+               round(coalesce(log_score, 0.0::DOUBLE), 6) AS log_score,
+               round(CASE WHEN len(w) > 0 THEN log_score / len(w) END, 6) AS mean_log
         FROM d LEFT JOIN sums USING (doc_id)""",
     "op6_window_overlap": f"""
         WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
