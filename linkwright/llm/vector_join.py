@@ -27,7 +27,8 @@ CELL_ROWS, LABEL_PIVOTS, ALL_PIVOTS = 2000, 64, 16_384
 #: Vectors on each side of a block.
 BLOCK_ROWS = 4000
 
-#: Room for rounding in the geometric bounds (the cosine itself is compared as it is).
+#: Room for rounding of squared chords in the geometric bounds; a chord near 0 is off by up to its root (the cosine itself
+#: is compared as it is).
 SLACK = 1e-9
 
 SPACE = ["label", "dims"]
@@ -99,8 +100,15 @@ def _chords(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * vectors @ pivots.T, 0))
 
 
+def _apart(pivots: np.ndarray) -> np.ndarray:
+    """Distances of all pivots, from differences, as the dot product cancels where pivots nearly coincide."""
+    return np.stack([np.sqrt(((pivots - pivot) ** 2).sum(1)) for pivot in pivots])
+
+
 def _spread(homes: DataFrame, pivots: dict[tuple, np.ndarray], radii: dict[tuple, np.ndarray], reach: float) -> DataFrame:
     """A row for every cell that a vector is needed in; ``own`` in its home."""
+    wide = reach + SLACK ** 0.5
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for space, rows in _by_space(batch):
@@ -111,10 +119,9 @@ def _spread(homes: DataFrame, pivots: dict[tuple, np.ndarray], radii: dict[tuple
                     home = rows.column("home").to_numpy()
                     chord = _chords(units(rows.column("embedding"), space[1]), own)
                     near = chord[np.arange(len(home)), home][:, None]
-                    apart = _chords(own, own)[home]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        plane = (chord * chord - near * near) / (2 * apart)
-                    keep = ~(plane > reach + SLACK) & (chord <= radii[space] + reach + SLACK)
+                    # not divided by the distance of the pivots: they may coincide, but for rounding
+                    beyond = chord * chord - near * near > 2 * _apart(own)[home] * wide + SLACK
+                    keep = ~beyond & (chord <= radii[space] + wide)
                     keep[np.arange(len(home)), home] = True
                     at, cell = np.nonzero(keep)
                     mine = cell == home[at]

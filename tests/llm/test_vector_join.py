@@ -72,6 +72,20 @@ def test_pivots_prune_clustered_vectors(spark, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == by_force(data, 0.93)
 
 
+def test_pivots_that_nearly_coincide_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(vector_join, "CELL_ROWS", 14)
+    draw = np.random.default_rng(5)
+    hot = draw.normal(size=8)
+    found = [hot * s for s in draw.uniform(0.1, 10, 300)] + [hot + draw.normal(size=8) * 0.3 for _ in range(300)]
+    found += list(draw.normal(size=(300, 8)))
+    data = [(int(k), [float(x) for x in np.float32(v)], 0) for k, v in zip(draw.permutation(900), found, strict=True)]
+    frame = spark.createDataFrame(data, SCHEMA)
+    pivots = vector_join._pivots(vector_join._classes(frame.withColumn("node", F.xxhash64("embedding"))))[0, 8]
+    assert len(pivots) == 64 and (vector_join._chords(pivots, pivots) < 1e-7).sum() > 64 + 100
+    got = vector_join.linked_vectors(frame, 0.93).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == by_force(data, 0.93)
+
+
 def test_repeated_rows_null_ids_and_empty_tables(spark):
     data = [(5, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (None, [1.0, 0.0], 1)]
     got = sorted(((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]) for r in
