@@ -64,6 +64,12 @@ def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log")})
 
 
+def op5_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram scores of all documents under the counts of all others, backing off to two words and to one."""
+    found = lm.scores(table(spark, sf_dir, "documents"), 3)
+    return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log")})
+
+
 def op6_window_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold 13-word windows of the benchmark."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -96,6 +102,7 @@ QUERIES = {
     "op3_minhash_stars": op3_minhash_stars,
     "op4_schema_fingerprints": op4_schema_fingerprints,
     "op5_backoff_scores": op5_backoff_scores,
+    "op5_trigram_scores": op5_trigram_scores,
     "op6_window_overlap": op6_window_overlap,
     "op7_pivot_cells": op7_pivot_cells,
     "op8_template_automata": op8_template_automata,
@@ -185,6 +192,39 @@ ORACLES: dict[str, str] = {
                round(coalesce(log_score, 0.0::DOUBLE), 6) AS log_score,
                round(CASE WHEN len(w) > 0 THEN log_score / len(w) END, 6) AS mean_log
         FROM d LEFT JOIN sums USING (doc_id)""",
+    "op5_trigram_scores": f"""
+        WITH d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
+        t AS (SELECT doc_id, i, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        own1 AS (SELECT doc_id, c, count(*) AS n FROM t GROUP BY ALL),
+        own2 AS (SELECT doc_id, b, c, count(*) AS n FROM t WHERE b IS NOT NULL GROUP BY ALL),
+        own3 AS (SELECT doc_id, a, b, c, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY ALL),
+        one AS (SELECT doc_id, c, sum(n) OVER (PARTITION BY c) - n AS n FROM own1),
+        two AS (SELECT doc_id, b, c, sum(n) OVER (PARTITION BY b, c) - n AS n FROM own2),
+        three AS (SELECT doc_id, a, b, c, sum(n) OVER (PARTITION BY a, b, c) - n AS n FROM own3),
+        size AS (SELECT count(*) AS n FROM t),
+        k AS (
+            SELECT t.doc_id, t.a, t.b, three.n AS abc, ab.n AS ab, bc.n AS bc, one_b.n AS nb, one_c.n AS nc,
+                   greatest(size.n - len(d.w), 1) AS rest
+            FROM t JOIN d ON d.doc_id = t.doc_id JOIN one one_c ON one_c.doc_id = t.doc_id AND one_c.c = t.c
+            LEFT JOIN one one_b ON one_b.doc_id = t.doc_id AND one_b.c = t.b
+            LEFT JOIN two bc ON bc.doc_id = t.doc_id AND bc.b = t.b AND bc.c = t.c
+            LEFT JOIN two ab ON ab.doc_id = t.doc_id AND ab.b = t.a AND ab.c = t.b
+            LEFT JOIN three ON three.doc_id = t.doc_id AND three.a = t.a AND three.b = t.b AND three.c = t.c
+            CROSS JOIN size),
+        s AS (
+            SELECT doc_id, CASE WHEN abc > 0 THEN 1 ELSE 0 END AS seen,
+                   CASE WHEN abc > 0 THEN log10(abc / ab)
+                        ELSE CASE WHEN a IS NULL THEN 0 ELSE log10(0.4) END
+                             + CASE WHEN bc > 0 THEN log10(bc / nb)
+                                    ELSE CASE WHEN b IS NULL THEN 0 ELSE log10(0.4) END
+                                         + CASE WHEN nc > 0 THEN log10(nc / rest) ELSE log10(0.4) - log10(rest) END END END AS v
+            FROM k),
+        sums AS (SELECT doc_id, CAST(sum(seen) AS BIGINT) AS n_seen, sum(v) AS log_score FROM s GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_seen, 0) AS n_seen,
+               round(coalesce(log_score, 0.0::DOUBLE), 6) AS log_score,
+               round(CASE WHEN len(w) > 0 THEN log_score / len(w) END, 6) AS mean_log
+        FROM d LEFT JOIN sums USING (doc_id)""",
     "op6_window_overlap": f"""
         WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,22 @@ def test_scores_are_those_of_the_counts_of_the_others(spark, monkeypatch, order)
     assert sorted(got, key=str) == sorted(by_force(texts, order), key=str)
 
 
+def test_long_ngrams_are_asked_for_where_both_shorter_ones_are_shared(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(lm, "_ask", lambda *a, ask=lm._ask: asked.append(ask(*a)) or asked[-1])
+    texts = [(0, "a b c d"), (1, "a b c e"), (2, "x b c d"), (3, "a b y"), (4, "p q r s t"), (5, "p q"), (6, "q r z a b c")]
+    got = [(r["doc_id"], r["n_words"], r["n_seen"], round(r["log_score"], 6), round(r["mean_log"], 6))
+           for r in lm.scores(spark.createDataFrame(texts, SCHEMA), 4).collect()]
+    assert sorted(got) == sorted(by_force(texts, 4))
+    sizes = [sum(len(r["keys"]) // 6 for r in level.collect()) for level in asked]
+    assert len(sizes) == 3 and sizes[1:] == [3, 1]  # abc, bcd, pqr of 11 that there are; abcd of 8
+
+
+def test_packed_counts_come_back():
+    counts = np.array([1, 254, 255, 256, 0, 1 << 40, 3])
+    assert (lm._unpacked(lm._packed(counts)) == counts).all() and len(lm._unpacked(lm._packed(counts[:0]))) == 0
+
+
 def test_one_text_and_no_text(spark):
     docs = spark.createDataFrame([(1, "a b")], SCHEMA)
     row, = lm.scores(docs).collect()
