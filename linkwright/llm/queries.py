@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwright.session import written
-from linkwright.llm import bpe, chat, decontam, licenses, lm, merkle, minhash, rules, sharding, vector_join
+from linkwright.llm import (
+    alignment, bpe, chat, decontam, licenses, lm, merkle, minhash, rules, sharding, token_counts, vector_join, whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +98,22 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spliced_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers over all documents."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_merkle_audit": op1_merkle_audit,
     "op2_best_fit_shards": op2_best_fit_shards,
@@ -108,6 +126,9 @@ QUERIES = {
     "op8_template_automata": op8_template_automata,
     "op9_bpe_prefix_dp": op9_bpe_prefix_dp,
     "op10_rule_ensemble": op10_rule_ensemble,
+    "op11_block_whitening": op11_block_whitening,
+    "op12_spliced_counts": op12_spliced_counts,
+    "op13_fragment_alignment": op13_fragment_alignment,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

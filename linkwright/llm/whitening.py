@@ -36,6 +36,7 @@ def stepped(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
 
     The dimension is the length that most vectors have, the longest of those where several do; a vector of another
     length lacks entries, or has some too many, and takes no part, like a null one or one with null, NaN or infinite entries.
+    Steps beyond a long count as its largest or smallest value.
     """
     whole = vectors.select("vec_id", F.col(vector).cast("array<double>").alias("c")).filter(
         F.col("c").isNotNull() & (F.size("c") > 0)

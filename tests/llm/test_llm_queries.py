@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from linkwright.llm import queries as llm
@@ -42,10 +43,10 @@ def test_query_matches_its_sql(spark, name):
     assert table(got.columns, data) == table(names, result.fetchall())
 
 
-def test_all_ten_are_bound():
+def test_all_thirteen_are_bound():
     found = entry.queries()
     assert "pipeline" in found
-    assert {name.split("_")[0] for name in llm.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in llm.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_shards(spark):
@@ -90,3 +91,27 @@ def test_quality(spark):
     assert rows["score"].between(0, 1).all() and (rows["predicted"] == (rows["score"] >= 0.3)).all()
     held = rows[rows["held_out"]].merge(labels, on="doc_id")
     assert (held["predicted"] == held["quality"]).mean() > 0.95
+
+
+def test_whitening(spark):
+    from tests.llm.test_whitening import compare, plain
+    rows = pq.read_table(f"{FOLDER}/embeddings.parquet").to_pylist()
+    whole = [(r["vec_id"], r["embedding"]) for r in rows if r["embedding"] is not None]
+    compare(entry.queries()["op11_block_whitening"](spark, FOLDER).collect(), plain(whole))
+
+
+def test_token_counts(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = {r["doc_id"]: r for r in entry.queries()["op12_spliced_counts"](spark, FOLDER).collect()}
+    assert len(rows) == len(documents())
+    for d in documents():
+        n, r = len(library.encode(d["text"] or "", add_special_tokens=False).ids), rows[d["doc_id"]]
+        assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len((d["text"] or "").encode()), n > 512)
+
+
+def test_alignment(spark):
+    from tests.llm.test_alignment import A, B, COLUMNS, plain
+    from linkwright.llm.alignment import Pair
+    known = Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    got = entry.queries()["op13_fragment_alignment"](spark, FOLDER).select(*COLUMNS).collect()
+    assert sorted(map(tuple, got)) == sorted(plain(known, [(d["doc_id"], d["text"]) for d in documents()]))
