@@ -69,7 +69,8 @@ class Counter:
         found = self.tokenizer.encode(text, add_special_tokens=False)
         words = np.array([-1 if w is None else w for w in found.word_ids], np.int64)
         first = np.flatnonzero(np.diff(words, prepend=-2) != 0)
-        places = np.array([found.offsets[k][0] for k in first], np.int64)
+        offsets = found.offsets  # a list made anew at every call
+        places = np.array([offsets[k][0] for k in first], np.int64)
         return len(words), places, first
 
 
