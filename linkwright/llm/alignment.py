@@ -12,7 +12,7 @@ import hashlib
 import json
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
@@ -28,11 +28,14 @@ from linkwright.session import written
 #: Bytes of a range of a long text; shorter texts are one range.
 RANGE_BYTES = 1 << 15
 
+#: Ranges that are encoded together, each distinct segment once.
+RANGES_TOGETHER = 32
+
 #: Neighbouring fragments that one step of the tree joins.
 FAN = 16
 
 #: Characters of texts that are worked on together: one block.
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 20
 
 
 class Pair:
@@ -54,6 +57,8 @@ class Pair:
             raise ValueError("needs a piece vocabulary that merges nothing over the start of a word")
         self.of_a = byte_tokens(self.a)
         self.of_b = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
+        #: Ids as they are spelled: A inside and at the end of its side of a group, B inside and at the end.
+        self.written = [f"{i}{mark}" for of, marks in ((self.of_a, ",|"), (self.of_b, ",;")) for mark in marks for i in range(len(of))]
         self.size_a = np.array([len(t) for t in self.of_a], np.int64)
         self.size_b = np.array([len(t) for t in self.of_b], np.int64)
 
@@ -90,6 +95,12 @@ class Streams:
     at_b: np.ndarray
     good: np.ndarray
 
+    def places(self) -> np.ndarray:
+        """k of every segment."""
+        found = np.empty(len(self.order), np.int64)
+        found[self.order] = np.arange(len(self.order))
+        return found
+
 
 def linked(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Every A-B pair of tokens of one group, as A id << 32 | B id, and its group; in order of the A tokens."""
@@ -100,12 +111,15 @@ def linked(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, n:
     return np.repeat(a, reps) << 32 | b[np.repeat(first_b[of_a], reps) + inside], np.repeat(of_a, reps)
 
 
-def spelled(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, n: int) -> list[str]:
-    """``a1,a2|b1`` of every group."""
-    ids_a, ids_b = [str(i) for i in a.tolist()], [str(i) for i in b.tolist()]
-    edge_a = np.searchsorted(of_a, np.arange(n + 1)).tolist()
-    edge_b = np.searchsorted(of_b, np.arange(n + 1)).tolist()
-    return [",".join(ids_a[edge_a[k]:edge_a[k + 1]]) + "|" + ",".join(ids_b[edge_b[k]:edge_b[k + 1]]) for k in range(n)]
+def spelled(pair: Pair, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, n: int) -> tuple[list[str], np.ndarray]:
+    """``a1,`` ``a2|`` ``b1;`` ... of all tokens, group by group, and the number of strings up to the end of every group."""
+    in_a, in_b = np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n)
+    written_a = np.where(np.diff(of_a, append=n) > 0, a + len(pair.of_a), a)
+    written_b = np.where(np.diff(of_b, append=n) > 0, b + len(pair.of_b), b) + 2 * len(pair.of_a)
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[of_a]] = written_a
+    order[np.arange(len(b)) + np.cumsum(in_a)[of_b]] = written_b
+    return [pair.written[k] for k in order.tolist()], np.cumsum(in_a + in_b)
 
 
 # ---- the monoid ----
@@ -248,23 +262,28 @@ def ranges(data: bytes, size: int) -> Iterator[tuple[int, int, int, bytes]]:
         begin = end
 
 
-def _of_range(pair: Pair, begin: int, end: int, place: int, data: bytes, whole: int) -> tuple[Fragment, bool]:
-    """The fragment of tokens that begin in a range, and whether their bytes are not the text's."""
-    segments = cut(data.decode())
-    distinct = {s: i for i, s in enumerate(dict.fromkeys(segments))}
+def _of_ranges(pair: Pair, rows: list[dict]) -> Iterator[tuple[Fragment, bool]]:
+    """The fragment of the tokens that begin in each range, and whether their bytes are not the text's."""
+    parts = [cut(r["bytes"].decode()) for r in rows]
+    distinct = {s: i for i, s in enumerate(dict.fromkeys(chain.from_iterable(parts)))}
     streams = pair.encode(list(distinct))
-    if not streams.good.all():
-        return Fragment(NOTHING), True
-    of = dict(zip(streams.order, range(len(streams.order))))
-    picked = [of[distinct[s]] for s in segments]
-    a = np.concatenate([streams.a[streams.at_a[k]:streams.at_a[k + 1]] for k in picked])
-    b = np.concatenate([streams.b[streams.at_b[k]:streams.at_b[k + 1]] for k in picked])
-    _, inside = Tokens(place, a, place, b).split(pair, begin)
-    starts_a, starts_b = Tokens(place, a, place, b).starts(pair)
-    inside = replace(inside, a_at=int(starts_a[len(a) - len(inside.a)]) if len(inside.a) else end,
-                     b_at=int(starts_b[len(b) - len(inside.b)]) if len(inside.b) else end)
-    inside, _ = inside.split(pair, end)
-    return settle(inside, pair, whole if end == whole else None), False
+    place = streams.places()
+    for r, part in zip(rows, parts):
+        picked = place[[distinct[s] for s in part]]
+        if not streams.good[picked].all():
+            yield Fragment(NOTHING), True
+            continue
+        a, b = (ids[_expanded(np.diff(at)[picked], at[picked])] for ids, at in ((streams.a, streams.at_a), (streams.b, streams.at_b)))
+        tokens = Tokens(r["place"], a, r["place"], b)
+        starts_a, starts_b = (np.append(s, r["end"]) for s in tokens.starts(pair))
+        i, j = int(np.searchsorted(starts_a, r["begin"])), int(np.searchsorted(starts_b, r["begin"]))
+        inside, _ = Tokens(int(starts_a[i]), a[i:], int(starts_b[j]), b[j:]).split(pair, r["end"])
+        yield settle(inside, pair, r["whole"] if r["end"] == r["whole"] else None), False
+
+
+def _expanded(sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... sizes[0] of them, then those from first[1] on, and so on."""
+    return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
 
 
 # ---- Spark ----
@@ -277,38 +296,32 @@ def _pair(files: tuple[str, str]) -> Pair:
     return kept(("alignment", *files), make)
 
 
-def _expanded(sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """first[0], first[0] + 1, ... sizes[0] of them, then those from first[1] on, and so on."""
-    return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
-
-
 def _block(pair: Pair, texts: list[str]) -> dict[str, list | bytes]:
     """Figures of every text, and the distinct links of each as places in the block's list of pairs."""
     parts = [cut(" " + t) if t else [] for t in texts]
     distinct = {s: i for i, s in enumerate(dict.fromkeys(chain.from_iterable(parts)))}
     streams = pair.encode(list(distinct))
-    n = len(distinct)
-    place = np.empty(n, np.int64)
-    place[streams.order] = np.arange(n)  # streams know segments by their place in the order
+    n, place = len(distinct), streams.places()
     fine = np.repeat(streams.good, np.diff(streams.at_a)), np.repeat(streams.good, np.diff(streams.at_b))
     a, b = streams.a[fine[0]], streams.b[fine[1]]
     n_a = np.where(streams.good, np.diff(streams.at_a), 0)
     n_b = np.where(streams.good, np.diff(streams.at_b), 0)
     ends, of_a, of_b = pair.groups(a, b)
     pairs, group = linked(a, b, of_a, of_b, len(ends))
-    names = spelled(a, b, of_a, of_b, len(ends))
+    strings, string_ends = spelled(pair, a, b, of_a, of_b, len(ends))
     # every segment ends in a common boundary, so its groups and links lie side by side
     last_a = np.cumsum(n_a)
     until = np.where(last_a > 0, of_a[np.maximum(last_a - 1, 0)] + 1, 0) if len(a) else np.zeros(n, np.int64)
     n_groups = np.diff(until, prepend=0)
     last_link = np.searchsorted(group, until)
     n_links = np.diff(last_link, prepend=0)
-    spelling = [";".join(names[u - k:u]) for u, k in zip(until.tolist(), n_groups.tolist())]
+    edges = np.concatenate([[0], np.concatenate([[0], string_ends])[until]]).tolist()
+    spelling = ["".join(strings[x:y]) for x, y in zip(edges[:-1], edges[1:])]
     listed, of_link = np.unique(pairs, return_inverse=True)
 
     sequence = [place[[distinct[s] for s in p]] if p else np.empty(0, np.int64) for p in parts]
     sequence = [s if streams.good[s].all() else s[:0] for s in sequence]
-    digests = [hashlib.sha256(";".join([spelling[k] for k in s.tolist()]).encode()).hexdigest() if len(s) else "" for s in sequence]
+    digests = [hashlib.sha256("".join([spelling[k] for k in s.tolist()])[:-1].encode()).hexdigest() if len(s) else "" for s in sequence]
     whole = np.concatenate([*sequence, np.empty(0, np.int64)])
     doc = np.repeat(np.arange(len(texts)), [len(s) for s in sequence])
 
@@ -341,7 +354,7 @@ def _blocks(texts: DataFrame, files: tuple[str, str]) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         for batch in rows:
             done = 0
-            for part in batches(batch.column(1).to_pylist(), BLOCK_CHARS):
+            for part in batches((t.as_py() for t in batch.column(1)), BLOCK_CHARS):
                 found = _block(pair, part)
                 ids = batch.column(0).slice(done, len(part))
                 done += len(part)
@@ -371,9 +384,10 @@ def _leaves(texts: DataFrame, files: tuple[str, str], size: int) -> DataFrame:
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(files)
         for batch in rows:
-            for r in batch.to_pylist():
-                fragment, bad = _of_range(pair, r["begin"], r["end"], r["place"], r["bytes"], r["whole"])
-                yield _batch(list(_rows(r["row_no"], r["no"], fragment, bad)))
+            for first in range(0, batch.num_rows, RANGES_TOGETHER):
+                part = batch.slice(first, RANGES_TOGETHER).to_pylist()
+                for r, (fragment, bad) in zip(part, _of_ranges(pair, part)):
+                    yield _batch(list(_rows(r["row_no"], r["no"], fragment, bad)))
 
     spread = texts.select("row_no", "text").mapInArrow(
         cuts, "row_no bigint, no bigint, begin bigint, end bigint, place bigint, whole bigint, bytes binary")
@@ -437,7 +451,8 @@ def _run_figures(runs: DataFrame, files: tuple[str, str]) -> tuple[DataFrame, Da
                     current, figures, digest = row_no, Counter(), hashlib.sha256()
                 a, b = (np.asarray(v.values, np.int64) for v in (a, b))
                 ends, of_a, of_b = pair.groups(a, b)
-                digest.update((";" * (figures["groups"] > 0) + ";".join(spelled(a, b, of_a, of_b, len(ends)))).encode())
+                strings, _ = spelled(pair, a, b, of_a, of_b, len(ends))
+                digest.update((";" * (figures["groups"] > 0) + "".join(strings)[:-1]).encode())
                 figures.update(a=len(a), b=len(b), groups=len(ends))
         if current is not None:
             yield done()

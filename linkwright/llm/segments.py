@@ -8,25 +8,26 @@ without an inner word mark merges nothing over it.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import accumulate
 
 import numpy as np
 
 #: What may not stand before a cut: white space by any Unicode version, and the mark that piece vocabularies write for a blank.
-_NO_END = r"\s᠎▁"
+_NO_END = "᠎▁"
 
-cut = re.compile(rf"(?<=[^{_NO_END}])(?= [\s\S])").split
-
-_solid_end = re.compile(rf"[^{_NO_END}]\Z").search
+cut = re.compile(rf"(?<=[^\s{_NO_END}])(?= [\s\S])").split
 
 #: Characters that are given to a tokenizer at once.
 LUMP_CHARS = 1 << 14
 
+#: Lumps whose tokens the library holds at once.
+TOGETHER = 8
+
 
 def joinable(segment: str) -> bool:
     """Whether the segment may stand between others with a cut on both sides."""
-    return len(segment) > 1 and segment[0] == " " and _solid_end(segment) is not None
+    return len(segment) > 1 and segment[0] == " " and not segment[-1].isspace() and segment[-1] not in _NO_END
 
 
 def lumps(segments: Sequence[str], most: int = LUMP_CHARS) -> tuple[list[str], list[int]]:
@@ -34,8 +35,9 @@ def lumps(segments: Sequence[str], most: int = LUMP_CHARS) -> tuple[list[str], l
 
     Also returns the order of the segments in them.
     """
-    inside = [i for i, s in enumerate(segments) if joinable(s)]
-    alone = [i for i, s in enumerate(segments) if not joinable(s)]
+    inside, alone = [], []
+    for i, s in enumerate(segments):
+        (inside if joinable(s) else alone).append(i)
     texts, first, size = [], 0, 0
     for k, i in enumerate(inside):
         size += len(segments[i])
@@ -77,8 +79,10 @@ def encode_segments(tokenizer, sizes: np.ndarray, segments: Sequence[str]) -> tu
     Returns all ids, the place of each segment's first id (one more at the end), and the order of the segments.
     """
     texts, order = lumps(segments)
-    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-    ids = np.concatenate([np.asarray(e.ids, np.int64) for e in found]) if found else np.empty(0, np.int64)
+    found = [np.empty(0, np.int64)]
+    for first in range(0, len(texts), TOGETHER):  # the library's own results are many times larger than the ids
+        found += [np.asarray(e.ids, np.int64) for e in tokenizer.encode_batch_fast(texts[first:first + TOGETHER], add_special_tokens=False)]
+    ids = np.concatenate(found)
     ends = np.cumsum(sizes[ids])
     edges = np.array(list(accumulate((len(segments[i].encode()) for i in order), initial=0)), np.int64)
     at = np.searchsorted(ends, edges, "right")
@@ -87,7 +91,7 @@ def encode_segments(tokenizer, sizes: np.ndarray, segments: Sequence[str]) -> tu
     return ids, at, order
 
 
-def batches(texts: Sequence[str], most: int) -> Iterator[list[str]]:
+def batches(texts: Iterable[str], most: int) -> Iterator[list[str]]:
     """Runs of texts with about ``most`` characters together, one text at least."""
     run: list[str] = []
     size = 0

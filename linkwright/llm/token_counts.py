@@ -30,7 +30,7 @@ CHUNK_CHARS, OVERLAP_CHARS, WIDER = 1 << 15, 256, 8
 LOOK_AHEAD = 3
 
 #: Characters of texts that are worked on together, and bytes of remembered segments in a task.
-SLICE_CHARS, KEPT_BYTES = 1 << 21, 24 << 20
+SLICE_CHARS, KEPT_BYTES = 1 << 20, 24 << 20
 
 
 class Counter:
@@ -89,7 +89,7 @@ def _short(texts: DataFrame, file: str) -> DataFrame:
         counter = _counter(file)
         for batch in rows:
             found: list[int] = []
-            for part in batches(batch.column(1).to_pylist(), SLICE_CHARS):
+            for part in batches((t.as_py() for t in batch.column(1)), SLICE_CHARS):
                 found += counter.counts(part)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.int64())],
                                              ["doc_id", "n_bytes", "n_tokens"])

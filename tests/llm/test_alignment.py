@@ -94,8 +94,8 @@ def test_joining_is_associative(pair):
     draw = random.Random(3)
     for text in [t for t in texts(4, 150, 40) if groups(pair, t)]:
         data = b" " + text.encode()
-        pieces = [alignment._of_range(pair, begin, end, place, piece, len(data))[0]
-                  for begin, end, place, piece in alignment.ranges(data, draw.randint(1, 9))]
+        cuts = [dict(zip(("begin", "end", "place", "bytes"), r), whole=len(data)) for r in alignment.ranges(data, draw.randint(1, 9))]
+        pieces = [fragment for fragment, _ in alignment._of_ranges(pair, cuts)]
 
         def shape(f: Fragment):
             open_ = [(t.a.tolist(), t.b.tolist()) for t in (f.prefix, f.suffix)]
@@ -112,7 +112,8 @@ def test_joining_is_associative(pair):
         found = []
         for _, run in sorted(whole.runs, key=lambda r: r[0]):
             ends, of_a, of_b = pair.groups(run.a, run.b)
-            found += alignment.spelled(run.a, run.b, of_a, of_b, len(ends))
+            strings, edges = alignment.spelled(pair, run.a, run.b, of_a, of_b, len(ends))
+            found += ["".join(strings[x:y])[:-1] for x, y in zip([0, *edges[:-1]], edges)]
         assert found == [",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups(pair, text)]
     assert settle(alignment.NOTHING, pair).low is None
 
