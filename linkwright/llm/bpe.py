@@ -16,17 +16,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm.process import kept
 
-#: Encoded pieces that a task remembers, and the longest piece that it remembers.
-KEPT_PIECES, KEPT_LENGTH = 600_000, 64
+#: Bytes of encoded pieces that a task remembers (as counted here, with what the dictionary takes), and the longest piece.
+KEPT_BYTES, KEPT_LENGTH = 48 << 20, 64
 
-#: Token pairs with their answers, and prefixes of up to KEPT_PREFIX bytes with their last tokens, that a task remembers.
-KEPT_PAIRS, KEPT_PREFIX = 400_000, 6
+#: Token pairs with their answers, and prefixes of up to KEPT_PREFIX bytes with their last tokens, that a task
+#: remembers: about 90 and 110 bytes each.
+KEPT_PAIRS, KEPT_PREFIXES, KEPT_PREFIX = 250_000, 150_000, 6
+
+#: Bytes of texts whose ids a task holds before it gives them on.
+SLICE_BYTES = 1 << 20
 
 #: Texts are read in parts of about this many characters, cut where a piece begins for certain.
 PART_CHARS = 1 << 20
@@ -44,6 +49,7 @@ class Ranks:
         self.prefixes: dict[bytes, int] = {}
         #: Tokens that merges lead to; a rank file may hold others, which no encoding uses.
         self.merged = {t: r for t, r in self.ids.items() if len(t) == 1 or self.parts(r) is not None}
+        self.longest = max(map(len, self.merged), default=1)
         #: Bytes of the longest token that ends in two given bytes.
         self.tails: dict[bytes, int] = {}
         for token in self.merged:
@@ -142,16 +148,27 @@ class Prefixes:
                 raise ValueError("a byte of the text has no token")
             last.append(token)
             if end <= KEPT_PREFIX:
-                if len(prefixes) >= KEPT_PAIRS:
+                if len(prefixes) >= KEPT_PREFIXES:
                     prefixes.clear()
                 prefixes[text[:end]] = token
         self.text = text
 
     def edit(self, start: int, stop: int, new: bytes) -> None:
-        """Put ``new`` for bytes start:stop. Prefixes before the edit stay as they are."""
-        rest = self.text[stop:]
+        """Put ``new`` for bytes start:stop.
+
+        Prefixes before the edit stay. Behind it the last tokens are found anew until as many of them as the longest token
+        has bytes agree with those from before: what follows depends on nothing else, so the rest stays as well.
+        """
+        rest, before = self.text[stop:], self.last[stop:]
         self.text, self.last = self.text[:start], self.last[:start]
-        self.append(new + rest)
+        self.append(new)
+        step = self.ranks.longest
+        for done in range(step, len(rest) + 1, step):
+            self.append(rest[done - step:done])
+            if self.last[-step:] == before[done - step:done]:
+                self.text, self.last = self.text + rest[done:], self.last + before[done:]
+                return
+        self.append(rest[len(rest) - len(rest) % step:])
 
     def encoding(self) -> list[int]:
         """Ids of the whole, read backwards from the last token."""
@@ -171,6 +188,7 @@ class Encoder:
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.bytes = 0
 
     def piece(self, piece: str) -> bytes:
         """Ids of a piece that is not among the newer half of the remembered ones."""
@@ -181,9 +199,11 @@ class Encoder:
             ids = Prefixes(self.ranks, text).encoding() if token is None else [token]
             found = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= KEPT_LENGTH:
-            if len(self.kept) >= KEPT_PIECES // 2:
-                self.older, self.kept = self.kept, {}
+            size = len(piece) + len(found) + 180  # two small objects and the entry
+            if self.bytes + size > KEPT_BYTES // 2:
+                self.older, self.kept, self.bytes = self.kept, {}, 0
             self.kept[piece] = found
+            self.bytes += size
         return found
 
     def parts(self, text: str) -> Iterator[bytes]:
@@ -218,6 +238,18 @@ def _encoder(file: str, pattern: str) -> Encoder:
     return kept(("bpe", file, pattern), make)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows with about SLICE_BYTES of text (column 1), one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def encode(docs: DataFrame, ranks_file: str, pattern: str, ids: bool = False) -> DataFrame:
     """Encode ``text`` of every row and decode it again.
 
@@ -227,7 +259,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, ids: bool = False) ->
 
     A null text counts as empty: no tokens and the digests of nothing. Rows are treated one by one, so a null or
     repeated doc_id and equal rows stay as they are; other columns are not read. Long texts are read in parts.
-    Memory per task: the ranks, KEPT_PIECES remembered pieces, and one batch.
+    Memory per task: the ranks, what it remembers (about 90 MB), one batch, and the ids of a slice of it.
     """
     spark = docs.sparkSession
     spark.sparkContext.addFile(ranks_file)
@@ -236,7 +268,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, ids: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(file, pattern)
         ranks = encoder.ranks
-        for batch in batches:
+        for batch in sliced(batches):
             counts, id_digests, text_digests, arrays = [], [], [], []
             for text in batch.column(1):
                 n, of_ids, of_text, numbered = 0, hashlib.sha256(), hashlib.sha256(), []

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from linkwright.llm.names import free_names
 from linkwright.llm.words import Words, hashes_of, run_hash, words
 
 WINDOW, SHINGLE = 13, 3
@@ -256,5 +257,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones; columns and all other rows stay as they are."""
-    found = overlap(docs, benchmark, out="_overlap")
-    return found.filter(~contaminated(F.col("_overlap.n_words"), F.col("_overlap.n_hit"))).drop("_overlap")
+    (out,) = free_names(docs, 1)
+    found = overlap(docs, benchmark, out=out)
+    return found.filter(~contaminated(F.col(f"{out}.n_words"), F.col(f"{out}.n_hit"))).drop(out)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm.components import components
+from linkwright.llm.names import free_names
 from linkwright.llm.process import kept
 from linkwright.llm.words import Words, mix, run_hash, words
 from linkwright.session import written
@@ -30,9 +31,6 @@ SHINGLE = 5
 BANDS, ROWS_PER_BAND = 48, 5
 BINS = BANDS * ROWS_PER_BAND
 
-#: Documents with at most this many filled bins are densified by comparing these, others by probing.
-FEW_BINS = 24
-
 #: One bit per bin gives a first estimate: at similarity 0.75 an eighth of the bits differ on average. A candidate with
 #: over MOST_BITS of 240 differing bits is six standard deviations away from that and is not read.
 MOST_BITS = 62
@@ -49,12 +47,11 @@ ROWS_PER_STEP = 500
 SENT_IDS = 500_000
 
 
-def _probes() -> tuple[np.ndarray, np.ndarray]:
-    """For every bin a random order of all bins: the bins by place, and the places by bin."""
-    def make() -> tuple[np.ndarray, np.ndarray]:
+def _probes() -> np.ndarray:
+    """For every bin a random order of all bins."""
+    def make() -> np.ndarray:
         draws = mix(np.arange(BINS * BINS, dtype=np.uint64), 17).reshape(BINS, BINS)
-        order = np.argsort(draws, axis=1, kind="stable").astype(np.int32)
-        return order, np.argsort(order, axis=1, kind="stable").astype(np.int32)
+        return np.argsort(draws, axis=1, kind="stable").astype(np.int32)
 
     return kept(("probes", BINS), make)
 
@@ -76,16 +73,11 @@ def shingles(part: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def densified(signature: np.ndarray, filled: np.ndarray) -> np.ndarray:
-    """Empty bins copy the first filled bin in their own order; rows without any stay as they are."""
-    order, place = _probes()
-    many = filled.sum(1)
-    for row in np.flatnonzero((many > 0) & (many <= FEW_BINS)):
-        have = np.flatnonzero(filled[row])
-        source = have[np.argmin(place[:, have], axis=1)]
-        signature[row] = signature[row, source]
-    row, bin_ = np.nonzero(~filled & (many > FEW_BINS)[:, None])
-    step = 0
+    """Empty bins copy the first filled bin in their own order; filled bins, and rows without any, stay as they are."""
+    order = _probes()
+    row, bin_ = np.nonzero(~filled & filled.any(1)[:, None])
     source = signature.copy()
+    step = 0
     while len(row):
         probe = order[bin_, step]
         hit = filled[row, probe]
@@ -97,8 +89,11 @@ def densified(signature: np.ndarray, filled: np.ndarray) -> np.ndarray:
 
 def sketch(part: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per row: set size, 128-bit digest of the set, bits of the signature (four 60-bit words), band keys."""
-    n_rows = len(part.at) - 1
-    rows, hashes = shingles(part)
+    return sketch_of(len(part.at) - 1, *shingles(part))
+
+
+def sketch_of(n_rows: int, rows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``sketch`` of sets given by row and hash, in order."""
     sizes = np.bincount(rows, minlength=n_rows)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     digest = np.zeros((n_rows, 2), np.uint64)
@@ -374,13 +369,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = written(_grouped(_read(docs)), "found")
     key = docs["doc_id"].cast("bigint")
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    id_, hash_ = free_names(docs, 2)
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias(id_)).distinct()
+    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(id_))
     repeated = written(repeated, "repeated")
     if repeated.isEmpty():
-        return docs.join(gone, key == F.col("_gone"), "left_anti")
-    alone = docs.join(repeated, key == F.col("_again"), "left_anti").join(gone, key == F.col("_gone"), "left_anti")
-    kept_rows = (found.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").filter("doc_id = component_id")
-                 .groupBy(F.col("doc_id").alias("_id"), F.coalesce("component", "text_hash")).agg(F.min("text_hash").alias("_hash")))
-    several = docs.join(kept_rows, (key == F.col("_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_hash")), "left_semi")
+        return docs.join(gone, key == F.col(id_), "left_anti")
+    alone = docs.join(repeated, key == F.col(id_), "left_anti").join(gone, key == F.col(id_), "left_anti")
+    kept_rows = (found.join(repeated, F.col("doc_id") == F.col(id_), "left_semi").filter("doc_id = component_id")
+                 .groupBy(F.col("doc_id").alias(id_), F.coalesce("component", "text_hash")).agg(F.min("text_hash").alias(hash_)))
+    several = docs.join(kept_rows, (key == F.col(id_)) & (F.xxhash64(docs["text"].cast("string")) == F.col(hash_)), "left_semi")
     return alone.union(several.dropDuplicates(["doc_id", "text"]))

@@ -42,6 +42,15 @@ def op2_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
 
 
+#: Bytes of a shard of fixed capacity.
+SHARD_BYTES = 4 << 20
+
+
+def capacity_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few shards of fixed capacity as best fit needs."""
+    return sharding.capacity_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op3_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -117,6 +126,7 @@ def op13_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_merkle_audit": op1_merkle_audit,
     "op2_best_fit_shards": op2_best_fit_shards,
+    "capacity_shards": capacity_shards,
     "op3_minhash_stars": op3_minhash_stars,
     "op4_schema_fingerprints": op4_schema_fingerprints,
     "op5_backoff_scores": op5_backoff_scores,

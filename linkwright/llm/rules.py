@@ -25,6 +25,9 @@ FIT_ROWS = 20_000
 
 TREES, DEPTH, LASSO, SEED = 24, 4, 0.002, 7
 
+#: Marks that text in prose has no use for.
+TAGS = r"[<>{}\[\]\\]"
+
 #: Statistics of a text, from the text, its words and its lines (fields of a struct); all are 0 for an empty text.
 STATISTICS = {
     "n_words": lambda t: F.size(t["words"]),
@@ -37,7 +40,7 @@ STATISTICS = {
     "words_per_line": lambda t: _per(F.size(t["words"]), F.size(t["lines"])),
     "distinct_lines": lambda t: _per(F.size(F.array_distinct(t["lines"])), F.size(t["lines"])),
     "links": lambda t: _per(_count(t, "https?://|www[.]|@"), F.size(t["words"])),
-    "tags": lambda t: _per(_count(t, "[<>{}\\\\[\\\\]\\\\\\\\]"), F.size(t["words"])),
+    "tags": lambda t: _per(_count(t, TAGS), F.size(t["words"])),
 }
 
 

@@ -1,9 +1,9 @@
 """Best-fit-decreasing bin packing of indivisible groups into shards.
 
-A group is all rows with one key. Groups are summed map-side and packed in two grains. A group of at least
-1 / GRAIN of a shard is an item by itself; there are at most ``shards * GRAIN`` of those, however many rows there
-are. The smaller ones are dealt by hash into bundles of falling size, a fixed number of them. So the packing itself
-sees a list whose length depends on the number of shards only, and that list alone reaches the driver.
+A group is all rows with one key. Groups of one size are alike, so the packing sees (size, number of groups) only: a list
+as long as there are different sizes, however many groups there are, and the one thing that reaches the driver. Its
+result says which groups of a size, counted along the key, go to which shard; every group finds its shard by its
+number in the order of falling size, which no single task gives out.
 """
 
 from __future__ import annotations
@@ -11,18 +11,15 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.operators.skew import ordinal_in_group
+from linkwright.llm.names import free_names
+from linkwright.operators.skew import ordinal_in_group, surrogate_key
 from linkwright.session import written
 
-#: A group of at least this part of a shard is packed by itself.
-GRAIN = 500
-
-#: Bundles per shard in each size class, and where the classes part the small groups' keys: each gets a tenth as
-#: much as the one before, so the last bundles fill what the first ones leave.
-BUNDLES, CLASS_BOUNDS = 100, (0.9, 0.99, 0.999)
+#: Neighbouring group numbers that look up their shard together.
+RANKS_TOGETHER = 64
 
 #: Rows that are numbered together, about.
 BLOCK_ROWS = 200_000
@@ -100,76 +97,75 @@ class RoomTree:
         return high
 
 
-def best_fit_decreasing(items: Iterable[tuple[int, int]], capacity: int) -> tuple[list[int], int]:
-    """Bin of every (size, identity), in the order given, and the number of bins.
+def best_fit_decreasing(sizes: Iterable[tuple[int, int]], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
+    """Runs (first, last, bin, each) over the items in falling order of size, and the number of bins.
 
-    Larger items first, ties by identity; each enters the tightest bin that still has room, else a new one. An item
-    over the capacity gets a bin of its own.
+    ``sizes`` are (size, count). Larger items first; each enters the tightest bin that still has room, else a new one. An
+    item over the capacity gets a bin of its own. After an item the same bin is the tightest one again as long as it has
+    room, so equal items go in together: items ``first`` to ``last`` - 1 fill bins from ``bin`` on, ``each`` in one.
     """
-    items = list(items)
-    place, tree, bins = [0] * len(items), RoomTree(), 0
-    for k in sorted(range(len(items)), key=lambda k: (-items[k][0], items[k][1])):
-        size = items[k][0]
-        found = tree.take(size) if size <= capacity else None
-        if found is None:
-            room, number = capacity, bins
-            bins += 1
-        else:
-            room, number = found
-        place[k] = number
-        if size < room:
-            tree.add(room - size, number)
-    return place, bins
-
-
-def smallest_capacity(items: list[tuple[int, int]], shards: int) -> int:
+    runs, tree, bins, done = [], RoomTree(), 0, 0
+    for size, count in sorted(sizes, reverse=True):
+        while count:
+            found = tree.take(size) if size <= capacity else None
+            if found is not None:
+                room, number = found
+                n = each = count if size == 0 else min(count, room // size)
+                left, filled = room - n * size, 1
+            else:
+                number, each = bins, 1 if size > capacity else count if size == 0 else capacity // size
+                filled = max(1, count // each)
+                n = min(count, filled * each)
+                bins += filled
+                left = 0 if size > capacity else capacity - min(n, each) * size
+            if left:
+                for k in range(filled):
+                    tree.add(left, number + k)
+            runs.append((done, done + n, number, each))
+            done, count = done + n, count - n
+    return runs, bins
+
+
+def smallest_capacity(sizes: list[tuple[int, int]], shards: int) -> int:
     """The smallest capacity found by bisection that needs at most ``shards`` bins."""
-    low = max(1, -(-sum(size for size, _ in items) // shards) // 2)
-    high = max(1, 2 * -(-sum(size for size, _ in items) // shards) + max((size for size, _ in items), default=0))
+    total = sum(size * count for size, count in sizes)
+    low = max(1, -(-total // shards) // 2)
+    high = max(1, 2 * -(-total // shards) + max((size for size, _ in sizes), default=0))
     while high - low > max(0, low // 20_000):
         middle = (low + high) // 2
-        if best_fit_decreasing(items, middle)[1] <= shards:
+        if best_fit_decreasing(sizes, middle)[1] <= shards:
             high = middle
         else:
             low = middle + 1
     return high
 
 
-def _bundle(key: Column, shards: int) -> Column:
-    """Bundle number of a small group: classes get falling parts of the keys, so bundles have falling sizes."""
-    each = shards * BUNDLES
-    draw = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1_000_000)) / F.lit(1e6)
-    kind = sum((F.when(draw >= F.lit(bound), 1).otherwise(0) for bound in CLASS_BOUNDS), F.lit(0))
-    return (kind * F.lit(each) + F.pmod(F.xxhash64(key, F.lit(12)), F.lit(each))).cast("bigint")
-
-
 def assign(rows: DataFrame, key: str, size: str, shards: int | None = None, capacity: int | None = None) -> DataFrame:
     """``rows`` with column ``shard``; rows with an equal ``key`` stay together.
 
     Give ``shards`` to fill that many shards as evenly as the groups allow (the smallest workable capacity is
     searched), or ``capacity`` to use as few shards of that capacity as best fit finds. A group over the capacity gets a
-    shard of its own. A null key is a group as well; a null size counts nothing. An empty table gives no rows.
-    ``key`` should be a 64-bit hash or another short value; two groups that share one are one group.
+    shard of its own. A null key is a group as well; a null size counts nothing. An empty table gives no rows. A column
+    ``shard`` that is there already is replaced; other columns stay, whatever their names.
+    ``key`` should be a 64-bit hash or another short value; two groups that share one are one group. The driver holds a
+    number per different size and per run of equal groups (with ``capacity`` also one per shard).
     """
-    sums = written(rows.groupBy(F.col(key).alias("_key")).agg(F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("_size")), "groups")
-    total = sums.agg(F.sum("_size")).first()[0] or 0
-    count = shards or max(1, -(-total // capacity))
-    least = max(1, total // (count * GRAIN))
-    tagged = sums.withColumn("_unit", F.when(F.col("_size") < least, _bundle(F.col("_key"), count)))
-    big = tagged.filter("_unit IS NULL").select("_key", "_size").collect()  # at most count * GRAIN + 1 rows
-    small = tagged.filter("_unit IS NOT NULL").groupBy("_unit").agg(F.sum("_size").alias("_size")).collect()
-    items = [(r["_size"], r["_key"] if r["_key"] is not None else -1) for r in big] + [(r["_size"], r["_unit"]) for r in small]
-    place, _ = best_fit_decreasing(items, capacity if shards is None else smallest_capacity(items, shards))
-    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
-    of_key = F.broadcast(spark.createDataFrame(
-        [(r["_key"], place[k]) for k, r in enumerate(big)], f"_key {kind}, _of_key int"))
-    of_unit = F.broadcast(spark.createDataFrame(
-        [(r["_unit"], place[len(big) + k]) for k, r in enumerate(small)], "_unit bigint, _of_unit int"))
-    return (
-        rows.withColumn("_unit", _bundle(F.col(key), count))
-        .join(of_key, F.col(key).eqNullSafe(F.col("_key")), "left").join(of_unit, "_unit", "left")
-        .withColumn("shard", F.coalesce("_of_key", "_of_unit")).drop("_unit", "_key", "_of_key", "_of_unit")
+    sums = written(rows.groupBy(F.col(key).alias("key")).agg(F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("size")), "groups")
+    sizes = [(r["size"], r["count"]) for r in sums.groupBy("size").count().collect()]
+    runs, _ = best_fit_decreasing(sizes, capacity if shards is None else smallest_capacity(sizes, shards))
+    placed = rows.sparkSession.createDataFrame(runs, "first bigint, last bigint, bin bigint, each bigint")
+    # a run is looked up by blocks of numbers, so a size with many runs or many groups is no hot key
+    spot = F.sequence(F.floor(F.col("first") / RANKS_TOGETHER), F.floor((F.col("last") - 1) / RANKS_TOGETHER))
+    placed = placed.withColumn("spot", F.explode(spot))
+    ranked = surrogate_key(sums.withColumn("falling", -F.col("size")), ["falling", "key"], "rank", first=0)
+    found = (
+        ranked.withColumn("spot", F.floor(F.col("rank") / RANKS_TOGETHER)).join(placed, "spot")
+        .filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
     )
+    of_key, bin_ = free_names(rows.drop("shard"), 2)
+    found = found.select(F.col("key").alias(of_key), (F.col("bin") + F.floor((F.col("rank") - F.col("first")) / F.col("each"))).cast("int").alias(bin_))
+    joined = rows.join(written(found, "packed"), F.col(key).eqNullSafe(F.col(of_key)))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() != "shard"], F.col(bin_).alias("shard"))
 
 
 def numbered(rows: DataFrame, order: list[str], out: str = "slot") -> DataFrame:
@@ -186,6 +182,26 @@ def numbered(rows: DataFrame, order: list[str], out: str = "slot") -> DataFrame:
     return placed.withColumn(out, F.col(out).cast("bigint") - 1).drop("_block")
 
 
+def capacity_shards(docs: DataFrame, capacity: int) -> DataFrame:
+    """All documents in as few shards of ``capacity`` bytes as best fit needs: doc_id, size, shard, shard_bytes.
+
+    Sizes, groups and odd rows as in ``shard_documents``; a group over the capacity has a shard of its own.
+    """
+    placed = written(assign(_sized(docs), "text_hash", "size", capacity=capacity), "sharded")
+    loads = placed.groupBy("shard").agg(F.sum("size").alias("shard_bytes"))
+    return placed.join(loads, "shard").select("doc_id", "size", "shard", "shard_bytes")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return written(docs.select(
+        "doc_id",
+        (F.octet_length(text) + F.lit(16)).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).cast("bigint").alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"),
+    ), "sizes")
+
+
 def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     """All documents in ``shards`` shards of nearly equal bytes; equal texts stay in one shard.
 
@@ -196,14 +212,7 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     are rows like any other. Other columns are not read. Sizes are as near to equal as whole groups allow: a group of
     copies larger than an even share fills a shard by itself.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    narrow = written(docs.select(
-        "doc_id",
-        (F.octet_length(text) + F.lit(16)).cast("bigint").alias("size"),
-        F.crc32(text.cast("binary")).cast("bigint").alias("text_crc32"),
-        F.xxhash64(text).alias("text_hash"),
-    ), "sizes")
-    placed = numbered(assign(narrow, "text_hash", "size", shards=shards), ["doc_id", "text_hash"])
+    placed = numbered(assign(_sized(docs), "text_hash", "size", shards=shards), ["doc_id", "text_hash"])
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

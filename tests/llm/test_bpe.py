@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -66,9 +67,37 @@ def test_appends_and_edits_give_the_encoding_of_the_whole(ranks, known):
         assert grown.last[:start] == before and grown.encoding() == whole(grown.text)
 
 
+def test_an_edit_is_encoded_again_only_near_the_edit(ranks, monkeypatch):
+    draw = random.Random(6)
+    text = "".join(draw.choice("abcdeting the") for _ in range(6000)).encode()
+    done, append = [0], bpe.Prefixes.append
+
+    def counted(self, more):
+        done[0] += len(more)
+        append(self, more)
+
+    monkeypatch.setattr(bpe.Prefixes, "append", counted)
+    for _ in range(20):
+        grown = bpe.Prefixes(ranks, text)
+        start = draw.randint(0, 5000)
+        done[0] = 0
+        grown.edit(start, start + draw.randint(0, 5), b"xyz")
+        assert done[0] <= 4 * ranks.longest
+        assert grown.last == bpe.Prefixes(ranks, grown.text).last
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 10)
+    texts = ["a" * 4, None, "b" * 6, "", "c" * 30, "d", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["doc_id", "text"])
+    parts = list(bpe.sliced(iter([batch, batch.slice(0, 0)])))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts and [p.num_rows for p in parts] == [4, 1, 2]
+
+
 def test_remembered_pieces_and_pairs_may_be_forgotten(ranks, known, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_PIECES", 6)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 1500)
     monkeypatch.setattr(bpe, "KEPT_PAIRS", 5)
+    monkeypatch.setattr(bpe, "KEPT_PREFIXES", 5)
     encoder = bpe.Encoder(bpe.Ranks(open(FILE, "rb").read()), public_tokenizers.PATTERN)
     for text in texts(4, 200):
         assert np.frombuffer(b"".join(encoder.parts(text)), "<u4").tolist() == known.encode_ordinary(text)

@@ -76,3 +76,12 @@ def test_empty_tables(spark):
     assert decontam.report(frame.filter("false"), bench).count() == 0
     rows = decontam.report(frame, bench.filter("false")).collect()
     assert len(rows) == len(docs) and not any(r["n_hit"] or r["contaminated"] for r in rows)
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "five")], "doc_id bigint, text string")
+    for name in ("_overlap", "overlap", "own_0", "OWN_1"):
+        docs = docs.withColumn(name, F.lit("own"))
+    bench = spark.createDataFrame([("i", "one two three four")], "item_id string, text string")
+    got = decontam.clean(docs, bench)
+    assert got.columns == docs.columns and [r["doc_id"] for r in got.collect()] == [2]

@@ -46,7 +46,7 @@ def test_query_matches_its_sql(spark, name):
 def test_all_thirteen_are_bound():
     found = entry.queries()
     assert "pipeline" in found
-    assert {name.split("_")[0] for name in llm.QUERIES} == {f"op{n}" for n in range(1, 14)}
+    assert {name.split("_")[0] for name in llm.QUERIES if name != "capacity_shards"} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_shards(spark):
@@ -70,6 +70,20 @@ def test_shards(spark):
     assert max(sizes.values()) <= max(1.05 * even, max(groups.values()))
 
 
+def test_shards_of_fixed_capacity(spark):
+    from tests.llm.test_sharding import loads, places
+    rows = entry.queries()["capacity_shards"](spark, FOLDER).collect()
+    docs = documents()
+    groups = Counter()
+    for d in docs:
+        groups[d["text"] or ""] += len((d["text"] or "").encode()) + 16
+    placed, bins = places(list(Counter(groups.values()).items()), llm.SHARD_BYTES)
+    assert Counter(r["doc_id"] for r in rows) == Counter(d["doc_id"] for d in docs)
+    load = loads([(r["size"], r["shard"]) for r in rows])
+    assert load == Counter({r["shard"]: r["shard_bytes"] for r in rows}) and len(load) == bins
+    assert sorted(load.values()) == sorted(loads(placed).values())
+
+
 def test_tokens(spark):
     data = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").read()
     from linkwright.llm.bpe import Ranks

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,34 @@ def test_the_bound_itself_links(spark, first, second, linked):
     a, b = base + [f"a{k}" for k in range(first - 6)], base + [f"b{k}" for k in range(second - 6)]
     got = minhash.near_duplicates(spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], SCHEMA))
     assert [r["component_id"] for r in got.orderBy("doc_id").collect()] == ([1, 1] if linked else [1, 2])
+
+
+@pytest.mark.parametrize("both, left, right", [(24, 0, 8), (24, 0, 1), (22, 0, 7), (15, 2, 3), (75, 12, 13)])
+def test_pairs_at_the_threshold_share_a_band(both, left, right):
+    draw = np.random.default_rng(both)
+    sets = []
+    for _ in range(3000):
+        drawn = draw.integers(0, 2**64 - 1, both + left + right, np.uint64)
+        sets += [np.sort(drawn[:both + left]), np.sort(np.concatenate([drawn[:both], drawn[both + left:]]))]
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    for first in range(0, len(sets), 500):
+        mine = (rows >= first) & (rows < first + 500)
+        *_, keys = minhash.sketch_of(500, rows[mine] - first, np.concatenate(sets[first:first + 500]))
+        assert (keys[0::2] == keys[1::2]).any(axis=1).all()
+
+
+def test_filled_bins_keep_their_values():
+    draw = np.random.default_rng(1)
+    filled = draw.random((50, minhash.BINS)) < np.linspace(0, 0.5, 50)[:, None]
+    signature = np.where(filled, draw.integers(1, 1 << 60, filled.shape), 0).astype(np.uint64)
+    got = minhash.densified(signature.copy(), filled)
+    assert (got[filled] == signature[filled]).all()
+    assert (got[filled.any(1)] != 0).all() and (got[~filled.any(1)] == 0).all()
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x"), (3, "y"), (None, "x")], "doc_id bigint, text string")
+    for name in ("own_0", "OWN_1", "_gone", "_again", "_id", "_hash", "component_id", "component", "text_hash", "count"):
+        docs = docs.withColumn(name, F.lit("own"))
+    got = minhash.one_of_each(docs)
+    assert got.columns == docs.columns and sorted(str(r["doc_id"]) for r in got.collect()) == ["1", "3", "3", "None"]

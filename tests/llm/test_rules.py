@@ -56,3 +56,9 @@ def test_scoring_is_one_pass_without_python(tables, model):
     plan = docs.filter(model.score(F.col("text")) >= 0.3)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
     assert plan.count("regexp_extract_all") == 6  # once for each pattern that is counted
+
+
+def test_tags_are_brackets_braces_and_backslashes(spark):
+    docs = spark.createDataFrame([("[[a]] [b]",), ("<p> {x} \\",), ("a (b) d",)], "text string")
+    found = [r[0] for r in docs.select(rules._count({"text": docs["text"]}, rules.TAGS)).collect()]
+    assert found == [6, 5, 0]

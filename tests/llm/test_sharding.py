@@ -21,25 +21,46 @@ def plain_best_fit(items, capacity):
     return len(rooms)
 
 
+def places(sizes, capacity):
+    """(size, bin) of every item, from the runs."""
+    runs, bins = sharding.best_fit_decreasing(sizes, capacity)
+    order = [size for size, count in sorted(sizes, reverse=True) for _ in range(count)]
+    assert [r[0] for r in runs] == [0, *[r[1] for r in runs[:-1]]][:len(runs)] and (not runs or runs[-1][1] == len(order))
+    return [(order[k], bin_ + (k - first) // each) for first, last, bin_, each in runs for k in range(first, last)], bins
+
+
+def loads(placed):
+    load = Counter()
+    for size, at in placed:
+        load[at] += size
+    return load
+
+
 def test_the_tree_fits_as_tightly_as_looking_at_all_bins():
     draw = random.Random(1)
     for _ in range(60):
         items = [(draw.choice([0, 1, 5, draw.randint(1, 130)]), k) for k in range(draw.randint(0, 80))]
-        place, bins = sharding.best_fit_decreasing(items, 100)
-        assert bins == plain_best_fit(items, 100)
-        load = Counter()
-        for (size, _), at in zip(items, place, strict=True):
-            load[at] += size
-        alone = {at: size for (size, _), at in zip(items, place, strict=True) if size > 100}
-        assert all(load[at] <= 100 or load[at] == alone[at] for at in load)
+        placed, bins = places(list(Counter(size for size, _ in items).items()), 100)
+        assert len(placed) == len(items) and bins == plain_best_fit(items, 100)
+        assert {at for _, at in placed} == set(range(bins))
+        alone = {at: size for size, at in placed if size > 100}
+        assert all(load <= 100 or load == alone[at] for at, load in loads(placed).items())
+
+
+def test_many_small_groups_are_packed_like_single_items():
+    draw = random.Random(4)
+    sizes = list(Counter(min(int(draw.expovariate(0.02)) + 1, 900) for _ in range(100_000)).items())
+    placed, bins = places(sizes, 50_000)
+    assert len(placed) == 100_000 and bins == plain_best_fit([(s, k) for s, n in sizes for k in range(n)], 50_000)
+    assert max(loads(placed).values()) <= 50_000
 
 
 def test_smallest_capacity_is_near_an_even_share():
     draw = random.Random(2)
-    items = [(draw.randint(1, 50), k) for k in range(2000)]
-    even = sum(size for size, _ in items) / 8
-    capacity = sharding.smallest_capacity(items, 8)
-    assert sharding.best_fit_decreasing(items, capacity)[1] <= 8 and capacity < 1.01 * even
+    sizes = list(Counter(draw.randint(1, 50) for _ in range(2000)).items())
+    even = sum(size * n for size, n in sizes) / 8
+    capacity = sharding.smallest_capacity(sizes, 8)
+    assert sharding.best_fit_decreasing(sizes, capacity)[1] <= 8 and capacity < 1.01 * even
 
 
 def test_a_group_stays_together_and_fixed_capacity_is_kept(spark):
@@ -50,11 +71,22 @@ def test_a_group_stays_together_and_fixed_capacity_is_kept(spark):
     assert max(load) <= 1000 and len(load) <= 31 and "shard_name" in got.columns
 
 
-def test_small_groups_are_bundled_and_shards_stay_even(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "GRAIN", 4)
-    rows = spark.range(20_000).select(F.col("id").alias("key"), (F.col("id") % 90 + 1).alias("size"))
-    load = [r[1] for r in sharding.assign(rows, "key", "size", shards=8).groupBy("shard").agg(F.sum("size")).collect()]
-    assert len(load) == 8 and max(load) < 1.02 * sum(load) / 8 and min(load) > 0.9 * sum(load) / 8
+def test_a_hundred_thousand_groups_fall_into_the_bins_of_best_fit(spark):
+    rows = spark.range(100_000).select(F.col("id").alias("key"), (F.col("id") % 90 + 1).alias("size"))
+    got = sharding.assign(rows, "key", "size", shards=8).groupBy("shard").agg(F.sum("size").alias("load")).collect()
+    sizes = [(r[0], r[1]) for r in rows.groupBy("size").count().collect()]
+    placed, bins = places(sizes, sharding.smallest_capacity(sizes, 8))
+    assert sorted(r["load"] for r in got) == sorted(loads(placed).values()) and len(got) == bins == 8
+    assert max(r["load"] for r in got) < 1.001 * sum(r["load"] for r in got) / 8
+
+
+def test_columns_stay_whatever_their_names(spark):
+    rows = spark.range(30).select((F.col("id") % 7).alias("k"), F.lit(3).alias("w"))
+    for name in ("key", "size", "own_0", "OWN_1", "rank", "spot", "first", "bin", "_unit", "_key", "a b", "shard"):
+        rows = rows.withColumn(name, F.col("k"))
+    got = sharding.assign(rows, "k", "w", capacity=15)
+    assert [c for c in got.columns if c != "shard"] == [c for c in rows.columns if c != "shard"] and got.count() == 30
+    assert sharding.assign(rows.filter("false"), "k", "w", shards=3).count() == 0
 
 
 def test_numbers_have_no_gaps_over_blocks(spark, monkeypatch):
