@@ -67,26 +67,17 @@ def classify_feed(stream: DataFrame, document: str, key: str, out: str, checkpoi
 def audit_feed(stream: DataFrame, key: str, out: str, checkpoint: str, **options) -> StreamingQuery:
     """Audit rows not yet notified to an outbox of mails, each once.
 
-    The outbox itself is the mark of what was sent: a row delivered again, in the same batch or a later one, is left out.
-    A repeated batch replaces its first try, so its own rows do not count as sent.
+    The stream's state keeps the keys that were sent, so a row delivered again, in the same batch or a later one, is left
+    out and no batch reads what earlier ones wrote. A repeated batch finds the state as it was before its first try, and
+    replaces what that wrote.
     """
     def handle(rows: DataFrame, batch: int) -> None:
-        fresh = rows.filter("NOT IsNotified")
-        mails = notify.with_table_message(notify.with_subject(fresh), "body").selectExpr(
+        mails = notify.with_table_message(notify.with_subject(rows), "body").selectExpr(
             f"CAST({key} AS STRING) AS message_key", "'mail' AS channel", "subject", "body")
-        sent = earlier_batches(rows.sparkSession, f"{out}/outbox", mails.schema, batch)
-        write_batch(notify.new_outbox_rows(mails, sent), f"{out}/outbox", batch)
+        write_batch(mails, f"{out}/outbox", batch)
 
     options.setdefault("every", AUDIT_POLL)
-    return run(stream, handle, checkpoint, **options)
-
-
-def earlier_batches(spark: SparkSession, path: str, schema: StructType, batch: int) -> DataFrame:
-    """What the batches before ``batch`` have written below ``path``; nothing before the first one."""
-    if batch == 0:
-        return spark.createDataFrame([], schema)
-    kept = StructType([*schema.fields]).add("batch_id", "integer")
-    return spark.read.schema(kept).parquet(path).filter(F.col("batch_id") < batch)
+    return run(stream.filter("NOT IsNotified").dropDuplicates([key]), handle, checkpoint, **options)
 
 
 def index_feed(stream: DataFrame, key: str, newest: list, store: str, checkpoint: str, **options) -> StreamingQuery:
