@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linkwright.functions.values import map_lines, typed, utc_text
-from linkwright.operators import changes, chunks, clean, context, graph, index, normalize, notify, pairing, search, validate
+from linkwright.operators import changes, chunks, clean, context, graph, index, normalize, notify, pairing, quantized, search, validate
 from linkwright.operators.embed import completion, echo_model, embed_rows, HashedEmbedder
 from linkwright.operators.skew import first_row, surrogate_key, text_parts
 from linkwright.functions.fixed_text import SUMMARY_PROMPT, render
 from linkwright.plans import retrieval
 from linkwright.session import fresh_path, rocksdb_state, written
+from linkwright.sources import csv_parallel
 from linkwright.sources.csv_tables import CORRUPT, ROW_NO, quarantine, read_raw, read_table, typed_table, write_csv
 from linkwright.streaming import capture, feed
+from linkwright.streaming import pairing as streaming_pairing
 
 DIMS = 64
 SPLIT = "1998-05-01"
@@ -440,12 +442,17 @@ def cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(search.cosine_topk(question, vectors, dims=DIMS))
 
 
+def _vector_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whose id is divisible by 50, asking for vectors of its own label where there is a scope."""
+    return _vectors(spark, folder).filter("id % 50 = 0").select(F.col("id").alias("query_id"), "embedding", F.col("label").alias("scope"))
+
+
 def cosine_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(search.cosine_topk(_label_questions(spark, folder), _vectors(spark, folder), 10, DIMS))
+    return _shown(search.cosine_topk(_vector_questions(spark, folder), _vectors(spark, folder), 10, DIMS))
 
 
 def cosine_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(search.cosine_topk(_label_questions(spark, folder), _vectors(spark, folder), dims=DIMS, scope_col="label"))
+    return _shown(search.cosine_topk(_vector_questions(spark, folder), _vectors(spark, folder), dims=DIMS, scope_col="label"))
 
 
 LISTS = 16
@@ -461,13 +468,25 @@ def _vector_index(spark: SparkSession, folder: str) -> tuple[DataFrame, np.ndarr
 def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The search over coarse lists with every list probed, which is the exact search."""
     stored, centres = _vector_index(spark, folder)
-    return _shown(search.ann_topk(_label_questions(spark, folder).drop("scope"), stored, centres, LISTS, dims=DIMS))
+    return _shown(search.ann_topk(_vector_questions(spark, folder).drop("scope"), stored, centres, LISTS, dims=DIMS))
 
 
 def ann_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
     """The same among the documents of the question's label."""
     stored, centres = _vector_index(spark, folder)
-    return _shown(search.ann_topk(_label_questions(spark, folder), stored, centres, LISTS, dims=DIMS, scope_col="label"))
+    return _shown(search.ann_topk(_vector_questions(spark, folder), stored, centres, LISTS, dims=DIMS, scope_col="label"))
+
+
+#: Lists probed by the approximate search.
+PROBES = 12
+
+
+def pq_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate search: twelve of sixteen lists probed, candidates by product codes, exact scores."""
+    path = fresh_path(spark, "code-index")
+    quantized.build_index(_vectors(spark, folder), path, LISTS, DIMS)
+    asked = _vector_questions(spark, folder).drop("scope")
+    return _shown(quantized.pq_topk(asked, *quantized.open_index(spark, path), PROBES))
 
 
 def document_edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -641,6 +660,54 @@ def fifo_pairing(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- streams ------------------------------------------------------------------------------------
 
+SLICES = 4
+
+
+def _fed(spark: SparkSession, messages: DataFrame, key: str, clock: str) -> tuple[DataFrame, str]:
+    """Messages as a stream of files in slices of event time, a clock row at the end; and the longest slice.
+
+    A slice may be several files and so several batches; the messages of a key in a slice are in one file.
+    """
+    path = fresh_path(spark, "messages")
+    share = [F.expr(f"percentile_approx(ts, {k / SLICES})") for k in range(SLICES + 1)]
+    edges = messages.agg(*share).first()
+    late = max((b - a for a, b in zip(edges[:-1], edges[1:])), default=None)
+    for k in range(SLICES):
+        low = F.lit(True) if k == 0 else F.col("ts") > F.lit(edges[k])
+        high = F.lit(True) if k == SLICES - 1 else F.col("ts") <= F.lit(edges[k + 1])
+        messages.filter(low & high).repartition(key).write.parquet(f"{path}/slice-{k}")
+    end = messages.agg((F.max("ts") + F.expr(f"INTERVAL {clock}")).alias("ts"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.col("ts") for f in messages.schema.fields]
+    end.select(*nothing).write.parquet(f"{path}/slice-{SLICES}")
+    stream = (spark.readStream.schema(messages.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(path))
+    return stream, f"{int(late.total_seconds()) + 1} seconds"
+
+
+def _drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    out = fresh_path(spark, name)
+    with rocksdb_state(spark):
+        (stream.writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, f"{name}-progress"))
+         .trigger(availableNow=True).start(out).awaitTermination())
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def stream_request_response(spark: SparkSession, folder: str) -> DataFrame:
+    """``request_response`` with the events fed in slices; every view is given out, at the latest when its limit has passed."""
+    events = table(spark, folder, "events").filter(F.col("event_type").isin("view", "click")).select(
+        "user_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("id"), (F.col("event_type") == "view").alias("asks"))
+    stream, late = _fed(spark, events, "user_id", "30 DAYS")
+    return _drained(spark, streaming_pairing.answer_stream(stream, "user_id", 1800, late), "answers").withColumn(
+        "wait_seconds", F.round("wait_seconds", 3))
+
+
+def stream_fifo_pairing(spark: SparkSession, folder: str) -> DataFrame:
+    """``fifo_pairing`` with the turns fed in slices."""
+    turns = table(spark, folder, "conversations").filter(F.col("role").isin("user", "assistant")).select(
+        "conv_id", "turn", (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("turn"))).alias("ts"), F.col("turn").alias("id"), (F.col("role") == "user").alias("asks"))
+    stream, late = _fed(spark, turns, "conv_id", "30 DAYS")
+    return _drained(spark, streaming_pairing.fifo_stream(stream, "conv_id", "turn", "1 day", late), "queues")
+
+
 def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     schema = table(spark, folder, "events").schema
     out = fresh_path(spark, "feed")
@@ -713,6 +780,16 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, _task_files(spark, folder), "CR_CTasks").drop(ROW_NO)
 
 
+def csv_parallel_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows by the scan that splits a file inside quoted line breaks."""
+    return csv_parallel.scan_table(spark, _task_files(spark, folder), "CR_CTasks").drop(ROW_NO)
+
+
+def csv_parallel_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    malformed = quarantine(csv_parallel.scan_raw(spark, _task_files(spark, folder), "CR_CTasks"))[1]
+    return malformed.select(F.col(CORRUPT).alias("line"))
+
+
 def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     malformed = quarantine(read_raw(spark, _task_files(spark, folder), "CR_CTasks"))[1]
     return malformed.select(F.col(CORRUPT).alias("line"))
@@ -734,5 +811,6 @@ QUERIES = {f.__name__: f for f in [
     model_column, cosine_topk, cosine_topk_batch, cosine_topk_filtered, ann_topk, ann_topk_filtered, question_graph_context, index_upsert, snapshot_diff,
     snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
     change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
-    csv_round_trip, csv_quarantine, typed_load,
+    csv_round_trip, csv_quarantine, typed_load, csv_parallel_scan, csv_parallel_quarantine, pq_topk,
+    stream_request_response, stream_fifo_pairing,
 ]}

@@ -183,8 +183,12 @@ def mean_vectors(group: str) -> str:
       FROM embeddings) GROUP BY query_id, dim) GROUP BY query_id)"""
 
 
-def topk(group: str, k: int, condition: str = "true") -> str:
-    return f"""{mean_vectors(group)},
+VECTOR_QUESTIONS = """questions AS (
+  SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q, label AS scope FROM embeddings WHERE vec_id % 50 = 0)"""
+
+
+def topk(questions: str, k: int, condition: str = "true") -> str:
+    return f"""{questions},
 hits AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score
   FROM (SELECT query_id, vec_id AS id, round(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])), 12) AS score
@@ -315,6 +319,14 @@ vertices AS (
   UNION SELECT 'LABEL-' || label, 'Topic' FROM embeddings),
 {incident("edges")}"""
 
+REQUESTS = """WITH paired AS (
+  SELECT v.user_id, v.event_id AS request_id, v.ts, min({'ts': c.ts, 'id': c.event_id}) AS answer
+  FROM events v LEFT JOIN events c ON c.event_type = 'click' AND c.user_id = v.user_id
+       AND c.ts BETWEEN v.ts AND v.ts + INTERVAL 30 MINUTE
+  WHERE v.event_type = 'view' GROUP BY v.user_id, v.event_id, v.ts)
+SELECT user_id, request_id, answer.id AS response_id, round(date_diff('microsecond', ts, answer.ts) / 1000000.0, 3) AS wait_seconds,
+       CAST(CASE WHEN answer.id IS NULL THEN 504 ELSE 200 END AS BIGINT) AS status FROM paired"""
+
 FIFO = """WITH turns AS (
   SELECT conv_id, turn, role = 'user' AS asks FROM conversations WHERE role IN ('user', 'assistant')),
 summed AS (
@@ -341,7 +353,7 @@ SELECT id, seq, CASE WHEN alive THEN q0 END AS old_question, CASE WHEN NOT delet
 FROM pairs WHERE alive OR NOT deleted"""
 
 ORACLES = {
-    "vector_graph_context": f"""WITH {topk("CAST(label AS BIGINT)", 5, "vec_id IN (SELECT doc_id FROM documents)")
+    "vector_graph_context": f"""WITH {topk(mean_vectors("CAST(label AS BIGINT)"), 5, "vec_id IN (SELECT doc_id FROM documents)")
         .replace("vec_id AS id", "'DOC-' || vec_id AS id")}, {DOCUMENT_GRAPH},
 nodes AS (SELECT DISTINCT id AS node_id FROM hits), {node_lines("dummy AS (SELECT 1)", 4_000_000)}
 SELECT query_id, rank, n.node_id, round(score, 6) AS score, part_no, context,
@@ -477,11 +489,11 @@ places AS (
 SELECT doc_id, dim, round(CAST(CAST(w / norm AS FLOAT) AS DOUBLE), 5) AS weight
 FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS norm FROM places) WHERE w <> 0""",
     "model_column": f"""SELECT doc_id, 'Reply ' || md5({layout(fixed.SUMMARY_PROMPT, topic="coalesce(text, 'None')")}) AS doc_content FROM documents""",
-    "cosine_topk": f"WITH {topk('CAST(0 AS BIGINT)', 5)} {SHOWN}",
-    "cosine_topk_batch": f"WITH {topk('CAST(label AS BIGINT)', 10)} {SHOWN}",
-    "cosine_topk_filtered": f"WITH {topk('CAST(label AS BIGINT)', 5, 'label = query_id')} {SHOWN}",
-    "ann_topk": f"WITH {topk('CAST(label AS BIGINT)', 5)} {SHOWN}",
-    "ann_topk_filtered": f"WITH {topk('CAST(label AS BIGINT)', 5, 'label = query_id')} {SHOWN}",
+    "cosine_topk": f"WITH {topk(mean_vectors('CAST(0 AS BIGINT)'), 5)} {SHOWN}",
+    "cosine_topk_batch": f"WITH {topk(VECTOR_QUESTIONS, 10)} {SHOWN}",
+    "cosine_topk_filtered": f"WITH {topk(VECTOR_QUESTIONS, 5, 'label = scope')} {SHOWN}",
+    "ann_topk": f"WITH {topk(VECTOR_QUESTIONS, 5)} {SHOWN}",
+    "ann_topk_filtered": f"WITH {topk(VECTOR_QUESTIONS, 5, 'label = scope')} {SHOWN}",
     "question_graph_context": f"""WITH chunks AS ({CHUNKS}),
 tokens AS (
   SELECT 'chunk' AS side, chunk_id AS id, md5(unnest({WORDS})) AS h FROM chunks
@@ -522,6 +534,10 @@ OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answ
                       "said AS CTASK_Description FROM tasks WHERE n NOT IN (3, 5)",
     "csv_quarantine": f"""{TASKS} SELECT CASE n WHEN 3 THEN concat_ws(',', task, cr, coalesce(person, ''), begins)
        ELSE concat_ws(',', task, cr, coalesce(person, ''), begins, ends, 'a', 'b') END AS line FROM tasks WHERE n IN (3, 5)""",
+    "csv_parallel_scan": f"{TASKS} SELECT task AS CTASK_ID, cr AS CR_ID, person AS CTASK_Assigned_To_User, begins AS CTASK_Start_Time, ends AS CTASK_End_Time, "
+                      "said AS CTASK_Description FROM tasks WHERE n NOT IN (3, 5)",
+    "csv_parallel_quarantine": f"""{TASKS} SELECT CASE n WHEN 3 THEN concat_ws(',', task, cr, coalesce(person, ''), begins)
+       ELSE concat_ws(',', task, cr, coalesce(person, ''), begins, ends, 'a', 'b') END AS line FROM tasks WHERE n IN (3, 5)""",
     "typed_load": f"""{TASKS} SELECT task AS CTASK_ID_Source, cr AS CR_ID, begins || ':00' AS start_time,
        CASE WHEN ends <> 'soon' THEN ends || ':00' END AS end_time FROM tasks WHERE n NOT IN (3, 5)""",
     "mark_notified": f"{DIFF} SELECT id, action, action <> 'UPDATE' AS is_notified FROM diff",
@@ -531,14 +547,10 @@ OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answ
     "classify_changes": f"{CLASSIFIED} SELECT * FROM classified",
     "change_outbox": f"""{CLASSIFIED}, good AS (SELECT doc_key AS message_key, subject, message FROM classified WHERE error IS NULL)
 {outbox("good")}""",
-    "request_response": """WITH paired AS (
-  SELECT v.user_id, v.event_id AS request_id, v.ts, min({'ts': c.ts, 'id': c.event_id}) AS answer
-  FROM events v LEFT JOIN events c ON c.event_type = 'click' AND c.user_id = v.user_id
-       AND c.ts BETWEEN v.ts AND v.ts + INTERVAL 30 MINUTE
-  WHERE v.event_type = 'view' GROUP BY v.user_id, v.event_id, v.ts)
-SELECT user_id, request_id, answer.id AS response_id, round(date_diff('microsecond', ts, answer.ts) / 1000000.0, 3) AS wait_seconds,
-       CAST(CASE WHEN answer.id IS NULL THEN 504 ELSE 200 END AS BIGINT) AS status FROM paired""",
+    "request_response": REQUESTS,
+    "stream_request_response": REQUESTS,
     "fifo_pairing": FIFO,
+    "stream_fifo_pairing": FIFO,
     "change_feed": "SELECT event_id, user_id, event_type, value FROM events",
     "change_feed_outbox": f"""WITH good AS (
   SELECT CAST(event_id AS VARCHAR) AS message_key, {layout(fixed.VERTEX_SUBJECT, label="event_type", id="event_id")} AS subject,

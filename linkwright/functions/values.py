@@ -68,11 +68,14 @@ FALSE_TOKENS = ["false", "null", "0", "-0", "0.0", '""', "[]", "{}"]
 
 
 def json_record(document: Column) -> Column:
-    """The fields of a JSON object in order, parsed once; null for broken text and for anything but an object.
+    """The fields of a JSON object in order, each as value and as written; null for broken text and for anything but an object.
 
-    A present null field differs from a missing one.
+    A present null field differs from a missing one. The document is parsed for the values and for the texts, once each, however
+    many fields are asked for; keep the record in a column.
     """
-    return F.map_entries(F.from_json(document, "map<string,variant>"))
+    values = F.map_entries(F.from_json(document, "map<string,variant>"))
+    texts = F.map_entries(F.from_json(document, "map<string,string>"))
+    return F.zip_with(values, texts, lambda v, t: F.struct(v["key"].alias("key"), v["value"].alias("value"), t["value"].alias("text")))
 
 
 def has_key(record: Column, *names: str) -> Column:
@@ -85,7 +88,11 @@ def has_key(record: Column, *names: str) -> Column:
 
 def field(record: Column, name: str) -> Column:
     """The value of a field; of repeated names the last one counts."""
-    return F.try_element_at(F.filter(record, lambda f: f["key"] == name), F.lit(-1))["value"]
+    return _entry(record, name)["value"]
+
+
+def _entry(record: Column, name: str) -> Column:
+    return F.try_element_at(F.filter(record, lambda f: f["key"] == name), F.lit(-1))
 
 
 def flag(record: Column, name: str) -> Column:
@@ -93,16 +100,13 @@ def flag(record: Column, name: str) -> Column:
     return ~F.coalesce(F.to_json(field(record, name)), F.lit("null")).isin(*FALSE_TOKENS)
 
 
-def field_text(record: Column, name: str, document: Column) -> Column:
+def field_text(record: Column, name: str) -> Column:
     """The printed value of a present field: text as it is, ``None`` for null, ``True``/``False``, lists as ``[1, 'a']``.
 
-    Numbers, also those in lists, are printed as the document has them, which tells 1.0 from 1; only for them is the document
-    read a second time.
+    Numbers, also those in lists, are printed as the document has them, which tells 1.0 from 1.
     """
-    value = field(record, name)
+    value, written = field(record, name), _entry(record, name)["text"]
     json = F.coalesce(F.to_json(value), F.lit("null"))
-    texts = F.map_entries(F.from_json(document, "map<string,string>"))
-    written = F.try_element_at(F.filter(texts, lambda f: f["key"] == name), F.lit(-1))["value"]
     return (F.when(json.startswith('"'), value.cast("string")).when(json == "null", "None")
             .when(json.isin("true", "false"), F.initcap(json))
             .when(json.startswith("[") | json.startswith("{"), nested_text(written)).otherwise(written))
@@ -124,9 +128,9 @@ def nested_text(json: Column) -> Column:
     return F.array_join(F.transform(marks, printed), "")
 
 
-def first_present(record: Column, document: Column, names: Sequence[str], default: str) -> Column:
+def first_present(record: Column, names: Sequence[str], default: str) -> Column:
     """Printed value of the first field that is present, even if null; else the default."""
     choice = F.lit(default)
     for name in reversed(names):
-        choice = F.when(has_key(record, name), field_text(record, name, document)).otherwise(choice)
+        choice = F.when(has_key(record, name), field_text(record, name)).otherwise(choice)
     return choice

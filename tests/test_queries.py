@@ -48,7 +48,7 @@ def test_query_matches_its_sql(spark, duck, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(star_sql.ORACLES) == set(star.QUERIES)
+    assert set(star_sql.ORACLES) == set(star.QUERIES) - {"pq_topk"}  # approximate; compared with the exact search
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(star.QUERIES) <= set(entry.queries())
 
