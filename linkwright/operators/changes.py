@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.functions.values import real_change
+from linkwright.session import written
+
+CHECK_BUCKETS = 65_536
+MOST_BUCKETS = 1 << 20
 
 
 def snapshot_diff(
@@ -30,6 +34,55 @@ def snapshot_diff(
     return rows.select(F.coalesce("_old", "_new").alias(key), *pairs, "action")
 
 
+def checksums(rows: DataFrame, key: str, columns: Sequence[str], buckets: int = CHECK_BUCKETS) -> DataFrame:
+    """What tells two snapshots apart, per bucket of keys: (bucket, n, total, mixed), at most ``buckets`` rows.
+
+    Free of order, combined map-side: rows counted, one hash summed up, another one put together by exclusive or. Null and the
+    empty text count as the same, as in ``snapshot_diff``. Small enough to be kept with a snapshot for the next diff.
+    """
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    row = F.xxhash64(F.lit(0), F.col(key), *values).cast("decimal(20,0)")
+    return rows.groupBy(_bucket(key, buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row).alias("total"), F.bit_xor(F.xxhash64(F.lit(1), F.col(key), *values)).alias("mixed"))
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+
+
+def differing(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The buckets whose checksums differ, or that only one of two snapshots has."""
+    old = before.select("bucket", F.struct("n", "total", "mixed").alias("_old"))
+    new = after.select("bucket", F.struct("n", "total", "mixed").alias("_new"))
+    return old.join(new, "bucket", "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new"))).select("bucket")
+
+
+def checked_diff(
+    before: DataFrame, after: DataFrame, key: str, columns: Sequence[str], buckets: int = CHECK_BUCKETS,
+    before_sums: DataFrame | None = None,
+) -> DataFrame:
+    """``snapshot_diff`` with ``only_changed``, comparing rows only where checksums per bucket of keys differ.
+
+    Rows of buckets that are alike stay where they are read; with ``before_sums``, the stored ``checksums`` of the earlier
+    snapshot by the same columns and buckets, that snapshot is read once. The buckets to open are at most ``buckets`` numbers
+    and are sent to all tasks. Pays where changes are few: one changed key opens its bucket. Keys are unique within a
+    snapshot; rows with a null key are always compared. Two different buckets pass as alike if a sum and an exclusive or of
+    independent 64-bit hashes both agree.
+    """
+    if not 0 < buckets <= MOST_BUCKETS:
+        raise ValueError(f"buckets are sent to all tasks: 1 to {MOST_BUCKETS}, not {buckets}")
+    sums = checksums(before, key, columns, buckets) if before_sums is None else before_sums
+    opened = written(differing(sums, checksums(after, key, columns, buckets)), "buckets")
+
+    def touched(rows: DataFrame) -> DataFrame:
+        picked = rows.select(key, *[c for c in columns if c != key])
+        kept = picked.filter(F.col(key).isNotNull()).join(
+            F.broadcast(opened.withColumnRenamed("bucket", "_bucket")), _bucket(key, buckets) == F.col("_bucket"), "left_semi")
+        return kept.unionByName(picked.filter(F.col(key).isNull()))
+
+    return snapshot_diff(touched(before), touched(after), key, columns, True)
+
+
 def apply_diff(before: DataFrame, diff: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The later state: the earlier one without the touched keys, plus inserted and updated rows."""
     kept = before.select(key, *columns).join(diff.select(key), key, "left_anti")

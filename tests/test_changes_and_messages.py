@@ -8,6 +8,7 @@ from linkwright.operators import changes, index, notify
 from linkwright.operators.clean import blank_defaults, in_states, left_chain, null_safe_left
 from linkwright.operators.embed import embed_rows, embedding, HashedEmbedder
 from linkwright.plans import audit_trail
+from linkwright.session import written
 from tests.conftest import rows
 
 QA = "id bigint, question string, answer string"
@@ -128,3 +129,30 @@ def test_failed_embedding_batches_lose_only_their_rows(spark):
 def test_hashed_embedding_is_a_unit_vector():
     got = HashedEmbedder(16)(["one two three", ""])
     assert abs(float((got[0] ** 2).sum()) - 1) < 1e-9 and not got[1].any()
+
+
+def _two(spark):
+    schema = "id string, q string, n int"
+    before = [(f"k{i}", f"text {i}", i) for i in range(400)] + [(None, "x", 1), ("gone", "y", 2), ("blank", "", 3)]
+    after = [(f"k{i}", "new" if i == 7 else f"text {i}", i) for i in range(400)] + [(None, "x", 1), ("fresh", None, 2), ("blank", None, 3)]
+    return spark.createDataFrame(before, schema), spark.createDataFrame(after, schema)
+
+
+def test_diff_by_checksums_equals_the_full_one(spark):
+    before, after = _two(spark)
+    want = rows(changes.snapshot_diff(before, after, "id", ["q", "n"], True))
+    for buckets in (1, 8, 5000):
+        assert rows(changes.checked_diff(before, after, "id", ["q", "n"], buckets)) == want
+    kept = written(changes.checksums(before, "id", ["q", "n"], 64))
+    assert rows(changes.checked_diff(before, after, "id", ["q", "n"], 64, kept)) == want
+    empty = before.limit(0)
+    assert rows(changes.checked_diff(empty, after, "id", ["q", "n"])) == rows(changes.snapshot_diff(empty, after, "id", ["q", "n"], True))
+    assert changes.checked_diff(empty, empty, "id", ["q", "n"]).count() == 0
+
+
+def test_only_buckets_of_changed_keys_are_opened(spark):
+    before, after = _two(spark)
+    sums = [changes.checksums(t, "id", ["q", "n"], 5000) for t in (before, after)]
+    assert changes.differing(*sums).count() == 3  # k7, gone, fresh
+    with pytest.raises(ValueError):
+        changes.checked_diff(before, after, "id", ["q"], 1 << 21)
