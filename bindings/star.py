@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linkwright.functions.values import map_lines, typed, utc_text
-from linkwright.operators import changes, chunks, clean, context, graph, index, normalize, notify, pairing, quantized, search, validate
+from linkwright.operators import adjacency, changes, chunks, clean, context, graph, index, normalize, notify, pairing, quantized, search, validate
 from linkwright.operators.embed import completion, echo_model, embed_rows, HashedEmbedder
 from linkwright.operators.skew import first_row, surrogate_key, text_parts
 from linkwright.functions.fixed_text import SUMMARY_PROMPT, render
@@ -24,7 +24,7 @@ from linkwright.plans import retrieval
 from linkwright.session import fresh_path, rocksdb_state, written
 from linkwright.sources import csv_parallel
 from linkwright.sources.csv_tables import CORRUPT, ROW_NO, quarantine, read_raw, read_table, typed_table, write_csv
-from linkwright.streaming import capture, feed
+from linkwright.streaming import appended, capture, feed, outbox
 from linkwright.streaming import pairing as streaming_pairing
 
 DIMS = 64
@@ -315,6 +315,7 @@ def _change_seeds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _stored: dict[tuple[str, str, bool], tuple[str, str]] = {}
+_adjacent: dict[tuple[str, str], adjacency.Adjacency] = {}
 
 
 def stored_graph(spark: SparkSession, folder: str, parallel: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -349,6 +350,16 @@ def two_hop_mentions(spark: SparkSession, folder: str) -> DataFrame:
     return graph.two_hop(_change_seeds(spark, folder), edges).select("via_id", *HOP)
 
 
+def two_hop_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same paths over edges bucketed by node, stored once per application and data folder like the graph."""
+    spot = (spark.sparkContext.applicationId, folder)
+    if spot not in _adjacent:
+        path = fresh_path(spark, "adjacency")
+        edges = stored_graph(spark, folder, parallel=False)[1]
+        _adjacent[spot] = adjacency.store_adjacency(edges, path.rsplit("/", 1)[1].replace("-", "_"), path, 32)
+    return adjacency.two_hop(_change_seeds(spark, folder), _adjacent[spot]).select("via_id", *HOP)
+
+
 def keyword_neighborhood(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder, parallel=False)
     return graph.neighborhood(graph.keyword_seeds(vertices, "ring", PROPERTIES), edges).select(*HOP)
@@ -567,6 +578,12 @@ def snapshot_diff_changed(spark: SparkSession, folder: str) -> DataFrame:
     return _diff(spark, folder, True)
 
 
+def snapshot_diff_checksums(spark: SparkSession, folder: str) -> DataFrame:
+    """The changed rows, compared only in the key buckets whose checksums differ."""
+    before, after = (written(_snapshot(spark, folder, late), "snapshot") for late in (False, True))
+    return changes.checked_diff(before, after, "id", ["question", "answer"])
+
+
 def pending_batch(spark: SparkSession, folder: str) -> DataFrame:
     batch = changes.pending_batch(_audit(spark, folder), "QuestionaireID", 20)
     return batch.select(F.col("QuestionaireID").alias("id"), F.col("ActionTaken").alias("action"))
@@ -727,6 +744,20 @@ def change_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/outbox").select("message_key", "channel", "subject", "body")
 
 
+def feed_to_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """``change_outbox`` as a stream: documents appended to a feed in two parts, the stream started anew for the second."""
+    path, progress, out = (fresh_path(spark, n) for n in ("appended", "appended-progress", "committed"))
+    documents = change_documents(spark, folder)
+    for part in range(2):
+        fresh = documents.filter(F.pmod(F.xxhash64("doc_key"), F.lit(2)) == part)
+        fresh.select(F.to_json(F.struct("doc_key", "document")).alias("value")).write.mode("append").text(path)
+        record = F.from_json("line", "doc_key string, document string")
+        arrived = appended.read_appended(spark, path).select(record.alias("_record")).select("_record.*")
+        rows = notify.outbox_rows(notify.classify(arrived, "document"), "doc_key")
+        outbox.write_committed(rows, out, progress).awaitTermination()
+    return outbox.read_committed(spark, out, rows.schema).drop("batch_id")
+
+
 def change_capture(spark: SparkSession, folder: str) -> DataFrame:
     """Each user's events as states of one row; an error event deletes the row."""
     schema = table(spark, folder, "events").schema
@@ -812,5 +843,5 @@ QUERIES = {f.__name__: f for f in [
     snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
     change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
     csv_round_trip, csv_quarantine, typed_load, csv_parallel_scan, csv_parallel_quarantine, pq_topk,
-    stream_request_response, stream_fifo_pairing,
+    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed,
 ]}

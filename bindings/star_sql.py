@@ -558,3 +558,10 @@ OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answ
 {outbox("good")}""",
     "change_capture": CAPTURE,
 }
+
+#: Other ways to the same rows.
+ORACLES |= {
+    "feed_to_outbox": ORACLES["change_outbox"],
+    "snapshot_diff_checksums": ORACLES["snapshot_diff_changed"],
+    "two_hop_bucketed": ORACLES["two_hop_mentions"],
+}
