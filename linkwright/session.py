@@ -24,7 +24,7 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
 }
 
 
