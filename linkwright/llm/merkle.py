@@ -29,8 +29,11 @@ def records(rows: DataFrame, file: Column, order: list[str], record: Column, *ke
     """(keep, file, offset, length, digest): records laid one after the other in every file, by ``order``.
 
     A file must be small enough for one task to sort its record lengths; texts are not moved, only lengths and digests.
-    Equal places in the order are taken as they come.
+    Rows of equal place in the order are laid by digest, nulls before all others; a null record is an empty one, and rows with
+    a null file are a file of that name. An empty table has no records. The names kept must not be file, offset, length or
+    digest; other columns of the rows, such names among them, are not read.
     """
+    record = F.coalesce(record, F.lit(""))
     sized = rows.select(*keep, *[c for c in order if c not in keep], file.alias("file"),
                         F.octet_length(record).cast("bigint").alias("length"), F.sha2(record, 256).alias("digest"))
     before = Window.partitionBy("file").orderBy(*order, "digest").rowsBetween(Window.unboundedPreceding, -1)

@@ -21,19 +21,25 @@ ARCHIVE_RECORDS = 2000
 
 
 def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as archive records, against a replica in which some are changed, lost or cut off, by a hash of the url."""
+    """All pages as archive records, against a replica read by the places of the archive's index.
+
+    By a hash of the url a record of the replica has another byte, ends half way, or is lost; behind the end of every file
+    stands one record more. Digests and lengths are those of the replica's own bytes.
+    """
     pages = table(spark, sf_dir, "pages").withColumn("damage", F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2))
     file = F.concat(F.lit("archive-"), F.floor(F.coalesce("page_id", F.lit(0)) / ARCHIVE_RECORDS))
-    first = merkle.records(pages, file, ["page_id"], merkle.warc_record(F.col("url"), F.col("html")), "page_id", "damage")
-    first = written(first, "records")
-    copy = (
-        first.filter("damage != '01'")
-        .withColumn("digest", F.when(F.col("damage") == "00", F.sha2(F.concat(F.lit("!"), "digest"), 256)).otherwise(F.col("digest")))
-        .withColumn("length", F.when(F.col("damage") == "02", F.floor(F.col("length") / 2)).otherwise(F.col("length")))
-        .withColumn("digest", F.when(F.col("damage") == "02", F.sha2(F.concat(F.lit("half "), "digest"), 256)).otherwise(F.col("digest")))
-    )
-    found = merkle.audit(first, copy)
-    return found.join(first.select("file", "offset", "page_id"), ["file", "offset"]).select(
+    record = merkle.warc_record(F.col("url"), F.col("html"))
+    copied = F.when(F.col("damage") == "00", F.overlay(record, F.lit("1"), F.lit(8))).when(
+        F.col("damage") == "02", F.left(record, F.floor(F.length(record) / 2).cast("int")))
+    pages = pages.withColumns({"copy_length": F.octet_length(copied).cast("bigint"), "copy_digest": F.sha2(copied, 256)})
+    first = written(merkle.records(pages, file, ["page_id"], record, "page_id", "damage", "copy_length", "copy_digest"), "records")
+    copy = first.filter("damage != '01'").select(
+        "file", "offset", F.coalesce("copy_length", "length").alias("length"), F.coalesce("copy_digest", "digest").alias("digest"))
+    late = merkle.warc_record(F.col("file"), F.lit("late"))
+    more = first.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("offset")).select(
+        "file", "offset", F.octet_length(late).cast("bigint").alias("length"), F.sha2(late, 256).alias("digest"))
+    found = merkle.audit(first, copy.union(more))
+    return found.join(first.select("file", "offset", "page_id"), ["file", "offset"], "left").select(
         "page_id", "file", "offset", "kind", "primary_digest", "replica_digest")
 
 
@@ -149,24 +155,31 @@ _SPACED_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+')"
 _PHRASES = ", ".join(f"({len(p.split())}, '{p}', '{label}')" for p, label in licenses.PHRASES.items())
 _TEMPLATES = ", ".join(f"('{name}', '{licenses.template_pattern(text)}')" for name, text in licenses.TEMPLATES.items())
 
+
+def _warc(url: str, body: str) -> str:
+    """SQL for the text of a WARC response record."""
+    end = "chr(13) || chr(10)"
+    return (f"'WARC/1.0' || {end} || 'WARC-Type: response' || {end} || 'WARC-Target-URI: ' || {url} || {end} || 'Content-Length: ' "
+            f"|| strlen({body}) || {end} || {end} || {body} || {end} || {end}")
+
+
 ORACLES: dict[str, str] = {
     "op1_merkle_audit": f"""
         WITH r AS (
             SELECT page_id, 'archive-' || (coalesce(page_id, 0) // {ARCHIVE_RECORDS}) AS file,
-                   substr(md5(coalesce(url, '')), 1, 2) AS damage,
-                   'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
-                   || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
-                   || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
-                   || chr(13) || chr(10) || chr(13) || chr(10) AS record
+                   substr(md5(coalesce(url, '')), 1, 2) AS damage, {_warc("coalesce(url, '')", "coalesce(html, '')")} AS record
             FROM pages),
         o AS (
-            SELECT page_id, file, damage, sha256(record) AS digest, CAST(coalesce(sum(strlen(record)) OVER (
+            SELECT page_id, file, damage, record, CAST(coalesce(sum(strlen(record)) OVER (
                 PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
             FROM r)
         SELECT page_id, file, "offset", CASE damage WHEN '01' THEN 'missing' ELSE 'changed' END AS kind,
-               digest AS primary_digest,
-               CASE damage WHEN '00' THEN sha256('!' || digest) WHEN '02' THEN sha256('half ' || digest) END AS replica_digest
-        FROM o WHERE damage IN ('00', '01', '02')""",
+               sha256(record) AS primary_digest,
+               CASE damage WHEN '00' THEN sha256('WARC/1.1' || substr(record, 9))
+                           WHEN '02' THEN sha256(left(record, length(record) // 2)) END AS replica_digest
+        FROM o WHERE damage IN ('00', '01', '02')
+        UNION ALL SELECT NULL, file, CAST(max("offset" + strlen(record)) AS BIGINT), 'extra', NULL, sha256({_warc("file", "'late'")})
+        FROM o GROUP BY file""",
     "op3_minhash_stars": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
         s AS (

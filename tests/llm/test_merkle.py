@@ -58,3 +58,16 @@ def test_offsets_follow_the_records(spark):
     sizes = [len(texts[k].encode()) for k in (1, 2, 3)]
     assert [r["offset"] for r in got] == [0, sizes[0], sizes[0] + sizes[1]] and [r["length"] for r in got] == sizes
     assert "Content-Length: 4\r\n\r\néé\r\n\r\n" in texts[2]
+
+
+def test_records_of_null_repeated_and_no_rows(spark):
+    schema = "page_id bigint, html string, offset string, digest string"
+    data = [(None, "b", "o", "d"), (None, "a", "o", "d"), (1, None, "o", "d"), (1, "xy", "o", "d"), (1, "xy", "o", "d")]
+    rows = spark.createDataFrame(data, schema)
+    got = merkle.records(rows, F.lit(None).cast("string"), ["page_id"], F.col("html"), "page_id").orderBy("offset", "length").collect()
+    assert [r["page_id"] for r in got] == [None, None, 1, 1, 1] and {r["file"] for r in got} == {None}
+    assert [r["length"] for r in got[:2]] == [1, 1] and sorted(r["length"] for r in got[2:]) == [0, 2, 2]
+    assert max(r["offset"] + r["length"] for r in got) == 6
+    again = merkle.records(rows.repartition(3), F.lit(None).cast("string"), ["page_id"], F.col("html"), "page_id")
+    assert found(merkle.records(rows, F.lit(None).cast("string"), ["page_id"], F.col("html")), again) == []
+    assert merkle.records(rows.filter("false"), F.lit("f"), ["page_id"], F.col("html")).count() == 0
