@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linkwright.functions.values import map_lines, typed, utc_text
-from linkwright.operators import adjacency, changes, chunks, clean, context, graph, index, normalize, notify, pairing, quantized, search, validate
+from linkwright.operators import adjacency, changes, chunks, clean, context, graph, index, normalize, notify, pairing, postings, quantized, search, validate
 from linkwright.operators.embed import completion, echo_model, embed_rows, HashedEmbedder
 from linkwright.operators.skew import first_row, surrogate_key, text_parts
 from linkwright.functions.fixed_text import SUMMARY_PROMPT, render
@@ -365,6 +365,25 @@ def keyword_neighborhood(spark: SparkSession, folder: str) -> DataFrame:
     return graph.neighborhood(graph.keyword_seeds(vertices, "ring", PROPERTIES), edges).select(*HOP)
 
 
+def _keywords(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of a part's name and every customer number, as keywords."""
+    words = table(spark, folder, "part").select(F.explode(F.split("p_name", " ")).alias("keyword"))
+    numbers = table(spark, folder, "customer").select(F.concat(F.lit("#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("keyword"))
+    return words.unionByName(numbers)
+
+
+_posted: dict[tuple[str, str], postings.Postings] = {}
+
+
+def keyword_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The vertices of every keyword, by the stored index of their texts."""
+    spot = (spark.sparkContext.applicationId, folder)
+    if spot not in _posted:
+        vertices, _ = stored_graph(spark, folder)
+        _posted[spot] = postings.store_postings(vertices, PROPERTIES, fresh_path(spark, "postings"))
+    return postings.keyword_matches(_posted[spot], _keywords(spark, folder))
+
+
 def node_context_text(spark: SparkSession, folder: str) -> DataFrame:
     vertices, edges = stored_graph(spark, folder)
     return context.node_context(vertices.select(F.col("id").alias("node_id")), edges, TEXT_BYTES)
@@ -843,5 +862,5 @@ QUERIES = {f.__name__: f for f in [
     snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
     change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
     csv_round_trip, csv_quarantine, typed_load, csv_parallel_scan, csv_parallel_quarantine, pq_topk,
-    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed,
+    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index,
 ]}

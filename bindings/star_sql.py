@@ -454,6 +454,10 @@ JOIN incident i ON i.node = s.src JOIN vertices v ON v.id = other_id""",
 JOIN (SELECT 'PAGE-' || p_partkey AS seed FROM part WHERE contains(p_name, 'ring')
       UNION ALL SELECT 'CR-' || c_custkey FROM customer WHERE contains(c_name, 'ring')) ON node = seed
 JOIN vertices v ON v.id = other_id""",
+    "keyword_index": """WITH keywords AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS keyword FROM part
+UNION SELECT '#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') FROM customer),
+texts AS (SELECT 'PAGE-' || p_partkey AS id, p_name AS t FROM part UNION ALL SELECT 'CR-' || c_custkey, c_name FROM customer)
+SELECT keyword, id FROM keywords JOIN texts ON contains(t, keyword) WHERE keyword <> ''""",
     "node_context_text": f"""{GRAPH}, {incident("edges")}, nodes AS (SELECT id AS node_id FROM vertices),
 {node_lines("dummy AS (SELECT 1)", TEXT_BYTES)} SELECT node_id, part_no, context FROM node_context""",
     "graph_context": f"{REQUEST_CONTEXT} SELECT request_id, part_no, context FROM context",
