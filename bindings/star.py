@@ -24,7 +24,7 @@ from linkwright.plans import retrieval
 from linkwright.session import fresh_path, rocksdb_state, written
 from linkwright.sources import csv_parallel
 from linkwright.sources.csv_tables import CORRUPT, ROW_NO, quarantine, read_raw, read_table, typed_table, write_csv
-from linkwright.streaming import appended, capture, feed, outbox
+from linkwright.streaming import appended, capture, feed, outbox, runs
 from linkwright.streaming import pairing as streaming_pairing
 
 DIMS = 64
@@ -752,6 +752,24 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
 
 
+BATCHES, MERGED = 10, 4
+
+
+def index_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The last event of every user, by an index that is fed the events in ten batches and keeps merged runs."""
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "value")
+    path, store = fresh_path(spark, "index-events"), fresh_path(spark, "index-runs")
+    share = events.agg(*[F.expr(f"percentile_approx(event_id, {k / BATCHES})") for k in range(1, BATCHES)]).first()
+    slice_no = F.lit(0)
+    for bound in share:
+        slice_no = slice_no + F.coalesce((F.col("event_id") > F.lit(bound)).cast("int"), F.lit(0))
+    for k in range(BATCHES):
+        events.filter(slice_no == k).repartition("user_id").write.parquet(f"{path}/slice-{k}")
+    stream = (spark.readStream.schema(events.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(path))
+    runs.index_runs(stream, "user_id", [F.col("event_id").desc()], store, fresh_path(spark, "index-progress"), MERGED, drain=True).awaitTermination()
+    return runs.current(spark, store, "user_id")
+
+
 def change_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
     """The outbox of the streamed documents: stored events as graph vertices, one error in their midst."""
     schema = table(spark, folder, "events").schema
@@ -862,5 +880,5 @@ QUERIES = {f.__name__: f for f in [
     snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
     change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
     csv_round_trip, csv_quarantine, typed_load, csv_parallel_scan, csv_parallel_quarantine, pq_topk,
-    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index,
+    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index, index_feed,
 ]}

@@ -555,6 +555,8 @@ OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answ
     "stream_request_response": REQUESTS,
     "fifo_pairing": FIFO,
     "stream_fifo_pairing": FIFO,
+    "index_feed": """SELECT user_id, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
     "change_feed": "SELECT event_id, user_id, event_type, value FROM events",
     "change_feed_outbox": f"""WITH good AS (
   SELECT CAST(event_id AS VARCHAR) AS message_key, {layout(fixed.VERTEX_SUBJECT, label="event_type", id="event_id")} AS subject,
