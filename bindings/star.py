@@ -24,7 +24,7 @@ from linkwright.plans import retrieval
 from linkwright.session import fresh_path, rocksdb_state, written
 from linkwright.sources import csv_parallel
 from linkwright.sources.csv_tables import CORRUPT, ROW_NO, quarantine, read_raw, read_table, typed_table, write_csv
-from linkwright.streaming import appended, capture, feed, outbox, runs
+from linkwright.streaming import appended, capture, counts, feed, outbox, runs
 from linkwright.streaming import pairing as streaming_pairing
 
 DIMS = 64
@@ -808,6 +808,25 @@ def change_capture(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def running_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Users by the kind of their last event, counted after each third of the events; an error event deletes the user."""
+    path, out, progress = (fresh_path(spark, n) for n in ("states", "counts", "counts-progress"))
+    events = table(spark, folder, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    third = F.floor((F.col("event_id") - F.lit(low)) * 3 / (F.lit(high) - F.lit(low) + 1))
+    states = events.select(
+        F.col("user_id").alias("id"), F.col("event_id").alias("seq"), (F.col("event_type") == "error").alias("deleted"),
+        F.lit("vertex").alias("kind"), F.col("event_type").alias("label"), third.alias("third"))
+    after = []
+    for k in range(3):
+        states.filter(F.col("third") == k).drop("third").repartition("id").write.mode("append").parquet(path)
+        stream = spark.readStream.schema(states.drop("third").schema).parquet(path)
+        with rocksdb_state(spark):
+            counts.count_feed(stream, out, progress, drain=True).awaitTermination()
+        after.append(written(counts.counts_after(spark, out).withColumn("third", F.lit(k).cast("bigint")), "counts-after"))
+    return reduce(DataFrame.unionByName, after)
+
+
 def audit_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
     """The outbox of an audit log that is delivered twice, in two batches, as two copies of its files."""
     path, out = fresh_path(spark, "audit"), fresh_path(spark, "audit-outbox")
@@ -880,5 +899,5 @@ QUERIES = {f.__name__: f for f in [
     snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
     change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
     csv_round_trip, csv_quarantine, typed_load, csv_parallel_scan, csv_parallel_quarantine, pq_topk,
-    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index, index_feed,
+    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index, index_feed, running_counts,
 ]}

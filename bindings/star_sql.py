@@ -557,6 +557,12 @@ OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answ
     "stream_fifo_pairing": FIFO,
     "index_feed": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+    "running_counts": """WITH placed AS (
+  SELECT user_id, event_id, event_type, (event_id - low) * 3 // (high - low + 1) AS third
+  FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)),
+last AS (SELECT k.third, event_type FROM placed p JOIN (SELECT unnest(range(3)) AS third) k ON p.third <= k.third
+  QUALIFY row_number() OVER (PARTITION BY k.third, user_id ORDER BY event_id DESC) = 1)
+SELECT third, 'vertex' AS kind, event_type AS label, count(*) AS n FROM last WHERE event_type <> 'error' GROUP BY ALL""",
     "change_feed": "SELECT event_id, user_id, event_type, value FROM events",
     "change_feed_outbox": f"""WITH good AS (
   SELECT CAST(event_id AS VARCHAR) AS message_key, {layout(fixed.VERTEX_SUBJECT, label="event_type", id="event_id")} AS subject,
