@@ -566,6 +566,15 @@ def index_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return index.upsert(stored, fresh.unionByName(newer), "chunk_id", [F.col("at").desc()])
 
 
+def index_insert_only(spark: SparkSession, folder: str) -> DataFrame:
+    """The store of labelled documents after the others were inserted; a key that is stored already would be an error."""
+    rows = table(spark, folder, "documents").select("doc_id", prefixed("DOC-", "doc_id").alias("chunk_id"), "text")
+    labelled = table(spark, folder, "labels").select("doc_id")
+    stored = rows.join(labelled, "doc_id", "left_semi").drop("doc_id")
+    batch = rows.join(labelled, "doc_id", "left_anti").drop("doc_id")
+    return stored.unionByName(index.insert_only(stored, batch, "chunk_id"))
+
+
 # --- changes ------------------------------------------------------------------------------------
 
 def _snapshot(spark: SparkSession, folder: str, late: bool) -> DataFrame:
@@ -770,15 +779,25 @@ def index_feed(spark: SparkSession, folder: str) -> DataFrame:
     return runs.current(spark, store, "user_id")
 
 
-def change_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
-    """The outbox of the streamed documents: stored events as graph vertices, one error in their midst."""
+def _classified_feed(spark: SparkSession, folder: str) -> str:
+    """The folder of the streamed documents' outbox: stored events as graph vertices, an error event as a document that is none."""
     schema = table(spark, folder, "events").schema
     out = fresh_path(spark, "outbox")
     stream = feed.read_feed(spark, folder, schema, name_filter="events.parquet").select(
         "event_id", F.when(F.col("event_type") == "error", F.lit("[]")).otherwise(
             F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "label": "'), F.col("event_type"), F.lit('"}'))).alias("document"))
     feed.classify_feed(stream, "document", "event_id", out, fresh_path(spark, "outbox-progress"), drain=True).awaitTermination()
-    return spark.read.parquet(f"{out}/outbox").select("message_key", "channel", "subject", "body")
+    return out
+
+
+def change_feed_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages of the documents that can be read."""
+    return spark.read.parquet(f"{_classified_feed(spark, folder)}/outbox").select("message_key", "channel", "subject", "body")
+
+
+def change_feed_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that cannot be read, with the reason; the others went on."""
+    return spark.read.parquet(f"{_classified_feed(spark, folder)}/dead_letters").select("event_id", "document", "error")
 
 
 def feed_to_outbox(spark: SparkSession, folder: str) -> DataFrame:
@@ -899,5 +918,5 @@ QUERIES = {f.__name__: f for f in [
     snapshot_diff_changed, pending_batch, second_batch, mark_notified, notification_html, notification_list, classify_changes, json_messages,
     change_outbox, request_response, fifo_pairing, change_feed, change_feed_outbox, change_capture, audit_feed_outbox,
     csv_round_trip, csv_quarantine, typed_load, csv_parallel_scan, csv_parallel_quarantine, pq_topk,
-    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index, index_feed, running_counts,
+    stream_request_response, stream_fifo_pairing, feed_to_outbox, snapshot_diff_checksums, two_hop_bucketed, keyword_index, index_feed, running_counts, change_feed_dead_letters, index_insert_only,
 ]}

@@ -557,6 +557,8 @@ OR coalesce(old_question, '') <> coalesce(new_question, '') OR coalesce(old_answ
     "stream_fifo_pairing": FIFO,
     "index_feed": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+    "change_feed_dead_letters": "SELECT event_id, '[]' AS document, 'not a JSON object' AS error FROM events WHERE event_type = 'error'",
+    "index_insert_only": "SELECT 'DOC-' || doc_id AS chunk_id, text FROM documents",
     "running_counts": """WITH placed AS (
   SELECT user_id, event_id, event_type, (event_id - low) * 3 // (high - low + 1) AS third
   FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)),
