@@ -107,3 +107,13 @@ def test_row_chunks_have_stable_ids(spark):
     first, again = rows(row_chunks(df, "CR", "k")), rows(row_chunks(df, "CR", "k"))
     assert first == again
     assert {r[3] for r in first} == {"k: k1 | y: v", "k: k2 | x: w | y: v"}
+
+
+def test_words_are_counted_alike_with_ascii_first(spark):
+    """Every character, between two letters: a space of the list parts them, any other joins them."""
+    assert T.COUNTED_WORD.startswith(r"[\x{21}-\x{7e}")  # no look at every space for plain letters
+    points = [c for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000] + [0xFEFF, 0x1F600]
+    found = spark.createDataFrame([(c, f"a{chr(c)}b") for c in points], "c int, t string").select(
+        "c", T.word_count(F.col("t")).alias("n"), F.regexp_count("t", F.lit(T.WORD)).alias("plain")).collect()
+    assert all(r["n"] == r["plain"] == (2 if r["c"] in T.SPACE_CODES else 1) for r in found)
+    assert spark.range(1).select(T.word_count(F.lit("")), T.word_count(F.lit(None).cast("string"))).first()[:] == (0, None)
