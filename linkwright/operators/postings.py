@@ -1,9 +1,10 @@
-"""Stored index of the texts of vertices: where every three characters stand, so that keywords are found without the texts.
+"""Stored index of the texts of vertices: where every eight characters stand, so that keywords are found without the texts.
 
 A row of the index holds the places of one gram in one text of one vertex. A keyword is in a text where its grams stand
 in a row: candidates come from the keyword's rarest gram, and each further gram strikes places out. At every place
-of a text stands the gram of the three characters that begin there, a shorter one at the end, so a keyword of one or two characters
-is in a text exactly where a gram begins with it.
+of a text stands the gram of the eight characters that begin there, a shorter one at the end, so a keyword of up to seven characters
+is in a text exactly where a gram begins with it. Short grams would be shared by a fixed share of the texts: with as many keywords as
+texts, the candidates would then grow with the square of the texts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from linkwright.session import written
 
-SIZE = 3
+SIZE = 8
 PARTS = 64
 #: Characters of a text that one row of the index covers.
 BLOCK = 1 << 16
@@ -50,8 +51,7 @@ def store_postings(vertices: DataFrame, properties: Sequence[str], path: str) ->
     """
     spark = vertices.sparkSession
     texts = vertices.select("id", F.explode(F.array(*[F.col("props")[p] for p in properties])).alias("_t")).filter("_t != ''")
-    grams = F.transform(F.col("_c"), lambda c, i: F.concat(
-        c, F.coalesce(F.get("_c", i + 1), F.lit("")), F.coalesce(F.get("_c", i + 2), F.lit(""))))
+    grams = F.transform(F.col("_c"), lambda _, i: F.array_join(F.slice("_c", i + 1, F.lit(SIZE)), ""))
     stood = (texts.select("id", F.xxhash64("_t").alias("text"), F.split("_t", "").alias("_c"))
              .select("id", "text", F.posexplode(grams).alias("place", "gram")))
     row = stood.groupBy("gram", "id", "text", F.floor(F.col("place") / BLOCK).alias("block")).agg(
@@ -84,9 +84,11 @@ def keyword_matches(stored: Postings, keywords: DataFrame) -> DataFrame:
 
 def _short(stored: Postings, spark: SparkSession, asked: DataFrame) -> DataFrame:
     """Keywords below the size of a gram: all grams that begin with one, by the list of grams."""
-    heads = stored.grams(spark).select("gram", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.lit(SIZE - 1)), lambda n: F.substring(F.col("gram"), F.lit(1), n)))).alias("keyword"))
-    grams = written(asked.filter(F.col("_size") < SIZE).select("keyword").join(heads, "keyword"), "short")
+    short = asked.filter(F.col("_size") < SIZE)
+    sizes = sorted(r["_size"] for r in short.select("_size").distinct().collect())  # at most SIZE - 1
+    heads = stored.grams(spark).select("gram", F.explode(F.array_distinct(F.array(
+        *[F.substring("gram", 1, n) for n in sizes or [1]]))).alias("keyword"))
+    grams = written(short.select("keyword").join(heads, "keyword"), "short")
     return _read(stored, grams).join(grams, "gram").select("keyword", "id")
 
 
@@ -102,7 +104,7 @@ def _long(stored: Postings, spark: SparkSession, asked: DataFrame) -> DataFrame:
     steps = written(steps.select("keyword", F.posexplode("steps").alias("step", "_s")).select("keyword", "step", "_s.*"), "steps")
     last = steps.agg(F.max("step")).first()[0]
     left = None
-    for step in range(0 if last is None else last + 1):  # a third of the longest keyword
+    for step in range(0 if last is None else last + 1):  # an eighth of the longest keyword
         now = steps.filter(F.col("step") == step).select("keyword", "gram", "at")
         if left is None:
             starts = F.explode(F.transform("places", lambda p: p - F.col("at"))).alias("start")

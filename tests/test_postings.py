@@ -41,3 +41,15 @@ def test_only_folders_of_asked_grams_are_read(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ = \d+\)", plan)
     word = spark.createDataFrame([("abc",), ("ffff",)], "keyword string")
     assert rows(postings.keyword_matches(stored, word)) == rows(context.keyword_matches(vertices, word, ["t"]).select("keyword", "id"))
+
+
+def test_candidates_do_not_grow_with_the_square_of_the_texts(spark, tmp_path, monkeypatch):
+    """As many keywords as texts, made of the same digits: a keyword's rarest gram leads to a few texts, not to a share of all."""
+    steps, kept = [], postings.written
+    monkeypatch.setattr(postings, "written", lambda df, name="step": steps.append((name, kept(df, name))) or steps[-1][1])
+    number = F.lpad(F.col("id").cast("string"), 9, "0")
+    vertices = spark.range(8000).select(F.concat(F.lit("v"), "id").alias("id"), F.create_map(F.lit("t"), F.concat(F.lit("Customer#"), number)).alias("props"))
+    keywords = spark.range(8000).select(F.concat(F.lit("#"), number).alias("keyword"))
+    stored = postings.store_postings(vertices, ["t"], str(tmp_path / "index"))
+    assert postings.keyword_matches(stored, keywords).count() == 8000
+    assert sum(df.count() for name, df in steps if name == "starts") <= 4 * 8000
