@@ -206,3 +206,31 @@ def test_first_generation_graph(spark):
     assert found["P2"]["jira_id"] == "J3" and found["P2"]["doc_content"] == "None"
     assert rows(edges, "src", "label", "dst") == [
         ("J1", "MENTIONS", "C1"), ("J2", "MENTIONS", "C1"), ("P1", "REFERS_TO", "J1"), ("P1", "REFERS_TO", "J2"), ("P2", "REFERS_TO", "J3")]
+
+
+def test_simple_graph_deals_out_the_pairs_of_one_change(spark):
+    """Issues and pages without a change pair all with all, by many tasks; a pair that comes by two changes is one edge."""
+    left = spark.range(300).select(F.lit(None).cast("string").alias("a"), F.concat(F.lit("P"), "id").alias("p")).unionByName(
+        spark.createDataFrame([("x", "P1"), ("y", "P1"), ("z", "P2")], "a string, p string"))
+    right = spark.range(200).select(F.lit(None).cast("string").alias("b"), F.concat(F.lit("I"), "id").alias("i")).unionByName(
+        spark.createDataFrame([("x", "I1"), ("y", "I1"), ("q", "I2")], "b string, i string"))
+    plain = left.join(right, F.col("a").eqNullSafe(F.col("b")))
+    for most in (1_000, 10**9):
+        assert rows(graph.dealt_pairs(left, right, "a", "b", "p", True, most), "p", "i") == rows(plain, "p", "i")
+        assert graph.dealt_pairs(left, right, "a", "b", "p", False, most).count() == 2
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = graph.dealt_pairs(left, right, "a", "b", "p", True, 1_000).filter("a IS NULL")
+        assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    changes = spark.createDataFrame([("C1", "t", "s", "1", "u", "n"), ("C2", "t", "s", "1", "u", "n")],
+                                    "cr_id string, cr_title string, cr_status string, created_at string, updated_by_user string, team_name string")
+    issues = spark.createDataFrame([("J1", "a", "C1"), ("J1", "a", "C2"), ("J2", "b", None)], "jira_id string, jira_summary string, cr_id string")
+    enriched = spark.createDataFrame([("P1", "d", "c"), ("P2", "d", "c")], "confluence_doc_id string, doc_topic string, doc_content string")
+    pages = spark.createDataFrame([("P1", "C1"), ("P1", "C2"), ("P2", None)], "confluence_doc_id string, cr_id string")
+    _, edges = graph.build_simple_graph(changes, issues, enriched, pages)
+    assert rows(edges.filter("label = 'REFERS_TO'"), "src", "dst", "dst_label") == [("P1", "J1", "Jira"), ("P2", "J2", "Jira")]
