@@ -234,3 +234,31 @@ def test_simple_graph_deals_out_the_pairs_of_one_change(spark):
     pages = spark.createDataFrame([("P1", "C1"), ("P1", "C2"), ("P2", None)], "confluence_doc_id string, cr_id string")
     _, edges = graph.build_simple_graph(changes, issues, enriched, pages)
     assert rows(edges.filter("label = 'REFERS_TO'"), "src", "dst", "dst_label") == [("P1", "J1", "Jira"), ("P2", "J2", "Jira")]
+
+
+def test_counted_targets_are_those_of_the_join(spark, monkeypatch):
+    """Missing ids, ids of two vertices, a rare label and null labels; no whole edge is shuffled for the usual ones."""
+    schema = "src string, label string, dst string, src_label string, dst_label string, src_table string, row_no string"
+    edges = spark.createDataFrame(
+        [(f"I{n}", "M", f"C{n % 7}", "JIRA", None, "t", str(n)) for n in range(40)] + [
+            ("I1", "M", "gone", "JIRA", None, "t", "a"), ("I2", "M", "two", "JIRA", None, "t", "b"), ("I3", "M", "page", None, None, "t", "c"),
+            ("I3", "M", "page", "JIRA", None, "t", "c"), ("I3", "M", "page", "JIRA", None, "t", "c"), ("I4", "B", "any", "JIRA", "Team", "t", "d"),
+            ("I5", "M", "bare", "JIRA", None, "t", "e"), ("I6", "M", None, "JIRA", None, "t", "f"), ("I7", "M", None, "JIRA", "CR", "t", "g")], schema)
+    vertices = spark.createDataFrame([(f"C{n}", "CR") for n in range(7)] + [
+        ("two", "CR"), ("two", "JIRA"), ("two", "CR"), ("page", "Confluence"), ("bare", None), (None, "CR")], "id string, label string")
+    want = rows(graph.with_target(edges, vertices))
+    got = graph.with_counted_target(edges, vertices)
+    assert got.columns == edges.columns and rows(got) == want
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(graph, "MAX_LISTED_KEYS", 1)
+    assert rows(graph.with_counted_target(edges, vertices)) == want
+    none = edges.filter("dst_label IS NOT NULL")
+    assert rows(graph.with_counted_target(none, vertices)) == rows(graph.with_target(none, vertices))
+
+
+def test_hops_leave_out_ends_at_other_labels(spark, loaded):
+    _, edges = loaded
+    seeds = spark.createDataFrame([("C1",), ("C2",), ("none",)], "seed_id string")
+    assert graph.incident(edges, ["CR"]).count() < graph.incident(edges).count()
+    assert rows(graph.neighborhood(seeds, edges, ["CR"])) == rows(graph.neighborhood(seeds, edges))
+    assert rows(graph.two_hop(seeds, edges, labels=["JIRA"])) == rows(graph.two_hop(seeds, edges))
