@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from linkwright.functions import fixed_text as fixed
 from linkwright.operators import context
@@ -127,3 +128,20 @@ def test_page_summaries_keep_the_error_as_text(spark):
         return [" fine \n"]
     pages = spark.createDataFrame([("a", "good"), ("b", "bad")], "id string, doc_topic string")
     assert rows(retrieval.page_summaries(pages, broken), "id", "doc_content") == [("a", "fine"), ("b", "AI error: no model")]
+
+
+def test_long_keyword_lists_meet_few_texts_and_hashes_change_no_path(spark, monkeypatch):
+    number = F.lpad(F.col("id").cast("string"), 9, "0")
+    vertices = spark.range(4000).select(F.concat(F.lit("v"), "id").alias("id"), F.lit("CR").alias("label"),
+                                        F.create_map(F.lit("t"), F.concat(F.lit("Customer#"), number)).alias("props"))
+    keywords = spark.range(0, 4000, 7).select(F.concat(F.lit("#"), number).alias("keyword"))
+    found = context.keyword_matches(vertices, keywords, ["t"])
+    assert rows(found) == sorted((f"#{n:09d}", f"v{n}") for n in range(0, 4000, 7))
+    grams = [r["g"] for r in keywords.select(F.explode(context._grams(F.col("keyword"), [context.GRAM])).alias("g")).collect()]
+    assert max(map(len, grams)) == 8
+    edges = spark.createDataFrame([("I1", "MENTIONS", "v7", "JIRA", "CR", "t", "1"), ("I2", "MENTIONS", "v8", "JIRA", "CR", "t", "2")],
+                                  "src string, label string, dst string, src_label string, dst_label string, src_table string, row_no string")
+    routes = spark.createDataFrame([("change", "v7"), ("issue", "I2"), ("keyword", "#000000008")], "route string, value string")
+    sent = rows(context.route_hops(routes, vertices, edges, ["t"]))
+    monkeypatch.setattr(context, "MAX_SENT_STARTS", 0)
+    assert len(sent) == 3 and rows(context.route_hops(routes, vertices, edges, ["t"])) == sent
