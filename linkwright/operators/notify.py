@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.functions import fixed_text as fixed
-from linkwright.functions.values import first_present, flag, has_key, json_record, utc_text
+from linkwright.functions.values import first_present, first_printed, has_key, json_record, printed_fields, printed_flag, utc_text
 
 FIELDS = ["OldQuestion", "NewQuestion", "OldAnswer", "NewAnswer"]
+CHANGE_FIELDS = ["id", "label", "_isEdge", "inV", "outV", "inVLabel", "outVLabel", "_sink", "_vertexId"]
 
 
 def _column_fields(audit: DataFrame) -> dict[str, Column]:
@@ -73,18 +74,18 @@ def classify(documents: DataFrame, document: str) -> DataFrame:
     A document is an edge if its edge flag is set or one of the two pairs of end fields is present.
     """
     record, unknown = F.col("_record"), fixed.UNKNOWN
-    parsed = documents.withColumn("_record", json_record(F.col(document)))
-    edge = flag(record, "_isEdge") | has_key(record, "inV", "outV") | has_key(record, "_sink", "_vertexId")
+    parsed = documents.withColumn("_record", printed_fields(json_record(F.col(document)), CHANGE_FIELDS))
+    edge = printed_flag(record, "_isEdge") | has_key(record, "inV", "outV") | has_key(record, "_sink", "_vertexId")
     parts = parsed.select(
         *documents.columns,
         F.when(record.isNull(), F.lit("not a JSON object")).alias("error"),
         F.when(record.isNotNull(), F.when(edge, "edge").otherwise("vertex")).alias("kind"),
-        first_present(record, ["id"], unknown["id"]).alias("element_id"),
-        first_present(record, ["label"], unknown["label"]).alias("label"),
-        first_present(record, ["outVLabel"], unknown["outVLabel"]).alias("source_label"),
-        first_present(record, ["inVLabel"], unknown["inVLabel"]).alias("target_label"),
-        first_present(record, ["outV", "_vertexId"], unknown["source"]).alias("source_id"),
-        first_present(record, ["inV", "_sink"], unknown["target"]).alias("target_id"),
+        first_printed(record, ["id"], unknown["id"]).alias("element_id"),
+        first_printed(record, ["label"], unknown["label"]).alias("label"),
+        first_printed(record, ["outVLabel"], unknown["outVLabel"]).alias("source_label"),
+        first_printed(record, ["inVLabel"], unknown["inVLabel"]).alias("target_label"),
+        first_printed(record, ["outV", "_vertexId"], unknown["source"]).alias("source_id"),
+        first_printed(record, ["inV", "_sink"], unknown["target"]).alias("target_id"),
     )
     is_edge, good = F.col("kind") == "edge", F.col("error").isNull()
     named = {"id": F.col("element_id"), "label": F.col("label")}

@@ -156,3 +156,17 @@ def test_only_buckets_of_changed_keys_are_opened(spark):
     assert changes.differing(*sums).count() == 3  # k7, gone, fresh
     with pytest.raises(ValueError):
         changes.checked_diff(before, after, "id", ["q"], 1 << 21)
+
+
+def test_printed_fields_are_those_asked_one_by_one(spark):
+    from linkwright.functions import values as v
+    docs = ['{"id": 1.0, "label": [1, "a\'s", null], "x": 3}', '{"id": null, "label": "", "_isEdge": false}', '{"id": "a", "id": {"k": true}}', "{}",
+            '{"_isEdge": [], "id": false}', '{"_isEdge": "yes"}', "[]", "broken {", None]
+    names = ["id", "label", "_isEdge"]
+    record = spark.createDataFrame([(d,) for d in docs], "d string").withColumn("r", v.json_record(F.col("d"))).withColumn(
+        "p", v.printed_fields(F.col("r"), names))
+    for wanted in (["id"], ["label", "id"], ["x", "_isEdge"]):
+        named = [n for n in wanted if n in names]
+        both = record.select(v.first_present(F.col("r"), named, "-").alias("a"), v.first_printed(F.col("p"), named, "-").alias("b"),
+                             v.flag(F.col("r"), "_isEdge").alias("c"), v.printed_flag(F.col("p"), "_isEdge").alias("e")).collect()
+        assert all(r["a"] == r["b"] and r["c"] == r["e"] for r in both)
