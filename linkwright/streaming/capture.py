@@ -26,33 +26,26 @@ class LastRow(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
         names = ["seq", "deleted", *self._columns]
-        batch = pd.concat(list(rows))[names].sort_values("seq", kind="stable")
-        known = pd.DataFrame([tuple(self._last.get())], columns=names) if self._last.exists() else batch.head(0)
-        newest = known["seq"].max() if len(known) else None
-        late = batch[batch["seq"] <= newest] if newest is not None else batch.head(0)
-        steps = pd.concat([known, batch.drop(late.index) if len(late) else batch], ignore_index=True).astype(object)
-        before = steps.shift(1)
-        live_before = before["deleted"].eq(False)
-        live = ~steps["deleted"].astype(bool)
-        out = pd.DataFrame({self._key: key[0], "seq": steps["seq"]})
-        for c in self._columns:
-            out[f"old_{c}"] = before[c].where(live_before, None)
-            out[f"new_{c}"] = steps[c].where(live, None)
-        out["action"] = "UPDATE"
-        out.loc[~live_before, "action"] = "INSERT"
-        out.loc[~live, "action"] = "DELETE"
-        fresh = steps.index >= len(known)  # the row kept from an earlier batch is no step of this one
-        out = out[(live | live_before) & fresh]
-        if len(steps) > len(known):
-            end = steps.iloc[-1]
-            self._last.update((int(end["seq"]), bool(end["deleted"]), *[None if pd.isna(end[c]) else end[c] for c in self._columns]))
-        yield out
-        if len(late):
-            lost = pd.DataFrame({self._key: key[0], "seq": late["seq"]})
-            for c in self._columns:
-                lost[f"old_{c}"] = None
-                lost[f"new_{c}"] = late[c].where(~late["deleted"].astype(bool), None)
-            yield lost.assign(action="LATE")
+        batch = sorted((row for frame in rows for row in zip(*(frame[n].tolist() for n in names))), key=lambda row: row[0])
+        last = tuple(self._last.get()) if self._last.exists() else None
+        late = [row for row in batch if last is not None and row[0] <= last[0]]
+        before, out = last, []
+        for row in batch[len(late):]:  # sorted, so late rows come first
+            had, has = before is not None and not before[1], not row[1]
+            if had or has:
+                action = "DELETE" if not has else "UPDATE" if had else "INSERT"
+                out.append((row[0], before[2:] if had else None, row[2:] if has else None, action))
+            before = row
+        if len(batch) > len(late):
+            self._last.update((int(before[0]), bool(before[1]), *[None if pd.isna(v) else v for v in before[2:]]))
+        out += [(row[0], None, None if row[1] else row[2:], "LATE") for row in late]
+        if not out:
+            return
+        columns = {self._key: key[0], "seq": [step[0] for step in out]}
+        for k, c in enumerate(self._columns):
+            for name, place in (("old", 1), ("new", 2)):
+                columns[f"{name}_{c}"] = pd.Series([None if step[place] is None else step[place][k] for step in out], dtype=object)
+        yield pd.DataFrame({**columns, "action": [step[3] for step in out]})
 
     def close(self) -> None:
         pass

@@ -37,9 +37,9 @@ def answer_stream(messages: DataFrame, key: str, seconds: int, late: str = "1 mi
             asked, given = list(zip(of[0], of[1])), list(zip(of[2], of[3]))
         if not state.hasTimedOut:
             for frame in frames:
-                frame = frame[frame["asks"].notna()]
                 for us, name, asks in zip(frame["us"].tolist(), frame["id"].tolist(), frame["asks"].tolist()):
-                    (asked if asks else given).append((us, name))
+                    if not pd.isna(asks):
+                        (asked if asks else given).append((us, name))
         now = state.getCurrentWatermarkMs() * 1000
         asked.sort()
         given.sort()
@@ -62,6 +62,8 @@ def answer_stream(messages: DataFrame, key: str, seconds: int, late: str = "1 mi
             state.setTimeoutTimestamp(max(wake // 1000 + 1, now // 1000 + 1))
         elif state.exists:
             state.remove()
+        if not out:
+            return
         yield pd.DataFrame({
             key: pd.Series([r[0] for r in out], dtype=object), "request_id": pd.Series([r[1] for r in out], dtype=object),
             "response_id": pd.Series([r[2] for r in out], dtype=object), "wait_seconds": pd.Series([r[3] for r in out], dtype="float64"),
@@ -97,8 +99,8 @@ def fifo_stream(messages: DataFrame, session: str, order: str, idle: str, late:
         else:
             came = []
             for frame in frames:
-                frame = frame[frame["asks"].notna()]
-                came += zip(frame[order].tolist(), frame["id"].tolist(), frame["asks"].tolist(), frame["ms"].tolist())
+                came += (m for m in zip(frame[order].tolist(), frame["id"].tolist(), frame["asks"].tolist(), frame["ms"].tolist())
+                         if not pd.isna(m[2]))
             first = 0
             for _, name, asks, ms in sorted(came, key=lambda m: m[:2]):
                 last = max(last, ms)
@@ -112,6 +114,8 @@ def fifo_stream(messages: DataFrame, session: str, order: str, idle: str, late:
             if came or state.exists:
                 state.update(([n for n, _ in open_], [name for _, name in open_], count, last))
                 state.setTimeoutTimestamp(max(last + wait, state.getCurrentWatermarkMs() + 1))
+        if not out:
+            return
         yield pd.DataFrame({
             session: pd.Series([group[0]] * len(out), dtype=object), "n": pd.Series([r[0] for r in out], dtype="int64"),
             "request": pd.Series([r[1] for r in out], dtype=object), "response": pd.Series([r[2] for r in out], dtype=object)})

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import functions as F
 
 from linkwright.session import rocksdb_state
 from linkwright.streaming.pairing import answer_stream, fifo_stream
@@ -64,3 +65,14 @@ def test_a_row_without_a_key_is_a_clock_row_only_without_asks(spark, tmp_path):
     assert [(r["request_id"], r["response_id"]) for r in got] == [(1, 2)]
 
 
+
+
+def test_a_slice_of_several_files_is_one_batch(spark, tmp_path, monkeypatch):
+    from bindings import star
+    monkeypatch.setattr(star, "FILE_ROWS", 50)
+    rows_ = spark.range(800).select((F.col("id") % 97).alias("k"), F.timestamp_seconds(F.col("id")).alias("ts"), "id")
+    stream, _ = star._fed(spark, rows_, "k", "1 DAYS")
+    sizes = []
+    stream.writeStream.foreachBatch(lambda df, n: sizes.append(df.count())).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == star.SLICES + 1 and sum(sizes) == 801
