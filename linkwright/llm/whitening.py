@@ -57,7 +57,8 @@ def scatter(matrix: BlockMatrix) -> np.ndarray:
     """Transpose times itself. The row blocks are shared out over tasks, whose small products are then added."""
     tasks = max(1, -(-matrix.numRowBlocks // BLOCKS_A_TASK))
     right = matrix._java_matrix_wrapper._java_model
-    product = matrix.transpose()._java_matrix_wrapper._java_model.multiply(right, tasks)
+    left = matrix.transpose()  # held by name: the JVM drops a matrix as soon as Python has let go of its wrapper
+    product = left._java_matrix_wrapper._java_model.multiply(right, tasks)
     return BlockMatrix(product, BLOCK_COLUMNS, BLOCK_COLUMNS).toLocalMatrix().toArray()
 
 
