@@ -64,3 +64,24 @@ def test_a_record_over_many_ranges_and_odd_files(spark, tmp_path, small_ranges):
     (tmp_path / "empty.csv").write_text("")
     got = {r[0]: r[1] for r in csv_parallel.scan_table(spark, str(tmp_path), TABLE).collect()}
     assert got == {"A": "line\n" * 900, "B": "x" * 3000, "C": '"' * 1001, "D": None}
+
+
+@pytest.mark.parametrize("rows_per_batch", ["1", "3"])
+def test_records_go_over_batches_and_only_edges_are_shuffled(spark, tmp_path, small_ranges, rows_per_batch):
+    for k in range(2):
+        write(tmp_path / f"f{k}.csv", list(drawn(7 + k, 30)))
+
+    def table(df):
+        columns = [*RAW[TABLE], CORRUPT]
+        return sorted(str([(v or "").rstrip("\r\n") if c == CORRUPT else v for c, v in zip(columns, r)]) for r in df.select(*columns).collect())
+
+    want = table(read_raw(spark, str(tmp_path), TABLE))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
+    try:
+        found = csv_parallel.scan_raw(spark, str(tmp_path), TABLE)
+        assert table(found) == want and len(want) == 60
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # no window holds the lines of a range: the one left numbers the pieces over the ends of ranges
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Join" in plan
