@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import star
 from linkwright.functions import fixed_text as fixed
 from linkwright.operators import context
 from linkwright.operators.embed import echo_model
@@ -145,3 +146,34 @@ def test_long_keyword_lists_meet_few_texts_and_hashes_change_no_path(spark, monk
     sent = rows(context.route_hops(routes, vertices, edges, ["t"]))
     monkeypatch.setattr(context, "MAX_SENT_STARTS", 0)
     assert len(sent) == 3 and rows(context.route_hops(routes, vertices, edges, ["t"])) == sent
+
+
+@pytest.mark.parametrize("part_bytes", [40, 4_000_000])
+def test_the_dump_reads_every_vertex_once(spark, graph, part_bytes):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    vertices = graph[0].mapInArrow(look, graph[0].schema)
+    parts = context.global_context(vertices, part_bytes=part_bytes).orderBy("section_no", "part_no").collect()
+    assert "".join(r["text"] for r in parts) == DUMP and seen.value == graph[0].count()
+
+
+def test_the_dump_loads_no_edge(spark, monkeypatch):
+    made = {"star_vertices": 0, "star_edges": 0}
+
+    def counted(name):
+        def make(spark, folder):
+            made[name] += 1
+            return spark.createDataFrame([("PAGE-1", "Confluence", {"doc_topic": "a"})], "id string, label string, props map<string,string>")
+        return make
+
+    for name in made:
+        monkeypatch.setattr(star, name, counted(name))
+    monkeypatch.setattr(star, "_stored", {})
+    parts = star.global_context(spark, "/no/folder").collect()
+    assert made == {"star_vertices": 1, "star_edges": 0}
+    assert any("doc_topic: a" in r["text"] for r in parts)
