@@ -30,6 +30,9 @@ KEPT_BYTES, KEPT_LENGTH = 48 << 20, 64
 #: remembers: about 90 and 110 bytes each.
 KEPT_PAIRS, KEPT_PREFIXES, KEPT_PREFIX = 250_000, 150_000, 6
 
+#: Lengths of the tokens that may end a text, falling, where none of three bytes or more can.
+BELOW_THREE = (2, 1)
+
 #: Bytes of texts whose ids a task holds before it gives them on.
 SLICE_BYTES = 1 << 20
 
@@ -50,10 +53,17 @@ class Ranks:
         #: Tokens that merges lead to; a rank file may hold others, which no encoding uses.
         self.merged = {t: r for t, r in self.ids.items() if len(t) == 1 or self.parts(r) is not None}
         self.longest = max(map(len, self.merged), default=1)
-        #: Bytes of the longest token that ends in two given bytes.
-        self.tails: dict[bytes, int] = {}
+        #: Lengths, falling, of the tokens that can stand at the end of a text with the given last three bytes. Endings that
+        #: no token of three bytes has are left out.
+        self.tails: dict[bytes, tuple[int, ...]] = {}
+        lengths: dict[bytes, set[int]] = {}
         for token in self.merged:
-            self.tails[token[-2:]] = max(self.tails.get(token[-2:], 1), len(token))
+            if len(token) > 2:
+                lengths.setdefault(token[-3:], set()).add(len(token))
+        alike: dict[tuple[int, ...], tuple[int, ...]] = {}
+        for tail, sizes in lengths.items():
+            falling = (*sorted(sizes, reverse=True), *([2, 1] if tail[1:] in self.merged else [1]))
+            self.tails[tail] = alike.setdefault(falling, falling)
         size = max(self.tokens) + 1
         self._length = np.zeros(size, np.int64)
         for rank, token in self.tokens.items():
@@ -95,11 +105,12 @@ class Ranks:
         At equal ranks the left place is merged first.
         """
         bound = 1 << 62  # the merge undone last: a merge over the border only counts before it
+        whole, tokens, parts = self.ids.get, self.tokens, self._parts.get  # known for all longer than a byte
         while True:
-            across = self.ids.get(self.tokens[left] + self.tokens[right])
+            across = whole(tokens[left] + tokens[right])
             if across is not None and across < bound:
                 return False
-            of_left, of_right = self.parts(left), self.parts(right)
+            of_left, of_right = parts(left), parts(right)
             if of_left is None and of_right is None:
                 return True
             if of_right is None or (of_left is not None and left > right):
@@ -133,8 +144,10 @@ class Prefixes:
             if end <= KEPT_PREFIX and (token := prefixes.get(text[:end])) is not None:
                 last.append(token)
                 continue
-            first = end - tails(text[end - 2:end], 1) if end > 1 else 0
-            for start in range(first if first > 0 else 0, end):
+            for length in tails(text[end - 3:end], BELOW_THREE) if end > 2 else BELOW_THREE:
+                start = end - length
+                if start < 0:
+                    continue
                 token = whole(text[start:end])
                 if token is None:
                     continue
@@ -172,10 +185,11 @@ class Prefixes:
 
     def encoding(self) -> list[int]:
         """Ids of the whole, read backwards from the last token."""
-        found, end = [], len(self.text)
+        found, end, last, tokens = [], len(self.text), self.last, self.ranks.tokens
         while end:
-            found.append(self.last[end - 1])
-            end -= len(self.ranks.tokens[found[-1]])
+            token = last[end - 1]
+            found.append(token)
+            end -= len(tokens[token])
         return found[::-1]
 
 

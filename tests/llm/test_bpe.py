@@ -113,3 +113,22 @@ def test_table(spark, known):
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
     assert all(r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest() for r in got)
     assert bpe.encode(docs.filter("false"), FILE, public_tokenizers.PATTERN).count() == 0
+
+
+def test_only_lengths_of_tokens_with_the_same_end_are_looked_up():
+    with open(FILE, "rb") as data:
+        ranks = bpe.Ranks(data.read())
+    looked = []
+
+    class Seen(dict):
+        def get(self, token, default=None):
+            looked.append(token)
+            return super().get(token, default)
+
+    for token in ranks.merged:
+        assert len(token) < 3 or len(token) in ranks.tails[token[-3:]]
+    ranks.merged = Seen(ranks.merged)
+    text = b" internationalisation unbelievably straightforward" * 3
+    assert b"".join(ranks.tokens[t] for t in bpe.Prefixes(ranks, text).encoding()) == text
+    ends = {(t[-3:], len(t)) for t in ranks.merged}
+    assert all(len(t) < 3 or (t[-3:], len(t)) in ends for t in looked)
