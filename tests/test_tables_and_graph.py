@@ -236,6 +236,21 @@ def test_simple_graph_deals_out_the_pairs_of_one_change(spark):
     assert rows(edges.filter("label = 'REFERS_TO'"), "src", "dst", "dst_label") == [("P1", "J1", "Jira"), ("P2", "J2", "Jira")]
 
 
+def test_copies_of_a_large_key_grow_with_the_root_of_its_pairs(spark):
+    """Both sides of a key are sliced; a side that goes whole to every slice of the other is copied as a square."""
+    left = spark.range(3_000).select(F.lit(None).cast("string").alias("a"), F.concat(F.lit("P"), "id").alias("p"))
+    right = spark.range(1_000).select(F.lit(None).cast("string").alias("b"), F.concat(F.lit("I"), "id").alias("i"))
+    dealt, copied = graph.dealt_sides(left, right, "a", "b", "p", True, 1_000)
+    assert dealt.count() + copied.count() < 4 * (3_000_000 * 3_000) ** 0.5
+    assert dealt.groupBy("_slice").count().join(copied.groupBy(F.col("_of").alias("_slice")).agg(F.count("*").alias("n")), "_slice").agg(
+        F.max(F.col("count") * F.col("n"))).first()[0] < 10_000
+    pairs = graph.dealt_pairs(left, right, "a", "b", "p", True, 1_000)
+    assert pairs.count() == pairs.distinct().count() == 3_000_000
+    few = right.limit(3)
+    for one, two, keys in ((left, few, ("a", "b")), (few, left, ("b", "a"))):
+        assert graph.dealt_pairs(one, two, *keys, one.columns[1], True, 10).distinct().count() == 9_000
+
+
 def test_counted_targets_are_those_of_the_join(spark, monkeypatch):
     """Missing ids, ids of two vertices, a rare label and null labels; no whole edge is shuffled for the usual ones."""
     schema = "src string, label string, dst string, src_label string, dst_label string, src_table string, row_no string"
