@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +8,7 @@ from linkwright.functions import fixed_text as fixed
 from linkwright.operators import context
 from linkwright.operators.embed import echo_model
 from linkwright.plans import retrieval
+from linkwright.session import shared_folder
 from tests.conftest import rows
 
 VERTICES = [("I1", "JIRA", {"t": "login bug"}), ("I2", "JIRA", {}), ("C1", "CR", {"t": "Login work"}), ("P1", "Confluence", {"t": "login notes"})]
@@ -76,6 +79,33 @@ def test_node_context_of_bare_and_hub_nodes(spark, graph):
     assert len(parts) > 1 and "\n".join(text for _, text in parts) == got["C1"]
 
 
+@pytest.mark.parametrize("wave_bytes", [300, 10**9])
+@pytest.mark.parametrize("part_bytes", [70, 200, 4_000_000])
+def test_node_context_in_waves(spark, part_bytes, wave_bytes):
+    """Parallel edges, hubs cut in parts and nodes asked for twice, in one wave or several; hops are not stored."""
+    found = [("H", f"I{n % 9}", "M") for n in range(30)] + [(f"I{n}", "H", "R") for n in range(4)] + [("I1", "I1", "S")]
+    edges = spark.createDataFrame([(s, kind, d, "L", "Größe", "t", str(n)) for n, (s, d, kind) in enumerate(found)],
+                                  "src string, label string, dst string, src_label string, dst_label string, src_table string, row_no string")
+    asked = ["H", "H", "I1", "I2", "I3", "I3", "bare", None]
+    nodes = spark.createDataFrame([(n,) for n in asked], "node_id string")
+    want = []
+    for node in dict.fromkeys(asked):
+        lines = [f"--- Related to node {node} ---"] if node else []
+        lines += sorted([f"{kind} → Größe [{d}]" for s, d, kind in found if s == node] + [f"{kind} → L [{s}]" for s, d, kind in found if d == node])
+        lines = [line for line in lines for _ in range(asked.count(node))]
+        parts, at = {}, 0
+        for line in lines:
+            parts.setdefault(at // part_bytes, []).append(line)
+            at += len(line.encode()) + 1
+        want += [(node, k, "\n".join(part)) for k, part in parts.items()] or [(node, 0, None)]
+    stored = set(os.listdir(shared_folder(spark)))
+    got = context.node_context(nodes, edges, part_bytes, wave_bytes)
+    assert got.columns == ["node_id", "part_no", "context"]
+    assert rows(got) == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    new = [name.rsplit("-", 1)[0] for name in set(os.listdir(shared_folder(spark))) - stored]
+    assert "hops" not in new and (new.count("texts") > 1) == (wave_bytes == 300 and part_bytes > 70)
+
+
 DUMP = ("\n=== Global Jira Data ===\n" + block("I1") + block("I2") + "\n=== Global CR Data ===\n" + block("C1")
         + "\n=== Global Confluence Data ===\n" + block("P1"))
 

@@ -113,3 +113,13 @@ def test_a_hub_is_split_in_joins_even_before_a_grouping(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_copies_of_a_line_are_dealt_to_their_parts(spark):
+    """Lines with the number of their copies give the parts that the copies give as rows, also where a line is longer than a part."""
+    data = [("a", 0, "head", 1), ("a", 1, "x" * 7, 50), ("a", 2, "y" * 45, 3), ("a", 3, "", 30), ("b", 0, "é", 100), (None, 0, "n", 20)]
+    counted = spark.createDataFrame(data, "k string, n int, line string, copies bigint")
+    single = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    for part_bytes in (1, 10, 64):
+        want = skew.text_parts(single, ["k"], "line", ["n"], ["copy"], part_bytes=part_bytes)
+        assert rows(skew.repeated_parts(counted, ["k"], "line", ["n"], "copies", "text", "\n", part_bytes)) == rows(want)
