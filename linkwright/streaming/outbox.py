@@ -18,6 +18,8 @@ from pyspark.sql.types import StructType
 from linkwright.streaming.places import opened
 
 SINK = "committed_parquet"
+#: Bytes of rows that a task holds to write them as one row group.
+GROUP_BYTES = 16 * 1024 * 1024
 MANIFEST = "batch_id bigint, file string, rows bigint"
 
 
@@ -37,13 +39,18 @@ class CommittedWriter(DataSourceStreamArrowWriter):
         """One file per task, under a name of its own, so that a task tried twice leaves a file that nothing names."""
         system, folder = opened(self._path)
         name = f"{uuid.uuid4().hex}.parquet"
-        hidden, writer, rows = f"{folder}/data/_{name}", None, 0
+        hidden, writer, rows, held = f"{folder}/data/_{name}", None, 0, []
         try:
             for batch in iterator:
                 if batch.num_rows:
-                    writer = writer or pq.ParquetWriter(hidden, batch.schema, filesystem=system)
-                    writer.write_batch(batch)
+                    writer = writer or pq.ParquetWriter(hidden, batch.schema, filesystem=system, compression="zstd")
+                    held.append(batch)
                     rows += batch.num_rows
+                if sum(b.nbytes for b in held) >= GROUP_BYTES:
+                    writer.write_table(pa.Table.from_batches(held))
+                    held = []
+            if held:
+                writer.write_table(pa.Table.from_batches(held))
         finally:
             if writer:
                 writer.close()

@@ -1,10 +1,13 @@
+import os
+
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from linkwright.streaming import outbox
-from linkwright.streaming.appended import lines, ranges, read_appended, whole_bytes
+from linkwright.streaming.appended import append_lines, blocks, lines, packed, packed_lines, ranges, read_appended, whole_bytes
 from tests.conftest import rows
 
 SCHEMA = "source string, line string"
@@ -55,6 +58,36 @@ def test_ranges_of_any_size_give_every_line_once(texts, tail, size, block):
     assert got == [t.encode().rstrip(b"\r\n") for t in texts if t.strip(" \r")]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet="ab\r é", max_size=9), min_size=1, max_size=5), max_size=6), st.integers(1, 400), st.integers(0, 30))
+def test_ranges_of_a_compressed_file_give_every_line_once(written, most, lost):
+    """Whole blocks count, in ranges of any size; a block that is still being written does not."""
+    data = b"".join(packed("".join(t + "\n" for t in texts).encode()) for texts in written)
+    more = data + packed(b"late\n" * 9)[:lost]
+    whole = max((end for _, end, _ in blocks(pa.BufferReader(more))), default=0)
+    assert whole == len(data)
+    got = [line for r in ranges({}, {"f.zst": whole}, most) for _, line in packed_lines(pa.BufferReader(more), r.begin, r.end)]
+    assert got == [t.encode().rstrip(b"\r\n") for texts in written for t in texts if t.strip(" \r")]
+
+
+def test_a_compressed_feed_grows_by_files_and_by_blocks(spark, tmp_path):
+    src, out, mark = (tmp_path / n for n in ("in", "out", "mark"))
+    texts = spark.range(3_000).repartition(2).select(F.concat(F.lit('{"document": "of the same shape", "é": '), "id", F.lit("}")).alias("value"))
+    append_lines(texts.unionByName(spark.createDataFrame([(None,)], "value string")), f"file:{src}")
+    files = [name for name in os.listdir(src) if name.endswith(".zst")]
+    assert len(files) >= 2 and not [name for name in os.listdir(src) if name.startswith("_")]
+    assert sum((src / name).stat().st_size for name in files) * 4 < 3_000 * 45
+    first = drain(spark, src, out, mark, 20_000)
+    assert sorted(r[1] for r in first) == sorted(r["value"] for r in texts.collect())
+    with open(src / files[0], "ab") as file:
+        file.write(packed(b"one\ntwo\n") + packed(b"three\n")[:-1])
+    append(src / "plain", "four\n")
+    second = drain(spark, src, out, mark, 20_000)
+    assert sorted(r[1] for r in second if r[2] != first[0][2]) == ["four", "one", "two"]
+    kept = pq.ParquetFile(next(f for f in (out / "data").iterdir() if f.suffix == ".parquet")).metadata.row_group(0).column(0)
+    assert kept.compression == "ZSTD"
+
+
 def test_a_batch_that_was_not_committed_shows_nothing(spark, tmp_path):
     path = outbox.prepare(str(tmp_path / "out"))
     writer = outbox.CommittedWriter(path)
